@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratum.operators import Summary, summarize
 from stratum.sinks import publish_table, read_current, tables
-from stratum.sinks.files import gather
+from stratum.sinks.files import spread
 from stratum.streaming import start_batches
 from stratum.streaming.queries import AVAILABLE_NOW
 
@@ -18,7 +18,7 @@ def publish_gold(
     detail: DataFrame, table: str, summary: Summary, partition_by: Sequence[str] = (), path: str | None = None
 ) -> None:
     """Summarize the whole of ``detail`` and publish it as ``table``."""
-    publish_table(summarize(detail, summary), table, partition_by, path)
+    publish_table(summarize(detail, summary), table, partition_by, path, place=spread)
 
 
 def refresh_gold(
@@ -31,15 +31,17 @@ def refresh_gold(
     checkpoint: str,
     trigger: str | None = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    """Recompute the partitions of ``table`` whose ``dim`` value is listed at ``changes`` and was not handled before.
+    """Recompute the partitions of ``table`` that the values listed at ``changes``, and not handled before, fall in.
 
-    ``table`` must be published with ``dim`` as its only partition column. Partitions that no longer have rows are
-    dropped, the others are not touched. Run it after the silver refresh, not alongside: the changes of a batch are
-    listed before the batch is merged. Repeating a batch gives the same partitions again.
+    ``table`` must be published with ``dim`` as its only partition column, and ``dim`` be computed from the tracked
+    column alone: the day itself, or its month where days would make many tiny partitions. Partitions that no longer
+    have rows are dropped, the others are not touched. Run it after the silver refresh, not alongside: the changes of
+    a batch are listed before the batch is merged. Repeating a batch gives the same partitions again.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        refresh_partitions(batch.sparkSession, read_current(batch.sparkSession, silver), table, summary, dim, batch)
+        touched = batch.select(summary.dims[dim].alias(dim))
+        refresh_partitions(batch.sparkSession, read_current(batch.sparkSession, silver), table, summary, dim, touched)
 
     listed = spark.readStream.schema(spark.read.parquet(changes).schema).parquet(changes)
     return start_batches(listed, refresh, checkpoint, trigger)
@@ -48,7 +50,7 @@ def refresh_gold(
 def refresh_partitions(
     spark: SparkSession, detail: DataFrame, table: str, summary: Summary, dim: str, touched: DataFrame
 ) -> None:
-    """One refresh: ``touched`` is a one-column frame of ``dim`` values, at most one per partition of the table."""
+    """One refresh: ``touched`` is a one-column frame of ``dim`` values."""
     # One value per partition to rewrite; the catalog is told about each of them in any case.
     values = [r[0] for r in touched.distinct().collect()]
     if not values:
@@ -64,7 +66,7 @@ def refresh_partitions(
         .withColumn(tables.SLOT, tables.free_slot(dim, occupied))
     )
     root = tables.table_location(spark, table)
-    tables.write_slots(gather(rows, [tables.SLOT, dim]), root, dim)
+    tables.write_slots(spread(rows, [tables.SLOT, dim]), root, dim)
     found = seen.get
     written = [*found["values"], *([None] if found["missing"] else [])]
     emptied = [v for v in values if v not in written]

@@ -40,8 +40,9 @@ def ingest_files(spark: SparkSession, spec: Spec) -> StreamingQuery:
     landing = _required(spec, "landing_path")
     fmt = spec.get("format", "json")
     location = _required(spec, "autoloader", "schemaLocation")
-    schema = track_schema(spark, landing, location, fmt, _declared(spark, spec))
-    rows = stream_files(spark, landing, schema, fmt, spec.get("options"), bool(spec.get("rescue", False)))
+    options = spec.get("options")
+    schema = track_schema(spark, landing, location, fmt, _declared(spark, spec), options)
+    rows = stream_files(spark, landing, schema, fmt, options, bool(spec.get("rescue", False)))
     return append_stream(
         enrich_lineage(rows, FILE_SYSTEM),
         _required(spec, "bronze_path"),

@@ -11,9 +11,12 @@ SALES_KEYS = ("order_id",)
 SALES_TYPES = {"order_date": "date", "price": "double", "quantity": "int"}
 
 
-def daily_sales() -> Summary:
+def daily_sales(by_month: bool = False) -> Summary:
+    """Revenue and units per day and region; ``by_month`` adds the month, to partition by where days are too fine."""
+    day = to_day(F.col("order_date"))
+    month = {"order_month": F.trunc(day, "MM")} if by_month else {}
     return Summary(
-        dims={"order_day": to_day(F.col("order_date")), "region": F.col("region")},
+        dims={"order_day": day, "region": F.col("region"), **month},
         sums={
             "total_revenue": F.col("quantity") * F.col("price"),
             "total_units": F.col("quantity"),

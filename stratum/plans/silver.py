@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from stratum.operators import apply_types, latest_per_key, split_null_keys, stamp_date
+from stratum.operators import apply_types, split_null_keys, stamp_date
 from stratum.operators.lineage import INGEST_TIMESTAMP
 from stratum.sinks import upsert_table
 from stratum.sources import read_layer
@@ -49,7 +49,7 @@ def refine_to_silver(
         keyed, without_key = split_null_keys(stamp_date(apply_types(batch, types)), keys)
         without_key.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
         note = partial(_note_changes, keys, track, changes) if changes and track else None
-        upsert_table(keyed, table, keys, order_by, tie_breakers, keyless=False, before=note, **layout)
+        upsert_table(keyed, table, keys, order_by, tie_breakers, before=note, **layout)
 
     return start_batches(raw.load(bronze), merge, checkpoint, trigger)
 
@@ -80,5 +80,4 @@ def refresh_silver(
     typed = stamp_date(apply_types(read_layer(spark, bronze, fmt), types))
     keyed, without_key = split_null_keys(typed, keys)
     without_key.write.mode("overwrite").parquet(rejects)
-    newest = latest_per_key(keyed, keys, order_by, tie_breakers)
-    upsert_table(newest, table, keys, keyless=False, **layout)
+    upsert_table(keyed, table, keys, order_by, tie_breakers, source_wins_ties=True, **layout)

@@ -11,7 +11,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratum.operators import encode_value, summarize
+from stratum.operators import encode_value
 from stratum.plans import (
     SALES_KEYS,
     SALES_TYPES,
@@ -28,7 +28,7 @@ from stratum.queries import data
 from stratum.queries.data import daily_lines, in_cents, table
 from stratum.queries.frames import LINE_COLUMNS, SALES_COLUMNS
 from stratum.session import scratch_dir
-from stratum.sinks import export_json, publish_table, read_current, upsert_table, write_layer
+from stratum.sinks import export_json, read_current, upsert_table, write_layer
 from stratum.sources import read_layer
 from stratum.streaming import wait_all
 
@@ -170,8 +170,7 @@ def upsert_stored_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sums as a catalog table with one partition per day."""
     home, name = _names(spark, "gold")
-    sums = summarize(table(spark, sf_dir, "lineitem"), daily_lines())
-    publish_table(sums, name, ["order_day"], home)
+    publish_gold(table(spark, sf_dir, "lineitem"), name, daily_lines(), ["order_day"], home)
     return in_cents(spark.table(name), LINE_COLUMNS)
 
 
@@ -254,13 +253,11 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver, gold = f"{name}_silver", f"{name}_gold"
     _land(spark, data.order_sales(spark, sf_dir), home)
     _refine(spark, home, silver)
-    publish_gold(read_current(spark, silver), gold, daily_sales(), ["order_day"], f"{home}/gold")
+    sums = daily_sales(by_month=True)
+    publish_gold(read_current(spark, silver), gold, sums, ["order_month"], f"{home}/gold")
     _land(spark, data.line_sales(spark, sf_dir), home)
     _refine(spark, home, silver)
-    query = refresh_gold(
-        spark, silver, gold, daily_sales(), "order_day", f"{home}/changes", f"{home}/checkpoints/gold"
-    )
-    wait_all([query])
+    wait_all([refresh_gold(spark, silver, gold, sums, "order_month", f"{home}/changes", f"{home}/checkpoints/gold")])
     spark.catalog.refreshTable(gold)
     return in_cents(spark.table(gold), SALES_COLUMNS)
 

@@ -15,11 +15,23 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
 def gather(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring rows of one partition value together so that it gets few files, without forcing them into one task.
 
-    Rebalancing is adaptive: small values share a task, a value that holds most of the rows is split over many.
+    Rebalancing is adaptive: small values share a task, a value that holds most of the rows is split over many. For
+    detail rows, where the bytes decide how long a task takes.
     """
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring rows of one partition value together, with the values spread over all the tasks the session shuffles to.
+
+    For sums, which have many partition values and few rows in each: there the number of files decides, and merging
+    small tasks, as rebalancing does, would leave one task to write them all.
+    """
+    if not partition_by:
+        return df
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *partition_by)
+
+
 def export_json(df: DataFrame, path: str, max_records_per_file: int = 0) -> None:
     """Append rows as JSON files, in parallel; ``max_records_per_file`` bounds the size of each."""
     df.write.mode("append").option("maxRecordsPerFile", max_records_per_file).json(path)

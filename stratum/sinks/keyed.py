@@ -49,16 +49,16 @@ def upsert_table(
     pieces: int = 1,
     sort_by: Sequence[str] = (),
     path: str | None = None,
-    keyless: bool = True,
+    source_wins_ties: bool = False,
     before: Callable[[DataFrame, DataFrame], None] | None = None,
 ) -> None:
     """Merge ``source`` into ``table`` on equal keys; the table is created when missing.
 
     Without ``order_by`` the source wins: matched rows are replaced, others inserted, and a source that repeats a key
     raises :class:`DuplicateSourceKeys` before anything is written. With ``order_by`` the newest row of each key wins,
-    whichever side it is on, and repeated source keys are settled the same way; running the same merge again changes
-    nothing. Rows with a NULL key match nothing and are inserted every time; ``keyless=False`` says that there are none
-    and saves the pass that looks for them.
+    whichever side it is on, and repeated source keys are settled the same way. Of equal rows the stored one stays, so
+    that the same merge again changes nothing, or with ``source_wins_ties`` the new one. Rows with a NULL key match
+    nothing and are inserted every time.
 
     Formats with row-level operations get a real merge. File formats do not have one: the table is partitioned by a
     hash of the key, only the buckets that the source touches are rewritten (next to the old files, see
@@ -77,24 +77,25 @@ def upsert_table(
         buckets = _check_layout(spark, table, keys)
     else:
         _create(source, table, keys, buckets, path)
-    keyed, without_key = split_null_keys(source, keys) if keyless else (source, None)
-    keyed = keyed.withColumn(BUCKET, key_bucket(keys, buckets))
-    touched = _touched_buckets(keyed, keys, unique=order_by is None)
-    if touched:
+    source = source.withColumn(BUCKET, key_bucket(keys, buckets))
+    touched = _touched_buckets(source, keys, unique=order_by is None)
+    keyed, without_key = split_null_keys(source, keys)
+    with_key = [b for b in touched if b != KEYLESS]
+    if with_key:
         # The literal list prunes partitions: the other buckets are not even listed.
-        target = spark.table(table).where(tables.listed(F.col(BUCKET), touched))
+        target = spark.table(table).where(tables.listed(F.col(BUCKET), with_key))
         if before is not None:
             before(target, keyed)
-        occupied = tables.occupied_slots(spark, table, BUCKET, touched)
+        occupied = tables.occupied_slots(spark, table, BUCKET, with_key)
         newest = newest_first(keyed.drop(BUCKET), keys, order_by, tie_breakers) if order_by else []
-        merged = _merged(target, keyed, keys, newest, occupied, pieces, sort_by)
+        stored_first = bool(newest) and not source_wins_ties
+        merged = _merged(target, keyed, keys, newest, stored_first, occupied, pieces, sort_by)
         root = tables.table_location(spark, table)
         tables.write_slots(merged, root, BUCKET)
-        tables.point_partitions(spark, table, root, BUCKET, occupied, touched)
-    if without_key is not None:
+        tables.point_partitions(spark, table, root, BUCKET, occupied, with_key)
+    if KEYLESS in touched:
         # A plain append, not shuffled: however many rows lack a key, they stay spread over the tasks that read them.
-        columns = spark.table(table).columns
-        without_key.withColumn(BUCKET, F.lit(KEYLESS)).select(*columns).write.insertInto(table)
+        without_key.select(*spark.table(table).columns).write.insertInto(table)
 
 
 def _create(source: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str | None) -> None:
@@ -113,13 +114,13 @@ def _check_layout(spark: SparkSession, table: str, keys: Sequence[str]) -> int:
     return int(properties[_BUCKETS_PROPERTY])
 
 
-def _touched_buckets(keyed: DataFrame, keys: Sequence[str], unique: bool) -> list[int]:
-    """Buckets that hold a key of the source: one small row per bucket comes to the driver."""
+def _touched_buckets(source: DataFrame, keys: Sequence[str], unique: bool) -> list[int]:
+    """Buckets that rows of the source belong to: one small row per bucket comes to the driver."""
     if not unique:
-        return [r[0] for r in keyed.select(BUCKET).distinct().collect()]
-    per_key = keyed.groupBy(BUCKET, *keys).agg(F.count("*").alias("n"))
+        return [r[0] for r in source.select(BUCKET).distinct().collect()]
+    per_key = source.groupBy(BUCKET, *keys).agg(F.count("*").alias("n"))
     rows = per_key.groupBy(BUCKET).agg(F.max("n").alias("n")).collect()
-    if any(r.n > 1 for r in rows):
+    if any(r.n > 1 for r in rows if r[BUCKET] != KEYLESS):
         raise DuplicateSourceKeys(f"source rows are not unique on {list(keys)}")
     return [r[0] for r in rows]
 
@@ -129,6 +130,7 @@ def _merged(
     keyed: DataFrame,
     keys: Sequence[str],
     newest: Sequence[Column],
+    stored_first: bool,
     occupied: dict[int, int | None],
     pieces: int,
     sort_by: Sequence[str],
@@ -138,8 +140,7 @@ def _merged(
         # Repeated keys leave before the rows meet the target: at most one row per key and map task is shuffled.
         keyed = _first(keyed, [BUCKET, *keys], newest)
     both = target.withColumn(_FROM_SOURCE, F.lit(0)).unionByName(keyed.withColumn(_FROM_SOURCE, F.lit(1)))
-    # Equal rows: the stored one stays. Without an order the source replaces the target.
-    side = F.col(_FROM_SOURCE).asc() if newest else F.col(_FROM_SOURCE).desc()
+    side = F.col(_FROM_SOURCE).asc() if stored_first else F.col(_FROM_SOURCE).desc()
     layout = [tables.SLOT, BUCKET, _PIECE]
     placed = both.withColumns(
         {

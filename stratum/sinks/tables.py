@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -30,12 +30,17 @@ def publish_table(
     path: str | None = None,
     fmt: str = "parquet",
     mode: str = "overwrite",
+    place: Callable[[DataFrame, Sequence[str]], DataFrame] = gather,
 ) -> None:
-    """Write a whole frame as a catalog table; the namespace is created when missing."""
+    """Write a whole frame as a catalog table; the namespace is created when missing.
+
+    ``place`` distributes the rows over tasks by their partition: :func:`~stratum.sinks.files.gather` or
+    :func:`~stratum.sinks.files.spread`.
+    """
     namespace, _, _ = table.rpartition(".")
     if namespace:
         ensure_namespace(df.sparkSession, namespace)
-    writer = gather(df, partition_by).write.format(fmt).mode(mode).partitionBy(*partition_by)
+    writer = place(df, partition_by).write.format(fmt).mode(mode).partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)

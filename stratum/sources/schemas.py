@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession, functions as F
@@ -10,6 +11,8 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 _TRACKED = StructType([StructField("version", IntegerType()), StructField("schema", StringType())])
 
+_TEXT_FORMATS = ("json", "csv")
+
 
 def load_schema(spark: SparkSession, path: str) -> StructType:
     """A StructType from its JSON document, wherever Spark can read it. A missing or broken document raises."""
@@ -35,30 +38,37 @@ def _tracked(spark: SparkSession, location: str) -> tuple[int, StructType] | Non
 
 
 def track_schema(
-    spark: SparkSession, landing: str, location: str, fmt: str = "json", declared: StructType | None = None
+    spark: SparkSession,
+    landing: str,
+    location: str,
+    fmt: str = "json",
+    declared: StructType | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> StructType:
     """The schema recorded at ``location``, recorded there on first use.
 
-    First use takes ``declared`` as text columns, or infers column names from the files present. Later uses never look
-    at the files again; columns newly declared are appended and recorded as the next version.
+    First use takes ``declared``, or infers the columns from the files present; for text formats all of them as text.
+    Later uses never look at the files again; columns newly declared are appended and recorded as the next version.
     """
+    if declared is not None and fmt in _TEXT_FORMATS:
+        declared = text_first(declared)
     known = _tracked(spark, location)
     if known is not None:
         version, schema = known
-        added = [f for f in text_first(declared or StructType()).fields if f.name not in schema.fieldNames()]
+        added = [f for f in (declared or StructType()).fields if f.name not in schema.fieldNames()]
         if not added:
             return schema
         version, schema = version + 1, StructType([*schema.fields, *added])
     else:
         version = 0
-        schema = text_first(declared) if declared is not None else _infer(spark, landing, fmt)
+        schema = declared if declared is not None else _infer(spark, landing, fmt, options or {})
     row = spark.createDataFrame([(version, schema.json())], _TRACKED)
     row.write.mode("append").json(location)
     return schema
 
 
-def _infer(spark: SparkSession, landing: str, fmt: str) -> StructType:
-    reader = spark.read.format(fmt)
+def _infer(spark: SparkSession, landing: str, fmt: str, options: Mapping[str, str]) -> StructType:
+    reader = spark.read.options(**options).format(fmt)
     if fmt == "json":
         reader = reader.option("primitivesAsString", True)
     schema = reader.load(landing).schema
