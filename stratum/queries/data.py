@@ -128,9 +128,11 @@ def revised_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def daily_lines() -> Summary:
+def daily_lines(by_month: bool = False) -> Summary:
+    day = F.col("l_shipdate").cast("date")
+    month = {"order_month": F.trunc(day, "MM")} if by_month else {}
     return Summary(
-        dims={"order_day": F.col("l_shipdate").cast("date"), "l_returnflag": F.col("l_returnflag")},
+        dims={"order_day": day, "l_returnflag": F.col("l_returnflag"), **month},
         sums={
             "total_revenue": F.col("l_quantity") * F.col("l_extendedprice"),
             "total_units": F.col("l_quantity").cast("int"),
@@ -138,6 +140,13 @@ def daily_lines() -> Summary:
     )
 
 
+def daily_events() -> Summary:
+    return Summary(
+        dims={"event_day": F.col("ts").cast("date"), "event_type": F.col("event_type")},
+        sums={"total_revenue": F.col("value"), "total_units": F.col("user_id").cast("int")},
+    )
+
+
 def in_cents(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Sums of doubles depend on the order of addition in their last digits: compare them to the cent."""
     return df.withColumn("total_revenue", F.round("total_revenue", 2)).select(*columns)

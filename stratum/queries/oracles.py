@@ -77,7 +77,9 @@ from orders""",
     "upsert_create": "select o_orderkey, o_orderpriority, o_totalprice from orders",
     "daily_gold": _DAILY,
     "daily_gold_refresh": _DAILY,
-    "gold_table": _DAILY,
+    "gold_table": """select cast(ts as date) as event_day, event_type, round(sum(value), 2) as total_revenue,
+       cast(sum(cast(user_id as int)) as bigint) as total_units from events group by 1, 2""",
+    "gold_table_monthly": _DAILY,
     "ingest_files": "select event_id, user_id, event_type, value, props, 'file' as source_system from events",
     "ingest_restart": "select event_id, event_type, value from events",
     "ingest_partitioned": "select event_id, value, true as same_day from events",

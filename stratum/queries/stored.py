@@ -170,7 +170,14 @@ def upsert_stored_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sums as a catalog table with one partition per day."""
     home, name = _names(spark, "gold")
-    publish_gold(table(spark, sf_dir, "lineitem"), name, daily_lines(), ["order_day"], home)
+    publish_gold(table(spark, sf_dir, "events"), name, data.daily_events(), ["event_day"], home)
+    return in_cents(spark.table(name), ("event_day", "event_type", "total_revenue", "total_units"))
+
+
+def gold_table_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sums over years, where a partition per day would be thousands of tiny files: one per month instead."""
+    home, name = _names(spark, "gold")
+    publish_gold(table(spark, sf_dir, "lineitem"), name, daily_lines(by_month=True), ["order_month"], home)
     return in_cents(spark.table(name), LINE_COLUMNS)
 
 
@@ -278,6 +285,7 @@ STORED_QUERIES = {
             upsert_stored_one_key,
             upsert_stored_two_keys,
             gold_table,
+            gold_table_monthly,
             medallion_files,
             silver_incremental,
             silver_full,
