@@ -28,7 +28,7 @@ from stratum.queries import data
 from stratum.queries.data import daily_lines, in_cents, table
 from stratum.queries.frames import LINE_COLUMNS, SALES_COLUMNS
 from stratum.session import scratch_dir
-from stratum.sinks import export_json, read_current, upsert_table, write_layer
+from stratum.sinks import ensure_namespace, export_json, read_current, upsert_table, write_layer
 from stratum.sources import read_layer
 from stratum.streaming import wait_all
 
@@ -168,10 +168,11 @@ def upsert_stored_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily sums as a catalog table with one partition per day."""
+    """Daily sums as a catalog table, in a namespace of its own, with one partition per day."""
     home, name = _names(spark, "gold")
-    publish_gold(table(spark, sf_dir, "events"), name, data.daily_events(), ["event_day"], home)
-    return in_cents(spark.table(name), ("event_day", "event_type", "total_revenue", "total_units"))
+    ensure_namespace(spark, name, home)
+    publish_gold(table(spark, sf_dir, "events"), f"{name}.daily", data.daily_events(), ["event_day"])
+    return in_cents(spark.table(f"{name}.daily"), ("event_day", "event_type", "total_revenue", "total_units"))
 
 
 def gold_table_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:

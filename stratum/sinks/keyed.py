@@ -13,11 +13,12 @@ from stratum.sources.tables import table_exists
 
 BUCKET = "key_bucket"
 KEYLESS = -1
+UNPLACED = -2
 _FROM_SOURCE = "_from_source"
 _PIECE = "_piece"
 _RANK = "_rank"
 _KEYS_PROPERTY = "stratum.keys"
-_BUCKETS_PROPERTY = "stratum.buckets"
+_BUCKET_PROPERTY = "stratum.bucket"
 # Providers without row-level operations in Spark itself.
 _FILE_PROVIDERS = ("parquet", "orc", "json", "csv")
 
@@ -26,9 +27,14 @@ class DuplicateSourceKeys(ValueError):
     """Several source rows share a key, so it is open which one a target row should become."""
 
 
-def key_bucket(keys: Sequence[str], buckets: int) -> Column:
-    """Bucket of a full key; keyless rows have their own, which is only ever appended to."""
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+def hash_bucket(keys: Sequence[str], buckets: int) -> str:
+    """SQL expression that spreads keys evenly over ``buckets``."""
+    return f"cast(pmod(xxhash64({', '.join(f'`{k}`' for k in keys)}), {buckets}) as int)"
+
+
+def key_bucket(keys: Sequence[str], expression: str) -> Column:
+    """Bucket of a row. Rows without a full key have one that is only ever appended to."""
+    bucket = F.coalesce(F.expr(expression).cast("int"), F.lit(UNPLACED))
     return F.when(has_null_key(keys), KEYLESS).otherwise(bucket)
 
 
@@ -46,6 +52,7 @@ def upsert_table(
     order_by: Sequence[str] | None = None,
     tie_breakers: Sequence[str] | None = None,
     buckets: int = 64,
+    bucket_by: str | None = None,
     pieces: int = 1,
     sort_by: Sequence[str] = (),
     path: str | None = None,
@@ -61,10 +68,12 @@ def upsert_table(
     nothing and are inserted every time.
 
     Formats with row-level operations get a real merge. File formats do not have one: the table is partitioned by a
-    hash of the key, only the buckets that the source touches are rewritten (next to the old files, see
-    :func:`stratum.sinks.tables.point_partitions`) and the rest is not read at all. ``buckets`` is fixed when the table
-    is created; aim at about a gigabyte per bucket and piece, where ``pieces`` splits each bucket over that many tasks
-    and files. ``sort_by`` orders rows inside the files, so that filters on those columns skip row groups. Give the
+    bucket of the key, only the buckets that the source touches are rewritten (next to the old files, see
+    :func:`stratum.sinks.tables.point_partitions`) and the rest is not read at all. By default a key is hashed to one of
+    ``buckets``. Where new rows come with new keys, ``bucket_by``, a SQL expression over the keys that gives a whole
+    number from 0 (say ``order_id div 10000000``), keeps the rewriting to the recent buckets. The choice is fixed when
+    the table is created; aim at about a gigabyte per bucket and piece, where ``pieces`` splits each bucket over that
+    many tasks and files. ``sort_by`` orders rows inside the files, so that filters on those columns skip row groups. Give the
     table a ``path`` on shared storage unless the warehouse is there. ``before`` is called ahead of the rewrite with the
     stored rows of the touched buckets and the source rows.
     """
@@ -74,10 +83,9 @@ def upsert_table(
         if tables.table_provider(spark, table) not in _FILE_PROVIDERS:
             merge_rows(source, table, keys, order_by, tie_breakers)
             return
-        buckets = _check_layout(spark, table, keys)
     else:
-        _create(source, table, keys, buckets, path)
-    source = source.withColumn(BUCKET, key_bucket(keys, buckets))
+        _create(source, table, keys, bucket_by or hash_bucket(keys, buckets), path)
+    source = source.withColumn(BUCKET, key_bucket(keys, _layout(spark, table, keys)))
     touched = _touched_buckets(source, keys, unique=order_by is None)
     keyed, without_key = split_null_keys(source, keys)
     with_key = [b for b in touched if b != KEYLESS]
@@ -98,20 +106,24 @@ def upsert_table(
         without_key.select(*spark.table(table).columns).write.insertInto(table)
 
 
-def _create(source: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str | None) -> None:
+def _create(source: DataFrame, table: str, keys: Sequence[str], expression: str, path: str | None) -> None:
     empty = source.withColumn(BUCKET, F.lit(KEYLESS)).limit(0)
     tables.publish_table(empty, table, [BUCKET], path, mode="errorifexists")
-    source.sparkSession.sql(
-        f"ALTER TABLE {table} SET TBLPROPERTIES "
-        f"('{_KEYS_PROPERTY}'='{','.join(keys)}', '{_BUCKETS_PROPERTY}'='{buckets}')"
-    )
+    properties = {_KEYS_PROPERTY: ",".join(keys), _BUCKET_PROPERTY: expression}
+    listed = ", ".join(f"'{k}'='{_quoted(v)}'" for k, v in properties.items())
+    source.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def _check_layout(spark: SparkSession, table: str, keys: Sequence[str]) -> int:
+def _layout(spark: SparkSession, table: str, keys: Sequence[str]) -> str:
+    """The bucket expression that the table was created with."""
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     if properties.get(_KEYS_PROPERTY) != ",".join(keys):
         raise ValueError(f"{table} is not laid out by the keys {list(keys)}")
-    return int(properties[_BUCKETS_PROPERTY])
+    return properties[_BUCKET_PROPERTY]
 
 
 def _touched_buckets(source: DataFrame, keys: Sequence[str], unique: bool) -> list[int]:

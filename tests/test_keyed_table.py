@@ -94,6 +94,20 @@ def test_keys_are_fixed_by_the_table(spark, name, tmp_path):
         upsert_table(_frame(spark, [("a", 1, D1)]), name, ["id", "v"])
 
 
+def test_buckets_of_the_callers_choice(spark, name, tmp_path):
+    """Keys that grow with time: a batch of recent ones leaves the older buckets alone."""
+    by = "try_cast(substring(id, instr(id, '-') + 1) as int) div 10"
+    rows = [(f"o-{i}", 0, D1) for i in range(35)] + [("odd", 0, D1)]
+    upsert_table(_frame(spark, rows), name, ["id"], bucket_by=by, path=str(tmp_path / "t"))
+    before = _location_of(spark, name)
+    assert set(before) == {0, 1, 2, 3, keyed_sink.UNPLACED}
+    upsert_table(_frame(spark, [("o-34", 1, D1), ("o-41", 1, D1)]), name, ["id"])
+    after = _location_of(spark, name)
+    assert {b for b in before if before[b] != after[b]} == {3} and set(after) == {*before, 4}
+    values = {r[0]: r[1] for r in _rows(spark, name)}
+    assert len(values) == 37 and values["o-34"] == 1 and values["odd"] == 0
+
+
 def test_pieces_split_a_bucket_over_files(spark, name, tmp_path):
     rows = _frame(spark, [(f"k{i}", 0, D1) for i in range(200)])
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # tasks this small would be merged
@@ -143,7 +157,7 @@ def test_lost_between_write_and_swap(spark, name, tmp_path, monkeypatch, swapped
 
 def test_merge_takes_one_exchange_besides_the_source_limit(spark, name, tmp_path, plan):
     upsert_table(_frame(spark, [(f"k{i}", 0, D1) for i in range(20)]), name, ["id"], buckets=4, path=str(tmp_path / "t"))
-    source = _frame(spark, [("k0", 1, D1)]).withColumn(BUCKET, keyed_sink.key_bucket(["id"], 4))
+    source = _frame(spark, [("k0", 1, D1)]).withColumn(BUCKET, keyed_sink.key_bucket(["id"], keyed_sink.hash_bucket(["id"], 4)))
     target = spark.table(name).where(F.col(BUCKET).isin(1, 2))
     newest = [F.col("day").desc()]
     text = plan(keyed_sink._merged(target, source, ["id"], newest, True, {1: 0, 2: 0}, 1, ()))
