@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
+# The names of the raw layer's own columns and of the two kinds of source.
 INGEST_TIMESTAMP = "ingest_timestamp"
 SOURCE_SYSTEM = "source_system"
 SOURCE_FILE = "source_file"
-LINEAGE_COLUMNS = (INGEST_TIMESTAMP, SOURCE_SYSTEM, SOURCE_FILE)
-
 FILE_SYSTEM = "file"
 MESSAGE_SYSTEM = "kafka"
 
+LINEAGE_COLUMNS = (INGEST_TIMESTAMP, SOURCE_SYSTEM, SOURCE_FILE)
+
 
 def enrich_lineage(df: DataFrame, source_system: str, file_metadata: bool | None = None) -> DataFrame:
     """Add ingest time, source system and source file.

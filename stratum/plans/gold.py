@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from stratum.operators import Summary, summarize
@@ -55,19 +55,6 @@ def refresh_partitions(
     values = [r[0] for r in touched.distinct().collect()]
     if not values:
         return
-    occupied = tables.occupied_slots(spark, table, dim, values)
     # The list reaches the scan (as a range when long): files sorted by the dimension skip row groups.
     changed = detail.where(tables.listed(summary.dims[dim], values))
-    seen = Observation()
-    rows = (
-        summarize(changed, summary)
-        .select(*spark.table(table).columns)
-        .observe(seen, F.collect_set(dim).alias("values"), F.max(F.col(dim).isNull()).alias("missing"))
-        .withColumn(tables.SLOT, tables.free_slot(dim, occupied))
-    )
-    root = tables.table_location(spark, table)
-    tables.write_slots(spread(rows, [tables.SLOT, dim]), root, dim)
-    found = seen.get
-    written = [*found["values"], *([None] if found["missing"] else [])]
-    emptied = [v for v in values if v not in written]
-    tables.point_partitions(spark, table, root, dim, occupied, written, emptied)
+    tables.replace_partitions(summarize(changed, summary), table, dim, values)

@@ -56,6 +56,7 @@ def upsert_table(
     pieces: int = 1,
     sort_by: Sequence[str] = (),
     path: str | None = None,
+    add_columns: bool = False,
     source_wins_ties: bool = False,
     before: Callable[[DataFrame, DataFrame], None] | None = None,
 ) -> None:
@@ -74,8 +75,10 @@ def upsert_table(
     number from 0 (say ``order_id div 10000000``), keeps the rewriting to the recent buckets. The choice is fixed when
     the table is created; aim at about a gigabyte per bucket and piece, where ``pieces`` splits each bucket over that
     many tasks and files. ``sort_by`` orders rows inside the files, so that filters on those columns skip row groups. Give the
-    table a ``path`` on shared storage unless the warehouse is there. ``before`` is called ahead of the rewrite with the
-    stored rows of the touched buckets and the source rows.
+    table a ``path`` on shared storage unless the warehouse is there.
+
+    Source columns that the table lacks are ignored, or added to it with ``add_columns``; columns that the source lacks
+    raise. ``before`` is called ahead of the rewrite with the stored rows of the touched buckets and the source rows.
     """
     keys = list(keys)
     spark = source.sparkSession
@@ -85,7 +88,8 @@ def upsert_table(
             return
     else:
         _create(source, table, keys, bucket_by or hash_bucket(keys, buckets), path)
-    source = source.withColumn(BUCKET, key_bucket(keys, _layout(spark, table, keys)))
+    expression = _layout(spark, table, keys)
+    source = _conformed(source, table, add_columns).withColumn(BUCKET, key_bucket(keys, expression))
     touched = _touched_buckets(source, keys, unique=order_by is None)
     keyed, without_key = split_null_keys(source, keys)
     with_key = [b for b in touched if b != KEYLESS]
@@ -108,7 +112,7 @@ def upsert_table(
 
 def _create(source: DataFrame, table: str, keys: Sequence[str], expression: str, path: str | None) -> None:
     empty = source.withColumn(BUCKET, F.lit(KEYLESS)).limit(0)
-    tables.publish_table(empty, table, [BUCKET], path, mode="errorifexists")
+    tables.create_table(empty, table, [BUCKET], path)
     properties = {_KEYS_PROPERTY: ",".join(keys), _BUCKET_PROPERTY: expression}
     listed = ", ".join(f"'{k}'='{_quoted(v)}'" for k, v in properties.items())
     source.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
@@ -126,6 +130,25 @@ def _layout(spark: SparkSession, table: str, keys: Sequence[str]) -> str:
     return properties[_BUCKET_PROPERTY]
 
 
+def _conformed(source: DataFrame, table: str, add_columns: bool) -> DataFrame:
+    """The source with the columns and types of the table: files of another type could not be read next to the rest."""
+    spark = source.sparkSession
+    stored = read_current(spark, table).schema
+    new = [f for f in source.schema.fields if f.name not in stored.fieldNames()]
+    if new and add_columns:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+        stored = read_current(spark, table).schema
+    missing = [n for n in stored.fieldNames() if n not in source.columns]
+    if missing:
+        raise ValueError(f"source of {table} lacks {missing}")
+    return source.select(
+        *(
+            F.col(f.name) if source.schema[f.name].dataType == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
+            for f in stored.fields
+        )
+    )
+
+
 def _touched_buckets(source: DataFrame, keys: Sequence[str], unique: bool) -> list[int]:
     """Buckets that rows of the source belong to: one small row per bucket comes to the driver."""
     if not unique:

@@ -6,9 +6,10 @@ import datetime as dt
 import re
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from stratum.sinks.files import gather
+from stratum.sinks.files import gather, spread
+from stratum.sources.tables import table_exists
 
 SLOT = "slot"
 _SLOT_IN_PATH = rf"/{SLOT}=([01])/"
@@ -29,14 +30,33 @@ def publish_table(
     partition_by: Sequence[str] = (),
     path: str | None = None,
     fmt: str = "parquet",
-    mode: str = "overwrite",
     place: Callable[[DataFrame, Sequence[str]], DataFrame] = gather,
 ) -> None:
-    """Write a whole frame as a catalog table; the namespace is created when missing.
+    """Make a whole frame the content of a catalog table; table and namespace are created when missing.
 
+    A table that already is partitioned in the same way, by one column, stays readable throughout: its partitions are
+    written anew and switched one by one. Any other is dropped and created again, which is how Spark overwrites tables.
     ``place`` distributes the rows over tasks by their partition: :func:`~stratum.sinks.files.gather` or
     :func:`~stratum.sinks.files.spread`.
     """
+    spark = df.sparkSession
+    if len(partition_by) == 1 and fmt == "parquet" and table_exists(spark, table):
+        stored = {c.name: c.isPartition for c in spark.catalog.listColumns(table)}
+        if stored == {c: c in partition_by for c in df.columns} and set(df.dtypes) == set(spark.table(table).dtypes):
+            replace_partitions(df, table, partition_by[0], place=place)
+            return
+    create_table(df, table, partition_by, path, fmt, "overwrite", place)
+
+
+def create_table(
+    df: DataFrame,
+    table: str,
+    partition_by: Sequence[str] = (),
+    path: str | None = None,
+    fmt: str = "parquet",
+    mode: str = "errorifexists",
+    place: Callable[[DataFrame, Sequence[str]], DataFrame] = gather,
+) -> None:
     namespace, _, _ = table.rpartition(".")
     if namespace:
         ensure_namespace(df.sparkSession, namespace)
@@ -63,9 +83,13 @@ def listed(column: Column, values: Iterable[Value]) -> Column:
     return (column.isin(known) | missing) if known else missing
 
 
-def occupied_slots(spark: SparkSession, table: str, part: str, values: Sequence[Value]) -> dict[Value, int | None]:
-    """Slot that each of the named partitions of ``table`` lies in; None for a partition still at its first place."""
-    rows = spark.table(table).where(listed(F.col(part), values))
+def occupied_slots(
+    spark: SparkSession, table: str, part: str, values: Sequence[Value] | None = None
+) -> dict[Value, int | None]:
+    """Slot that each of the named partitions (default all) lies in; None for a partition still at its first place."""
+    rows = spark.table(table)
+    if values is not None:
+        rows = rows.where(listed(F.col(part), values))
     slot = F.regexp_extract(F.col("_metadata.file_path"), _SLOT_IN_PATH, 1)
     found = rows.groupBy(part).agg(F.max(slot).alias(SLOT)).collect()
     return {r[part]: int(r[SLOT]) if r[SLOT] else None for r in found}
@@ -86,6 +110,30 @@ def write_slots(rows: DataFrame, root: str, part: str) -> None:
     )
 
 
+def replace_partitions(
+    rows: DataFrame,
+    table: str,
+    part: str,
+    values: Sequence[Value] | None = None,
+    place: Callable[[DataFrame, Sequence[str]], DataFrame] = spread,
+) -> None:
+    """Make ``rows`` the content of the named partitions (default all); those that get no rows are dropped."""
+    spark = rows.sparkSession
+    spark.catalog.refreshTable(table)
+    occupied = occupied_slots(spark, table, part, values)
+    # Which partitions were written is noted while they are: one value per partition.
+    seen = Observation()
+    noted = rows.select(*spark.table(table).columns).observe(
+        seen, F.collect_set(part).alias("values"), F.max(F.col(part).isNull()).alias("missing")
+    )
+    root = table_location(spark, table)
+    write_slots(place(noted.withColumn(SLOT, free_slot(part, occupied)), [SLOT, part]), root, part)
+    found = seen.get
+    written = {*found["values"], *([None] if found["missing"] else [])}
+    emptied = {*(occupied if values is None else values)} - written
+    point_partitions(spark, table, root, part, occupied, written, emptied)
+
+
 def point_partitions(
     spark: SparkSession,
     table: str,
@@ -119,7 +167,7 @@ def point_partitions(
     spark.catalog.refreshTable(table)
 
 
-def _chunks(items: Sequence[str]) -> Iterable[Sequence[str]]:
+def _chunks(items: list[str]) -> Iterable[Sequence[str]]:
     return (items[i : i + _SPECS_PER_STATEMENT] for i in range(0, len(items), _SPECS_PER_STATEMENT))
 
 

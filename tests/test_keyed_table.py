@@ -108,6 +108,17 @@ def test_buckets_of_the_callers_choice(spark, name, tmp_path):
     assert len(values) == 37 and values["o-34"] == 1 and values["odd"] == 0
 
 
+def test_columns_follow_the_table(spark, name, tmp_path):
+    upsert_table(_frame(spark, [("a", 1, D1), ("b", 1, D1)]), name, ["id"], buckets=2, path=str(tmp_path / "t"))
+    wider = spark.createDataFrame([("new", "7", "a", D2)], "colour string, v string, id string, day date")
+    upsert_table(wider, name, ["id"])
+    assert _rows(spark, name) == [("a", 7, D2), ("b", 1, D1)]
+    upsert_table(wider, name, ["id"], add_columns=True)
+    assert _rows(spark, name) == [("a", 7, D2, "new"), ("b", 1, D1, None)]
+    with pytest.raises(ValueError, match="lacks"):
+        upsert_table(wider.drop("v"), name, ["id"])
+
+
 def test_pieces_split_a_bucket_over_files(spark, name, tmp_path):
     rows = _frame(spark, [(f"k{i}", 0, D1) for i in range(200)])
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # tasks this small would be merged

@@ -252,6 +252,49 @@ def test_late_files_do_not_bring_back_older_rows(layers):
     assert [str(r.order_date) for r in read_current(layers.spark, layers.silver).collect()] == ["2024-01-03"]
 
 
+def test_the_days_of_a_refresh_reach_the_scan(layers, plan):
+    layers.land("0.json", *FIRST)
+    layers.refine()
+    current = read_current(layers.spark, layers.silver)
+    day = daily_sales().dims["order_day"]
+    text = plan(summarize(current.where(tables.listed(day, [dt.date(2024, 1, 1), None])), daily_sales()))
+    pushed = text.split("PushedFilters: ")[1].split("]")[0]
+    assert "IsNull(order_date)" in pushed and "order_date,2024-01-01" in pushed.replace(", ", ",")
+
+
+def test_a_refresh_that_leaves_no_rows(layers):
+    """A late, older version lists its own day, on which no current row lies."""
+    layers.land("0.json", SECOND[0])
+    layers.refine(order_by=["order_date"])
+    layers.publish()
+    layers.refresh()
+    before = layers.gold_rows()
+    layers.land("1.json", FIRST[0])
+    layers.refine(order_by=["order_date"])
+    layers.refresh()
+    assert layers.gold_rows() == before and len(before) == 1
+
+
+def test_a_published_table_stays_readable_when_its_replacement_is_lost(layers, monkeypatch):
+    layers.land("0.json", *FIRST)
+    layers.refine()
+    layers.publish()
+    before = layers.gold_rows()
+    layers.land("1.json", *SECOND)
+    layers.refine()
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "point_partitions", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            layers.publish()
+    assert layers.gold_rows() == before
+    layers.publish()
+    assert layers.gold_rows() == layers.recomputed_gold()
+
+
 def test_publish_creates_the_namespace_and_replaces(spark, name, tmp_path):
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS ns_{name} LOCATION '{tmp_path}/ns'")
     rows = spark.sql("select date'2024-01-01' as day, 1 as n union all select null, 2")
@@ -260,6 +303,12 @@ def test_publish_creates_the_namespace_and_replaces(spark, name, tmp_path):
     found = spark.table(f"ns_{name}.sums")
     assert found.columns == ["n", "day"]
     assert sorted(map(tuple, found.collect()), key=repr) == [(1, dt.date(2024, 1, 1)), (2, None)]
+    fewer = spark.sql("select date'2024-01-02' as day, 3 as n union all select null, 4")
+    publish_table(fewer, f"ns_{name}.sums", ["day"])
+    assert sorted(map(tuple, spark.table(f"ns_{name}.sums").collect()), key=repr) == [(3, dt.date(2024, 1, 2)), (4, None)]
+    wider = fewer.withColumn("more", F.lit("x"))
+    publish_table(wider, f"ns_{name}.sums", ["day"])
+    assert spark.table(f"ns_{name}.sums").columns == ["n", "more", "day"]
     publish_table(rows, f"fresh_{name}.sums", path=str(tmp_path / "sums"))
     assert spark.catalog.databaseExists(f"fresh_{name}")
     for space in (f"ns_{name}", f"fresh_{name}"):
