@@ -28,8 +28,14 @@ def iso_text(timestamp: Column) -> Column:
     return F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss")
 
 
+def code(prefix: str, key: Column, digits: int) -> Column:
+    """A key as text: the prefix and at least so many digits."""
+    text = key.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.lit(digits), F.length(text)), F.lit("0")))
+
+
 def order_name(key: Column) -> Column:
-    return F.format_string("ORD-%08d", key)
+    return code("ORD-", key, 8)
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,8 +73,8 @@ def line_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(regions(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             order_name(F.col("l_orderkey")).alias("order_id"),
-            F.format_string("P%012d", "l_partkey").alias("product_id"),
-            F.format_string("S%012d", "l_suppkey").alias("supplier_id"),
+            code("P", F.col("l_partkey"), 12).alias("product_id"),
+            code("S", F.col("l_suppkey"), 12).alias("supplier_id"),
             F.col("l_linenumber").alias("line"),
             F.col("l_quantity").alias("quantity"),
             F.col("l_extendedprice").alias("price"),
