@@ -84,18 +84,21 @@ def ingest_all(
 
     File datasets are those with ``batch.enabled``, message datasets those of type ``kafka`` with
     ``streaming.enabled``. ``messages`` replaces topics by dataset name. Should a dataset fail to start, the ones
-    already running are stopped.
+    already running are stopped. One that fails later raises its error after the others have ended, or at once when
+    some of them never do.
     """
     started: list[StreamingQuery] = []
+    endless = False
     try:
         for spec in specs:
             if spec.get("batch", {}).get("enabled", False):
                 started.append(ingest_files(spark, spec))
             if spec.get("streaming", {}).get("enabled", False) and spec.get("type") == MESSAGE_SYSTEM:
                 started.append(ingest_messages(spark, spec, (messages or {}).get(spec.get("name"))))
+                endless |= spec["streaming"].get("trigger") != AVAILABLE_NOW
     except Exception:
         for query in started:
             query.stop()
         raise
-    wait_all(started, timeout)
+    wait_all(started, timeout, fail_fast=endless)
     return started

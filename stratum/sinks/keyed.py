@@ -83,6 +83,8 @@ def upsert_table(
     keys = list(keys)
     spark = source.sparkSession
     if table_exists(spark, table):
+        # Which slots are free is read off the catalog: never from what this session remembers of it.
+        spark.catalog.refreshTable(table)
         if tables.table_provider(spark, table) not in _FILE_PROVIDERS:
             merge_rows(source, table, keys, order_by, tie_breakers)
             return

@@ -12,7 +12,6 @@ from stratum.sinks.files import gather, spread
 from stratum.sources.tables import table_exists
 
 SLOT = "slot"
-_SLOT_IN_PATH = rf"/{SLOT}=([01])/"
 _NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
 _SPECS_PER_STATEMENT = 200
 
@@ -83,16 +82,16 @@ def listed(column: Column, values: Iterable[Value]) -> Column:
     return (column.isin(known) | missing) if known else missing
 
 
-def occupied_slots(
-    spark: SparkSession, table: str, part: str, values: Sequence[Value] | None = None
-) -> dict[Value, int | None]:
-    """Slot that each of the named partitions (default all) lies in; None for a partition still at its first place."""
-    rows = spark.table(table)
-    if values is not None:
-        rows = rows.where(listed(F.col(part), values))
-    slot = F.regexp_extract(F.col("_metadata.file_path"), _SLOT_IN_PATH, 1)
-    found = rows.groupBy(part).agg(F.max(slot).alias(SLOT)).collect()
-    return {r[part]: int(r[SLOT]) if r[SLOT] else None for r in found}
+def occupied_slots(spark: SparkSession, table: str, part: str, values: Sequence[Value]) -> dict[Value, int | None]:
+    """Slot that each of the named partitions lies in; None for a partition still at its first place.
+
+    Read off the paths of their files, which the driver lists for any scan: no rows are read.
+    """
+    found = {}
+    for file in spark.table(table).where(listed(F.col(part), values)).inputFiles():
+        slot = re.search(rf"/{SLOT}=([01])/", file)
+        found[file.split("/")[-2]] = int(slot.group(1)) if slot else None
+    return {v: found[_directory(part, v)] for v in values if _directory(part, v) in found}
 
 
 def free_slot(part: str, occupied: dict[Value, int | None]) -> Column:
@@ -120,6 +119,8 @@ def replace_partitions(
     """Make ``rows`` the content of the named partitions (default all); those that get no rows are dropped."""
     spark = rows.sparkSession
     spark.catalog.refreshTable(table)
+    if values is None:
+        values = [r[0] for r in spark.table(table).select(part).distinct().collect()]
     occupied = occupied_slots(spark, table, part, values)
     # Which partitions were written is noted while they are: one value per partition.
     seen = Observation()
@@ -130,7 +131,7 @@ def replace_partitions(
     write_slots(place(noted.withColumn(SLOT, free_slot(part, occupied)), [SLOT, part]), root, part)
     found = seen.get
     written = {*found["values"], *([None] if found["missing"] else [])}
-    emptied = {*(occupied if values is None else values)} - written
+    emptied = {*values} - written
     point_partitions(spark, table, root, part, occupied, written, emptied)
 
 
@@ -152,7 +153,7 @@ def point_partitions(
     existing = {r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     added = []
     for value in written:
-        directory = f"{part}={_NULL_DIR if value is None else value}"
+        directory = _directory(part, value)
         slot = 1 if occupied.get(value) == 0 else 0
         location = f"LOCATION '{root}/{SLOT}={slot}/{directory}'"
         spec = f"PARTITION ({part}={_literal(value)})"
@@ -167,6 +168,10 @@ def point_partitions(
     spark.catalog.refreshTable(table)
 
 
+def _directory(part: str, value: Value) -> str:
+    return f"{part}={_NULL_DIR if value is None else value}"
+
+
 def _chunks(items: list[str]) -> Iterable[Sequence[str]]:
     return (items[i : i + _SPECS_PER_STATEMENT] for i in range(0, len(items), _SPECS_PER_STATEMENT))
 

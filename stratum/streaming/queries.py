@@ -12,6 +12,7 @@ from stratum.operators.lineage import INGEST_TIMESTAMP
 from stratum.operators.typed import INGEST_DATE
 
 AVAILABLE_NOW = "availableNow"
+_POLL_SECONDS = 0.2
 
 
 def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
@@ -54,19 +55,25 @@ def start_batches(
     return _triggered(writer, trigger).start()
 
 
-def wait_all(queries: Iterable[StreamingQuery], timeout: float | None = None) -> bool:
-    """Wait for every query; True when all have ended in time. One that failed raises after the others were waited for."""
+def wait_all(queries: Iterable[StreamingQuery], timeout: float | None = None, fail_fast: bool = False) -> bool:
+    """Wait for every query; True when all have ended in time.
+
+    A query that failed raises its error: once the others have ended, or at once with ``fail_fast``, which is the way
+    to hear of it when some of the others run forever. Those are left running.
+    """
     deadline = None if timeout is None else time.monotonic() + timeout
-    ended = True
+    running = list(queries)
     failure: Exception | None = None
-    for query in queries:
-        try:
-            if deadline is None:
-                query.awaitTermination()
-            else:
-                ended &= bool(query.awaitTermination(max(deadline - time.monotonic(), 0.001)))
-        except Exception as e:  # noqa: BLE001 - the first failure is raised below
-            failure = failure or e
+    while running and (deadline is None or time.monotonic() < deadline):
+        for query in list(running):
+            try:
+                if query.awaitTermination(_POLL_SECONDS):
+                    running.remove(query)
+            except Exception as e:  # noqa: BLE001 - raised below
+                running.remove(query)
+                failure = failure or e
+        if failure is not None and fail_fast:
+            break
     if failure is not None:
         raise failure
-    return ended
+    return not running

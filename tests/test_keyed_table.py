@@ -88,6 +88,16 @@ def test_equal_rows(spark, name, tmp_path):
     assert read_current(spark, name).first().ingest_date == "new"
 
 
+def test_another_session_has_moved_the_buckets(spark, name, tmp_path):
+    upsert_table(_frame(spark, [("a", 0, D1), ("b", 0, D1)]), name, ["id"], buckets=1, path=str(tmp_path / "t"))
+    assert spark.table(name).count() == 2
+    other = spark.newSession()
+    upsert_table(_frame(other, [("a", 1, D1)]), name, ["id"])
+    upsert_table(_frame(spark, [("b", 2, D1)]), name, ["id"])
+    assert _rows(spark, name) == [("a", 1, D1), ("b", 2, D1)]
+    assert _rows(other, name) == [("a", 1, D1), ("b", 2, D1)]
+
+
 def test_keys_are_fixed_by_the_table(spark, name, tmp_path):
     upsert_table(_frame(spark, [("a", 1, D1)]), name, ["id"], buckets=2, path=str(tmp_path / "t"))
     with pytest.raises(ValueError, match="not laid out by"):

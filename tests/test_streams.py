@@ -265,6 +265,18 @@ def test_one_failure_does_not_keep_the_others_from_ending(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "g")).count() == 1
 
 
+def test_a_failure_is_heard_while_another_query_runs_on(spark, tmp_path):
+    bad = _stream_of(spark, tmp_path / "bad", b"x").select(F.raise_error(F.lit("bad row")).cast("string").alias("v"))
+    endless = append_stream(
+        _stream_of(spark, tmp_path / "good", b"x"), str(tmp_path / "g"), str(tmp_path / "cg"), trigger=None
+    )
+    failing = append_stream(bad, str(tmp_path / "b"), str(tmp_path / "cb"))
+    with pytest.raises(Exception, match="bad row"):
+        wait_all([endless, failing], WAIT, fail_fast=True)
+    assert endless.isActive
+    endless.stop()
+
+
 # working folders
 
 
