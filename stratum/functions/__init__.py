@@ -1,6 +1,7 @@
 """Column expressions: no plans, no actions."""
 
 from stratum.functions.casts import to_day, to_double, to_int
+from stratum.functions.dates import in_months
 from stratum.functions.payload import json_payload, row_json, text_payload
 
-__all__ = ["json_payload", "row_json", "text_payload", "to_day", "to_double", "to_int"]
+__all__ = ["in_months", "json_payload", "row_json", "text_payload", "to_day", "to_double", "to_int"]

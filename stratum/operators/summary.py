@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,10 +14,15 @@ _TOUCHED = "_touched"
 
 @dataclass(frozen=True)
 class Summary:
-    """What to group by and what to sum, as expressions over the detail rows."""
+    """What to group by and what to sum, as expressions over the detail rows.
+
+    ``within`` may name, for a dimension, a predicate that holds for all rows with one of the given values of it: one
+    that a scan can use where the dimension's own expression is out of its reach.
+    """
 
     dims: Mapping[str, Column]
     sums: Mapping[str, Column]
+    within: Mapping[str, Callable[[Sequence[Any]], Column]] = field(default_factory=dict)
 
 
 def summarize(df: DataFrame, summary: Summary) -> DataFrame:

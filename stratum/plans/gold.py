@@ -55,6 +55,10 @@ def refresh_partitions(
     values = [r[0] for r in touched.distinct().collect()]
     if not values:
         return
-    # The list reaches the scan (as a range when long): files sorted by the dimension skip row groups.
-    changed = detail.where(tables.listed(summary.dims[dim], values))
-    tables.replace_partitions(summarize(changed, summary), table, dim, values)
+    tables.replace_partitions(summarize(rows_of(detail, summary, dim, values), summary), table, dim, values)
+
+
+def rows_of(detail: DataFrame, summary: Summary, dim: str, values: Sequence[tables.Value]) -> DataFrame:
+    """Detail rows with one of the values. Files sorted by the column behind the dimension skip row groups."""
+    rows = detail.where(tables.listed(summary.dims[dim], values))
+    return rows.where(summary.within[dim](values)) if dim in summary.within else rows

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
-from stratum.functions import to_day
+from stratum.functions import in_months, to_day
 from stratum.operators import Summary
 
 SALES_KEYS = ("order_id",)
@@ -17,6 +19,7 @@ def daily_sales(by_month: bool = False) -> Summary:
     month = {"order_month": F.trunc(day, "MM")} if by_month else {}
     return Summary(
         dims={"order_day": day, "region": F.col("region"), **month},
+        within={"order_month": partial(in_months, day)},
         sums={
             "total_revenue": F.col("quantity") * F.col("price"),
             "total_units": F.col("quantity"),

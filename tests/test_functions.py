@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-from stratum.functions import json_payload, row_json, to_day, to_double, to_int
+from stratum.functions import in_months, json_payload, row_json, to_day, to_double, to_int
 
 DAY = dt.date(2024, 3, 4)
 
@@ -80,3 +80,15 @@ def test_row_json_leaves_nulls_out(spark):
     rows = spark.createDataFrame([(1, None, dt.datetime(2024, 1, 1))], "a int, b string, c timestamp")
     assert rows.select(row_json()).first()[0] == '{"a":1,"c":"2024-01-01T00:00:00.000Z"}'
     assert rows.select(row_json(["a"])).first()[0] == '{"a":1}'
+
+
+def test_in_months(spark):
+    days = [dt.date(2023, 12, 31), dt.date(2024, 1, 1), dt.date(2024, 12, 31), dt.date(2025, 1, 1), None]
+    frame = spark.createDataFrame([(d,) for d in days], "d date")
+
+    def kept(*months):
+        return [r.d for r in frame.where(in_months(F.col("d"), months)).collect()]
+
+    assert kept(dt.date(2024, 1, 1), dt.date(2024, 12, 1)) == days[1:3]
+    assert kept(dt.date(2024, 12, 1), None) == [days[2], None]
+    assert kept(None) == [None] and kept() == []
