@@ -138,14 +138,16 @@ def _conformed(source: DataFrame, table: str, add_columns: bool) -> DataFrame:
     stored = read_current(spark, table).schema
     new = [f for f in source.schema.fields if f.name not in stored.fieldNames()]
     if new and add_columns:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
         stored = read_current(spark, table).schema
     missing = [n for n in stored.fieldNames() if n not in source.columns]
     if missing:
         raise ValueError(f"source of {table} lacks {missing}")
+    have = source.schema
     return source.select(
         *(
-            F.col(f.name) if source.schema[f.name].dataType == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
+            F.col(f.name) if have[f.name].dataType == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
             for f in stored.fields
         )
     )

@@ -1,4 +1,3 @@
-import datetime as dt
 import json
 
 import pytest
@@ -7,7 +6,14 @@ from pyspark.sql.types import StructType
 
 from stratum.plans import ingest_all, ingest_files, ingest_messages
 from stratum.session import scratch_dir, shared_dir
-from stratum.sources import load_schema, message_options, sasl_plain_options, stream_files, stream_messages, track_schema
+from stratum.sources import (
+    load_schema,
+    message_options,
+    sasl_plain_options,
+    stream_files,
+    stream_messages,
+    track_schema,
+)
 from stratum.sources.messages import client_options
 from stratum.streaming import append_stream, wait_all
 from stratum.sinks import publish_messages

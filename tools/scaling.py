@@ -33,11 +33,11 @@ TIES = ["l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def daily_lines() -> Summary:
-    day = F.col("l_shipdate").cast("date")
+    day = F.col("l_shipdate")
     return Summary(
         dims={"order_day": day, "order_month": F.trunc(day, "MM")},
         sums={"total_revenue": F.col("l_quantity") * F.col("l_extendedprice")},
-        within={"order_month": lambda months: in_months(F.col("l_shipdate"), months)},
+        within={"order_month": lambda months: in_months(day, months)},
     )
 
 
@@ -67,7 +67,8 @@ def copies_of(spark: SparkSession, lines: DataFrame, copies: int) -> DataFrame:
     """The lines ``copies`` times over, each copy with orders of its own."""
     width = lines.agg(F.max("l_orderkey")).first()[0] + 1
     times = spark.range(copies).withColumnRenamed("id", "copy")
-    return lines.join(F.broadcast(times)).withColumn("l_orderkey", F.col("l_orderkey") + F.col("copy") * width).drop("copy")
+    many = lines.join(F.broadcast(times))
+    return many.withColumn("l_orderkey", F.col("l_orderkey") + F.col("copy") * width).drop("copy")
 
 
 def a_third(column: str, value):
@@ -105,7 +106,7 @@ def longest_tasks(log: Path) -> None:
 
 def measure(spark: SparkSession, sf_dir: str, home: str, copies: int) -> None:
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", *TIES, "l_shipdate", "l_quantity", "l_extendedprice"
+        "l_orderkey", *TIES, F.col("l_shipdate").cast("date").alias("l_shipdate"), "l_quantity", "l_extendedprice"
     )
     base = f"{home}/lines-{copies}"
     copies_of(spark, lines, copies).repartition(32).write.parquet(base)
@@ -130,19 +131,17 @@ def measure(spark: SparkSession, sf_dir: str, home: str, copies: int) -> None:
         spark, f"table from all x{copies}", n,
         lambda: upsert_table(hot, table, KEYS, buckets=64, sort_by=["l_shipdate"], path=f"{home}/{table}", **order),
     )
-    current = read_current(spark, table)
-    everywhere = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*lines.columns)
+    everywhere = lines
     one_order = everywhere.withColumn("l_orderkey", F.lit(7).cast("long"))
     for label, batch in (("merge into all buckets", everywhere), ("merge into one bucket", one_order)):
-        batch = batch.withColumn("l_shipdate", F.expr("l_shipdate + interval 10 years"))
+        batch = batch.withColumn("l_shipdate", F.add_months("l_shipdate", 120))
         timed(spark, f"{label} x{copies}", batch.count(), lambda b=batch: upsert_table(b, table, KEYS, **order))
     n = read_current(spark, table).count()
     sums, gold = daily_lines(), f"gold_{copies}"
-    publish = lambda: publish_gold(read_current(spark, table), gold, sums, ["order_month"], f"{home}/{gold}")
-    timed(spark, f"gold from all x{copies}", n, publish)
-    one_month = spark.sql("select date'1996-05-01' as order_month")
-    refresh = lambda: refresh_partitions(spark, read_current(spark, table), gold, sums, "order_month", one_month)
-    timed(spark, f"gold of one month x{copies}", n, refresh)
+    detail, month = read_current(spark, table), "order_month"
+    one = spark.sql("select date'1996-05-01' as order_month")
+    timed(spark, f"gold from all x{copies}", n, lambda: publish_gold(detail, gold, sums, [month], f"{home}/{gold}"))
+    timed(spark, f"gold of one month x{copies}", n, lambda: refresh_partitions(spark, detail, gold, sums, month, one))
 
 
 def main() -> None:
