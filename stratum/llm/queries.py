@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from stratum.llm import exact, mixing, packing, tokencount
+from stratum.llm import ann, exact, mixing, packing, simhash, suffix, tokencount, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op3_nearest_neighbours": ann.op3_nearest_neighbours,
+    "op5_repeated_passages": suffix.op5_repeated_passages,
     "op6_exact_dedup": exact.op6_exact_dedup,
+    "op7_warc_round_trip": warc.op7_warc_round_trip,
+    "op8_simhash_near_duplicates": simhash.op8_simhash_near_duplicates,
     "op9_pack_sequences": packing.op9_pack_sequences,
     "op10_token_counts": tokencount.op10_token_counts,
 }
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
     "op6_exact_dedup": exact.ORACLE,
+    "op7_warc_round_trip": warc.ORACLE,
 }
