@@ -25,3 +25,20 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
 def text_of(column: str = "text") -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def text_key(column: str = "text") -> Column:
+    """A hash that tells rows with the same doc_id apart by their texts."""
+    return F.xxhash64(text_of(column))
+
+
+def chosen_rows(docs: DataFrame, chosen: DataFrame, extra: str | None = None) -> DataFrame:
+    """The rows of `docs` that `chosen` (doc_id, key) names by doc_id, which may be null, and `text_key`; each once.
+
+    `extra`: a column of `chosen` to be added to them, under the name `_` and its own.
+    """
+    keep = chosen.select(F.col("doc_id").alias("_chosen_id"), F.col("key").alias("_chosen_key"), *([F.col(extra).alias(f"_{extra}")] if extra else []))
+    marked = docs.withColumn("_row_key", text_key())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_chosen_id")) & (F.col("_row_key") == F.col("_chosen_key"))
+    joined = marked.join(keep, same, "inner" if extra else "left_semi")
+    return joined.dropDuplicates(["doc_id", "_row_key"]).drop("_chosen_id", "_chosen_key", "_row_key")

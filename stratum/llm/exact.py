@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratum.llm.common import LOWER, UPPER, stored, table, text_of
+from stratum.llm.common import LOWER, UPPER, chosen_rows, stored, table, text_of
 
 SHARD_DIGESTS = 50_000
 _GOLD, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -206,6 +206,10 @@ def dedup(docs: DataFrame, is_new: Column, digest: Callable[[Column], Column] =
     Other columns are not looked at. `split` is true for rows whose digest stood for several texts. `digest` gives hex
     of 16 digits or more and is a parameter for tests of that case.
     """
+    return _dedup(docs, is_new, digest).drop("key")
+
+
+def _dedup(docs: DataFrame, is_new: Column, digest: Callable[[Column], Column]) -> DataFrame:
     text = text_of()
     rows = stored(
         docs.select(
@@ -221,13 +225,19 @@ def dedup(docs: DataFrame, is_new: Column, digest: Callable[[Column], Column] =
     clash = stored(_clashing(docs, rows, groups, digest), "exact-clash")
     counted = rows.groupBy("doc_id", "digest", "key").agg(F.count(F.lit(1)).alias("_rows"))
     whole = _labelled(counted.join(clash, "digest", "left_anti"), groups, "digest").select(
-        "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"), F.lit(False).alias("split")
+        "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"), F.lit(False).alias("split"), "key"
     )
     if not clash.isEmpty():
         whole = whole.unionByName(_by_text(docs, clash, digest))
     return whole
 
 
+def latest_rows(docs: DataFrame, is_new: Column) -> DataFrame:
+    """The rows of `docs` that `dedup` keeps, with all their columns."""
+    labelled = _dedup(docs, is_new, sha256_of)
+    return chosen_rows(docs, labelled.filter("kept").select("doc_id", "key"))
+
+
 def _clashing(docs: DataFrame, rows: DataFrame, groups: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """Digests whose rows differ in their bytes. Only texts that share a digest with another row are compared."""
     several = groups.filter("n > 1").select("digest")
@@ -264,7 +274,7 @@ def _by_text(docs: DataFrame, clash: DataFrame, digest: Callable[[Column], Colum
     counted = mine.groupBy("doc_id", "text", "key").agg(F.count(F.lit(1)).alias("_rows"))
     groups = group_rows(mine.withColumnRenamed("text", "digest")).withColumnRenamed("digest", "text")
     return _labelled(counted, groups, "text").select(
-        "doc_id", "keep_id", "group_size", "kept", sha256_of(F.col("text")).alias("text_sha256"), F.lit(True).alias("split")
+        "doc_id", "keep_id", "group_size", "kept", sha256_of(F.col("text")).alias("text_sha256"), F.lit(True).alias("split"), "key"
     )
 
 

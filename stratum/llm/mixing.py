@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from stratum.llm.common import WORD, stored, table
+from stratum.llm.common import WORD, chosen_rows, stored, table, text_key
 
 # The fraction of the golden ratio in 40 bits, odd, so that 2**40 slots get different points.
 GOLDEN = 679562477885
@@ -125,15 +125,26 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), epochs: int = 3, bl
     Other columns of `docs` are not looked at. An empty table gives an empty result. The order within a source is that
     of md5(doc_id), so reruns agree.
     """
+    return _taken(docs, weights, epochs, block_words).drop("text_key")
+
+
+def mixed_rows(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), epochs: int = 3, block_words: int = 64) -> DataFrame:
+    """The rows of `docs` as often as the mix takes them, with all their columns; a part of a document counts as whole."""
+    times = F.ceil(F.sum("taken") / F.max("size")).cast("int")
+    chosen = _taken(docs, weights, epochs, block_words).filter("taken > 0").groupBy("doc_id", F.col("text_key").alias("key")).agg(times.alias("times"))
+    return chosen_rows(docs, chosen, "times").withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
+
+
+def _taken(docs: DataFrame, weights: Sequence[int], epochs: int, block_words: int) -> DataFrame:
     placed, slots = _placed(docs, weights, epochs, block_words)
     pieces = _pieces(placed.filter("size > 0"), block_words)
-    row = ["doc_id", "source", "size", "source_size", "target", "place", "start"]
+    row = ["doc_id", "text_key", "source", "size", "source_size", "target", "place", "start"]
     taken = (
         pieces.join(slots, (pieces["place"] == slots["_place"]) & (pieces["block"] == slots["rank"]), "left")
         .groupBy(*row)
         .agg(F.sum(F.when(F.col("slot").isNotNull(), F.col("words")).otherwise(0)).alias("taken"))
     )
-    out = ["doc_id", "source", "size", "source_size", "target"]
+    out = ["doc_id", "text_key", "source", "size", "source_size", "target"]
     nothing = placed.filter("size = 0").select(*out, F.lit(0).cast("long").alias("taken"))
     return taken.select(*out, "taken").unionByName(nothing)
 
@@ -154,6 +165,7 @@ def _placed(docs: DataFrame, weights: Sequence[int], epochs: int, block_words: i
             F.col("doc_id").cast("long").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
             word_count(F.col("text")).alias("size"),
+            text_key().alias("text_key"),
         ).withColumn("key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))),
         "mix-sizes",
     )

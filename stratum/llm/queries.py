@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from stratum.llm import ann, exact, mixing, packing, simhash, suffix, tokencount, warc
+from stratum.llm import ann, exact, langid, mixing, packing, pii, simhash, suffix, tokencount, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_personal_data": pii.op2_personal_data,
     "op3_nearest_neighbours": ann.op3_nearest_neighbours,
+    "op4_language_id": langid.op4_language_id,
     "op5_repeated_passages": suffix.op5_repeated_passages,
     "op6_exact_dedup": exact.op6_exact_dedup,
     "op7_warc_round_trip": warc.op7_warc_round_trip,

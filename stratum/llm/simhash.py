@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from stratum.llm.common import stored, table, text_of
+from stratum.llm.common import chosen_rows, stored, table, text_key, text_of
 
 SEED = 42
 BITS = 64
@@ -46,13 +46,14 @@ def fingerprint(text: str, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id, point for every row of `docs`."""
+    """doc_id, key, point for every row of `docs`."""
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, words) for t in texts], dtype="int64")
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.pandas_udf(of, "long")(text_of()).alias("point"))
+    point = F.pandas_udf(of, "long")(text_of())
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), point.alias("point"))
 
 
 def _distance(points: np.ndarray, point: np.uint64) -> np.ndarray:
@@ -222,6 +223,17 @@ def components(edges: DataFrame) -> DataFrame:
         total = now
 
 
+def _grouped(docs: DataFrame, words: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, key, point) and points (point, label): equal labels are one component."""
+    rows = stored(fingerprints(docs, words), "simhash-rows")
+    points = stored(rows.groupBy("point").agg(F.min("doc_id").alias("smallest")), "simhash-points")
+    labels = components(links(points, radius))
+    named = points.join(labels.withColumnRenamed("point", "_point"), F.col("point") == F.col("_point"), "left").select(
+        "point", "smallest", F.coalesce("label", "point").alias("label")
+    )
+    return rows, stored(named, "simhash-named")
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 lowercase hex digits), component_id for every row of `docs` (doc_id, text).
 
@@ -230,13 +242,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
     any other. A null doc_id never is a component_id unless the component has no other. Repeated rows are returned each.
     Other columns are not looked at.
     """
-    rows = stored(fingerprints(docs, words), "simhash-rows")
-    points = stored(rows.groupBy("point").agg(F.min("doc_id").alias("smallest")), "simhash-points")
-    labels = components(links(points, radius))
-    named = points.join(labels.withColumnRenamed("point", "_point"), F.col("point") == F.col("_point"), "left").select(
-        "point", "smallest", F.coalesce("label", "point").alias("label")
-    )
-    named = stored(named, "simhash-named")
+    rows, named = _grouped(docs, words, radius)
     least = named.groupBy("label").agg(F.min("smallest").alias("component_id"))
     of = stored(named.select("point", "label").join(least, "label").select(F.col("point").alias("_point"), "component_id"), "simhash-of")
     return rows.join(of, F.col("point") == F.col("_point")).select(
@@ -244,5 +250,14 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
     )
 
 
+def first_rows(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
+    """One row of `docs` of each component, with all its columns: that with the smallest doc_id."""
+    rows, named = _grouped(docs, words, radius)
+    of = named.select(F.col("point").alias("_point"), "label")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))
+    best = rows.join(of, F.col("point") == F.col("_point")).groupBy("label").agg(first.alias("first"))
+    return chosen_rows(docs, best.select("first.doc_id", "first.key"))
+
+
 def op8_simhash_near_duplicates(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
