@@ -10,7 +10,6 @@ a few crops of each. Everything else is applied to all rows, in batches of windo
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -199,11 +198,10 @@ def language(network: Network, text: str = "text") -> Column:
     undetermined = F.struct(F.lit(UNDETERMINED).alias("lang"), F.lit(0.0).alias("score"))
     if not network.labels:
         return undetermined
-    letter = re.compile(r"[^\W\d_]")
 
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            known = [letter.search(t) is not None for t in texts]
+            known = [any(map(str.isalpha, t)) for t in texts]
             probabilities = network.predict([t.encode() if k else b"" for t, k in zip(texts, known)])
             best = probabilities.argmax(axis=1)
             names = [network.labels[i] if k else UNDETERMINED for i, k in zip(best, known)]

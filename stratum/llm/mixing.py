@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from stratum.llm.common import WORD, chosen_rows, stored, table, text_key
 
 # The fraction of the golden ratio in 40 bits, odd, so that 2**40 slots get different points.
-GOLDEN = 679562477885
+GOLDEN = 679535556991
 POINT_BITS = 40
 # Rows of one part of a stream, and slots of one part of the schedule.
 PART_ROWS = 1 << 15

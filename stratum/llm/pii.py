@@ -241,7 +241,8 @@ def find_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         found = stored(found, "pii-found")
     none = F.array().cast(SPAN)
     all_rows = rows.withColumn("more", none) if found is None else rows.join(found, F.col("digest") == F.col("_digest"), "left")
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k))
+    counts = [of_kind(k).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return all_rows.withColumn("more", F.coalesce(F.col("more").cast(SPAN), none)).withColumn("all", F.concat("base", "more")).select(
         "doc_id",
         *counts,

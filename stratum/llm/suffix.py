@@ -124,18 +124,32 @@ def _blocks(ids: np.ndarray, texts: list[bytes], least: int) -> Iterator[tuple[n
         yield np.array(own), np.array(starts), pieces
 
 
+_SEGMENT = "key long, mark long, id long, at int, more smallint"
+
+
 def _find(least: int, gram: int):
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for own, starts, pieces in _blocks(batch["id"].to_numpy(), batch["text"].to_list(), least):
                 key, mark, text, at, more = segments(pieces, least, gram)
-                yield pd.DataFrame(
-                    {"key": key, "mark": mark, "id": own[text], "at": (starts[text] + at).astype(np.int32), "more": more.astype(np.int16)}
-                )
+                found = {"key": key, "mark": mark, "id": own[text], "at": (starts[text] + at).astype(np.int32), "more": more.astype(np.int16)}
+                yield _folded(pd.DataFrame(found))
 
     return find
 
 
+def _folded(found: pd.DataFrame) -> pd.DataFrame:
+    """Equal segments of one text as one row, with the further places in `again`: a line may be repeated all through."""
+    first = ~found.duplicated(["key", "mark", "id"])
+    kept = found[first].copy()
+    kept["again"] = None
+    if not first.all():
+        lists = found[~first].groupby(["key", "mark", "id"])["at"].agg(list).rename("again")
+        kept = kept.drop(columns="again").merge(lists.reset_index(), on=["key", "mark", "id"], how="left")
+        kept["again"] = kept["again"].astype(object).where(kept["again"].notna(), None)
+    return kept
+
+
 def shard_repeats(texts: list[bytes], more: np.ndarray, least: int = LEAST) -> list[np.ndarray]:
     """For segments with `more` + 1 string starts each: which of the strings also start elsewhere in the shard."""
     edge = np.array([1], np.uint16)
@@ -290,21 +304,24 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, gram: int = GRAM) ->
     texts = _texts(spark, docs, least)
     ids = stored(texts.select("digest", F.monotonically_increasing_id().alias("id")), "suffix-ids")
     numbered = texts.join(ids.hint("shuffle_hash"), "digest")
-    found = numbered.select("id", "text").mapInPandas(_find(least, gram), "key long, mark long, id long, at int, more smallint")
+    found = numbered.select("id", "text").mapInPandas(_find(least, gram), f"{_SEGMENT}, again array<int>")
 
     by_key, by_both = W.partitionBy("key"), W.partitionBy("key", "mark")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = (
         found.repartition(partitions, "key")
-        .withColumn("equal", F.count(F.lit(1)).over(by_both))
+        .withColumn("times", F.lit(1) + F.coalesce(F.array_size("again"), F.lit(0)))
+        .withColumn("equal", F.sum("times").over(by_both))
         .withColumn("nth", F.row_number().over(by_both.orderBy("id", "at")))
-        .withColumn("all", F.count(F.lit(1)).over(by_key))
+        .withColumn("all", F.sum("times").over(by_key))
         .filter(F.col("all") > 1)
         .withColumn("kinds", F.sum((F.col("nth") == 1).cast("long")).over(by_key))
         .withColumn("open", F.max(F.col("equal") == 1).over(by_key))
     )
-    met = stored(met.select("key", "id", "at", "more", "equal", "nth", "kinds", "open"), "suffix-met")
-    alike = met.filter("equal > 1").select("id", F.col("at").alias("low"), (F.col("at") + F.col("more") + least).alias("high"))
+    met = stored(met.select("key", "id", "at", "again", "more", "equal", "nth", "kinds", "open"), "suffix-met")
+    every = F.explode(F.concat(F.array("at"), F.coalesce("again", F.array().cast("array<int>"))))
+    alike = met.filter("equal > 1").select("id", "more", every.alias("low"))
+    alike = alike.select("id", "low", (F.col("low") + F.col("more") + least).alias("high"))
 
     def spots(which: DataFrame) -> DataFrame:
         """digest, id and text of the texts that have the segments, with the segments."""

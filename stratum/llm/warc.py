@@ -221,7 +221,7 @@ def read_archives(spark: SparkSession, path: str, version: str = VERSION) -> Dat
         digest.alias("payload_digest"),
         F.col("type").alias("record_type"),
         F.when(revisit, F.col("refers_to")).alias("refers_to"),
-        digest.eqNullSafe(F.col("stated")).alias("intact"),
+        F.coalesce(digest == F.col("stated"), F.lit(False)).alias("intact"),
     )
 
 

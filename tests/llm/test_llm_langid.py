@@ -1,0 +1,70 @@
+import numpy as np
+import pytest
+
+from odd_rows import no_documents, odd_documents
+from stratum.llm import langid
+
+
+@pytest.mark.parametrize("sf, least", [("sf0.001", 0.9), ("sf0.01", 0.98)])
+def test_held_out_accuracy(spark, sf, least):
+    sf_dir = f"/root/testdata/{sf}"
+    told = {r.doc_id: r for r in langid.op4_language_id(spark, sf_dir).collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    assert told.keys() == {d.doc_id for d in docs}
+    unseen = [d for d in docs if told[d.doc_id].held_out and d.lang]
+    assert 0.15 * len(docs) < len(unseen) < 0.35 * len(docs)
+    assert np.mean([told[d.doc_id].lang_pred == d.lang for d in unseen]) >= least
+    assert all(0 <= r.score <= 1 for r in told.values())
+
+
+def test_gradients_are_those_of_the_loss():
+    settings = langid.Settings(window=12, filters=3, embedding=4, widths=(2, 3))
+    network = langid.Network(["a", "b", "c"], settings)
+    network.parameters = {k: v.astype(float) for k, v in network.parameters.items()}
+    rng = np.random.default_rng(0)
+    windows, labels = rng.integers(0, 257, (5, 12)), np.array([0, 1, 2, 1, 0])
+    loss = lambda: -network.log_probabilities(windows)[np.arange(5), labels].mean()
+    grads = network.gradients(windows, labels)
+    for name, value in network.parameters.items():
+        flat = value.reshape(-1)
+        for i in rng.integers(0, len(flat), 6):
+            before = flat[i]
+            flat[i] = before + 1e-5
+            up = loss()
+            flat[i] = before - 1e-5
+            down = loss()
+            flat[i] = before
+            assert grads[name].reshape(-1)[i] == pytest.approx((up - down) / 2e-5, abs=1e-6)
+
+
+def test_windows_cover_whole_texts():
+    text = bytes(range(1, 251)) * 5
+    rows = [w for ws, _, _ in langid._windows([text, b"", b"ab"], 32, 29) for w in ws]
+    grams = {tuple(r[i : i + 4]) for r in rows for i in range(29)}
+    assert all(tuple(text[i : i + 4]) in grams for i in range(len(text) - 3))
+    assert len(rows) == len(range(0, len(text) - 3, 29)) + 1
+
+
+def test_the_middle_of_a_long_text_counts(spark):
+    docs = [(i, t, x) for i, (t, x) in enumerate([("uno dos tres " * 9, "es"), ("eins zwei drei " * 9, "de")] * 40)]
+    network = langid.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"), langid.Settings(steps=60))
+    mixed = [("uno dos tres " * 5 + "eins zwei drei " * 900).encode(), ("eins zwei drei " * 5 + "uno dos tres " * 900).encode()]
+    best = network.predict(mixed).argmax(axis=1)
+    assert [network.labels[i] for i in best] == ["de", "es"]
+
+
+def test_only_text_decides_and_odd_rows(spark):
+    odd = odd_documents(spark)
+    network = langid.fit(odd, langid.Settings(steps=40))
+    assert network.labels == ["de", "en", "fr"]
+    rows = sorted(langid.predict(odd, network).collect(), key=repr)
+    assert len(rows) == odd.count()
+    assert {r.doc_id for r in rows if r.lang_pred == "und"} == {1, 2, 3, 7, None}
+    assert sum(r.lang_pred == "und" for r in rows) == 5
+    changed = odd.selectExpr("doc_id", "text", "'x' as lang", "'y' as source")
+    assert sorted(langid.predict(changed, network).collect(), key=repr) == rows
+    nothing = langid.fit(no_documents(spark))
+    assert {r.lang_pred for r in langid.predict(odd, nothing).collect()} == {"und"}
+    assert langid.predict(no_documents(spark), network).count() == 0
+    kept = langid.accepted(odd, langid.Settings(steps=40), least=0.0)
+    assert kept.columns == odd.columns and kept.count() == odd.count() - 5

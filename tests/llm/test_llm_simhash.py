@@ -1,0 +1,106 @@
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from odd_rows import no_documents, odd_documents
+from stratum.llm import simhash
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plain_fingerprint(text):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def plain_labels(points, radius=2):
+    """Of each point the smallest index of its component, over all pairs."""
+    parent = list(range(len(points)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(points)):
+        for j in range(i):
+            if int(points[i] ^ points[j]).bit_count() <= radius:
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    return [find(i) for i in range(len(points))]
+
+
+def check(rows, docs):
+    points = {r.doc_id: int(r.fingerprint, 16) for r in rows}
+    assert all(points[i] == plain_fingerprint(t) for i, t in docs.items())
+    ids = sorted(points)
+    labels = plain_labels([points[i] for i in ids])
+    assert {r.doc_id: r.component_id for r in rows} == {i: ids[label] for i, label in zip(ids, labels)}
+
+
+def test_query(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    check(simhash.op8_simhash_near_duplicates(spark, SF_DIR).collect(), docs)
+
+
+def test_words_are_those_of_the_contract():
+    for text in ["One\x0btwo\x0cTHREE four", "a b c\x1cd e\x85f g", "É é É É", "x", "x y", " ", None]:
+        assert simhash.fingerprint(text or "") % (1 << 64) == plain_fingerprint(text)
+
+
+def near(rng, n, flips):
+    base = rng.integers(0, 1 << 63, 5)
+    points = [int(b) for b in base]
+    while len(points) < n:
+        p = points[int(rng.integers(len(points)))]
+        for bit in rng.integers(0, 64, int(rng.integers(0, flips))):
+            p ^= 1 << int(bit)
+        points.append(p)
+    return np.unique(np.array(points, np.uint64))
+
+
+@pytest.mark.parametrize("flips, leaf", [(2, 8), (5, 16), (60, 4)])
+def test_tree_finds_all_pairs(flips, leaf, monkeypatch):
+    monkeypatch.setattr(simhash, "LEAF", leaf)
+    points = near(np.random.default_rng(flips), 500, flips)
+    found = {(int(a), int(b)) for i, j in simhash.close_pairs(points, points, 2) for a, b in zip(i, j)}
+    want = {(i, j) for i in range(len(points)) for j in range(len(points)) if int(points[i] ^ points[j]).bit_count() <= 2}
+    assert found == want
+
+
+@pytest.mark.parametrize("flips", [2, 4])
+def test_shards_join_to_components(spark, monkeypatch, flips):
+    for name, value in (("SHARD", 60), ("LEAF", 8), ("SAMPLE", 40), ("LINKS", 50)):
+        monkeypatch.setattr(simhash, name, value)
+    points = near(np.random.default_rng(flips + 7), 700, flips)
+    signed = np.sort(points.view(np.int64))
+    frame = spark.createDataFrame([(int(p),) for p in signed], "point long").repartition(4)
+    labels = {r.point: r.label for r in simhash.components(simhash.links(frame, 2)).collect()}
+    want = plain_labels([int(p) % (1 << 64) for p in signed])
+    assert [labels.get(int(p), int(p)) for p in signed] == [int(signed[i]) for i in want]
+
+
+def test_a_chain_across_shards(spark):
+    edges = spark.createDataFrame([(i, i - 1) for i in range(1, 40)] + [(100, 200), (300, 200)], "point long, root long")
+    labels = {r.point: r.label for r in simhash.components(edges).collect()}
+    assert labels == {**dict.fromkeys(range(40), 0), 100: 100, 200: 100, 300: 100}
+
+
+def test_odd_rows(spark):
+    odd = odd_documents(spark)
+    rows = simhash.near_duplicates(odd).collect()
+    assert len(rows) == odd.count()
+    zero = [r for r in rows if r.fingerprint == "0" * 16]
+    assert {r.doc_id for r in zero} == {1, 2, 3, None} and {r.component_id for r in zero} == {1}
+    assert {r.component_id for r in rows if r.doc_id in (5, 6)} == {5}
+    kept = simhash.first_rows(odd)
+    assert kept.columns == odd.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == sorted({r.component_id or 0 for r in rows})
+    assert simhash.near_duplicates(no_documents(spark)).count() == 0

@@ -1,0 +1,115 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from odd_rows import no_documents, odd_documents
+from stratum.llm import induced, suffix
+
+
+def plain(texts, least=200):
+    """n_bytes, n_removed, n_spans, kept_sha256 by counting all strings."""
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(x[i : i + least] for x in data for i in range(len(x) - least + 1))
+    out = []
+    for x in data:
+        gone = bytearray(len(x))
+        for i in range(len(x) - least + 1):
+            if seen[x[i : i + least]] > 1:
+                gone[i : i + least] = b"\1" * least
+        runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out.append((len(x), sum(gone), runs, hashlib.sha256(bytes(v for v, g in zip(x, gone) if not g)).hexdigest()))
+    return out
+
+
+def agree(spark, rows, **kind):
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = suffix.repeated_passages(frame, **kind).collect()
+    want = zip((i for i, _ in rows), plain([t for _, t in rows], kind.get("least", 200)))
+    assert sorted((tuple(r) for r in got), key=repr) == sorted(((i, *x) for i, x in want), key=repr)
+
+
+def documents():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdeéfgh") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passages = [prose(rng.randint(20, 90)) for _ in range(8)]
+    rows = []
+    for i in range(120):
+        parts = []
+        for _ in range(rng.randint(0, 4)):
+            parts.append(prose(rng.randint(0, 60)))
+            if rng.random() < 0.5:
+                parts.append(rng.choice(passages))
+            if rng.random() < 0.2:
+                edited = list(rng.choice(passages))
+                edited[rng.randrange(len(edited))] = "Z"
+                parts.append("".join(edited))
+        rows.append((i, " ".join(parts)))
+    rows += [(300, None), (301, ""), (302, "a" * 1000), (303, "a" * 300), (304, "ab" * 700), (305, rows[0][1]), (306, rows[0][1])]
+    return rows + [(307, prose(3) * 60), (308, "x" * 199), (309, "x" * 200), (310, "x" * 200), (None, passages[0] + passages[1])]
+
+
+def test_agrees_with_counting_all_strings(spark):
+    agree(spark, documents())
+
+
+def test_small_blocks_and_shards(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(suffix, "SHARD_BYTES", 5000)
+    agree(spark, documents())
+
+
+def test_hot_keys_are_dealt_by_string(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "MANY", 2)
+    agree(spark, documents())
+
+
+def test_other_lengths(spark):
+    agree(spark, documents()[:60], least=64, gram=32)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_suffix_arrays(seed, monkeypatch):
+    monkeypatch.setattr(induced, "SHORT", 4 if seed % 2 else 1 << 18)
+    rng = np.random.default_rng(seed)
+    s = rng.integers(1, 1 + int(rng.integers(1, 6)), int(rng.integers(1, 120)))
+    if seed % 3 == 0:
+        s = np.tile(s[:9], 12)
+    s = np.concatenate([s, [0]])
+    order = induced.suffix_array(s)
+    assert order.tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
+    places = np.flatnonzero(rng.random(len(s)) < 0.7)
+    got = induced.permuted_lcp(s, order, places, 30)
+    rank = np.argsort(order)
+    for place, lcp in zip(places, got):
+        other = order[rank[place] - 1] if rank[place] else len(s)
+        n = 0
+        while n < 30 and max(other, place) + n < len(s) and s[other + n] == s[place + n]:
+            n += 1
+        assert lcp == n
+
+
+def test_a_large_array_recurses():
+    rng = np.random.default_rng(0)
+    base = rng.integers(2, 30, 3000)
+    s = np.concatenate([np.concatenate([base, [1]]) for _ in range(300)] + [[0]])
+    order = induced.suffix_array(s)
+    lcp = induced.permuted_lcp(s, order, np.arange(len(s)), 50)
+    assert sorted(order.tolist()) == list(range(len(s)))
+    rank = np.argsort(order)
+    for i in rng.integers(0, len(s) - 1, 300):
+        a, b = order[rank[i] - 1], i
+        assert s[a : a + lcp[i]].tolist() == s[b : b + lcp[i]].tolist()
+        assert lcp[i] == 50 or s[a + lcp[i]] < s[b + lcp[i]]
+
+
+def test_odd_rows(spark):
+    odd = odd_documents(spark)
+    got = suffix.repeated_passages(odd).collect()
+    texts = [(r.doc_id, r.text) for r in odd.collect()]
+    want = [(i, *x) for (i, _), x in zip(texts, plain([t if t is None or len(t) < 6000 else "" for _, t in texts])) if i != 4]
+    assert sorted((tuple(r) for r in got if r.doc_id != 4), key=repr) == sorted(want, key=repr)
+    assert suffix.repeated_passages(no_documents(spark)).count() == 0
