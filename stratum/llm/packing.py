@@ -28,7 +28,8 @@ SHARD_ITEMS = 20_000
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 # Words that a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
+BLOCK_CHARACTERS = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -47,33 +48,38 @@ def pack_kinds(demand: np.ndarray, limits: Limits) -> tuple[np.ndarray, np.ndarr
     """
     n = len(demand)
     most = np.array([limits.tokens, limits.segments, limits.loss], float)
-    kinds, kind_of = np.unique(demand, axis=0, return_inverse=True)
+    kinds, kind_of, left = np.unique(demand, axis=0, return_inverse=True, return_counts=True)
     kind_of = kind_of.ravel()
-    if n and (kinds > most).any():
+    if (kinds > most).any():
         raise ValueError("an item exceeds the limits")
     by_kind = np.argsort(kind_of, kind="stable")
-    left = np.bincount(kind_of, minlength=len(kinds))
-    taken = np.concatenate([[0], np.cumsum(left)[:-1]]).astype(int) if n else left
-    size = kinds / most
-    weight = size.T @ left / n if n else np.ones(3)
-    weighted = size * weight
+    taken = np.cumsum(left) - left
+    # The weight of a dimension over its limit squared: both vectors of the dot product are shares of the limits.
+    scale = (kinds.T @ left) / max(n, 1) / most**3
+    tokens, loss = np.ascontiguousarray(kinds[:, 0]), np.ascontiguousarray(kinds[:, 2])
     sequence, turn = np.empty(n, np.int64), np.empty(n, np.int64)
-    opened, placed = -1, 0
-    room, turns = np.zeros(3), 0
+    opened, placed, turns = 0, 0, 0
+    room_tokens, room_segments, room_loss = most
+    gone = 0
     while placed < n:
-        fits = (left > 0) & (size <= room + 1e-12).all(axis=1)
-        if not fits.any():
+        upto = int(np.searchsorted(tokens, room_tokens, "right")) if room_segments else 0
+        score = scale[0] * room_tokens * tokens[:upto] + scale[2] * room_loss * loss[:upto]
+        score[(loss[:upto] > room_loss) | (left[:upto] == 0)] = -1
+        best = int(score.argmax()) if upto else -1
+        if best < 0 or score[best] < 0:
             opened, turns = opened + 1, 0
-            room = np.ones(3)
+            room_tokens, room_segments, room_loss = most
             continue
-        best = int(np.argmax(np.where(fits, weighted @ room, -1.0)))
         item = by_kind[taken[best]]
         sequence[item], turn[item] = opened, turns
         taken[best] += 1
         left[best] -= 1
-        room = room - size[best]
-        turns += 1
-        placed += 1
+        room_tokens, room_segments, room_loss = room_tokens - tokens[best], room_segments - 1, room_loss - loss[best]
+        turns, placed = turns + 1, placed + 1
+        gone += left[best] == 0
+        if 2 * gone > len(left):
+            stay = left > 0
+            tokens, loss, left, taken, gone = tokens[stay], loss[stay], left[stay], taken[stay], 0
     return sequence, turn
 
 
@@ -102,6 +108,17 @@ def pack(items: DataFrame, order: list[str], limits: Limits = Limits(), shard_it
     return dealt.groupBy("_shard").applyInPandas(place, schema)
 
 
+def _holes(found: list) -> list[int]:
+    """Where a list holds None."""
+    at, out = -1, []
+    try:
+        while True:
+            at = found.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 class Words:
     """Token ids of whole texts, through a memory of words.
 
@@ -116,37 +133,70 @@ class Words:
 
         self._model = Tokenizer.from_file(path)
         self._known: dict[bytes, bytes] = {}
-
-    def ids(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        data = text.encode()
-        words = (data if b"<|" in data else data.lower()).split()
-        known = self._known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            self._learn({w for w in words if w not in known}, words)
-            return b"".join([self._known[w] for w in words])
-
-    def _learn(self, new: set[bytes], words: list[bytes]) -> None:
+        vocabulary = self._model.get_vocab(with_added_tokens=False)
+        self._ends_word = np.zeros(self._model.get_vocab_size() + 1, bool)
+        self._ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        data = [t.encode() for t in texts]
+        words = [(d if b"<|" in d else d.lower()).split() for d in data]
+        found = [list(map(self._known.get, w)) for w in words]
+        holes = [(w, f, _holes(f)) for w, f in zip(words, found) if None in f]
+        self._learn({w[i] for w, _, at in holes for i in at})
+        for w, f, at in holes:
+            for i in at:
+                f[i] = self._known[w[i]]
+        return [b"".join(f) for f in found]
+
+    def _learn(self, new: set[bytes]) -> None:
         if len(self._known) + len(new) > REMEMBERED:
             self._known = {}
-            new = set(words)
         # A comma or full stop after a letter or digit is a token of its own.
         ends = {w: (w[:-1], w[-1:]) for w in new if w[-1:] in (b",", b".") and w[-2:-1].isalnum()}
         bare = (new - ends.keys()) | {part for pair in ends.values() for part in pair}
-        todo = sorted(w for w in bare if w not in self._known)
-        for w, e in zip(todo, self._model.encode_batch_fast([w.decode() for w in todo], add_special_tokens=False)):
-            self._known[w] = np.array(e.ids, "<u4").tobytes()
+        letters, others = [], []
+        for w in sorted(bare - self._known.keys()):
+            s = w.decode()
+            # Letters of ASCII and the Latin blocks are one word to the tokenizer, whose last token says so.
+            (letters if s.isalpha() and (s.isascii() or max(s) < "\u0250" and "\u0130" not in s) else others).append(s)
+        for at in range(0, len(letters), 500):
+            self._learn_letters(letters[at : at + 500])
+        for s, e in zip(others, self._encode(others)):
+            self._known[s.encode()] = e.tobytes()
         for w, (stem, end) in ends.items():
             self._known[w] = self._known[stem] + self._known[end]
 
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self._model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_letters(self, some: list[str]) -> None:
+        """Words of letters in one text, which costs half as much as each on its own."""
+        ids = self._encode([" ".join(some)])[0]
+        upto = np.flatnonzero(self._ends_word[ids]) + 1
+        if len(upto) != len(some):
+            raise ValueError("the vocabulary does not mark the ends of words")
+        data, start = ids.tobytes(), 0
+        for s, end in zip(some, (4 * upto).tolist()):
+            self._known[s.encode()] = data[start:end]
+            start = end
+
 
 @lru_cache(maxsize=2)
 def _words(path: str) -> Words:
     return Words(path)
 
 
+def _ids(words: Words, texts: list[str]) -> Iterator[bytes]:
+    """The ids of the texts, a block of texts at a time."""
+    start = size = 0
+    for at, text in enumerate(texts):
+        size += len(text)
+        if size >= BLOCK_CHARACTERS or at + 1 == len(texts):
+            yield from words.ids(texts[start : at + 1])
+            start, size = at + 1, 0
+
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, tokens long, loss long, part long"
 
 
@@ -163,8 +213,8 @@ def document_pieces(docs: DataFrame, path: str, most: int = 2048) -> DataFrame:
         row = 0
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = words.ids(text) + end
+            for doc_id, ids in zip(batch["doc_id"], _ids(words, batch["text"].to_list())):
+                ids += end
                 n = len(ids) // 4
                 for start in range(0, n, most):
                     piece = ids[4 * start : 4 * (start + most)]
