@@ -9,14 +9,22 @@ from pyspark.sql import Column, functions as F
 
 
 def in_months(day: Column, months: Sequence[dt.date | None]) -> Column:
-    """``day`` lies between the first and the last of ``months`` (given by their first days), or is NULL if they are.
+    """``day`` lies in one of ``months`` (given by their first days), or is NULL if one of them is.
 
-    A plain range on the column itself, which reaches the files, where the month of a day does not.
+    A plain range on the column itself for every run of months that follow one another: ranges reach the files, where
+    the month of a day does not, and two months far apart do not read what lies between them.
     """
-    known = [m for m in months if m is not None]
-    missing = day.isNull() if None in months else F.lit(False)
-    if not known:
-        return missing
-    last = max(known)
-    after = F.lit(dt.date(last.year + last.month // 12, last.month % 12 + 1, 1))
-    return ((day >= F.lit(min(known))) & (day < after)) | missing
+    runs: list[list[dt.date]] = []
+    for month in sorted({m for m in months if m is not None}):
+        if runs and runs[-1][1] == month:
+            runs[-1][1] = _next_month(month)
+        else:
+            runs.append([month, _next_month(month)])
+    inside = day.isNull() if None in months else F.lit(False)
+    for first, after in runs:
+        inside = inside | ((day >= F.lit(first)) & (day < F.lit(after)))
+    return inside
+
+
+def _next_month(month: dt.date) -> dt.date:
+    return dt.date(month.year + month.month // 12, month.month % 12 + 1, 1)

@@ -23,10 +23,10 @@ def _orderable(t: DataType) -> bool:
     return True
 
 
-def newest_first(
+def decided_by(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], tie_breakers: Sequence[str] | None = None
-) -> list[Column]:
-    """Descending order that decides which row of a key is the newest.
+) -> list[str]:
+    """The columns that decide, in turn and descending, which row of a key is the newest.
 
     All rows of one ingest batch carry the same ingest time, so ``order_by`` alone would leave the choice open. The
     default tie-breakers are the source file and then the payload columns themselves: rows that still tie are equal in
@@ -37,7 +37,14 @@ def newest_first(
         payload = [f.name for f in df.schema.fields if f.name not in settled and _orderable(f.dataType)]
         files = [SOURCE_FILE] if SOURCE_FILE in df.columns and SOURCE_FILE not in order_by else []
         tie_breakers = [*files, *payload]
-    return [F.col(c).desc() for c in (*order_by, *tie_breakers)]
+    return [*order_by, *tie_breakers]
+
+
+def newest_first(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], tie_breakers: Sequence[str] | None = None
+) -> list[Column]:
+    """:func:`decided_by` as sort order."""
+    return [F.col(c).desc() for c in decided_by(df, keys, order_by, tie_breakers)]
 
 
 def latest_per_key(

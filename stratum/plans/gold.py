@@ -9,7 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratum.operators import Summary, summarize
 from stratum.sinks import publish_table, read_current, tables
-from stratum.sinks.files import spread
 from stratum.streaming import start_batches
 from stratum.streaming.queries import AVAILABLE_NOW
 
@@ -18,7 +17,7 @@ def publish_gold(
     detail: DataFrame, table: str, summary: Summary, partition_by: Sequence[str] = (), path: str | None = None
 ) -> None:
     """Summarize the whole of ``detail`` and publish it as ``table``."""
-    publish_table(summarize(detail, summary), table, partition_by, path, place=spread)
+    publish_table(summarize(detail, summary), table, partition_by, path)
 
 
 def refresh_gold(
@@ -43,8 +42,10 @@ def refresh_gold(
         touched = batch.select(summary.dims[dim].alias(dim))
         refresh_partitions(batch.sparkSession, read_current(batch.sparkSession, silver), table, summary, dim, touched)
 
-    listed = spark.readStream.schema(spark.read.parquet(changes).schema).parquet(changes)
-    return start_batches(listed, refresh, checkpoint, trigger)
+    # Files of the tracked column alone: the others are NULL, and there may be no files yet.
+    schema = read_current(spark, silver).schema
+    spark.createDataFrame([], schema).write.mode("append").parquet(changes)
+    return start_batches(spark.readStream.schema(schema).parquet(changes), refresh, checkpoint, trigger)
 
 
 def refresh_partitions(

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratum.operators import decode_value, enrich_lineage
 from stratum.operators.lineage import FILE_SYSTEM, MESSAGE_SYSTEM
-from stratum.sources import load_schema, stream_files, stream_messages, track_schema
+from stratum.sources import load_schema, rescued_fields, stream_files, stream_messages, track_schema
 from stratum.streaming import append_stream, wait_all
 from stratum.streaming.queries import AVAILABLE_NOW
 
@@ -26,6 +26,18 @@ def _required(spec: Spec, *names: str) -> Any:
     return value
 
 
+# The keys of a dataset spec.
+_BOTH_KEYS = {"name", "type", "bronze_path", "silver_path", "gold_path", "schema", "format", "partition_cols", "table_format", "batch", "streaming"}
+_FILE_KEYS = _BOTH_KEYS | {"landing_path", "options", "rescue", "autoloader"}
+_MESSAGE_KEYS = _BOTH_KEYS | {"kafka", "checkpointLocation", "keep_source_columns"}
+
+
+def _known(spec: Spec, keys: set[str]) -> None:
+    unknown = sorted(spec.keys() - keys)
+    if unknown:
+        raise ValueError(f"dataset {spec.get('name')!r} has unknown keys: {', '.join(unknown)}")
+
+
 def _declared(spark: SparkSession, spec: Spec):
     return load_schema(spark, spec["schema"]) if spec.get("schema") else None
 
@@ -35,21 +47,27 @@ def ingest_files(spark: SparkSession, spec: Spec) -> StreamingQuery:
 
     Spec: ``landing_path``, ``bronze_path``, ``autoloader.schemaLocation``, ``autoloader.checkpointLocation``; optional
     ``format`` (json), ``schema`` (declared columns), ``partition_cols``, ``batch.trigger``, ``options`` for the
-    reader, ``rescue`` for undeclared JSON fields, ``table_format`` (parquet).
+    reader, ``rescue``, ``table_format`` (parquet).
+
+    JSON fields that the schema does not name are kept in ``_rescued`` unless ``rescue`` is false, and the next start
+    takes them up as columns. Rows from before keep theirs in ``_rescued``.
     """
-    landing = _required(spec, "landing_path")
-    fmt = spec.get("format", "json")
+    _known(spec, _FILE_KEYS)
+    landing, bronze = _required(spec, "landing_path"), _required(spec, "bronze_path")
+    fmt, stored = spec.get("format", "json"), spec.get("table_format", "parquet")
     location = _required(spec, "autoloader", "schemaLocation")
     options = spec.get("options")
-    schema = track_schema(spark, landing, location, fmt, _declared(spark, spec), options)
-    rows = stream_files(spark, landing, schema, fmt, options, bool(spec.get("rescue", False)))
+    rescue = bool(spec.get("rescue", fmt == "json"))
+    found = rescued_fields(spark, bronze, stored) if rescue else ()
+    schema = track_schema(spark, landing, location, fmt, _declared(spark, spec), options, found)
+    rows = stream_files(spark, landing, schema, fmt, options, rescue)
     return append_stream(
         enrich_lineage(rows, FILE_SYSTEM),
-        _required(spec, "bronze_path"),
+        bronze,
         _required(spec, "autoloader", "checkpointLocation"),
         spec.get("batch", {}).get("trigger", AVAILABLE_NOW),
         spec.get("partition_cols", ()),
-        spec.get("table_format", "parquet"),
+        stored,
     )
 
 
@@ -60,6 +78,7 @@ def ingest_messages(spark: SparkSession, spec: Spec, messages: DataFrame | None
     ``schema``, ``keep_source_columns``, ``partition_cols``, ``streaming.trigger``, ``table_format``. ``messages`` takes
     the place of the topic: any stream with a ``value`` column.
     """
+    _known(spec, _MESSAGE_KEYS)
     bronze, checkpoint = _required(spec, "bronze_path"), _required(spec, "checkpointLocation")
     if messages is None:
         messages = stream_messages(spark, _required(spec, "kafka"))
@@ -85,20 +104,26 @@ def ingest_all(
     File datasets are those with ``batch.enabled``, message datasets those of type ``kafka`` with
     ``streaming.enabled``. ``messages`` replaces topics by dataset name. Should a dataset fail to start, the ones
     already running are stopped. One that fails later raises its error after the others have ended, or at once when
-    some of them never do.
+    some of them never do. After ``timeout`` seconds a TimeoutError names the datasets that still run; they are left
+    running.
     """
     started: list[StreamingQuery] = []
+    names: list[Any] = []
     endless = False
     try:
         for spec in specs:
             if spec.get("batch", {}).get("enabled", False):
                 started.append(ingest_files(spark, spec))
+                names.append(spec.get("name"))
             if spec.get("streaming", {}).get("enabled", False) and spec.get("type") == MESSAGE_SYSTEM:
                 started.append(ingest_messages(spark, spec, (messages or {}).get(spec.get("name"))))
+                names.append(spec.get("name"))
                 endless |= spec["streaming"].get("trigger") != AVAILABLE_NOW
     except Exception:
         for query in started:
             query.stop()
         raise
-    wait_all(started, timeout, fail_fast=endless)
+    if not wait_all(started, timeout, fail_fast=endless):
+        running = [str(name) for name, query in zip(names, started) if query.isActive]
+        raise TimeoutError(f"still running after {timeout} s: {', '.join(running)}")
     return started

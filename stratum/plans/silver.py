@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +12,7 @@ from stratum.operators import apply_types, split_null_keys, stamp_date
 from stratum.operators.lineage import INGEST_TIMESTAMP
 from stratum.sinks import upsert_table
 from stratum.sources import read_layer
+from stratum.sources.files import ANY_AGE
 from stratum.streaming import start_batches
 from stratum.streaming.queries import AVAILABLE_NOW
 
@@ -33,39 +33,41 @@ def refine_to_silver(
     options: Mapping[str, str] | None = None,
     fmt: str = "parquet",
     schema: StructType | None = None,
+    add_columns: bool = True,
     **layout,
 ) -> StreamingQuery:
     """Merge what is new in the raw layer into ``table``; start the query and return it.
 
     Each micro-batch is typed, rows without a key go to ``rejects``, the rest is merged so that the newest row of each
     key wins. The cost follows the new rows and the buckets they fall in, the result equals a full recompute, and a
-    batch that is repeated after a crash changes nothing.
+    batch that is repeated after a crash changes nothing. ``rejects`` has a folder for every run and batch.
+
+    The raw layer is read with ``schema``, or with all columns that any of its files has when the query starts. Columns
+    that the table lacks are added to it, unless ``add_columns`` is false.
 
     With ``changes`` and ``track`` the values of the tracked column that a batch adds *or takes away* are appended at
     ``changes``, for :func:`stratum.plans.gold.refresh_gold`. ``layout`` goes to
     :func:`stratum.sinks.keyed.upsert_table` (``path``, ``buckets``, ``pieces``, ``sort_by``).
     """
-    raw = spark.readStream.schema(read_layer(spark, bronze, fmt).schema).options(**(options or {})).format(fmt)
+    columns = schema or read_layer(spark, bronze, fmt).schema
+    raw = spark.readStream.schema(columns).options(**ANY_AGE | dict(options or {})).format(fmt)
+
+    def list_changes(values: DataFrame) -> None:
+        # Appended, never replaced: when a batch is repeated after a crash, the first attempt may have switched buckets
+        # whose previous values only it could list. A value listed too often only costs time.
+        values.write.mode("append").parquet(changes)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         keyed, without_key = split_null_keys(stamp_date(apply_types(batch, types)), keys)
-        without_key.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-        note = partial(_note_changes, keys, track, changes) if changes and track else None
-        upsert_table(keyed, table, keys, order_by, tie_breakers, before=note, **layout)
+        # The query's id belongs to its checkpoint: another checkpoint never replaces what this one set aside.
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        without_key.write.mode("overwrite").parquet(f"{rejects}/run={run}/batch={batch_id}")
+        noting = {"track": track, "note": list_changes} if changes and track else {}
+        upsert_table(keyed, table, keys, order_by, tie_breakers, add_columns=add_columns, **noting, **layout)
 
     return start_batches(raw.load(bronze), merge, checkpoint, trigger)
 
 
-def _note_changes(keys: Sequence[str], track: str, changes: str, target: DataFrame, keyed: DataFrame) -> None:
-    """List the tracked values that the new rows bring and those that the rows they replace have now.
-
-    This comes before the merge, which overwrites the previous values, and appends: when a batch is repeated after a
-    crash the first attempt may have overwritten them already. A value listed too often only costs time.
-    """
-    replaced = target.join(keyed.select(*keys).distinct(), list(keys), "left_semi")
-    keyed.select(track).unionByName(replaced.select(track)).distinct().write.mode("append").parquet(changes)
-
-
 def refresh_silver(
     spark: SparkSession,
     bronze: str,
@@ -76,10 +78,16 @@ def refresh_silver(
     order_by: Sequence[str] = (INGEST_TIMESTAMP,),
     tie_breakers: Sequence[str] | None = None,
     fmt: str = "parquet",
+    schema: StructType | None = None,
+    add_columns: bool = True,
     **layout,
 ) -> None:
-    """The same merge from the whole raw layer at once: every row it holds is written and stamped anew."""
-    typed = stamp_date(apply_types(read_layer(spark, bronze, fmt), types))
+    """The same merge from the whole raw layer at once: every row it holds is written and stamped anew.
+
+    Its rejects are all rows without a key, under a run of their own that each full refresh replaces: count either
+    ``run='full'`` or the other runs.
+    """
+    typed = stamp_date(apply_types(read_layer(spark, bronze, fmt, schema), types))
     keyed, without_key = split_null_keys(typed, keys)
-    without_key.write.mode("overwrite").parquet(rejects)
-    upsert_table(keyed, table, keys, order_by, tie_breakers, source_wins_ties=True, **layout)
+    without_key.write.mode("overwrite").parquet(f"{rejects}/run=full/batch=0")
+    upsert_table(keyed, table, keys, order_by, tie_breakers, add_columns=add_columns, source_wins_ties=True, **layout)

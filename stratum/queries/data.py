@@ -103,6 +103,15 @@ def order_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All orders a year late, then the even ones on their own, older day; some rows of the second have no key."""
+    orders = order_sales(spark, sf_dir)
+    number = F.substring("order_id", 5, 20).cast("long")
+    first = orders.withColumn("order_date", iso_text(F.add_months(F.to_date("order_date"), 12).cast("timestamp")))
+    second = orders.where(number % 2 == 0).withColumn("order_id", F.when(number % 10 != 0, F.col("order_id")))
+    return first, second
+
+
 def unique_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (order, line number)."""
     lines = table(spark, sf_dir, "lineitem").select(*LINE_ORDER, "l_orderkey", "l_quantity", "l_returnflag")
@@ -134,6 +143,27 @@ def revised_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def later_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A revision of as many orders under keys that begin later: the last ones exist, the others are new."""
+    return table(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") + 10_000).alias("o_orderkey"),
+        F.lit("LATER").alias("o_orderpriority"),
+        F.col("o_totalprice"),
+    )
+
+
+def regional_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return orders.join(regions(spark, sf_dir), "o_orderkey")
+
+
+def daily_orders() -> Summary:
+    return Summary(
+        dims={"order_day": F.col("o_orderdate").cast("date"), "region": F.col("region")},
+        sums={"total_revenue": F.col("o_totalprice"), "total_units": F.lit(1)},
+    )
+
+
 def daily_lines(by_month: bool = False) -> Summary:
     day = F.col("l_shipdate").cast("date")
     month = {"order_month": F.trunc(day, "MM")} if by_month else {}

@@ -86,9 +86,10 @@ def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         F.when(priority == "1-URGENT", "n/a").otherwise(data.iso_text(F.col("o_orderdate"))).alias("order_date"),
         F.when(priority == "2-HIGH", "12,5").otherwise(F.col("o_totalprice").cast("string")).alias("price"),
-        F.when(priority == "3-MEDIUM", "").otherwise(F.concat(F.col("o_custkey").cast("string"), F.lit(".7"))).alias(
-            "quantity"
-        ),
+        F.when(priority == "3-MEDIUM", "")
+        .when(priority == "4-NOT SPECIFIED", ".5")
+        .otherwise(F.concat(F.col("o_custkey").cast("string"), F.lit(".7")))
+        .alias("quantity"),
     )
     return apply_types(raw, SALES_TYPES)
 

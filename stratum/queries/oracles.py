@@ -64,7 +64,7 @@ ORACLES = {
     "typed_projection": """select o_orderkey,
        case when o_orderpriority <> '1-URGENT' then cast(o_orderdate as date) end as order_date,
        case when o_orderpriority <> '2-HIGH' then o_totalprice end as price,
-       case when o_orderpriority <> '3-MEDIUM' then cast(o_custkey as int) end as quantity
+       case o_orderpriority when '3-MEDIUM' then null when '4-NOT SPECIFIED' then 0 else cast(o_custkey as int) end as quantity
 from orders""",
     "split_rejects": """select case when o_orderpriority <> '1-URGENT' then o_orderkey end as order_id, o_totalprice,
        o_orderpriority = '1-URGENT' as rejected from orders""",
@@ -81,6 +81,26 @@ from orders""",
        cast(sum(cast(user_id as int)) as bigint) as total_units from events group by 1, 2""",
     "gold_table_monthly": _DAILY,
     "ingest_files": "select event_id, user_id, event_type, value, props, 'file' as source_system from events",
+    "ingest_evolving": """select event_id, event_type, case when event_id % 3 <> 0 then value end as value
+       from events""",
+    "stream_continuous": "select event_id, user_id, event_type, value, 'kafka' as source_system from events",
+    "overwrite_plain": "select o_orderkey, o_totalprice, o_orderstatus from orders",
+    "upsert_recent": """select o_orderkey, o_orderpriority, o_totalprice from orders t
+where not exists (select 1 from orders s where s.o_orderkey + 10000 = t.o_orderkey)
+union all
+select o_orderkey + 10000, 'LATER', o_totalprice from orders""",
+    "gold_table_by_region": f"""select cast(o_orderdate as date) as order_day, r_name as region,
+       round(sum(o_totalprice), 2) as total_revenue, count(*) as total_units
+from orders {_REGION} group by 1, 2""",
+    "silver_by_arrival": f"""
+with o as (
+  select o_orderkey, printf('ORD-%08d', o_orderkey) as order_id, cast(o_orderdate as date) as order_date, 1 as quantity,
+         o_totalprice as price, r_name as region from orders {_REGION})
+select order_id, case when o_orderkey % 2 = 0 and o_orderkey % 10 <> 0 then order_date
+         else cast(order_date + interval 12 month as date) end as order_date,
+       quantity, price, region, true as stamped, false as rejected from o
+union all
+select cast(null as varchar), order_date, quantity, price, region, true, true from o where o_orderkey % 10 = 0""",
     "ingest_restart": "select event_id, event_type, value from events",
     "ingest_partitioned": "select event_id, value, true as same_day from events",
     "ingest_messages_json": """select event_id, user_id, event_type, value, 'kafka' as source_system,

@@ -6,12 +6,14 @@ result, so nothing is kept in memory or passed through the driver.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from stratum.operators import encode_value
+from stratum.operators.lineage import INGEST_TIMESTAMP
 from stratum.plans import (
     SALES_KEYS,
     SALES_TYPES,
@@ -76,8 +78,11 @@ def _event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _declare(spark: SparkSession, sf_dir: str, path: str) -> None:
-    schema = data.event_payload(table(spark, sf_dir, "events")).schema
-    spark.createDataFrame([(schema.json(),)], "value string").write.text(path)
+    _write_schema(spark, data.event_payload(table(spark, sf_dir, "events")).schema, path)
+
+
+def _write_schema(spark: SparkSession, schema: StructType, path: str) -> None:
+    spark.createDataFrame([(schema.json(),)], "value string").write.mode("overwrite").text(path)
 
 
 def ingest_files_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +111,32 @@ def ingest_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in three arrivals, of which the last two have a field that the first has not: kept aside once, then taken up."""
+    home, _ = _names(spark, "evolving")
+    spec = {**_event_spec(home, sf_dir), "format": "json", "landing_path": f"{home}/landing"}
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    for part, columns in enumerate((["event_id", "event_type"], events.columns, events.columns)):
+        export_json(events.where(F.col("event_id") % 3 == part).select(*columns), f"{home}/landing")
+        wait_all([ingest_files(spark, spec)])
+    layer = read_layer(spark, f"{home}/bronze")
+    value = F.coalesce("value", F.get_json_object("_rescued", "$.value"))
+    return layer.select(F.col("event_id").cast("long").alias("event_id"), "event_type", value.cast("double").alias("value"))
+
+
+def stream_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A message dataset without a trigger: micro-batches follow one another until the query is stopped."""
+    home, _ = _names(spark, "continuous")
+    _declare(spark, sf_dir, f"{home}/declared")
+    spec = {**_message_spec(home), "streaming": {"enabled": True}}
+    query = ingest_messages(spark, spec, _event_messages(spark, sf_dir))
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return read_layer(spark, f"{home}/bronze").select(*_EVENT_COLUMNS, "source_system")
+
+
 def ingest_messages_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     home, _ = _names(spark, "messages")
     _declare(spark, sf_dir, f"{home}/declared")
@@ -146,6 +177,14 @@ def overwrite_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, home)
 
 
+def overwrite_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    home, _ = _names(spark, "layer")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    for _ in range(2):
+        write_layer(orders, home)
+    return read_layer(spark, home)
+
+
 def upsert_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     home, name = _names(spark, "create")
     upsert_table(data.order_prices(spark, sf_dir), name, ["o_orderkey"], buckets=8, path=home)
@@ -163,7 +202,15 @@ def upsert_stored_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     home, name = _names(spark, "two")
     keys = ["l_orderkey", "l_linenumber"]
     upsert_table(data.unique_lines(spark, sf_dir), name, keys, buckets=8, pieces=2, path=home)
-    upsert_table(data.shifted_lines(spark, sf_dir), name, keys, pieces=2)
+    upsert_table(data.shifted_lines(spark, sf_dir), name, keys)
+    return read_current(spark, name)
+
+
+def upsert_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that grow, in buckets of neighbouring keys: a merge of the newest leaves the older buckets alone."""
+    home, name = _names(spark, "recent")
+    upsert_table(data.order_prices(spark, sf_dir), name, ["o_orderkey"], bucket_by="o_orderkey div 2000", path=home)
+    upsert_table(data.later_orders(spark, sf_dir), name, ["o_orderkey"])
     return read_current(spark, name)
 
 
@@ -175,6 +222,14 @@ def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_cents(spark.table(f"{name}.daily"), ("event_day", "event_type", "total_revenue", "total_units"))
 
 
+def gold_table_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sums with a partition per region, published twice: the second time partition by partition."""
+    home, name = _names(spark, "gold")
+    for _ in range(2):
+        publish_gold(data.regional_orders(spark, sf_dir), name, data.daily_orders(), ["region"], home)
+    return in_cents(spark.table(name), SALES_COLUMNS)
+
+
 def gold_table_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sums over years, where a partition per day would be thousands of tiny files: one per month instead."""
     home, name = _names(spark, "gold")
@@ -186,6 +241,7 @@ def _sales_spec(home: str) -> dict[str, Any]:
     return {
         "name": "sales",
         "type": "file",
+        "schema": f"{home}/declared",
         "landing_path": f"{home}/landing",
         "bronze_path": f"{home}/bronze",
         "autoloader": {"schemaLocation": f"{home}/schema", "checkpointLocation": f"{home}/checkpoints/bronze"},
@@ -194,11 +250,18 @@ def _sales_spec(home: str) -> dict[str, Any]:
 
 
 def _land(spark: SparkSession, sales: DataFrame, home: str) -> None:
+    _write_schema(spark, sales.schema, f"{home}/declared")
     export_json(sales, f"{home}/landing")
     ingest_all(spark, [_sales_spec(home)])
 
 
-def _refine(spark: SparkSession, home: str, silver: str, options: Mapping[str, str] | None = None) -> None:
+def _refine(
+    spark: SparkSession,
+    home: str,
+    silver: str,
+    options: Mapping[str, str] | None = None,
+    order_by: Sequence[str] = _NEWEST,
+) -> None:
     query = refine_to_silver(
         spark,
         f"{home}/bronze",
@@ -207,7 +270,7 @@ def _refine(spark: SparkSession, home: str, silver: str, options: Mapping[str, s
         _TYPES,
         checkpoint=f"{home}/checkpoints/silver",
         rejects=f"{home}/rejects",
-        order_by=_NEWEST,
+        order_by=order_by,
         changes=f"{home}/changes",
         track="order_date",
         options=options,
@@ -236,6 +299,21 @@ def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(spark, name).select(*_SILVER_COLUMNS)
 
 
+def silver_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the default order the later arrival wins, though its order dates are older; rows without a key are set aside."""
+    home, name = _names(spark, "arrival")
+    first, second = data.arrivals(spark, sf_dir)
+    for sales in (first, second):
+        _land(spark, sales, home)
+        _refine(spark, home, name, order_by=(INGEST_TIMESTAMP,))
+    current, rejects = read_current(spark, name), spark.read.parquet(f"{home}/rejects")
+    stamped = F.datediff(F.current_date(), "ingest_date").between(0, 1).alias("stamped")
+    columns = (*_SILVER_COLUMNS, stamped)
+    return current.select(*columns, F.lit(False).alias("rejected")).unionByName(
+        rejects.select(*columns, F.lit(True).alias("rejected"))
+    )
+
+
 def silver_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same two arrivals, refined from the whole raw layer both times."""
     home, name = _names(spark, "full")
@@ -275,19 +353,25 @@ STORED_QUERIES = {
     **{
         f.__name__: f
         for f in (
+            ingest_evolving,
             ingest_restart,
+            stream_continuous,
             ingest_partitioned,
             ingest_messages_json,
             ingest_messages_raw,
             ingest_all_specs,
             export_landing,
             overwrite_partitioned,
+            overwrite_plain,
             upsert_create,
+            upsert_recent,
             upsert_stored_one_key,
             upsert_stored_two_keys,
             gold_table,
+            gold_table_by_region,
             gold_table_monthly,
             medallion_files,
+            silver_by_arrival,
             silver_incremental,
             silver_full,
             gold_refresh,

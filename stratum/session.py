@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -11,15 +12,37 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder shared by all executors that the cluster names; a local one only when Spark itself runs locally."""
-    named = spark.conf.get(CHECKPOINT_DIR, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    return tempfile.gettempdir()
+    """The folder that the cluster names in ``spark.checkpoint.dir``, which all executors share.
+
+    Where the setting is missing, as in a test, it is a folder of this process's own: that only serves a driver and
+    executors on one machine.
+    """
+    return (spark.conf.get(CHECKPOINT_DIR, None) or _own_dir()).rstrip("/")
+
+
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="stratum-shared-")
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nobody else uses."""
     return f"{shared_dir(spark)}/stratum-{label}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession, label: str) -> int:
+    """Remove the folders that :func:`scratch_dir` has given out for ``label``, and the tables that lie in them.
+
+    Frames read from them are gone with them. Returns how many folders there were.
+    """
+    for found in spark.catalog.listTables():
+        if found.tableType == "MANAGED" or found.isTemporary or not found.name.startswith("stratum_"):
+            continue
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {found.name}").where("col_name = 'Location'").first()
+        if described and f"/stratum-{label}-" in described.data_type:
+            spark.sql(f"DROP TABLE {found.name}")
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/stratum-{label}-*")
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = [status.getPath() for status in files.globStatus(pattern) or []]
+    return sum(files.delete(folder, True) for folder in folders)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from stratum.operators.latest import newest_first
+from stratum.operators.latest import decided_by, newest_first
 from stratum.operators.rejects import has_null_key, split_null_keys
 from stratum.sinks import tables
 from stratum.sources.tables import table_exists
@@ -14,13 +15,20 @@ from stratum.sources.tables import table_exists
 BUCKET = "key_bucket"
 KEYLESS = -1
 UNPLACED = -2
+# Buckets below zero for keys that ``bucket_by`` has no number for.
+UNPLACED_BUCKETS = 64
 _FROM_SOURCE = "_from_source"
 _PIECE = "_piece"
+_TASK = "_task"
 _RANK = "_rank"
+_WAS, _HAD, _NEW = "_was", "_had", "_new"
 _KEYS_PROPERTY = "stratum.keys"
 _BUCKET_PROPERTY = "stratum.bucket"
-# Providers without row-level operations in Spark itself.
-_FILE_PROVIDERS = ("parquet", "orc", "json", "csv")
+_PIECES_PROPERTY = "stratum.pieces"
+_SORT_PROPERTY = "stratum.sort"
+# The one format that the keyed layout is written in; others must have row-level operations.
+_FILES = "parquet"
+_REPEATED = "several source rows have one key"
 
 
 class DuplicateSourceKeys(ValueError):
@@ -33,9 +41,12 @@ def hash_bucket(keys: Sequence[str], buckets: int) -> str:
 
 
 def key_bucket(keys: Sequence[str], expression: str) -> Column:
-    """Bucket of a row. Rows without a full key have one that is only ever appended to."""
-    bucket = F.coalesce(F.expr(expression).cast("int"), F.lit(UNPLACED))
-    return F.when(has_null_key(keys), KEYLESS).otherwise(bucket)
+    """Bucket of a row. Rows without a full key have one that is only ever appended to.
+
+    Keys that the expression gives NULL for are hashed to buckets of their own.
+    """
+    unplaced = UNPLACED - F.expr(hash_bucket(keys, UNPLACED_BUCKETS))
+    return F.when(has_null_key(keys), KEYLESS).otherwise(F.coalesce(F.expr(expression).cast("int"), unplaced))
 
 
 def read_current(spark: SparkSession, table: str) -> DataFrame:
@@ -53,69 +64,92 @@ def upsert_table(
     tie_breakers: Sequence[str] | None = None,
     buckets: int = 64,
     bucket_by: str | None = None,
-    pieces: int = 1,
-    sort_by: Sequence[str] = (),
+    pieces: int | None = None,
+    sort_by: Sequence[str] | None = None,
     path: str | None = None,
+    fmt: str = _FILES,
     add_columns: bool = False,
     source_wins_ties: bool = False,
-    before: Callable[[DataFrame, DataFrame], None] | None = None,
+    track: str | None = None,
+    note: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Merge ``source`` into ``table`` on equal keys; the table is created when missing.
 
     Without ``order_by`` the source wins: matched rows are replaced, others inserted, and a source that repeats a key
-    raises :class:`DuplicateSourceKeys` before anything is written. With ``order_by`` the newest row of each key wins,
+    raises :class:`DuplicateSourceKeys` before anything is changed. With ``order_by`` the newest row of each key wins,
     whichever side it is on, and repeated source keys are settled the same way. Of equal rows the stored one stays, so
     that the same merge again changes nothing, or with ``source_wins_ties`` the new one. Rows with a NULL key match
     nothing and are inserted every time.
 
-    Formats with row-level operations get a real merge. File formats do not have one: the table is partitioned by a
-    bucket of the key, only the buckets that the source touches are rewritten (next to the old files, see
-    :func:`stratum.sinks.tables.point_partitions`) and the rest is not read at all. By default a key is hashed to one of
-    ``buckets``. Where new rows come with new keys, ``bucket_by``, a SQL expression over the keys that gives a whole
-    number from 0 (say ``order_id div 10000000``), keeps the rewriting to the recent buckets. The choice is fixed when
-    the table is created; aim at about a gigabyte per bucket and piece, where ``pieces`` splits each bucket over that
-    many tasks and files. ``sort_by`` orders rows inside the files, so that filters on those columns skip row groups. Give the
-    table a ``path`` on shared storage unless the warehouse is there.
+    Formats with row-level operations, named by ``fmt`` when the table is created, get a real merge. Parquet does not
+    have one: the table is partitioned by a bucket of the key, only the buckets that the source touches are rewritten
+    (next to the old files, see :func:`stratum.sinks.tables.point_partitions`) and the rest is not read at all. By
+    default a key is hashed to one of ``buckets``. Where new rows come with new keys, ``bucket_by``, a SQL expression
+    over the keys that gives a whole number from 0 (say ``order_id div 10000000``), keeps the rewriting to the recent
+    buckets. Aim at about a gigabyte per bucket and piece, where ``pieces`` splits each bucket over that many tasks and
+    files. ``sort_by`` orders rows inside the files, so that filters on those columns skip row groups. All of these are
+    fixed when the table is created and remembered with it. Give the table a ``path`` on shared storage unless the
+    warehouse is there.
 
     Source columns that the table lacks are ignored, or added to it with ``add_columns``; columns that the source lacks
-    raise. ``before`` is called ahead of the rewrite with the stored rows of the touched buckets and the source rows.
+    raise. With ``track`` and ``note``, ``note`` is given a frame of the values of the tracked column that the merge adds
+    or takes away, after the new files are written and before they are read by anyone.
     """
     keys = list(keys)
     spark = source.sparkSession
     if table_exists(spark, table):
         # Which slots are free is read off the catalog: never from what this session remembers of it.
         spark.catalog.refreshTable(table)
-        if tables.table_provider(spark, table) not in _FILE_PROVIDERS:
-            merge_rows(source, table, keys, order_by, tie_breakers)
+        if tables.table_provider(spark, table) != _FILES:
+            merge_rows(source, table, keys, order_by, tie_breakers, add_columns, source_wins_ties, track, note)
             return
+    elif fmt != _FILES:
+        tables.create_table(source.limit(0), table, (), path, fmt)
+        merge_rows(source, table, keys, order_by, tie_breakers, add_columns, source_wins_ties, track, note)
+        return
     else:
-        _create(source, table, keys, bucket_by or hash_bucket(keys, buckets), path)
-    expression = _layout(spark, table, keys)
+        _create(source, table, keys, bucket_by or hash_bucket(keys, buckets), pieces or 1, sort_by or (), path)
+    expression, pieces, sort_by = _layout(spark, table, keys, pieces, sort_by)
     source = _conformed(source, table, add_columns).withColumn(BUCKET, key_bucket(keys, expression))
-    touched = _touched_buckets(source, keys, unique=order_by is None)
+    touched = [r[0] for r in source.select(BUCKET).distinct().collect()]  # a small row per bucket
     keyed, without_key = split_null_keys(source, keys)
     with_key = [b for b in touched if b != KEYLESS]
     if with_key:
         # The literal list prunes partitions: the other buckets are not even listed.
         target = spark.table(table).where(tables.listed(F.col(BUCKET), with_key))
-        if before is not None:
-            before(target, keyed)
         occupied = tables.occupied_slots(spark, table, BUCKET, with_key)
         newest = newest_first(keyed.drop(BUCKET), keys, order_by, tie_breakers) if order_by else []
         stored_first = bool(newest) and not source_wins_ties
-        merged = _merged(target, keyed, keys, newest, stored_first, occupied, pieces, sort_by)
+        noted = track if note else None
+        merged = _merged(target, keyed, keys, newest, stored_first, occupied, len(with_key), pieces, sort_by, noted)
         root = tables.table_location(spark, table)
-        tables.write_slots(merged, root, BUCKET)
+        try:
+            tables.write_slots(merged, root, BUCKET)
+        except PySparkException as e:
+            if _REPEATED in str(e):
+                raise DuplicateSourceKeys(f"source rows are not unique on {keys}") from e
+            raise
+        if noted:
+            note(_changed_values(spark, table, root, occupied, with_key, track))
         tables.point_partitions(spark, table, root, BUCKET, occupied, with_key)
     if KEYLESS in touched:
         # A plain append, not shuffled: however many rows lack a key, they stay spread over the tasks that read them.
         without_key.select(*spark.table(table).columns).write.insertInto(table)
+        if track and note:
+            note(without_key.select(track).distinct())
 
 
-def _create(source: DataFrame, table: str, keys: Sequence[str], expression: str, path: str | None) -> None:
+def _create(
+    source: DataFrame, table: str, keys: Sequence[str], expression: str, pieces: int, sort_by: Sequence[str], path: str | None
+) -> None:
     empty = source.withColumn(BUCKET, F.lit(KEYLESS)).limit(0)
     tables.create_table(empty, table, [BUCKET], path)
-    properties = {_KEYS_PROPERTY: ",".join(keys), _BUCKET_PROPERTY: expression}
+    properties = {
+        _KEYS_PROPERTY: ",".join(keys),
+        _BUCKET_PROPERTY: expression,
+        _PIECES_PROPERTY: str(pieces),
+        _SORT_PROPERTY: ",".join(sort_by),
+    }
     listed = ", ".join(f"'{k}'='{_quoted(v)}'" for k, v in properties.items())
     source.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
 
@@ -124,12 +158,18 @@ def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def _layout(spark: SparkSession, table: str, keys: Sequence[str]) -> str:
-    """The bucket expression that the table was created with."""
+def _layout(
+    spark: SparkSession, table: str, keys: Sequence[str], pieces: int | None, sort_by: Sequence[str] | None
+) -> tuple[str, int, list[str]]:
+    """Bucket expression, pieces and sort order that the table was created with."""
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     if properties.get(_KEYS_PROPERTY) != ",".join(keys):
         raise ValueError(f"{table} is not laid out by the keys {list(keys)}")
-    return properties[_BUCKET_PROPERTY]
+    stored_pieces = int(properties.get(_PIECES_PROPERTY, 1))
+    stored_sort = [c for c in properties.get(_SORT_PROPERTY, "").split(",") if c]
+    if pieces not in (None, stored_pieces) or (sort_by is not None and list(sort_by) != stored_sort):
+        raise ValueError(f"{table} was created with pieces={stored_pieces} and sort_by={stored_sort}")
+    return properties[_BUCKET_PROPERTY], stored_pieces, stored_sort
 
 
 def _conformed(source: DataFrame, table: str, add_columns: bool) -> DataFrame:
@@ -153,17 +193,6 @@ def _conformed(source: DataFrame, table: str, add_columns: bool) -> DataFrame:
     )
 
 
-def _touched_buckets(source: DataFrame, keys: Sequence[str], unique: bool) -> list[int]:
-    """Buckets that rows of the source belong to: one small row per bucket comes to the driver."""
-    if not unique:
-        return [r[0] for r in source.select(BUCKET).distinct().collect()]
-    per_key = source.groupBy(BUCKET, *keys).agg(F.count("*").alias("n"))
-    rows = per_key.groupBy(BUCKET).agg(F.max("n").alias("n")).collect()
-    if any(r.n > 1 for r in rows if r[BUCKET] != KEYLESS):
-        raise DuplicateSourceKeys(f"source rows are not unique on {list(keys)}")
-    return [r[0] for r in rows]
-
-
 def _merged(
     target: DataFrame,
     keyed: DataFrame,
@@ -171,28 +200,55 @@ def _merged(
     newest: Sequence[Column],
     stored_first: bool,
     occupied: dict[int, int | None],
+    buckets: int,
     pieces: int,
     sort_by: Sequence[str],
+    track: str | None = None,
 ) -> DataFrame:
-    """Touched buckets after the merge, each row with the slot its bucket goes to."""
+    """Touched buckets after the merge, each row with the slot its bucket goes to.
+
+    Without an order, a second source row of a key raises while the rows are ranked. With ``track`` a new row also says
+    whether it replaces a stored one and which tracked value that had.
+    """
     if newest:
         # Repeated keys leave before the rows meet the target: at most one row per key and map task is shuffled.
         keyed = _first(keyed, [BUCKET, *keys], newest)
     both = target.withColumn(_FROM_SOURCE, F.lit(0)).unionByName(keyed.withColumn(_FROM_SOURCE, F.lit(1)))
     side = F.col(_FROM_SOURCE).asc() if stored_first else F.col(_FROM_SOURCE).desc()
     layout = [tables.SLOT, BUCKET, _PIECE]
-    placed = both.withColumns(
-        {
-            tables.SLOT: tables.free_slot(BUCKET, occupied),
-            _PIECE: F.pmod(F.hash(*keys), F.lit(pieces)),
-        }
+    tasks = max(1, buckets * pieces)
+    piece = F.pmod(F.hash(*keys), F.lit(pieces))
+    placed = both.withColumns({tables.SLOT: tables.free_slot(BUCKET, occupied), _PIECE: piece}).withColumn(
+        _TASK, F.pmod(F.col(BUCKET).cast("long") * pieces + F.col(_PIECE), F.lit(tasks)).cast("int")
     )
-    # Keys are unique on either side by now, so buckets are even. This one exchange serves the ranking and the layout
-    # of the files: the window's sort order starts with the directories being written.
-    merged = _first(placed.repartition(BUCKET, _PIECE), [*layout, *keys], [*newest, side])
+    # Keys are unique on either side by now, so buckets are even, and each piece of a bucket is a task. This one
+    # exchange serves the ranking and the layout of the files: the window's order starts with the folders written.
+    key = Window.partitionBy(_TASK, *layout, *keys)
+    ranked = placed.repartitionById(tasks, F.col(_TASK)).withColumn(_RANK, F.row_number().over(key.orderBy(*newest, side)))
+    if track:
+        stored = F.col(_FROM_SOURCE) == 0
+        ranked = ranked.withColumns(
+            {_HAD: F.max(stored).over(key), _WAS: F.max(F.when(stored, F.col(track))).over(key), _NEW: ~stored}
+        )
+    first = F.col(_RANK) == 1
+    if not newest:
+        again = (F.col(_RANK) > 1) & (F.col(_FROM_SOURCE) == 1)
+        first = F.when(again, F.raise_error(F.lit(_REPEATED)).cast("boolean")).otherwise(first)
+    merged = ranked.where(first)
     if sort_by:
         merged = merged.sortWithinPartitions(*layout, *sort_by)
-    return merged.drop(_FROM_SOURCE, _PIECE)
+    return merged.drop(_FROM_SOURCE, _PIECE, _TASK, _RANK)
+
+
+def _changed_values(
+    spark: SparkSession, table: str, root: str, occupied: dict[int, int | None], buckets: Sequence[int], track: str
+) -> DataFrame:
+    """Tracked values that the files just written add or take away, read off those files: three of their columns."""
+    kind = spark.table(table).schema[track].dataType.simpleString()
+    paths = [f"{root}/{tables.SLOT}={1 if occupied.get(b) == 0 else 0}/{BUCKET}={b}" for b in buckets]
+    fields = f"`{track}` {kind}, {_HAD} boolean, {_WAS} {kind}, {_NEW} boolean"
+    rows = spark.read.schema(fields).parquet(*paths).where(_NEW)
+    return rows.select(track).unionByName(rows.where(_HAD).select(F.col(_WAS).alias(track))).distinct()
 
 
 def _first(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -206,17 +262,25 @@ def merge_rows(
     keys: Sequence[str],
     order_by: Sequence[str] | None = None,
     tie_breakers: Sequence[str] | None = None,
+    add_columns: bool = False,
+    source_wins_ties: bool = False,
+    track: str | None = None,
+    note: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """The same merge for table formats that have row-level operations."""
+    spark = source.sparkSession
+    source = _conformed(source, table, add_columns)
     matched = None
     if order_by:
         newest = newest_first(source, keys, order_by, tie_breakers)
         keyed, without_key = split_null_keys(source, keys)
         source = _first(keyed, keys, newest).unionByName(without_key)
-        # Only a row at least as new as the stored one replaces it; NULL is the oldest.
-        matched = F.struct(*(F.col(f"source.{c}") for c in order_by)) >= F.struct(
-            *(F.col(f"{table}.{c}") for c in order_by)
-        )
+        deciding = decided_by(source, keys, order_by, tie_breakers)
+        matched = newer("source", table, deciding, source_wins_ties)
+    if track and note:
+        # Ahead of the merge, which overwrites the previous values; a value listed too often only costs time.
+        replaced = spark.table(table).join(source.select(*keys).distinct(), list(keys), "left_semi")
+        note(source.select(track).unionByName(replaced.select(track)).distinct())
     on = None
     for k in keys:
         equal = F.col(f"source.{k}") == F.col(f"{table}.{k}")
@@ -224,3 +288,10 @@ def merge_rows(
     merge = source.alias("source").mergeInto(table, on)
     when = merge.whenMatched() if matched is None else merge.whenMatched(matched)
     when.updateAll().whenNotMatched().insertAll().merge()
+
+
+def newer(source: str, table: str, columns: Sequence[str], or_equal: bool) -> Column:
+    """The row of ``source`` comes before that of ``table`` by the columns in turn, descending; NULL is the oldest."""
+    new = F.struct(*(F.col(f"{source}.{c}") for c in columns))
+    old = F.struct(*(F.col(f"{table}.{c}") for c in columns))
+    return new >= old if or_equal else new > old

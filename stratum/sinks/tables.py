@@ -5,17 +5,30 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from stratum.sinks.files import gather, spread
+from stratum.sinks.files import gather
 from stratum.sources.tables import table_exists
 
 SLOT = "slot"
 _NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
 _SPECS_PER_STATEMENT = 200
+_STATEMENTS_AT_A_TIME = 8
 
-Value = int | str | dt.date | None
+Value = bool | int | str | dt.date | None
+# Types of partition columns that can be switched one by one, and how their values are read from a folder's name.
+_VALUE_OF: dict[str, Callable[[str], Value]] = {
+    "string": str,
+    "date": dt.date.fromisoformat,
+    "boolean": lambda text: text == "true",
+    **dict.fromkeys(("tinyint", "smallint", "int", "bigint"), int),
+}
+# The characters that Spark escapes in the folder of a partition value.
+_ESCAPED = {chr(i) for i in range(1, 32)} | set("\"#%'*/:=?\\{[]^\x7f")
 
 
 def ensure_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -33,18 +46,66 @@ def publish_table(
 ) -> None:
     """Make a whole frame the content of a catalog table; table and namespace are created when missing.
 
-    A table that already is partitioned in the same way, by one column, stays readable throughout: its partitions are
-    written anew and switched one by one. Any other is dropped and created again, which is how Spark overwrites tables.
-    ``place`` distributes the rows over tasks by their partition: :func:`~stratum.sinks.files.gather` or
-    :func:`~stratum.sinks.files.spread`.
+    Rows are always written aside first, so a publication that fails leaves the table as it was. A table that already is
+    partitioned in the same way, by one column, then has its partitions switched one by one; one without partitions and
+    with the same columns is pointed to the new files in one step; any other is dropped and declared anew over them.
+    ``place`` distributes the rows over tasks by their partition.
     """
     spark = df.sparkSession
-    if len(partition_by) == 1 and fmt == "parquet" and table_exists(spark, table):
-        stored = {c.name: c.isPartition for c in spark.catalog.listColumns(table)}
-        if stored == {c: c in partition_by for c in df.columns} and set(df.dtypes) == set(spark.table(table).dtypes):
-            replace_partitions(df, table, partition_by[0], place=place)
-            return
-    create_table(df, table, partition_by, path, fmt, "overwrite", place)
+    if not table_exists(spark, table):
+        if path and not partition_by:
+            _declare(_written(df, (), f"{path}/{SLOT}=0", fmt, place), table, (), f"{path}/{SLOT}=0", fmt)
+        else:
+            create_table(df, table, partition_by, path, fmt, "errorifexists", place)
+        return
+    stored = {c.name: c.isPartition for c in spark.catalog.listColumns(table)}
+    alike = (
+        stored == {c: c in partition_by for c in df.columns}
+        and set(df.dtypes) == set(spark.table(table).dtypes)
+        and table_provider(spark, table) == fmt
+    )
+    if alike and fmt == "parquet" and len(partition_by) == 1 and _switchable(df, partition_by[0]):
+        replace_partitions(df, table, partition_by[0], place=place)
+        return
+    aside = _free_location(table_location(spark, table))
+    _written(df, partition_by, aside, fmt, place)
+    if alike and not partition_by and spark.table(table).columns == df.columns:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{aside}'")
+    else:
+        spark.sql(f"DROP TABLE {table}")
+        _declare(df, table, partition_by, aside, fmt)
+    spark.catalog.refreshTable(table)
+
+
+def _written(
+    df: DataFrame, partition_by: Sequence[str], location: str, fmt: str, place: Callable[[DataFrame, Sequence[str]], DataFrame]
+) -> DataFrame:
+    place(df, partition_by).write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(location)
+    return df
+
+
+def _declare(df: DataFrame, table: str, partition_by: Sequence[str], location: str, fmt: str) -> None:
+    """A table over files that are there."""
+    spark = df.sparkSession
+    namespace, _, _ = table.rpartition(".")
+    if namespace:
+        ensure_namespace(spark, namespace)
+    columns = df.select(*(c for c in df.columns if c not in partition_by), *partition_by).schema.toDDL()
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}{parts} LOCATION '{location}'")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+
+def _free_location(location: str) -> str:
+    """Where a table that lies at ``location`` may be written to: the other of its two slots."""
+    slot = re.search(rf"^(.*)/{SLOT}=([01])$", location)
+    return f"{slot[1]}/{SLOT}={1 - int(slot[2])}" if slot else f"{location}__slots/{SLOT}=0"
+
+
+def _switchable(df: DataFrame, part: str) -> bool:
+    """Whether partition values of this type can be told to the catalog one by one."""
+    return dict(df.dtypes)[part] in _VALUE_OF
 
 
 def create_table(
@@ -85,13 +146,29 @@ def listed(column: Column, values: Iterable[Value]) -> Column:
 def occupied_slots(spark: SparkSession, table: str, part: str, values: Sequence[Value]) -> dict[Value, int | None]:
     """Slot that each of the named partitions lies in; None for a partition still at its first place.
 
-    Read off the paths of their files, which the driver lists for any scan: no rows are read.
+    Asked of the catalog, a statement for each partition: no files are listed.
     """
-    found = {}
-    for file in spark.table(table).where(listed(F.col(part), values)).inputFiles():
-        slot = re.search(rf"/{SLOT}=([01])/", file)
-        found[file.split("/")[-2]] = int(slot.group(1)) if slot else None
-    return {v: found[_directory(part, v)] for v in values if _directory(part, v) in found}
+    existing = _existing(spark, table)
+    there = [v for v in values if _directory(part, v) in existing]
+    locations = _each(lambda v: _partition_location(spark, table, part, v), there)
+    slots = (re.search(rf"/{SLOT}=([01])/[^/]*$", location) for location in locations)
+    return {v: int(slot[1]) if slot else None for v, slot in zip(there, slots)}
+
+
+def _existing(spark: SparkSession, table: str) -> set[str]:
+    return {r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()}
+
+
+def _partition_location(spark: SparkSession, table: str, part: str, value: Value) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({part}={_literal(value)})").collect()
+    start = next(i for i, r in enumerate(rows) if r.col_name == "# Detailed Partition Information")
+    return next(r.data_type for r in rows[start:] if r.col_name == "Location").rstrip("/")
+
+
+def _each(task: Callable[[Any], Any], items: Sequence[Any]) -> list[Any]:
+    """Small catalog statements side by side; the first error is raised after all have ended."""
+    with ThreadPoolExecutor(_STATEMENTS_AT_A_TIME) as pool:
+        return list(pool.map(task, items))
 
 
 def free_slot(part: str, occupied: dict[Value, int | None]) -> Column:
@@ -114,13 +191,14 @@ def replace_partitions(
     table: str,
     part: str,
     values: Sequence[Value] | None = None,
-    place: Callable[[DataFrame, Sequence[str]], DataFrame] = spread,
+    place: Callable[[DataFrame, Sequence[str]], DataFrame] = gather,
 ) -> None:
     """Make ``rows`` the content of the named partitions (default all); those that get no rows are dropped."""
     spark = rows.sparkSession
     spark.catalog.refreshTable(table)
     if values is None:
-        values = [r[0] for r in spark.table(table).select(part).distinct().collect()]
+        read = _VALUE_OF[dict(spark.table(table).dtypes)[part]]
+        values = [_named(directory, read) for directory in _existing(spark, table)]
     occupied = occupied_slots(spark, table, part, values)
     # Which partitions were written is noted while they are: one value per partition.
     seen = Observation()
@@ -130,7 +208,7 @@ def replace_partitions(
     root = table_location(spark, table)
     write_slots(place(noted.withColumn(SLOT, free_slot(part, occupied)), [SLOT, part]), root, part)
     found = seen.get
-    written = {*found["values"], *([None] if found["missing"] else [])}
+    written = {v for v in found["values"] if v != ""} | ({None} if found["missing"] or "" in found["values"] else set())
     emptied = {*values} - written
     point_partitions(spark, table, root, part, occupied, written, emptied)
 
@@ -150,17 +228,18 @@ def point_partitions(
     their old or new state; running it again completes it. The slot left behind is overwritten by the next write to
     the same partition, so at most two copies of a partition exist and running readers keep theirs until then.
     """
-    existing = {r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    added = []
+    existing = _existing(spark, table)
+    switched, added = [], []
     for value in written:
         directory = _directory(part, value)
         slot = 1 if occupied.get(value) == 0 else 0
-        location = f"LOCATION '{root}/{SLOT}={slot}/{directory}'"
+        location = f"LOCATION '{_quoted(f'{root}/{SLOT}={slot}/{directory}')}'"
         spec = f"PARTITION ({part}={_literal(value)})"
         if directory in existing:
-            spark.sql(f"ALTER TABLE {table} {spec} SET {location}")
+            switched.append(f"ALTER TABLE {table} {spec} SET {location}")
         else:
             added.append(f"{spec} {location}")
+    _each(spark.sql, switched)
     for chunk in _chunks(added):
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(chunk)}")
     for chunk in _chunks([f"PARTITION ({part}={_literal(v)})" for v in emptied]):
@@ -169,19 +248,32 @@ def point_partitions(
 
 
 def _directory(part: str, value: Value) -> str:
-    return f"{part}={_NULL_DIR if value is None else value}"
+    """The folder that Spark writes a partition value to."""
+    if value is None or value == "":
+        return f"{part}={_NULL_DIR}"
+    text = str(value).lower() if isinstance(value, bool) else str(value)
+    return f"{part}=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in text)
+
+
+def _named(directory: str, read: Callable[[str], Value]) -> Value:
+    """The value that a folder of :func:`_directory` stands for."""
+    text = directory.split("=", 1)[1]
+    return None if text == _NULL_DIR else read(unquote(text))
 
 
 def _chunks(items: list[str]) -> Iterable[Sequence[str]]:
     return (items[i : i + _SPECS_PER_STATEMENT] for i in range(0, len(items), _SPECS_PER_STATEMENT))
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _literal(value: Value) -> str:
-    if value is None:
+    if value is None or value == "":
         return "NULL"
-    if isinstance(value, int):
-        return str(value)
-    text = value.isoformat() if isinstance(value, dt.date) else value
-    if not re.fullmatch(r"[\w.-]+", text):
-        raise ValueError(f"not usable as a partition directory: {text!r}")
-    return f"'{text}'"
+    if isinstance(value, (bool, int)):
+        return str(value).lower()
+    if isinstance(value, (dt.date, str)) and not isinstance(value, dt.datetime):
+        return f"'{_quoted(str(value))}'"
+    raise ValueError(f"not usable as a partition value: {value!r}")

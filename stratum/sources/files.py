@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from stratum.operators.payload import CORRUPT
+from stratum.sources.schemas import RESCUED
 
-RESCUED = "_rescued"
 _LINE = "value"
+# The file source forgets files older than this, counted back from the newest, and never reads them.
+ANY_AGE = {"maxFileAge": "36500d"}
 
 
 def stream_files(
@@ -23,11 +25,13 @@ def stream_files(
 ) -> DataFrame:
     """Stream of the files under ``path`` not seen before (the query's checkpoint keeps the list).
 
-    JSON keeps malformed lines in ``_corrupt_record``. With ``rescue`` it also keeps fields that the schema does not
-    name, as a JSON object in ``_rescued`` (NULL when there are none). ``options`` go to the reader:
-    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a micro-batch, ``pathGlobFilter`` selects files.
+    Age does not decide: a file that arrives with an old modification time is read like any other. The price is that
+    the checkpoint remembers every file ever read; name ``maxFileAge`` in the options to bound that memory. JSON keeps
+    malformed lines in ``_corrupt_record``. With ``rescue`` it also keeps fields that the schema does not name, as a
+    JSON object in ``_rescued`` (NULL when there are none). ``options`` go to the reader: ``maxFilesPerTrigger`` or
+    ``maxBytesPerTrigger`` bound a micro-batch, ``pathGlobFilter`` selects files.
     """
-    reader = spark.readStream.options(**(options or {}))
+    reader = spark.readStream.options(**ANY_AGE | dict(options or {}))
     if fmt != "json":
         if rescue:
             raise ValueError("rescue applies to JSON files")

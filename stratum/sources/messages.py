@@ -8,27 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 MESSAGE_FORMAT = "kafka"
 _EARLIEST = "earliest"
+# Keys of the section that are no reader options: one has a name of its own there, one is a credential.
+_NOT_OPTIONS = ("bootstrapServers", "api_key")
 
 
 def message_options(kafka: Mapping[str, str]) -> dict[str, str]:
     """Reader options from the ``kafka`` part of a dataset spec.
 
-    ``bootstrapServers`` and ``subscribePattern`` are required; every key with the prefix ``kafka.`` goes to the client
-    as it is. Reading starts at the earliest offset unless the spec says otherwise; a checkpoint wins over both.
+    ``bootstrapServers`` and ``subscribePattern`` are required; every other key goes to the reader as it is: connection
+    options with the prefix ``kafka.``, and those of the connector such as ``failOnDataLoss``, ``minPartitions`` or
+    ``includeHeaders``. Reading starts at the earliest offset unless the spec says otherwise; a checkpoint wins over
+    both.
     """
     missing = [k for k in ("bootstrapServers", "subscribePattern") if not kafka.get(k)]
     if missing:
         raise ValueError(f"message source lacks {', '.join(missing)}")
-    options = {
-        "kafka.bootstrap.servers": kafka["bootstrapServers"],
-        "subscribePattern": kafka["subscribePattern"],
-        "startingOffsets": kafka.get("startingOffsets", _EARLIEST),
-    }
-    limit = kafka.get("maxOffsetsPerTrigger")
-    if limit is not None:
-        options["maxOffsetsPerTrigger"] = str(limit)
-    options.update(client_options(kafka))
-    return options
+    options = {"startingOffsets": _EARLIEST}
+    options |= {k: _option(v) for k, v in kafka.items() if k not in _NOT_OPTIONS and v is not None}
+    return options | client_options(kafka)
+
+
+def _option(value: object) -> str:
+    return str(value).lower() if isinstance(value, bool) else str(value)
 
 
 def client_options(kafka: Mapping[str, str]) -> dict[str, str]:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession, functions as F
@@ -12,6 +12,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 _TRACKED = StructType([StructField("version", IntegerType()), StructField("schema", StringType())])
 
 _TEXT_FORMATS = ("json", "csv")
+RESCUED = "_rescued"
 
 
 def load_schema(spark: SparkSession, path: str) -> StructType:
@@ -37,6 +38,21 @@ def _tracked(spark: SparkSession, location: str) -> tuple[int, StructType] | Non
     return None if newest is None else (newest.version, StructType.fromJson(json.loads(newest.schema)))
 
 
+def rescued_fields(spark: SparkSession, bronze: str, fmt: str = "parquet") -> set[str]:
+    """Names of the fields that a raw layer has kept aside because its schema does not name them.
+
+    Reads one column, and of it only row groups that have any value; a row per name comes to the driver.
+    """
+    try:
+        layer = spark.read.schema(f"{RESCUED} string").format(fmt).load(bronze)
+        names = layer.filter(F.col(RESCUED).isNotNull()).select(F.explode(F.json_object_keys(RESCUED)).alias("name"))
+        return {r.name for r in names.distinct().collect()}
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return set()
+        raise
+
+
 def track_schema(
     spark: SparkSession,
     landing: str,
@@ -44,18 +60,21 @@ def track_schema(
     fmt: str = "json",
     declared: StructType | None = None,
     options: Mapping[str, str] | None = None,
+    found: Sequence[str] = (),
 ) -> StructType:
     """The schema recorded at ``location``, recorded there on first use.
 
     First use takes ``declared``, or infers the columns from the files present; for text formats all of them as text.
-    Later uses never look at the files again; columns newly declared are appended and recorded as the next version.
+    Later uses never look at the files again; columns newly declared, and the text columns that ``found`` names, are
+    appended and recorded as the next version.
     """
     if declared is not None and fmt in _TEXT_FORMATS:
         declared = text_first(declared)
     known = _tracked(spark, location)
     if known is not None:
         version, schema = known
-        added = [f for f in (declared or StructType()).fields if f.name not in schema.fieldNames()]
+        wanted = [*(declared or StructType()).fields, *(StructField(name, StringType()) for name in sorted(found))]
+        added = list({f.name: f for f in reversed(wanted) if f.name not in schema.fieldNames()}.values())[::-1]
         if not added:
             return schema
         version, schema = version + 1, StructType([*schema.fields, *added])
@@ -69,6 +88,8 @@ def track_schema(
 
 def _infer(spark: SparkSession, landing: str, fmt: str, options: Mapping[str, str]) -> StructType:
     reader = spark.read.options(**options).format(fmt)
+    if fmt in ("parquet", "orc"):
+        reader = reader.option("mergeSchema", True)
     if fmt == "json":
         reader = reader.option("primitivesAsString", True)
     schema = reader.load(landing).schema

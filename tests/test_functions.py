@@ -42,11 +42,12 @@ def test_day_of_dates_and_timestamps(spark):
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_ints(spark, ansi):
-    values = ["3", "3.7", " 4 ", "-2.9", "+5", "3. ", "abc", "", "99999999999", "1e3", ".5", None]
+    values = ["3", "3.7", " 4 ", "-2.9", "+5", "3. ", "abc", "", "99999999999", "1e3", "..", "+", ".5x", None]
+    values += [".5", "-.5", " .5 ", ".", "-.", "-0.9"]
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        assert _one(spark, values, to_int(F.col("v"))) == [3, 3, 4, -2, 5, 3] + [None] * 6
+        assert _one(spark, values, to_int(F.col("v"))) == [3, 3, 4, -2, 5, 3] + [None] * 8 + [0] * 6
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
 

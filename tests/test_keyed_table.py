@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratum.sinks import keyed as keyed_sink, read_current, tables, upsert_table
-from stratum.sinks.keyed import BUCKET, KEYLESS, DuplicateSourceKeys, merge_rows
+from stratum.sinks.keyed import BUCKET, KEYLESS, DuplicateSourceKeys, merge_rows, newer
 from stratum.sources import table_exists
 
 COLUMNS = "id string, v int, day date"
@@ -107,15 +107,17 @@ def test_keys_are_fixed_by_the_table(spark, name, tmp_path):
 def test_buckets_of_the_callers_choice(spark, name, tmp_path):
     """Keys that grow with time: a batch of recent ones leaves the older buckets alone."""
     by = "try_cast(substring(id, instr(id, '-') + 1) as int) div 10"
-    rows = [(f"o-{i}", 0, D1) for i in range(35)] + [("odd", 0, D1)]
+    rows = [(f"o-{i}", 0, D1) for i in range(35)] + [(f"odd{i}", 0, D1) for i in range(200)]
     upsert_table(_frame(spark, rows), name, ["id"], bucket_by=by, path=str(tmp_path / "t"))
     before = _location_of(spark, name)
-    assert set(before) == {0, 1, 2, 3, keyed_sink.UNPLACED}
+    unplaced = {b for b in before if b <= keyed_sink.UNPLACED}
+    assert set(before) - unplaced == {0, 1, 2, 3}
+    assert len(unplaced) > 20  # keys without a number are spread, not piled up
     upsert_table(_frame(spark, [("o-34", 1, D1), ("o-41", 1, D1)]), name, ["id"])
     after = _location_of(spark, name)
     assert {b for b in before if before[b] != after[b]} == {3} and set(after) == {*before, 4}
     values = {r[0]: r[1] for r in _rows(spark, name)}
-    assert len(values) == 37 and values["o-34"] == 1 and values["odd"] == 0
+    assert len(values) == 236 and values["o-34"] == 1 and values["odd7"] == 0
 
 
 def test_columns_follow_the_table(spark, name, tmp_path):
@@ -131,13 +133,18 @@ def test_columns_follow_the_table(spark, name, tmp_path):
 
 def test_pieces_split_a_bucket_over_files(spark, name, tmp_path):
     rows = _frame(spark, [(f"k{i}", 0, D1) for i in range(200)])
-    spark.conf.set("spark.sql.adaptive.enabled", "false")  # tasks this small would be merged
-    try:
-        upsert_table(rows, name, ["id"], buckets=1, pieces=4, sort_by=["day"], path=str(tmp_path / "t"))
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert spark.table(name).count() == 200
-    assert len(spark.table(name).inputFiles()) > 1
+    upsert_table(rows, name, ["id"], buckets=1, pieces=4, sort_by=["v"], path=str(tmp_path / "t"))
+    for v in (1, 2):
+        # Both choices are the table's: a merge that does not name them keeps them.
+        upsert_table(_frame(spark, [(f"k{i}", v * i, D1) for i in range(200)]), name, ["id"])
+        spark.catalog.refreshTable(name)
+        files = spark.table(name).select("v", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("n"))
+        by_file = {}
+        for r in files.orderBy("n").collect():
+            by_file.setdefault(r.f, []).append(r.v)
+        assert len(by_file) == 4 and all(v == sorted(v) for v in by_file.values())
+    with pytest.raises(ValueError, match="pieces=4"):
+        upsert_table(rows, name, ["id"], pieces=2)
 
 
 def test_random_merges_against_a_dict(spark, name, tmp_path):
@@ -181,9 +188,12 @@ def test_merge_takes_one_exchange_besides_the_source_limit(spark, name, tmp_path
     source = _frame(spark, [("k0", 1, D1)]).withColumn(BUCKET, keyed_sink.key_bucket(["id"], keyed_sink.hash_bucket(["id"], 4)))
     target = spark.table(name).where(F.col(BUCKET).isin(1, 2))
     newest = [F.col("day").desc()]
-    text = plan(keyed_sink._merged(target, source, ["id"], newest, True, {1: 0, 2: 0}, 1, ()))
+    text = plan(keyed_sink._merged(target, source, ["id"], newest, True, {1: 0, 2: 0}, 2, 3, (), "day"))
     assert text.count("Exchange") == 2
+    assert "REPARTITION_BY_NUM" in text.upper() or ", 6)" in text
     assert "PartitionFilters: [key_bucket" in text and "SortMergeJoin" not in text
+    # Without an order the source meets the target in the only exchange there is: uniqueness costs none of its own.
+    assert plan(keyed_sink._merged(target, source, ["id"], [], False, {1: 0, 2: 0}, 2, 3, ())).count("Exchange") == 1
 
 
 def test_merge_statement_is_refused_by_file_tables(spark, name, tmp_path):
@@ -194,7 +204,47 @@ def test_merge_statement_is_refused_by_file_tables(spark, name, tmp_path):
             merge_rows(_frame(spark, [("a", 2, D1)]), name, ["id"], order)
 
 
-def test_partition_values_must_be_plain():
-    with pytest.raises(ValueError, match="partition directory"):
-        tables._literal("a/b")
+def test_partition_values():
+    with pytest.raises(ValueError, match="partition value"):
+        tables._literal(1.5)
     assert tables._literal(None) == "NULL" and tables._literal(3) == "3" and tables._literal(D1) == "'2024-01-01'"
+    assert tables._literal("it's") == "'it\\'s'" and tables._literal(True) == "true"
+
+
+def test_the_source_is_shuffled_once(spark, name, tmp_path):
+    """A merge without an order takes one exchange for the rows, and a repeated key still changes nothing."""
+    upsert_table(_frame(spark, [(f"k{i}", 0, D1) for i in range(50)]), name, ["id"], buckets=4, path=str(tmp_path / "t"))
+    repeated = _frame(spark, [(f"k{i}", 1, D1) for i in range(50)] + [("k3", 2, D1)])
+    with pytest.raises(DuplicateSourceKeys):
+        upsert_table(repeated, name, ["id"])
+    assert {r[1] for r in _rows(spark, name)} == {0}
+
+
+def test_noted_values_are_those_that_change(spark, name, tmp_path):
+    noted = []
+    note = lambda frame: noted.append(sorted((r[0] for r in frame.collect()), key=str))
+    merge = lambda rows: upsert_table(
+        _frame(spark, rows), name, ["id"], order_by=["v"], buckets=2, path=str(tmp_path / "t"), track="day", note=note
+    )
+    merge([("a", 1, D1), ("b", 1, D1), ("c", 1, None)])
+    merge([("a", 2, D2), ("b", 0, D2)])
+    merge([("c", 5, D2)])
+    merge([("c", 5, D2)])
+    merge([(None, 1, D1)])
+    assert noted == [[D1, None], [D1, D2], [D2, None], [], [D1]]
+
+
+def test_order_of_the_row_level_merge(spark):
+    """The condition that decides whether a new row replaces the stored one, with ties and NULLs."""
+    rows = [(2, "a", 1, "a"), (1, "a", 1, "a"), (1, "b", 1, "a"), (1, "a", 2, "z"), (None, "z", 1, "a"), (1, "a", None, "z")]
+    pairs = spark.createDataFrame(rows, "n1 int, t1 string, n2 int, t2 string")
+    sides = pairs.selectExpr("struct(n1 as n, t1 as t) as source", "struct(n2 as n, t2 as t) as target")
+    got = lambda equal: [r[0] for r in sides.select(newer("source", "target", ["n", "t"], equal)).collect()]
+    assert got(False) == [True, False, True, False, False, True]
+    assert got(True) == [True, True, True, False, False, True]
+
+
+def test_row_level_formats_are_created_as_such(spark, name):
+    with pytest.raises(Exception, match="no_such_format"):
+        upsert_table(_frame(spark, [("a", 1, D1)]), name, ["id"], fmt="no_such_format")
+    assert not table_exists(spark, name)

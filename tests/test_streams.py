@@ -1,4 +1,6 @@
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from stratum.session import scratch_dir, shared_dir
 from stratum.sources import (
     load_schema,
     message_options,
+    read_layer,
     sasl_plain_options,
     stream_files,
     stream_messages,
@@ -91,6 +94,56 @@ def test_malformed_json_without_rescue(spark, tmp_path):
     assert rows["a"].quantity == "1" and rows[None]._corrupt_record == "broken"
 
 
+def test_files_of_any_age_are_read(spark, tmp_path):
+    """A file that keeps the time it was made at, as a restored one does, is as new as any other."""
+    spec = _spec(tmp_path)
+    _land(tmp_path, "a.json", {"order_id": "a"})
+    assert _ingest(spark, spec).count() == 1
+    _land(tmp_path, "b.json", {"order_id": "b"})
+    _land(tmp_path, "late.json", {"order_id": "late"})
+    month_ago = time.time() - 30 * 86_400
+    os.utime(tmp_path / "landing" / "late.json", (month_ago, month_ago))
+    assert sorted(r.order_id for r in _ingest(spark, spec).collect()) == ["a", "b", "late"]
+
+
+def test_fields_that_appear_later_are_kept_and_taken_up(spark, tmp_path):
+    spec = _spec(tmp_path)
+    _land(tmp_path, "1.json", {"order_id": "a"})
+    _ingest(spark, spec)
+    _land(tmp_path, "2.json", {"order_id": "b", "colour": "red", "Size": 2})
+    rows = {r.order_id: r.asDict() for r in _ingest(spark, spec).collect()}
+    assert json.loads(rows["b"]["_rescued"]) == {"colour": "red", "Size": "2"}
+    _land(tmp_path, "3.json", {"order_id": "c", "colour": "blue"})
+    _ingest(spark, spec)
+    rows = {r.order_id: r for r in read_layer(spark, spec["bronze_path"]).collect()}
+    assert rows["c"].colour == "blue" and rows["c"]._rescued is None and rows["a"].colour is None
+    assert json.loads(rows["b"]._rescued)["colour"] == "red"
+
+
+def test_a_grown_layer_is_read_with_all_columns(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    for i in range(6):
+        spark.range(1).selectExpr("id", f"id as c{i}").coalesce(1).write.mode("append").parquet(path)
+        assert {*read_layer(spark, path).columns} == {"id", *(f"c{j}" for j in range(i + 1))}
+    assert read_layer(spark, path, schema=StructType.fromDDL("c3 long")).columns == ["c3"]
+    landed = track_schema(spark, path, str(tmp_path / "tracked"), "parquet")
+    assert set(landed.fieldNames()) == {"id", *(f"c{j}" for j in range(6))}
+
+
+def test_unknown_spec_keys_raise(spark, tmp_path):
+    with pytest.raises(ValueError, match="unknown keys: rescu"):
+        ingest_files(spark, _spec(tmp_path, rescu=True))
+
+
+def test_a_timeout_is_heard(spark, tmp_path):
+    _land(tmp_path, "1.json", {"order_id": "a"})
+    spec = _spec(tmp_path, batch={"enabled": True, "trigger": "1 second"})
+    with pytest.raises(TimeoutError, match=str(spec["name"])):
+        ingest_all(spark, [spec], timeout=3)
+    for query in spark.streams.active:
+        query.stop()
+
+
 def test_csv_files(spark, tmp_path):
     _land(tmp_path, "1.csv", "order_id,quantity", "a,1", "b,x")
     spec = _spec(tmp_path, format="csv", options={"header": "true"})
@@ -215,6 +268,9 @@ def test_message_options():
     }
     assert message_options({**kafka, "startingOffsets": "latest"})["startingOffsets"] == "latest"
     assert message_options({**kafka, "maxOffsetsPerTrigger": 9})["maxOffsetsPerTrigger"] == "9"
+    more = message_options({**kafka, "failOnDataLoss": False, "minPartitions": 4, "includeHeaders": "true"})
+    assert (more["failOnDataLoss"], more["minPartitions"], more["includeHeaders"]) == ("false", "4", "true")
+    assert "api_key" not in more
     assert client_options(kafka) == {"kafka.bootstrap.servers": "h:1", "kafka.security.protocol": "SASL_SSL"}
     with pytest.raises(ValueError, match="subscribePattern"):
         message_options({"bootstrapServers": "h:1"})
@@ -291,7 +347,7 @@ def test_working_folders_are_where_the_session_says(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
 
-def test_local_fallback_only_for_local_sessions():
+def test_the_setting_decides_and_not_the_master():
     class Conf(dict):
         def get(self, k, default=None):
             return dict.get(self, k, default)
@@ -299,9 +355,8 @@ def test_local_fallback_only_for_local_sessions():
     class Session:
         conf = Conf({"spark.master": "local[2]"})
 
-    assert shared_dir(Session())
+    own = shared_dir(Session())
     Session.conf = Conf({"spark.master": "yarn"})
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(Session())
+    assert shared_dir(Session()) == own
     Session.conf = Conf({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///jobs/"})
     assert shared_dir(Session()) == "hdfs:///jobs"
