@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratum.plans import ingest_all, ingest_files, ingest_messages
-from stratum.session import scratch_dir, shared_dir
+from stratum.session import remove_scratch, scratch_dir, shared_dir
 from stratum.sources import (
     load_schema,
     message_options,
@@ -347,6 +347,19 @@ def test_working_folders_are_where_the_session_says(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
 
+def test_scratch_is_removed(spark):
+    path, kept = scratch_dir(spark, "gone"), scratch_dir(spark, "kept")
+    for folder in (path, kept):
+        spark.range(3).write.parquet(f"{folder}/files")
+    spark.range(3).write.option("path", f"{path}/table").saveAsTable("stratum_gone")
+    assert remove_scratch(spark, "gone") == 1
+    assert not spark.catalog.tableExists("stratum_gone")
+    assert spark.read.parquet(f"{kept}/files").count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{path}/files")
+    assert remove_scratch(spark, "gone") == 0
+
+
 def test_the_setting_decides_and_not_the_master():
     class Conf(dict):
         def get(self, k, default=None):

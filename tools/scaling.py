@@ -66,8 +66,7 @@ def session(home: str) -> SparkSession:
 def copies_of(spark: SparkSession, lines: DataFrame, copies: int) -> DataFrame:
     """The lines ``copies`` times over, each copy with orders of its own."""
     width = lines.agg(F.max("l_orderkey")).first()[0] + 1
-    times = spark.range(copies).withColumnRenamed("id", "copy")
-    many = lines.join(F.broadcast(times))
+    many = lines.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     return many.withColumn("l_orderkey", F.col("l_orderkey") + F.col("copy") * width).drop("copy")
 
 
@@ -136,6 +135,13 @@ def measure(spark: SparkSession, sf_dir: str, home: str, copies: int) -> None:
     for label, batch in (("merge into all buckets", everywhere), ("merge into one bucket", one_order)):
         batch = batch.withColumn("l_shipdate", F.add_months("l_shipdate", 120))
         timed(spark, f"{label} x{copies}", batch.count(), lambda b=batch: upsert_table(b, table, KEYS, **order))
+    # The same number of lines under the newest orders, where buckets hold neighbouring orders: old buckets stay.
+    width = lines.agg(F.max("l_orderkey")).first()[0] + 1
+    by_number, newest = f"numbered_{copies}", lines.withColumn("l_orderkey", F.col("l_orderkey") + (copies - 1) * width)
+    buckets = {"bucket_by": f"l_orderkey div {width // 4 + 1}", "path": f"{home}/{by_number}"}
+    upsert_table(stored, by_number, KEYS, **buckets, **order)
+    newest = newest.withColumn("l_shipdate", F.add_months("l_shipdate", 120))
+    timed(spark, f"merge into newest buckets x{copies}", newest.count(), lambda: upsert_table(newest, by_number, KEYS, **order))
     n = read_current(spark, table).count()
     sums, gold = daily_lines(), f"gold_{copies}"
     detail, month = read_current(spark, table), "order_month"
