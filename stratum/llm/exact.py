@@ -158,12 +158,17 @@ def take_snapshot(rows: DataFrame) -> Snapshot:
 
 
 def screen(groups: DataFrame, snapshot: Snapshot) -> DataFrame:
-    """`groups` (digest, best, n) with `maybe`: false if the snapshot certainly has no such digest."""
-    incoming = groups.withColumn("shard", snapshot.shard("digest"))
-    columns = ["digest", "best", "n"]
+    """`groups` (digest, best, n), a stored frame, with `maybe`: false if the snapshot certainly has no such digest.
+
+    Where the batch is the larger one, the digests of a shard are tested in several parts by copies of its filter.
+    """
+    splits = max(1, math.ceil(groups.count() / (snapshot.shards * SHARD_DIGESTS)))
+    part = F.pmod(F.hash("digest"), F.lit(splits))
+    incoming = groups.withColumns({"shard": snapshot.shard("digest"), "part": part})
+    filters = snapshot.filters.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
 
     def test(part: pd.DataFrame, made: pd.DataFrame) -> pd.DataFrame:
-        out = part[columns].copy()
+        out = part[["digest"]].copy()
         if len(made) and len(part):
             row = made.iloc[0]
             out["maybe"] = FuseFilter(int(row["seed"]), int(row["segment"]), int(row["starts"]), row["cells"]).maybe(_keys(part["digest"]))
@@ -171,12 +176,11 @@ def screen(groups: DataFrame, snapshot: Snapshot) -> DataFrame:
             out["maybe"] = False
         return out
 
-    digests = incoming.select("shard", "digest", F.lit(0).alias("best"), F.lit(0).alias("n"))
     screened = (
-        digests.groupBy("shard")
-        .cogroup(snapshot.filters.groupBy("shard"))
-        .applyInPandas(test, "digest string, best int, n int, maybe boolean")
-        .select("digest", "maybe")
+        incoming.select("shard", "part", "digest")
+        .groupBy("shard", "part")
+        .cogroup(filters.groupBy("shard", "part"))
+        .applyInPandas(test, "digest string, maybe boolean")
     )
     return groups.join(screened, "digest")
 

@@ -37,7 +37,9 @@ def test_any_split_gives_the_same(spark):
     assert sum(r[3] for r in results[0]) == len(kept)
 
 
-def test_screening_joins_only_positives(spark):
+@pytest.mark.parametrize("shard", [50_000, 300])
+def test_screening_joins_only_positives(spark, monkeypatch, shard):
+    monkeypatch.setattr(exact, "SHARD_DIGESTS", shard)
     rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("digest"), F.col("id").alias("key"))
     snapshot = exact.take_snapshot(rows.filter("doc_id < 2000"))
     screened = exact.screen(exact.group_rows(rows.filter("doc_id >= 1000")), snapshot).collect()
