@@ -98,7 +98,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, spec: Tables = Tables
     Nearest first by cosine in double precision, ties to the smaller vec_id; the candidates are all other ids. Rows
     whose id is null or whose vector is null, zero, or holds null or non-finite components take no part; vectors of
     different lengths are not compared; rows that repeat an id and its vector count once. Other columns are not looked
-    at. A query finds fewer than k only if its probes lead to fewer points.
+    at. A query whose probes lead to fewer than k others is asked of all points, so it gets k answers or all there are.
     """
     given = rows.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks")
@@ -193,10 +193,23 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, spec: Tables = Tables
                 out += [(point, points_of[rows[i]], score[i]) for i in best]
         return pd.DataFrame(out, columns=["asked", "found", "score"])
 
-    found = (
-        index_side.groupBy("part").cogroup(query_side.groupBy("part")).applyInPandas(search, "asked long, found long, score double")
-    )
-    best = found.groupBy("asked", "found").agg(F.max("score").alias("score"))
+    def searched(there: DataFrame, here: DataFrame) -> DataFrame:
+        found = there.groupBy("part").cogroup(here.groupBy("part")).applyInPandas(search, "asked long, found long, score double")
+        return found.groupBy("asked", "found").agg(F.max("score").alias("score"))
+
+    best = stored(searched(index_side, query_side), "ann-found")
+    # Ids that a query has found, its own among them.
+    ids = best.join(points.select(F.col("point").alias("found"), F.size("ids").alias("_ids")), "found").groupBy("asked").agg(F.sum("_ids").alias("_ids"))
+    few = wanted.join(ids, wanted["point"] == ids["asked"], "left").filter(F.coalesce("_ids", F.lit(0)) <= k).select("point", "vector")
+    few = stored(few, "ann-few")
+    if not few.isEmpty():
+        everywhere = points.select(
+            F.pmod(F.xxhash64("point"), F.lit(parts)).cast("int").alias("part"),
+            F.lit(0).alias("table"), F.lit(0).cast("long").alias("bucket"), "point", "vector", F.col("ids")[0].alias("least"),
+        )
+        one = F.array(F.struct(F.lit(0).alias("table"), F.lit(0).cast("long").alias("bucket"))).alias("buckets")
+        again = few.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "point", one, "vector")
+        best = best.join(few.select(F.col("point").alias("asked")), "asked", "left_anti").unionByName(searched(everywhere, again))
     near = best.join(points.select(F.col("point").alias("found"), "ids"), "found")
     by_rank = W.partitionBy("asked").orderBy(F.desc("score"), F.col("ids")[0])
     near = near.withColumn("_nth", F.row_number().over(by_rank)).filter(F.col("_nth") <= k + 1).drop("_nth")

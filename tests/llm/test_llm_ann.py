@@ -72,6 +72,20 @@ def test_perturbations_come_in_order_of_cost():
     assert costs == pytest.approx(sorted(costs))
 
 
+def test_all_candidates_of_a_small_table(spark):
+    """Probes may lead nowhere; a query still gets all there are, and the best of them."""
+    rng = np.random.default_rng(3)
+    for n in (1, 3, 6, 9):
+        rows = [(50 * i, [float(x) for x in rng.standard_normal(32)]) for i in range(n)]
+        frame = spark.createDataFrame(rows, SCHEMA)
+        got = {}
+        for r in ann.nearest(frame, F.col("vec_id") % 50 == 0, spec=ann.Tables(tables=1, probes=1)).collect():
+            got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+        want = plain([(i, list(np.array(v, np.float32))) for i, v in rows], lambda i: True)
+        for q, answers in want.items():
+            assert [i for _, i in sorted(got.get(q, []))] == [i for _, i in answers]
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]), (None, [1.0, 1.0])]
