@@ -199,9 +199,10 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, spec: Tables = Tables
 
     best = stored(searched(index_side, query_side), "ann-found")
     # Ids that a query has found, its own among them.
-    ids = best.join(points.select(F.col("point").alias("found"), F.size("ids").alias("_ids")), "found").groupBy("asked").agg(F.sum("_ids").alias("_ids"))
-    few = wanted.join(ids, wanted["point"] == ids["asked"], "left").filter(F.coalesce("_ids", F.lit(0)) <= k).select("point", "vector")
-    few = stored(few, "ann-few")
+    sizes = points.select(F.col("point").alias("found"), F.size("ids").alias("_ids"))
+    ids = best.join(sizes, "found").groupBy("asked").agg(F.sum("_ids").alias("_ids"))
+    few = wanted.join(ids, wanted["point"] == ids["asked"], "left").filter(F.coalesce("_ids", F.lit(0)) <= k)
+    few = stored(few.select("point", "vector"), "ann-few")
     if not few.isEmpty():
         everywhere = points.select(
             F.pmod(F.xxhash64("point"), F.lit(parts)).cast("int").alias("part"),
@@ -221,7 +222,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, spec: Tables = Tables
         .agg(F.max("score").alias("score"))
     )
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return answers.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = answers.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def op3_nearest_neighbours(spark, sf_dir: str) -> DataFrame:

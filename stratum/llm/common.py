@@ -37,7 +37,8 @@ def chosen_rows(docs: DataFrame, chosen: DataFrame, extra: str | None = None) ->
 
     `extra`: a column of `chosen` to be added to them, under the name `_` and its own.
     """
-    keep = chosen.select(F.col("doc_id").alias("_chosen_id"), F.col("key").alias("_chosen_key"), *([F.col(extra).alias(f"_{extra}")] if extra else []))
+    added = [F.col(extra).alias(f"_{extra}")] if extra else []
+    keep = chosen.select(F.col("doc_id").alias("_chosen_id"), F.col("key").alias("_chosen_key"), *added)
     marked = docs.withColumn("_row_key", text_key())
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_chosen_id")) & (F.col("_row_key") == F.col("_chosen_key"))
     joined = marked.join(keep, same, "inner" if extra else "left_semi")

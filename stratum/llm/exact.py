@@ -147,7 +147,8 @@ def take_snapshot(rows: DataFrame) -> Snapshot:
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
         made = FuseFilter.of(_keys(part["digest"]))
-        return pd.DataFrame([(part["shard"].iloc[0], made.seed, made.segment, made.starts, made.cells)], columns=["shard", "seed", "segment", "starts", "cells"])
+        row = (part["shard"].iloc[0], made.seed, made.segment, made.starts, made.cells)
+        return pd.DataFrame([row], columns=["shard", "seed", "segment", "starts", "cells"])
 
     filters = (
         groups.select("digest", empty.shard("digest").alias("shard"))
@@ -171,7 +172,8 @@ def screen(groups: DataFrame, snapshot: Snapshot) -> DataFrame:
         out = part[["digest"]].copy()
         if len(made) and len(part):
             row = made.iloc[0]
-            out["maybe"] = FuseFilter(int(row["seed"]), int(row["segment"]), int(row["starts"]), row["cells"]).maybe(_keys(part["digest"]))
+            made_filter = FuseFilter(int(row["seed"]), int(row["segment"]), int(row["starts"]), row["cells"])
+            out["maybe"] = made_filter.maybe(_keys(part["digest"]))
         else:
             out["maybe"] = False
         return out
@@ -273,7 +275,10 @@ def _by_text(docs: DataFrame, clash: DataFrame, digest: Callable[[Column], Colum
     """The rows of clashing digests, grouped by their texts themselves."""
     text = text_of()
     mine = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), normal(text).alias("text"), F.xxhash64(text).alias("key"), digest(normal(text)).alias("_digest")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        normal(text).alias("text"),
+        F.xxhash64(text).alias("key"),
+        digest(normal(text)).alias("_digest"),
     ).join(clash.withColumnRenamed("digest", "_digest"), "_digest", "left_semi")
     counted = mine.groupBy("doc_id", "text", "key").agg(F.count(F.lit(1)).alias("_rows"))
     groups = group_rows(mine.withColumnRenamed("text", "digest")).withColumnRenamed("digest", "text")

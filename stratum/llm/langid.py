@@ -133,7 +133,9 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def _windows(texts: list[bytes], window: int, stride: int, most: int = 128) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _windows(
+    texts: list[bytes], window: int, stride: int, most: int = 128
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """All windows of the texts in batches: bytes (padded), the text each belongs to, and its length."""
     held, owner, size = [], [], []
     for i, text in enumerate(texts):
@@ -175,8 +177,9 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Network:
     rate = F.create_map(*[F.lit(x) for row in common for x in (row["lang"], max(1, row["count"]))])
     share = F.pmod(F.xxhash64("doc_id", "lang"), F.element_at(rate, F.col("lang")))
     chosen = rows.filter(share < settings.docs_per_lang)
+    starts = F.greatest(F.lit(1), F.length("text") - settings.window)
     crops = [
-        F.substr("text", (F.pmod(F.xxhash64("doc_id", F.lit(i)), F.greatest(F.lit(1), F.length("text") - settings.window)) + 1).cast("int"), F.lit(settings.window))
+        F.substr("text", (F.pmod(F.xxhash64("doc_id", F.lit(i)), starts) + 1).cast("int"), F.lit(settings.window))
         for i in range(settings.crops)
     ]
     most = 2 * settings.docs_per_lang * len(common)
@@ -222,7 +225,8 @@ def predict(docs: DataFrame, network: Network) -> DataFrame:
 def accepted(docs: DataFrame, settings: Settings = Settings(), least: float = 0.3) -> DataFrame:
     """The rows of `docs` (doc_id, text, lang) whose language a network fitted on them tells with that score at least."""
     network = fit(docs.filter(~held_out()), settings)
-    return docs.withColumn("_told", language(network)).filter((F.col("_told.lang") != UNDETERMINED) & (F.col("_told.score") >= least)).drop("_told")
+    sure = (F.col("_told.lang") != UNDETERMINED) & (F.col("_told.score") >= least)
+    return docs.withColumn("_told", language(network)).filter(sure).drop("_told")
 
 
 def op4_language_id(spark, sf_dir: str) -> DataFrame:

@@ -54,7 +54,8 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = (5, 2, 1), epochs:
         .withColumn("_weights", F.sum("weight").over(by_limit) - F.col("weight"))
         .withColumn("_level", (F.col("_all") - F.col("_given")) / (F.sum("weight").over(everything) - F.col("_weights")))
         .withColumn("_full", F.col("most") <= F.col("_level") * F.col("weight"))
-        .withColumn("_open", F.min_by(F.when(~F.col("_full"), F.col("_level")), F.when(~F.col("_full"), F.col("most") / F.col("weight"))).over(everything))
+        .withColumn("_limit", F.when(~F.col("_full"), F.col("most") / F.col("weight")))
+        .withColumn("_open", F.min_by(F.when(~F.col("_full"), F.col("_level")), F.col("_limit")).over(everything))
     )
     target = F.when(F.col("_full"), F.col("most")).otherwise(F.col("_open") * F.col("weight"))
     return level.select("source", "place", "source_size", target.alias("target")).withColumn(
@@ -66,9 +67,9 @@ def _running(frame: DataFrame, key: str, part: str, order: Sequence[Column], val
     """The sum of `value` over the rows of the same key before this one: within the part, plus all earlier parts."""
     inside = W.partitionBy(key, part).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     earlier = W.partitionBy(key).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
-    base = frame.groupBy(key, part).agg(F.sum(value).alias("_sum")).select(
-        F.col(key).alias("_key"), F.col(part).alias("_part"), F.coalesce(F.sum("_sum").over(W.partitionBy(key).orderBy(part).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_base")
-    )
+    sums = frame.groupBy(key, part).agg(F.sum(value).alias("_sum"))
+    before = F.coalesce(F.sum("_sum").over(earlier), F.lit(0))
+    base = sums.select(F.col(key).alias("_key"), F.col(part).alias("_part"), before.alias("_base"))
     return (
         frame.withColumn("_in", F.sum(value).over(inside) - value)
         .join(base, F.col(key).eqNullSafe(F.col("_key")) & (F.col(part) == F.col("_part")))
@@ -131,8 +132,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), epochs: int = 3, bl
 def mixed_rows(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), epochs: int = 3, block_words: int = 64) -> DataFrame:
     """The rows of `docs` as often as the mix takes them, with all their columns; a part of a document counts as whole."""
     times = F.ceil(F.sum("taken") / F.max("size")).cast("int")
-    chosen = _taken(docs, weights, epochs, block_words).filter("taken > 0").groupBy("doc_id", F.col("text_key").alias("key")).agg(times.alias("times"))
-    return chosen_rows(docs, chosen, "times").withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
+    taken = _taken(docs, weights, epochs, block_words).filter("taken > 0")
+    chosen = taken.groupBy("doc_id", F.col("text_key").alias("key")).agg(times.alias("times"))
+    rows = chosen_rows(docs, chosen, "times")
+    return rows.withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
 
 
 def _taken(docs: DataFrame, weights: Sequence[int], epochs: int, block_words: int) -> DataFrame:
@@ -250,7 +253,8 @@ with sized as (
   where rank * 64 < quota
 ), streams as (
   select s.doc_id, s.size, t.place, t.source_size, t.target, t.quota,
-    cast(sum(s.size) over (partition by t.place order by md5(coalesce(s.doc_id::varchar, '')), s.doc_id, s.size rows unbounded preceding) as bigint) - s.size as start
+    cast(sum(s.size) over (partition by t.place order by md5(coalesce(s.doc_id::varchar, '')), s.doc_id, s.size
+                           rows unbounded preceding) as bigint) - s.size as start
   from sized s join targets t on s.source is not distinct from t.source
 ), pieces as (
   select doc_id, size, place, start, source_size, target, e * source_size + start as first,

@@ -192,11 +192,15 @@ def score_patterns(graph: DataFrame, follow: DataFrame, rounds: int = ROUNDS) ->
     for i in range(rounds):
         sums = [F.sum(F.col("score")[k]) / F.max("all") for k in kinds]
         sure = [F.sum((F.col("score")[k] >= CONFIDENCE).cast("long")) for k in kinds]
-        patterns = stored(edges.groupBy("pattern").agg(F.array(*sums).alias("sure"), F.array(*sure).alias("support")), "pii-patterns")
+        scored = edges.groupBy("pattern").agg(F.array(*sums).alias("sure"), F.array(*sure).alias("support"))
+        patterns = stored(scored, "pii-patterns")
         if i + 1 < rounds:
             trusted = [F.max(F.when(F.col("support")[k] >= SUPPORT, F.col("sure")[k]).otherwise(0.0)) for k in kinds]
-            best = graph.filter("seed < 0").select("pattern", "instance").join(patterns, "pattern").groupBy("instance").agg(F.array(*trusted).alias("better"))
-            edges = graph.join(best, "instance", "left").withColumn("score", F.when(F.col("seed") >= 0, F.array(*seed)).otherwise(F.coalesce("better", F.array(*seed))))
+            open_ = graph.filter("seed < 0").select("pattern", "instance").join(patterns, "pattern")
+            best = open_.groupBy("instance").agg(F.array(*trusted).alias("better"))
+            own = F.array(*seed)
+            score = F.when(F.col("seed") >= 0, own).otherwise(F.coalesce("better", own))
+            edges = graph.join(best, "instance", "left").withColumn("score", score)
     each = patterns.select("pattern", F.posexplode(F.arrays_zip("sure", "support")).alias("kind", "s"))
     return each.select("pattern", "kind", F.col("s.sure").alias("confidence"), F.col("s.support").alias("support"))
 

@@ -132,8 +132,8 @@ def _find(least: int, gram: int):
         for batch in batches:
             for own, starts, pieces in _blocks(batch["id"].to_numpy(), batch["text"].to_list(), least):
                 key, mark, text, at, more = segments(pieces, least, gram)
-                found = {"key": key, "mark": mark, "id": own[text], "at": (starts[text] + at).astype(np.int32), "more": more.astype(np.int16)}
-                yield _folded(pd.DataFrame(found))
+                place = {"at": (starts[text] + at).astype(np.int32), "more": more.astype(np.int16)}
+                yield _folded(pd.DataFrame({"key": key, "mark": mark, "id": own[text], **place}))
 
     return find
 
@@ -153,7 +153,8 @@ def _folded(found: pd.DataFrame) -> pd.DataFrame:
 def shard_repeats(texts: list[bytes], more: np.ndarray, least: int = LEAST) -> list[np.ndarray]:
     """For segments with `more` + 1 string starts each: which of the strings also start elsewhere in the shard."""
     edge = np.array([1], np.uint16)
-    symbols = np.concatenate([x for t in texts for x in (np.frombuffer(t, np.uint8).astype(np.uint16) + 2, edge)] + [np.zeros(1, np.uint16)])
+    strings = (np.frombuffer(t, np.uint8).astype(np.uint16) + 2 for t in texts)
+    symbols = np.concatenate([*(x for s in strings for x in (s, edge)), np.zeros(1, np.uint16)])
     lengths = np.array([len(t) + 1 for t in texts])
     begins = np.cumsum(lengths) - lengths
     order = suffix_array(symbols)
@@ -351,7 +352,10 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, gram: int = GRAM) ->
         .mapInPandas(_apply, "digest string, n_removed long, n_spans long, kept_sha256 string")
     )
     gone = texts.filter("copies > 1").select(
-        "digest", F.lit(None).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(_WHOLE).alias("kept_sha256")
+        "digest",
+        F.lit(None).cast("long").alias("n_removed"),
+        F.lit(1).cast("long").alias("n_spans"),
+        F.lit(_WHOLE).alias("kept_sha256"),
     )
     result = stored(touched.unionByName(gone), "suffix-result").withColumnRenamed("digest", "_digest")
     nothing = F.lit(0).cast("long")

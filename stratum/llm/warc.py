@@ -44,7 +44,12 @@ def with_types(pages: DataFrame, smallest: int = SMALLEST) -> DataFrame:
         plain.filter(long_enough)
         .select(sha.alias("_sha"), "page_id")
         .groupBy("_sha")
-        .agg(F.max("page_id").alias("_first"), F.min("page_id").alias("_last"), F.count("page_id").alias("_ids"), F.count(F.lit(1)).alias("_n"))
+        .agg(
+            F.max("page_id").alias("_first"),
+            F.min("page_id").alias("_last"),
+            F.count("page_id").alias("_ids"),
+            F.count(F.lit(1)).alias("_n"),
+        )
         .filter("_n > 1 and (_first != _last or _ids != _n)")
         .select("_sha", "_first")
     )
@@ -148,12 +153,12 @@ def _candidates(spark: SparkSession, path: str, version: str) -> DataFrame:
 def _reached(candidates: DataFrame) -> DataFrame:
     """The candidates on the chain from the start of their file."""
     following = W.partitionBy("file", "block").orderBy("offset")
-    near = candidates.select(
-        "file", "block", "offset", "next", F.lead("offset").over(following).alias("_after"), F.lag("next").over(following).alias("_from")
-    )
+    after, before = F.lead("offset").over(following), F.lag("next").over(following)
+    near = candidates.select("file", "block", "offset", "next", after.alias("_after"), before.alias("_from"))
     near = stored(near, "warc-near")
     # A run begins where the candidate before does not lead, and where a jump from elsewhere arrives.
-    jumps = near.filter("next is not null and not next <=> _after").select("file", F.col("next").alias("offset")).distinct().withColumn("_hit", F.lit(True))
+    jumps = near.filter("next is not null and not next <=> _after").select("file", F.col("next").alias("offset"))
+    jumps = jumps.distinct().withColumn("_hit", F.lit(True))
     started = near.join(jumps, ["file", "offset"], "left").withColumn(
         "_start", (~F.col("_from").eqNullSafe(F.col("offset")) | F.col("_hit").isNotNull() | (F.col("offset") == 0)).cast("int")
     )
@@ -174,8 +179,8 @@ def _reached(candidates: DataFrame) -> DataFrame:
         if now == found:
             break
         found = now
-        hops = hops.join(step, (F.col("file") == F.col("_file")) & (F.col("to") == F.col("_at")), "left").select("file", "at", F.col("_to").alias("to"))
-        hops = stored(hops, "warc-hops")
+        onward = hops.join(step, (F.col("file") == F.col("_file")) & (F.col("to") == F.col("_at")), "left")
+        hops = stored(onward.select("file", "at", F.col("_to").alias("to")), "warc-hops")
     kept = runs.join(seen, ["file", "at"], "left_semi").select("file", "block", "_run")
     on_chain = numbered.join(kept, ["file", "block", "_run"], "left_semi").select("file", "offset")
     return candidates.join(on_chain, ["file", "offset"], "left_semi")
@@ -188,16 +193,15 @@ def _joined(spark: SparkSession, path: str, version: str, candidates: DataFrame,
     inside = (F.col("file") == F.col("_file")) & (F.col("part") >= F.col("record")) & (F.col("part") < F.col("_end"))
     wanted = stored(parts.join(ranges, inside).drop("_file", "_end"), "warc-parts")
     texts = wanted.join(_scan(spark, path, version), ["file", "block", "nth"])
-    whole = texts.groupBy("file", "record", "length").agg(F.sort_array(F.collect_list(F.struct("part", F.col("content").cast("binary").alias("content")))).alias("parts"))
+    part = F.struct("part", F.col("content").cast("binary").alias("content"))
+    whole = texts.groupBy("file", "record", "length").agg(F.sort_array(F.collect_list(part)).alias("parts"))
     between = F.lit(version).cast("binary")
     body = F.aggregate("parts", F.lit(b""), lambda all_, p: F.concat(all_, between, p["content"]))
     text = F.col("body").cast("string")
     at = F.octet_length(F.substring_index(text, END, 1)) + len(END)
-    return whole.withColumn("body", body).select(
-        "file",
-        F.col("record").alias("offset"),
-        F.when(F.octet_length("body") >= at + F.col("length"), F.sha1(F.substring(F.col("body"), at + 1, F.col("length").cast("int")))).alias("joined"),
-    )
+    payload = F.substring(F.col("body"), at + 1, F.col("length").cast("int"))
+    digest = F.when(F.octet_length("body") >= at + F.col("length"), F.sha1(payload))
+    return whole.withColumn("body", body).select("file", F.col("record").alias("offset"), digest.alias("joined"))
 
 
 def read_archives(spark: SparkSession, path: str, version: str = VERSION) -> DataFrame:
