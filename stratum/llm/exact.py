@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stratum.llm.common import LOWER, UPPER, chosen_rows, stored, table, text_of
 
 SHARD_DIGESTS = 50_000
+# Rows from which on a group is a large one.
+LARGE = 1000
 _GOLD, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -230,7 +232,12 @@ def _dedup(docs: DataFrame, is_new: Column, digest: Callable[[Column], Column])
     groups = stored(merge_batch(rows.filter("is_new"), snapshot), "exact-merged")
     clash = stored(_clashing(docs, rows, groups, digest), "exact-clash")
     counted = rows.groupBy("doc_id", "digest", "key").agg(F.count(F.lit(1)).alias("_rows"))
-    whole = _labelled(counted.join(clash, "digest", "left_anti"), groups, "digest").select(
+    sound = counted.join(clash, "digest", "left_anti")
+    # The groups of many rows are few: where their stored size is small, their rows are not dealt by digest at all.
+    large = stored(groups.filter(F.col("n") > LARGE), "exact-large")
+    rest = groups.filter(F.col("n") <= LARGE)
+    by_size = _labelled(sound, large, "digest").unionByName(_labelled(sound.join(large, "digest", "left_anti"), rest, "digest"))
+    whole = by_size.select(
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"), F.lit(False).alias("split"), "key"
     )
     if not clash.isEmpty():
@@ -247,7 +254,9 @@ def latest_rows(docs: DataFrame, is_new: Column) -> DataFrame:
 def _clashing(docs: DataFrame, rows: DataFrame, groups: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """Digests whose rows differ in their bytes. Only texts that share a digest with another row are compared."""
     several = groups.filter("n > 1").select("digest")
-    wanted = rows.join(several, "digest", "left_semi").select(F.col("key").alias("_key"), F.col("digest").alias("_digest")).distinct()
+    # Copies are folded before the join: a text that a third of all rows share is one row there.
+    wanted = rows.select(F.col("key").alias("_key"), "digest").distinct().join(several, "digest", "left_semi")
+    wanted = wanted.withColumnRenamed("digest", "_digest")
     texts = docs.select(text_of().alias("text")).withColumn("_key", F.xxhash64("text"))
     return (
         texts.join(stored(wanted, "exact-wanted").hint("shuffle_hash"), "_key")

@@ -26,7 +26,9 @@ def rows_of(frame):
     return sorted((tuple(r) for r in frame.collect()), key=repr)
 
 
-def test_any_split_gives_the_same(spark):
+@pytest.mark.parametrize("large", [1000, 2])
+def test_any_split_gives_the_same(spark, monkeypatch, large):
+    monkeypatch.setattr(exact, "LARGE", large)
     texts = ["alpha", "ALPHA", "Älpha", "älpha", "", None, "beta", "beta", "BETA ", "gamma"] * 3
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     splits = [F.lit(True), F.lit(False), F.col("doc_id") % 2 == 0, F.col("doc_id") > 20, F.lit(None).cast("boolean")]
