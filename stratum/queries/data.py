@@ -112,6 +112,20 @@ def arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return first, second
 
 
+def spoiled_lines(sales: DataFrame) -> DataFrame:
+    """Sales as JSON text, every seventh line broken, and of every five others one with a bad number, price or day."""
+    number = F.substring("order_id", 5, 20).cast("long")
+    spoiled = sales.withColumns(
+        {
+            "quantity": F.when(number % 5 == 1, "many").otherwise("3.7"),
+            "price": F.when(number % 5 == 2, "12,5").otherwise(F.col("price").cast("string")),
+            "order_date": F.when(number % 5 == 3, "no day").otherwise(F.col("order_date")),
+        }
+    )
+    line = F.to_json(F.struct(*spoiled.columns))
+    return spoiled.select(F.when(number % 7 == 0, F.concat(F.lit("{broken "), "order_id")).otherwise(line).alias("value"))
+
+
 def unique_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (order, line number)."""
     lines = table(spark, sf_dir, "lineitem").select(*LINE_ORDER, "l_orderkey", "l_quantity", "l_returnflag")

@@ -92,6 +92,14 @@ select o_orderkey + 10000, 'LATER', o_totalprice from orders""",
     "gold_table_by_region": f"""select cast(o_orderdate as date) as order_day, r_name as region,
        round(sum(o_totalprice), 2) as total_revenue, count(*) as total_units
 from orders {_REGION} group by 1, 2""",
+    "silver_bad_input": f"""
+with o as (
+  select o_orderkey k, printf('ORD-%08d', o_orderkey) as order_id, cast(o_orderdate as date) as d, o_totalprice as p,
+         r_name as region from orders {_REGION})
+select order_id, case when k % 5 <> 3 then d end as order_date, case when k % 5 <> 1 then 3 end as quantity,
+       case when k % 5 <> 2 then p end as price, region, false as malformed, false as rejected from o where k % 7 <> 0
+union all
+select null, null, null, null, null, true, true from o where k % 7 = 0""",
     "silver_by_arrival": f"""
 with o as (
   select o_orderkey, printf('ORD-%08d', o_orderkey) as order_id, cast(o_orderdate as date) as order_date, 1 as quantity,

@@ -314,6 +314,21 @@ def silver_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def silver_bad_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are no JSON are set aside; values of the wrong type become NULL and their rows stay."""
+    home, name = _names(spark, "bad")
+    sales = data.order_sales(spark, sf_dir)
+    _write_schema(spark, sales.schema, f"{home}/declared")
+    data.spoiled_lines(sales).write.text(f"{home}/landing")
+    ingest_all(spark, [_sales_spec(home)])
+    _refine(spark, home, name)
+    columns = (*_SILVER_COLUMNS, F.col("_corrupt_record").isNotNull().alias("malformed"))
+    current, rejects = read_current(spark, name), spark.read.parquet(f"{home}/rejects")
+    return current.select(*columns, F.lit(False).alias("rejected")).unionByName(
+        rejects.select(*columns, F.lit(True).alias("rejected"))
+    )
+
+
 def silver_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same two arrivals, refined from the whole raw layer both times."""
     home, name = _names(spark, "full")
@@ -371,6 +386,7 @@ STORED_QUERIES = {
             gold_table_by_region,
             gold_table_monthly,
             medallion_files,
+            silver_bad_input,
             silver_by_arrival,
             silver_incremental,
             silver_full,
