@@ -27,8 +27,8 @@ from stratum.llm.common import stored, table, text_of
 SHARD_ITEMS = 20_000
 VOCABULARY = "word_bpe_49k.json"
 END = 1
-# Words that a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 800_000
+# Words in each of the two generations that a worker remembers.
+REMEMBERED = 600_000
 BLOCK_CHARACTERS = 1 << 21
 
 
@@ -132,7 +132,9 @@ class Words:
         from tokenizers import Tokenizer
 
         self._model = Tokenizer.from_file(path)
+        # Words leave when they were not met for a whole generation.
         self._known: dict[bytes, bytes] = {}
+        self._before: dict[bytes, bytes] = {}
         vocabulary = self._model.get_vocab(with_added_tokens=False)
         self._ends_word = np.zeros(self._model.get_vocab_size() + 1, bool)
         self._ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -151,7 +153,10 @@ class Words:
 
     def _learn(self, new: set[bytes]) -> None:
         if len(self._known) + len(new) > REMEMBERED:
-            self._known = {}
+            self._known, self._before = {}, self._known
+        again = {w: self._before[w] for w in new if w in self._before}
+        self._known.update(again)
+        new = new - again.keys()
         # A comma or full stop after a letter or digit is a token of its own.
         ends = {w: (w[:-1], w[-1:]) for w in new if w[-1:] in (b",", b".") and w[-2:-1].isalnum()}
         bare = (new - ends.keys()) | {part for pair in ends.values() for part in pair}

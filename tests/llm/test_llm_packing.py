@@ -59,10 +59,11 @@ def test_words_give_the_ids_of_the_whole_text(model, text):
         assert np.frombuffer(words.ids([text])[0], "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
 
 
-def test_a_full_memory_is_emptied(model, monkeypatch):
+def test_a_full_memory_forgets(model, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 4)
     words = packing.Words(packing.vocabulary_path())
-    for text in ["one two three", "four five, six. seven", "one, two six five four three"]:
+    texts = ["one two three", "four five, six. seven", "one, two six five four three", "eight nine ten eleven", "one two, eight"]
+    for text in texts * 2:
         assert np.frombuffer(words.ids([text])[0], "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
 
 
