@@ -53,13 +53,13 @@ def _with_corrupt(schema: StructType) -> StructType:
 
 
 def _rescuing(lines: DataFrame, schema: StructType) -> DataFrame:
-    declared = [F.lit(name) for name in schema.fieldNames()]
+    declared = F.array(*[F.lit(name) for name in schema.fieldNames()])
     parsed = F.from_json(_LINE, _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
     # Field names are compared on the Spark side: nothing here depends on which fields a file happens to have.
-    extra = F.map_filter(
-        F.from_json(_LINE, "map<string,string>"), lambda name, _: ~F.array_contains(F.array(*declared), name)
-    )
-    rescued = F.when(F.size(extra) > 0, F.to_json(extra))
+    # Only lines with other names are parsed a second time.
+    extra = F.map_filter(F.from_json(_LINE, "map<string,string>"), lambda name, _: ~F.array_contains(declared, name))
+    others = F.array_except(F.json_object_keys(_LINE), declared)
+    rescued = F.when(F.array_size(others) > 0, F.to_json(extra))
     fields = parsed.alias("data")
     # _metadata stays available to the lineage operator because it is selected through.
     return lines.where(F.trim(_LINE) != "").select(fields, rescued.alias(RESCUED), "_metadata").select(
