@@ -3,7 +3,8 @@
 Every source is a stream of words: its documents in shuffled order, repeated for as many epochs as its target asks for,
 cut into blocks of equally many words. Slots of the mix are dealt to sources by golden-ratio points: the fractional
 parts of n times the golden ratio fall evenly into the cumulative weights of the sources, so that every stretch of the
-mix has nearly the target proportions. The r-th slot of a source carries the r-th block of its stream.
+mix has nearly the target proportions. The r-th slot of a source carries the r-th block of its stream; blocks for which
+the points are too few, a few of a small source, have slots of their own at the end.
 
 Only DataFrame functions are used. No step holds a whole source in one task: positions in a stream and ranks of slots
 are sums over small parts plus a running sum over the parts.
@@ -90,7 +91,8 @@ def schedule(targets: DataFrame, words: int, sources: int, block_words: int) ->
     """slot, place, rank: the slots of the mix, for each the source it is dealt to and its rank there.
 
     The points run on for a quarter more slots than the mix needs, since a source can be late by a few of them; ranks
-    beyond a source's quota are left out, so a slot number may be missing towards the end.
+    beyond a source's quota are left out, so a slot number may be missing towards the end. Ranks that a source lacks
+    even so are appended as further slots.
     """
     spark = targets.sparkSession
     scale = 1 << POINT_BITS
@@ -115,7 +117,17 @@ def schedule(targets: DataFrame, words: int, sources: int, block_words: int) ->
         .select("slot", "place", "_blocks", F.floor(F.col("slot") / PART_SLOTS).alias("_at"))
     )
     ranked = _running(dealt, "place", "_at", [F.col("slot")], F.lit(1).cast("long"), "rank")
-    return ranked.filter("rank < _blocks").select("slot", "place", "rank")
+    ranked = stored(ranked.filter("rank < _blocks").select("slot", "place", "rank"), "mix-slots")
+    counts = ranked.groupBy(F.col("place").alias("_place")).agg(F.count(F.lit(1)).alias("_dealt"))
+    lacking = (
+        targets.select("place", F.ceil(F.col("quota") / block_words).alias("_blocks"))
+        .join(counts, F.col("place") == F.col("_place"), "left")
+        .withColumn("_dealt", F.coalesce("_dealt", F.lit(0).cast("long")))
+        .filter("_dealt < _blocks")
+        .withColumn("_from", slots + F.sum(F.col("_blocks") - F.col("_dealt")).over(W.orderBy("place")) - F.col("_blocks"))
+        .withColumn("rank", F.explode(F.sequence("_dealt", F.col("_blocks") - 1)))
+    )
+    return ranked.unionByName(lacking.select((F.col("_from") + F.col("rank")).alias("slot"), "place", "rank"))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), epochs: int = 3, block_words: int = 64) -> DataFrame:

@@ -50,6 +50,19 @@ def test_targets_and_takes(spark, sizes):
         assert abs(taken[s] - want[s]) <= 4 * 8
 
 
+def test_small_sources_of_a_large_table_take_their_targets(spark):
+    # Tail sources of 10 words; the first source is repeated, and no target is above its limit for the others.
+    rows = [(i, "w " * 1000, "a") for i in range(2000)] + [(10_000 + i, "w " * 10, f"t{i:03}") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    quota, taken = {}, defaultdict(int)
+    for r in mixing.mix(frame).collect():
+        quota[r.source] = round(r.target)
+        taken[r.source] += r.taken
+    assert {s: taken[s] for s in quota} == quota
+    slots = mixing.mixed_blocks(frame).select("slot", "source", "block").distinct().collect()
+    assert len({r.slot for r in slots}) == len(slots) == sum(-(-q // 64) for q in quota.values())
+
+
 def test_blocks_of_the_mix_are_even(spark):
     rows = [(i, "w " * 10, "abc"[i % 3]) for i in range(300)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
