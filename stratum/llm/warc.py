@@ -7,7 +7,8 @@ what the chain does not reach is payload, whatever it looks like. Positions come
 file in the order it is read, and over the splits before it.
 
 Chains are first shortened: candidates of a split whose successor is the very next candidate form a run, and pointers
-jump from run to run. Payloads never are shuffled, except those that hold version lines, whose parts are put together.
+jump from run to run. Payloads never are shuffled, except those that hold version lines, whose parts are put together;
+they are found again by their digests, since the splits may differ when the archive is read a second time.
 """
 
 from __future__ import annotations
@@ -123,6 +124,7 @@ def _candidates(spark: SparkSession, path: str, version: str) -> DataFrame:
         "block",
         "nth",
         "bytes",
+        F.sha2(content, 256).alias("print"),
         (F.lit(m) + at + F.col("length") + len(END)).alias("reach"),
         F.coalesce(whole, F.lit(False)).alias("whole"),
         F.when(whole, F.sha1(F.substring(body, at + 1, F.col("length").cast("int")))).alias("digest"),
@@ -187,12 +189,25 @@ def _reached(candidates: DataFrame) -> DataFrame:
 
 
 def _joined(spark: SparkSession, path: str, version: str, candidates: DataFrame, broken: DataFrame) -> DataFrame:
-    """file, offset, digest of records whose payload holds version lines: their parts read again and put together."""
-    parts = candidates.select("file", "block", "nth", F.col("offset").alias("part"))
-    ranges = broken.select(F.col("file").alias("_file"), F.col("offset").alias("record"), F.col("next").alias("_end"), "length")
-    inside = (F.col("file") == F.col("_file")) & (F.col("part") >= F.col("record")) & (F.col("part") < F.col("_end"))
-    wanted = stored(parts.join(ranges, inside).drop("_file", "_end"), "warc-parts")
-    texts = wanted.join(_scan(spark, path, version), ["file", "block", "nth"])
+    """file, offset, digest of records whose payload holds version lines: their parts read again and put together.
+
+    Records do not overlap, so a part can only belong to the last broken one that begins at it or before.
+    """
+    begin = broken.select("file", "offset", F.col("offset").alias("_begin"))
+    parts = candidates.select("file", "block", "offset", "print").join(begin, ["file", "offset"], "left")
+    upto = W.partitionBy("file", "block").orderBy("offset")
+    earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    last = parts.groupBy("file", "block").agg(F.max("_begin").alias("_last"))
+    last = last.select("file", "block", F.max("_last").over(earlier).alias("_carried"))
+    placed = parts.join(last, ["file", "block"]).select(
+        "file", F.col("offset").alias("part"), "print", F.coalesce(F.max("_begin").over(upto), "_carried").alias("record")
+    )
+    ranges = broken.select("file", F.col("offset").alias("record"), F.col("next").alias("_end"), "length")
+    wanted = stored(placed.join(ranges, ["file", "record"]).filter("part < _end").drop("_end"), "warc-parts")
+    prints = wanted.select("print").distinct()
+    scanned = _scan(spark, path, version).select(F.sha2("content", 256).alias("print"), "content")
+    found = stored(scanned.join(prints, "print", "left_semi").dropDuplicates(["print"]), "warc-contents")
+    texts = wanted.join(found, "print")
     part = F.struct("part", F.col("content").cast("binary").alias("content"))
     whole = texts.groupBy("file", "record", "length").agg(F.sort_array(F.collect_list(part)).alias("parts"))
     between = F.lit(version).cast("binary")

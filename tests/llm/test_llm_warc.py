@@ -50,6 +50,28 @@ def test_round_trip_of_payloads_that_look_like_records(spark, split, compression
     assert revisits == {(3, 5), (4, 5), (None, 12)}
 
 
+def test_splits_may_differ_between_two_scans(spark, monkeypatch):
+    pages = tricky_pages()
+    path = scratch_dir(spark, "test-archives")
+    warc.write_archives(spark.createDataFrame(pages, PAGES).repartition(3), path)
+    put_together = warc._joined
+
+    def later(*args):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1100")
+        return put_together(*args)
+
+    monkeypatch.setattr(warc, "_joined", later)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3001")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = warc.read_archives(spark, path).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(repr((r.page_id, r.payload_digest)) for r in got) == sorted(repr((i, sha1(h))) for i, _, h in pages)
+    assert all(r.intact for r in got)
+
+
 def test_agrees_with_its_sql(spark):
     assert spark_rows(warc.op7_warc_round_trip(spark, SF_DIR)) == oracle_rows(SF_DIR, warc.ORACLE)
 
