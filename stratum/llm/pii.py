@@ -2,7 +2,7 @@
 
 What the forms find are the seeds. Every token that looks like an identifier is an instance, and the two words before it
 are its pattern. Patterns and instances make a graph, which Spark scores in rounds: a pattern is as sure of a kind as
-the share of what follows it that is of this kind, ordinary words included; an instance that is no seed is of a kind by
+the share of the different instances and ordinary words that follow it that is of this kind; an instance that is no seed is of a kind by
 the patterns it follows. Patterns that enough different instances support and that are nearly always right discover the
 other instances behind them, in all documents.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,10 +33,13 @@ _HINT = re.compile(r"[0-9@]")
 # An instance: a token with a digit or an at sign, of this many characters without the punctuation around it.
 SHORTEST, LONGEST = 5, 64
 _TOKEN = re.compile(r"\S*[0-9@]\S*")
+_SPACED = re.compile(r"\S+")
 _TRIM = ".,;:!?()[]{}<>\"'"
 # A pattern discovers if so many different instances of its kind support it and this share of what follows it is right.
 SUPPORT, CONFIDENCE, ROUNDS = 3, 0.8, 3
 FILTER_BITS = 1 << 20
+# So many different followers are kept before they are handed to Spark.
+FOLLOWERS = 50_000
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -149,41 +153,56 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+def _covered(text: str) -> set[int]:
+    """The numbers of the words that what the forms find or an instance overlaps."""
+    base = base_spans(text)
+    spans = {(a, b) for a, _, b in base} | {(a, b) for a, b, *_ in instances(text, base)}
+    starts = [m.start() for m in _SPACED.finditer(text)] if spans else []
+    return {i for a, b in spans for i in range(bisect_right(starts, a) - 1, bisect_left(starts, b))}
+
+
 def followed(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """pattern, n: how often each of `patterns` (pattern) stands before any word in `texts` (text).
+    """pattern, n: how many different ordinary words follow each of `patterns` (pattern) in `texts` (text); none if no word does.
 
-    The patterns go to the tasks as a filter of fixed size; what it lets pass by mistake the join drops.
+    Copies of a text add nothing. The patterns go to the tasks as a filter of fixed size; what it lets pass by mistake the
+    join drops.
     """
     marks = patterns.select(F.crc32(F.col("pattern").cast("binary")) % FILTER_BITS).distinct()
     bits = np.zeros(FILTER_BITS, bool)
     bits[[int(row[0]) for row in marks.toLocalIterator()]] = True  # at most FILTER_BITS numbers
     packed = np.packbits(bits).tobytes()
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from collections import Counter
-
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         flags = np.unpackbits(np.frombuffer(packed, np.uint8)).tobytes()
+        frame = lambda pairs: pd.DataFrame(list(pairs), columns=["pattern", "word"])
+        seen: set[tuple[str, str]] = set()
         for batch in batches:
-            seen: Counter[str] = Counter()
             for text in batch["text"]:
                 words = list(map(_word, text.split()))
-                seen.update(p for p in map(" ".join, zip(words, words[1:-1])) if flags[zlib.crc32(p.encode()) % FILTER_BITS])
-            yield pd.DataFrame({"pattern": list(seen), "n": list(seen.values())})
+                before = map(" ".join, zip(words, words[1:-1]))
+                hits = [(p, i) for i, p in enumerate(before, 2) if flags[zlib.crc32(p.encode()) % FILTER_BITS]]
+                if hits:
+                    covered = _covered(text)
+                    seen.update((p, words[i]) for p, i in hits if i not in covered)
+                if len(seen) >= FOLLOWERS:
+                    yield frame(seen)
+                    seen = set()
+        yield frame(seen)
 
-    counted = texts.mapInPandas(count, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
-    return counted.join(patterns, "pattern", "left_semi")
+    pairs = texts.mapInPandas(find, "pattern string, word string").distinct()
+    return pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).join(patterns, "pattern", "left_semi")
 
 
 def score_patterns(graph: DataFrame, follow: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """pattern, kind, confidence, support for `graph` (pattern, instance, seed: the kind or -1; times).
+    """pattern, kind, confidence, support for `graph` (pattern, instance, seed: the kind or -1).
 
     In a round, a pattern's confidence in a kind is the sum of its instances' scores for it, over all different instances
     and ordinary words that follow it; an instance's score is that of the best pattern before it, for seeds always one.
     """
     kinds = range(len(KINDS))
-    per_pattern = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("kinds_of"), F.sum("times").alias("times_of"))
-    weight = per_pattern.join(follow, "pattern").select(
-        "pattern", (F.col("kinds_of") + F.greatest(F.col("n") - F.col("times_of"), F.lit(0))).cast("double").alias("all")
+    per_pattern = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("kinds_of"))
+    weight = per_pattern.join(follow, "pattern", "left").select(
+        "pattern", (F.col("kinds_of") + F.coalesce("n", F.lit(0))).cast("double").alias("all")
     )
     graph = stored(graph.join(weight, "pattern"), "pii-graph")
     seed = [(F.col("seed") == k).cast("double") for k in kinds]
@@ -223,11 +242,14 @@ def find_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     )
     rows = stored(read.mapInPandas(_extract, _FOUND), "pii-rows")
     seen = rows.filter(F.size("seen") > 0).select("digest", F.explode("seen").alias("s")).select("digest", "s.*")
-    graph = seen.groupBy("pattern", "instance").agg(F.max("kind").alias("seed"), F.count(F.lit(1)).alias("times"))
+    graph = seen.groupBy("pattern", "instance").agg(F.max("kind").alias("seed"))
     graph = stored(graph, "pii-edges")
-    # Only a pattern with that many seeds can start, and one with as many instances can join later.
-    wide = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("seed") >= 0).cast("int")).alias("seeds"))
-    wide = stored(wide.filter(F.col("n") >= SUPPORT), "pii-wide")
+    # Only a pattern with that many seeds can start, and one with as many instances of a kind can join later. One with
+    # seeds alone neither discovers nor tells other patterns anything.
+    open_ = F.sum((F.col("seed") < 0).cast("int"))
+    most = F.greatest(*[F.sum((F.col("seed") == k).cast("int")) for k in range(len(KINDS))])
+    wide = graph.groupBy("pattern").agg(open_.alias("open"), most.alias("seeds"))
+    wide = stored(wide.filter((F.col("open") > 0) & (F.col("seeds") + F.col("open") >= SUPPORT)), "pii-wide")
     found = None
     if not wide.filter(F.col("seeds") >= SUPPORT).isEmpty():
         able = wide.select("pattern")

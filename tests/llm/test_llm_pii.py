@@ -100,6 +100,17 @@ def test_one_round_knows_the_first_cue_only(cues):
     assert found == {20, 21}
 
 
+def test_copies_do_not_count_against_a_pattern(spark):
+    rows = [(i, f"please write to user{i}@mail.example.com today") for i in range(30)]
+    rows += [(100, "please write to user7(at)mail today")] + [(1000 + i, "you may write to me instead") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.find_personal_data(frame).collect() if r.n_discovered}
+    assert found == {100: "email:16:29"}
+    # The same number of different ordinary words does count.
+    rows = rows[:31] + [(1000 + i, "you may write to " + "abcdefghij"[i] * 3) for i in range(10)]
+    assert not any(r.n_discovered for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+
+
 def test_odd_rows(spark):
     odd = odd_documents(spark)
     rows = pii.find_personal_data(odd).collect()
