@@ -1,7 +1,7 @@
 """Personal data: fixed kinds by their form, and unseen identifiers by bootstrapped contextual extraction.
 
-What the forms find are the seeds. Every token that looks like an identifier is an instance, and the two words before it
-are its pattern. Patterns and instances make a graph, which Spark scores in rounds: a pattern is as sure of a kind as
+What the forms find are the seeds. Every token that looks like an identifier is an instance, and so is every run of
+numbers as phones and cards are written; the two words before it are its pattern, marks at the start of a text included. Patterns and instances make a graph, which Spark scores in rounds: a pattern is as sure of a kind as
 the share of the different instances and ordinary words that follow it that is of this kind; an instance that is no seed is of a kind by
 the patterns it follows. Patterns that enough different instances support and that are nearly always right discover the
 other instances behind them, in all documents.
@@ -9,6 +9,7 @@ other instances behind them, in all documents.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from bisect import bisect_left, bisect_right
@@ -30,9 +31,18 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
 _HINT = re.compile(r"[0-9@]")
 
-# An instance: a token with a digit or an at sign, of this many characters without the punctuation around it.
-SHORTEST, LONGEST = 5, 64
+# An instance: a run of tokens of digits, brackets, dots, dashes and plus signs with single spaces between them, or
+# another token with a digit or an at sign; of this many characters at least without the punctuation around it.
+SHORTEST = 5
+# Longer instances and words are told apart by digests.
+LONGEST = 64
 _TOKEN = re.compile(r"\S*[0-9@]\S*")
+_RUN = re.compile(r"(?<!\S)[\"'<{]*+([0-9()\[\].+-]++(?:\x20[0-9()\[\].+-]++)*+)([^\s]*)")
+_CLOSING = {"(": ")", "[": "]"}
+# Stands for what the forms have found; no text holds it. What stands before the first word; no word is like it.
+_GONE, _START = "\udc00", "\n"
+# A word that may be the first of a pattern, before one that may be the second.
+_BOTH = re.compile(rb"[\x01\x03](?=[\x02\x03])")
 _SPACED = re.compile(r"\S+")
 _TRIM = ".,;:!?()[]{}<>\"'"
 # A pattern discovers if so many different instances of its kind support it and this share of what follows it is right.
@@ -101,38 +111,87 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _word(token: str) -> str:
-    return token.strip(_TRIM).lower()
-
-
-def _pattern(text: str, start: int) -> str | None:
-    """The two words before a place, or none at the beginning of a text."""
-    head = text[max(0, start - 160) : start].split()
-    return " ".join(map(_word, head[-2:])) if len(head) > 1 else None
-
+def _name(text: str) -> str:
+    return text if len(text) <= LONGEST else hashlib.sha256(text.encode()).hexdigest() + "\n"
 
-def _touched(base: list[tuple[int, int, int]], i: int, start: int, end: int) -> bool:
-    """Whether a span from the i-th on overlaps the place."""
-    while i < len(base) and base[i][0] < end:
-        if start < base[i][2]:
-            return True
-        i += 1
-    return False
 
-
-def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, int]]:
-    """(start, end, pattern, instance, kind) of all instances with a pattern; kind is -1 for those that are no seeds."""
-    out = [(a, b, _pattern(text, a), text[a:b].lower(), k) for a, k, b in base]
+def _word(token: str) -> str:
+    return _name(token.strip(_TRIM).lower())
+
+
+def _patterns(text: str, places: list[int]) -> list[str]:
+    """For each place the two whole words before the one it is in, or marks where a text begins."""
+    starts = [m.start() for m in _SPACED.finditer(text)] if places else []
+    known: dict[int, str] = {}
+    out = []
+    for place in places:
+        i = bisect_right(starts, place) - 1
+        if i not in known:
+            before = [_word(text[starts[j] : starts[j + 1]].rstrip()) if j >= 0 else _START for j in (i - 2, i - 1)]
+            known[i] = " ".join(before)
+        out.append(known[i])
+    return out
+
+
+def _without(text: str, base: list[tuple[int, int, int]]) -> str:
+    out, at = [], 0
+    for start, _, end in base:
+        if end > at:
+            out += [text[at : max(at, start)], _GONE * (end - max(at, start))]
+            at = end
+    return "".join([*out, text[at:]])
+
+
+def _runs(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of numbers from their first digit to their last, with a bracket whose other side is between, and a plus."""
+    for m in _RUN.finditer(text):
+        start, end = m.span(1)
+        if m.group(2).strip(_TRIM):  # the last token goes on otherwise
+            end = text.rfind(" ", start, end)
+        first = _DIGITS.search(text, start, max(start, end))
+        if not first:
+            continue
+        last = end - 1
+        while not "0" <= text[last] <= "9":
+            last -= 1
+        a, b = first.start(), last + 1
+        if b < end and text[b] in ")]" and text.rfind("(" if text[b] == ")" else "[", a, b) >= 0:
+            b += 1
+        if a > start and text[a - 1] in _CLOSING and text.find(_CLOSING[text[a - 1]], a, b) >= 0:
+            a -= 1
+        if a > start and text[a - 1] == "+":
+            a -= 1
+        if b - a >= SHORTEST:
+            yield a, b
+
+
+def found_instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, kind) of all instances; kind is -1 for those that are no seeds, which overlap no others."""
+    out = [(a, b, k) for a, k, b in base]
+    if not _HINT.search(text):
+        return out
+    rest = _without(text, base)
+    runs = list(_runs(rest))
+    out += [(a, b, -1) for a, b in runs]
     i = 0
-    for token in _TOKEN.finditer(text):
+    for token in _TOKEN.finditer(rest):
+        if _GONE in token.group():
+            continue
         word = token.group().rstrip(_TRIM)
         start = token.start() + len(word) - len(word.lstrip(_TRIM))
         end = token.start() + len(word)
-        while i < len(base) and base[i][2] <= start:
+        while i < len(runs) and runs[i][1] <= start:
             i += 1
-        if SHORTEST <= end - start <= LONGEST and not _touched(base, i, start, end):
-            out.append((start, end, _pattern(text, start), text[start:end].lower(), -1))
-    return [row for row in out if row[2] is not None]
+        if end - start >= SHORTEST and not (i < len(runs) and runs[i][0] < end):
+            out.append((start, end, -1))
+    return out
+
+
+def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, int]]:
+    """(start, end, pattern, instance, kind) of all instances."""
+    found = found_instances(text, base)
+    patterns = _patterns(text, [a for a, _, _ in found])
+    return [(a, b, p, _name(text[a:b].lower()), k) for (a, b, k), p in zip(found, patterns)]
 
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -155,49 +214,69 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _covered(text: str) -> set[int]:
     """The numbers of the words that what the forms find or an instance overlaps."""
-    base = base_spans(text)
-    spans = {(a, b) for a, _, b in base} | {(a, b) for a, b, *_ in instances(text, base)}
+    spans = {(a, b) for a, b, _ in found_instances(text, base_spans(text))}
     starts = [m.start() for m in _SPACED.finditer(text)] if spans else []
     return {i for a, b in spans for i in range(bisect_right(starts, a) - 1, bisect_left(starts, b))}
 
 
+def _at(text: str) -> int:
+    return zlib.crc32(text.encode()) % FILTER_BITS
+
+
+def _filter(patterns: DataFrame, column: Column) -> bytes:
+    marks = patterns.select(F.crc32(column.cast("binary")) % FILTER_BITS).distinct()
+    bits = np.zeros(FILTER_BITS, bool)
+    bits[[int(row[0]) for row in marks.toLocalIterator()]] = True  # at most FILTER_BITS numbers
+    return np.packbits(bits).tobytes()
+
+
 def followed(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """pattern, n: how many different ordinary words follow each of `patterns` (pattern) in `texts` (text); none if no word does.
 
-    Copies of a text add nothing. The patterns go to the tasks as a filter of fixed size; what it lets pass by mistake the
-    join drops.
+    Copies of a text add nothing. The patterns and their words go to the tasks as filters of fixed size; what these let pass
+    by mistake the join drops.
     """
-    marks = patterns.select(F.crc32(F.col("pattern").cast("binary")) % FILTER_BITS).distinct()
-    bits = np.zeros(FILTER_BITS, bool)
-    bits[[int(row[0]) for row in marks.toLocalIterator()]] = True  # at most FILTER_BITS numbers
-    packed = np.packbits(bits).tobytes()
+    words_of = F.split("pattern", " ")
+    packed = [_filter(patterns, column) for column in (F.col("pattern"), words_of[0], words_of[1])]
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        flags = np.unpackbits(np.frombuffer(packed, np.uint8)).tobytes()
+        both, first, second = (np.unpackbits(np.frombuffer(x, np.uint8)).tobytes() for x in packed)
+        known: dict[str, int] = {}  # by token: 1 if its word may be the first of a pattern, plus 2 if the second
+        mark = lambda word: first[_at(word)] + 2 * second[_at(word)]
         frame = lambda pairs: pd.DataFrame(list(pairs), columns=["pattern", "word"])
         seen: set[tuple[str, str]] = set()
         for batch in batches:
             for text in batch["text"]:
-                words = list(map(_word, text.split()))
-                before = map(" ".join, zip(words, words[1:-1]))
-                hits = [(p, i) for i, p in enumerate(before, 2) if flags[zlib.crc32(p.encode()) % FILTER_BITS]]
+                tokens = text.split()
+                for token in set(tokens).difference(known):
+                    known[token] = mark(_word(token))
+                marks = bytes([mark(_START)] * 2) + bytes(map(known.__getitem__, tokens))
+                hits = []
+                for m in _BOTH.finditer(marks, 0, max(0, len(marks) - 1)):
+                    i = m.start()  # of the word that follows, since two marks stand before the text
+                    p = " ".join(_word(tokens[j]) if j >= 0 else _START for j in (i - 2, i - 1))
+                    if both[_at(p)]:
+                        hits.append((p, i))
                 if hits:
                     covered = _covered(text)
-                    seen.update((p, words[i]) for p, i in hits if i not in covered)
+                    seen.update((p, _word(tokens[i])) for p, i in hits if i not in covered)
                 if len(seen) >= FOLLOWERS:
                     yield frame(seen)
                     seen = set()
+                if len(known) >= FOLLOWERS:
+                    known = {}
         yield frame(seen)
 
     pairs = texts.mapInPandas(find, "pattern string, word string").distinct()
     return pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).join(patterns, "pattern", "left_semi")
 
 
-def score_patterns(graph: DataFrame, follow: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def score_patterns(graph: DataFrame, follow: DataFrame, rounds: int = ROUNDS, least: float = CONFIDENCE) -> DataFrame:
     """pattern, kind, confidence, support for `graph` (pattern, instance, seed: the kind or -1).
 
     In a round, a pattern's confidence in a kind is the sum of its instances' scores for it, over all different instances
     and ordinary words that follow it; an instance's score is that of the best pattern before it, for seeds always one.
+    Instances with a score of `least` support it.
     """
     kinds = range(len(KINDS))
     per_pattern = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("kinds_of"))
@@ -210,7 +289,7 @@ def score_patterns(graph: DataFrame, follow: DataFrame, rounds: int = ROUNDS) ->
     patterns = None
     for i in range(rounds):
         sums = [F.sum(F.col("score")[k]) / F.max("all") for k in kinds]
-        sure = [F.sum((F.col("score")[k] >= CONFIDENCE).cast("long")) for k in kinds]
+        sure = [F.sum((F.col("score")[k] >= least).cast("long")) for k in kinds]
         scored = edges.groupBy("pattern").agg(F.array(*sums).alias("sure"), F.array(*sure).alias("support"))
         patterns = stored(scored, "pii-patterns")
         if i + 1 < rounds:
@@ -224,6 +303,26 @@ def score_patterns(graph: DataFrame, follow: DataFrame, rounds: int = ROUNDS) ->
     return each.select("pattern", "kind", F.col("s.sure").alias("confidence"), F.col("s.support").alias("support"))
 
 
+def _high(scored: DataFrame, least: float = CONFIDENCE) -> DataFrame:
+    return scored.filter((F.col("confidence") >= least) & (F.col("support") >= SUPPORT))
+
+
+def needed_patterns(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """pattern: those of `graph` that may discover, and those whose scores reach them by open instances that they share.
+
+    Ordinary words only lower the scores, so scores without them are bounds, here with room for rounding.
+    """
+    least = CONFIDENCE - 1e-9
+    alone = graph.select("pattern").distinct().withColumn("n", F.lit(0))
+    needed = stored(_high(score_patterns(graph, alone, rounds, least), least).select("pattern").distinct(), "pii-needed")
+    open_ = graph.filter("seed < 0").select("pattern", "instance")
+    for _ in range(rounds - 1):
+        near = open_.join(needed, "pattern", "left_semi").select("instance").distinct()
+        more = open_.join(near, "instance", "left_semi").select("pattern")
+        needed = stored(needed.unionByName(more).distinct(), "pii-needed")
+    return needed
+
+
 def _joined(spans: str) -> Column:
     names = F.array(*map(F.lit, KINDS))
     one = lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))
@@ -250,12 +349,12 @@ def find_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     most = F.greatest(*[F.sum((F.col("seed") == k).cast("int")) for k in range(len(KINDS))])
     wide = graph.groupBy("pattern").agg(open_.alias("open"), most.alias("seeds"))
     wide = stored(wide.filter((F.col("open") > 0) & (F.col("seeds") + F.col("open") >= SUPPORT)), "pii-wide")
-    found = None
+    found = needed = None
     if not wide.filter(F.col("seeds") >= SUPPORT).isEmpty():
-        able = wide.select("pattern")
-        follow = stored(followed(docs.select(text_of().alias("text")), able), "pii-follow")
-        scored = score_patterns(graph.join(able, "pattern", "left_semi"), follow, rounds)
-        high = scored.filter((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= SUPPORT))
+        needed = needed_patterns(graph.join(wide, "pattern", "left_semi"), rounds)
+    if needed is not None and not needed.isEmpty():
+        follow = stored(followed(docs.select(text_of().alias("text")), needed), "pii-follow")
+        high = _high(score_patterns(graph.join(needed, "pattern", "left_semi"), follow, rounds))
         high = high.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", F.negative("kind"))).alias("new_kind"))
         found = (
             seen.filter("kind < 0")

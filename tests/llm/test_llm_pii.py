@@ -111,6 +111,56 @@ def test_copies_do_not_count_against_a_pattern(spark):
     assert not any(r.n_discovered for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect())
 
 
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("call (555) 123-4567, now", ["(555) 123-4567"]),
+        ("a (555 123 4567) b", ["555 123 4567"]),
+        ("card 4111 1111 1111 1112.", ["4111 1111 1111 1112"]),
+        ("4111 1111 1111 1112", ["4111 1111 1111 1112"]),
+        ("no 555 1234  5678 90 12x345 7", ["555 1234", "5678 90", "12x345"]),
+        ("at 12 345 67abc9 (1) - 22", ["12 345", "67abc9", "(1) - 22"]),
+        ("x +(44) 20-7946 [1] y", ["+(44) 20-7946 [1]"]),
+        ("k " + "z9" * 100 + " a1", ["z9" * 100]),
+        ("to a@b.cd 555 1234", ["555 1234"]),
+        ("a - . () 12 b", []),
+    ],
+)
+def test_instances(text, found):
+    assert [text[a:b] for a, b, k in sorted(pii.found_instances(text, pii.base_spans(text))) if k < 0] == found
+
+
+def test_spaced_and_long_identifiers_are_discovered(spark):
+    phones = [(i, f"You can call me +1 555 010 {1000 + i} soon") for i in range(30)]
+    rows = phones + [(100, "You can call me (555) 123-4567 soon")]
+    # After one word, after none, behind very long words, and longer than 64 characters.
+    rows += [(200 + i, f"Phone: +1 555 020 {1000 + i} at work") for i in range(5)] + [(210, "Phone: 555 123 4567 at work")]
+    rows += [(300 + i, f"+1 555 030 {1000 + i} is mine") for i in range(150)] + [(310_000, "[555] 123.4567 is mine")]
+    far = "u" * 200
+    rows += [(400 + i, f"so {far} {far} me{i}@mail.example.com") for i in range(5)] + [(410, f"so {far} {far} me7(at)mail")]
+    rows += [(500 + i, f"we mail this me{i}@mail.example.com") for i in range(5)] + [(510, f"we mail this {'m' * 80}(at)mail1")]
+    got = {}
+    texts = dict(rows)
+    for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        if r.n_discovered:
+            kind, a, b = r.spans.split(":")
+            got[r.doc_id] = (kind, texts[r.doc_id][int(a) : int(b)])
+    assert got == {
+        100: ("phone", "(555) 123-4567"),
+        210: ("phone", "555 123 4567"),
+        310_000: ("phone", "[555] 123.4567"),
+        410: ("email", "me7(at)mail"),
+        510: ("email", "m" * 80 + "(at)mail1"),
+    }
+
+
+def test_instances_take_linear_time():
+    start = time.perf_counter()
+    for text in ("(" * 300_000, "1 " * 300_000, "1" * 500_000 + "x", "((1" * 100_000 + "))", ") " * 200_000 + "1", "a@b.c " * 50_000, "- " * 200_000 + "x"):
+        pii.instances(text, pii.base_spans(text))
+    assert time.perf_counter() - start < 20
+
+
 def test_odd_rows(spark):
     odd = odd_documents(spark)
     rows = pii.find_personal_data(odd).collect()
