@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratum.llm import ann, exact, infill, langid, mixing, packing, pii, simhash, suffix, tokencount, warc
+from stratum.llm import ann, divergence, exact, infill, langid, mixing, packing, pii, simhash, suffix, tokencount, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,11 +15,13 @@ QUERIES = {
     "op8_simhash_near_duplicates": simhash.op8_simhash_near_duplicates,
     "op9_pack_sequences": packing.op9_pack_sequences,
     "op10_token_counts": tokencount.op10_token_counts,
+    "op12_source_divergence": divergence.op12_source_divergence,
     "op13_fill_in_middle": infill.op13_fill_in_middle,
 }
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
     "op6_exact_dedup": exact.ORACLE,
     "op7_warc_round_trip": warc.ORACLE,
+    "op12_source_divergence": divergence.ORACLE,
     "op13_fill_in_middle": infill.ORACLE,
 }
