@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratum.llm import ann, divergence, exact, infill, langid, mixing, packing, pii, simhash, suffix, tokencount, warc
+from stratum.llm import ann, divergence, exact, infill, langid, mixing, packing, pii, quality, simhash, suffix, tokencount, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_simhash_near_duplicates": simhash.op8_simhash_near_duplicates,
     "op9_pack_sequences": packing.op9_pack_sequences,
     "op10_token_counts": tokencount.op10_token_counts,
+    "op11_quality_classifier": quality.op11_quality_classifier,
     "op12_source_divergence": divergence.op12_source_divergence,
     "op13_fill_in_middle": infill.op13_fill_in_middle,
 }
