@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratum.llm.common import stored, table, text_of
@@ -36,36 +36,51 @@ def terms_of(data: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+_COUNTS = pa.schema(
+    [("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("n", pa.int64()), ("docs", pa.int64())]
+)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
     size = 0
 
-    def out() -> pd.DataFrame:
-        rows = [(*group, t, c, docs[t]) for group, (n, docs) in held.items() for t, c in n.items()]
-        return pd.DataFrame(rows, columns=["lang", "source", "term", "n", "docs"])
+    def out() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, docs) in held.items():
+            names = [pa.repeat(pa.scalar(name, pa.string()), len(n)) for name in (lang, source)]
+            terms, counts = pa.array(n.keys(), pa.binary()), pa.array(n.values(), pa.int64())
+            yield pa.RecordBatch.from_arrays([*names, terms, counts, pa.array(map(docs.__getitem__, n), pa.int64())], schema=_COUNTS)
 
     for batch in batches:
-        for lang, source, data in zip(batch["lang"], batch["source"], batch["data"]):
+        langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
+        for lang, source, text in zip(langs, sources, batch.column("data")):
             n, docs = held.setdefault((lang, source), (Counter(), Counter()))
             before, seen = len(n), set()
-            for some in terms_of(data):
+            for some in terms_of(text.as_py()):
                 n.update(some)
                 seen.update(some)
             docs.update(seen)
             size += len(n) - before
             if size >= HELD_TERMS:
-                yield out()
+                yield from out()
                 held, size = {}, 0
-    yield out()
+    yield from out()
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n (occurrences), docs (rows that have it) for `docs` (text, lang, source); null counts as ''."""
-    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    read = docs.select(name("lang").alias("lang"), name("source").alias("source"), text_of().cast("binary").alias("data"))
-    counted = read.mapInPandas(_counted, "lang string, source string, term binary, n long, docs long")
-    sums = counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    return sums.withColumn("term", F.col("term").cast("string"))
+def kept_counts(docs: DataFrame, least_docs: int) -> DataFrame:
+    """lang, source, term, n, lang_n: the occurrences of each kept term in a source that has it, and in its language.
+
+    Tasks hand over counts, not occurrences, so a term costs a row a source and task however common it is. One exchange
+    by language and term serves the sums by source and those of the language.
+    """
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    read = docs.select(name("lang"), name("source"), text_of().cast("binary").alias("data"))
+    counted = read.mapInArrow(_counted, "lang string, source string, term binary, n long, docs long")
+    sums = counted.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    whole = Window.partitionBy("lang", "term")
+    both = sums.withColumns({"lang_n": F.sum("n").over(whole), "lang_docs": F.sum("docs").over(whole)})
+    kept = both.filter(F.col("lang_docs") >= least_docs)
+    return kept.select("lang", "source", F.col("term").cast("string").alias("term"), "n", "lang_n")
 
 
 def _share(count: str, total: str) -> str:
@@ -149,10 +164,7 @@ def source_divergence(docs: DataFrame, least_docs: int = 30, top: int = 50) -> D
     the language, by that difference, up to rank `top`. Ranks go from 1, values downward, ties by the item's UTF-8.
     Repeated rows count each; ids and other columns are not looked at; no documents give no rows.
     """
-    counts = stored(term_counts(docs), "divergence-counts")
-    by_lang = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-    by_lang = by_lang.filter(F.col("docs") >= least_docs).select("lang", "term", "lang_n")
-    kept = stored(counts.join(by_lang, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"), "divergence-kept")
+    kept = stored(kept_counts(docs, least_docs), "divergence-kept")
     cells = stored(kept.groupBy("lang", "source", "n", "lang_n").agg(F.count(F.lit(1)).alias("m")), "divergence-cells")
     # The language's count of a term is that of its sources, so the language's sizes follow from theirs and the terms.
     sizes = cells.groupBy("lang", "source").agg(F.sum(F.col("n") * F.col("m")).alias("total"))
