@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
+from stratum.functions.names import free_name, quoted
 from stratum.operators.lineage import LINEAGE_COLUMNS, SOURCE_FILE
 from stratum.operators.typed import INGEST_DATE
 
-_RANK = "_rank"
-
 
 def _orderable(t: DataType) -> bool:
     if isinstance(t, (MapType, VariantType)):
@@ -44,7 +43,14 @@ def newest_first(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], tie_breakers: Sequence[str] | None = None
 ) -> list[Column]:
     """:func:`decided_by` as sort order."""
-    return [F.col(c).desc() for c in decided_by(df, keys, order_by, tie_breakers)]
+    return [F.col(quoted(c)).desc() for c in decided_by(df, keys, order_by, tie_breakers)]
+
+
+def first_of(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each group. The rank's column is called what no other one is."""
+    rank = free_name("_rank", df.columns)
+    ranked = F.row_number().over(Window.partitionBy(*(F.col(quoted(c)) for c in group)).orderBy(*order))
+    return df.withColumn(rank, ranked).where(F.col(rank) == 1).drop(rank)
 
 
 def latest_per_key(
@@ -55,5 +61,4 @@ def latest_per_key(
     ``rank = 1`` over ``row_number`` is planned as a group limit on both sides of the exchange: every map task keeps
     one row per key before the shuffle, so a key that holds a large share of the rows sends one row per map task.
     """
-    w = Window.partitionBy(*keys).orderBy(*newest_first(df, keys, order_by, tie_breakers))
-    return df.withColumn(_RANK, F.row_number().over(w)).where(F.col(_RANK) == 1).drop(_RANK)
+    return first_of(df, keys, newest_first(df, keys, order_by, tie_breakers))

@@ -8,8 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-
-_TOUCHED = "_touched"
+from stratum.functions.names import free_name
 
 
 @dataclass(frozen=True)
@@ -39,7 +38,8 @@ def refresh_summary(
     ``touched`` has one column: the new and the previous values of the changed rows, NULL included. A value without
     detail rows vanishes from the result.
     """
-    changed = touched.select(F.col(touched.columns[0]).alias(_TOUCHED)).distinct()
-    kept = old.join(changed, F.col(dim).eqNullSafe(F.col(_TOUCHED)), "left_anti")
-    again = detail.join(changed, summary.dims[dim].eqNullSafe(F.col(_TOUCHED)), "left_semi")
+    name = free_name("_touched", [*old.columns, *detail.columns])
+    changed = touched.select(F.col(touched.columns[0]).alias(name)).distinct()
+    kept = old.join(changed, F.col(dim).eqNullSafe(F.col(name)), "left_anti")
+    again = detail.join(changed, summary.dims[dim].eqNullSafe(F.col(name)), "left_semi")
     return kept.unionByName(summarize(again, summary))

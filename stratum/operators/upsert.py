@@ -6,10 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from stratum.functions.names import free_name, quoted
 from stratum.operators.rejects import split_null_keys
 
-_MATCHES = "_matches"
-
 
 def upsert_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``target`` with the rows of ``source`` merged in on equal keys.
@@ -25,12 +24,13 @@ def upsert_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     keys = list(keys)
     keyed_source, _ = split_null_keys(source, keys)
     keyed, keyless = split_null_keys(target, keys)
-    matches = keyed_source.groupBy(*keys).agg(F.count("*").alias(_MATCHES))
-    n = F.col(_MATCHES)
+    counted = free_name("_matches", target.columns)
+    matches = keyed_source.groupBy(*map(quoted, keys)).agg(F.count("*").alias(counted))
+    n = F.col(counted)
     unmatched = (
         F.when(n.isNull(), F.lit(True))
         .when(n == 1, F.lit(False))
         .otherwise(F.raise_error(F.lit("several source rows match one target row")).cast("boolean"))
     )
-    kept = keyed.join(matches, keys, "left").where(unmatched).select(*target.columns)
+    kept = keyed.join(matches, keys, "left").where(unmatched).select(*map(quoted, target.columns))
     return kept.unionByName(keyless).unionByName(source)

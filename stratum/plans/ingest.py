@@ -5,14 +5,28 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from stratum.functions.payload import field_of
 from stratum.operators import decode_value, enrich_lineage
 from stratum.operators.lineage import FILE_SYSTEM, MESSAGE_SYSTEM
-from stratum.sources import load_schema, rescued_fields, stream_files, stream_messages, track_schema
-from stratum.streaming import append_stream, wait_all
-from stratum.streaming.queries import AVAILABLE_NOW
+from stratum.operators.payload import MESSAGE, RESCUED, VARIANT
+from stratum.sources import load_schema, stream_files, stream_messages
+from stratum.sources.files import ANY_AGE
+from stratum.sources.schemas import (
+    MOST_COLUMNS,
+    RESERVED,
+    SchemaRecord,
+    grown_schema,
+    named_columns,
+    read_record,
+    rescued_names,
+    write_record,
+)
+from stratum.streaming import append_stream, start_batches, wait_all
+from stratum.streaming.queries import AVAILABLE_NOW, with_partitions
 
 Spec = Mapping[str, Any]
 
@@ -28,8 +42,11 @@ def _required(spec: Spec, *names: str) -> Any:
 
 # The keys of a dataset spec.
 _BOTH_KEYS = {"name", "type", "bronze_path", "silver_path", "gold_path", "schema", "format", "partition_cols", "table_format", "batch", "streaming"}
-_FILE_KEYS = _BOTH_KEYS | {"landing_path", "options", "rescue", "autoloader"}
-_MESSAGE_KEYS = _BOTH_KEYS | {"kafka", "checkpointLocation", "keep_source_columns"}
+_FILE_KEYS = _BOTH_KEYS | {"landing_path", "options", "rescue", "max_columns", "autoloader"}
+_MESSAGE_KEYS = _BOTH_KEYS | {"kafka", "checkpointLocation", "keep_source_columns", "keep_payload", "rescue"}
+
+
+_NOTED = "name string, n long"
 
 
 def _known(spec: Spec, keys: set[str]) -> None:
@@ -50,39 +67,84 @@ def ingest_files(spark: SparkSession, spec: Spec) -> StreamingQuery:
     reader, ``rescue``, ``table_format`` (parquet).
 
     JSON fields that the schema does not name are kept in ``_rescued`` unless ``rescue`` is false, and the next start
-    takes them up as columns. Rows from before keep theirs in ``_rescued``.
+    takes them up as columns, the commonest first, up to ``max_columns`` (1,000) columns; the others stay there. Rows from
+    before keep theirs in ``_rescued``. Fields of any name are read: where a column cannot have a field's name, because
+    another has it in another case or the raw layer needs it, a number is appended, and the record at ``schemaLocation``
+    says which column is which field. It also lists all columns of the raw layer, for whoever reads that.
+
+    A start looks at the files that the raw layer has got since the last one, for the names kept aside, and at no others.
     """
     _known(spec, _FILE_KEYS)
     landing, bronze = _required(spec, "landing_path"), _required(spec, "bronze_path")
     fmt, stored = spec.get("format", "json"), spec.get("table_format", "parquet")
     location = _required(spec, "autoloader", "schemaLocation")
-    options = spec.get("options")
-    rescue = bool(spec.get("rescue", fmt == "json"))
-    found = rescued_fields(spark, bronze, stored) if rescue else ()
-    schema = track_schema(spark, landing, location, fmt, _declared(spark, spec), options, found)
-    rows = stream_files(spark, landing, schema, fmt, options, rescue)
-    return append_stream(
-        enrich_lineage(rows, FILE_SYSTEM),
-        bronze,
-        _required(spec, "autoloader", "checkpointLocation"),
-        spec.get("batch", {}).get("trigger", AVAILABLE_NOW),
-        spec.get("partition_cols", ()),
-        stored,
-    )
+    checkpoint = _required(spec, "autoloader", "checkpointLocation")
+    options, partition_by = spec.get("options"), spec.get("partition_cols", ())
+    rescue, most = bool(spec.get("rescue", fmt == "json")), int(spec.get("max_columns", MOST_COLUMNS))
+    known = read_record(spark, location)
+    found = _new_names(spark, bronze, location, stored, known, most) if rescue and known else ()
+    schema = grown_schema(spark, known, landing, fmt, _declared(spark, spec), options, found, most)
+    rows = enrich_lineage(stream_files(spark, landing, schema, fmt, options, rescue), FILE_SYSTEM)
+    write_record(spark, location, known, schema, with_partitions(rows, partition_by).schema)
+    trigger = spec.get("batch", {}).get("trigger", AVAILABLE_NOW)
+    return append_stream(rows, bronze, checkpoint, trigger, partition_by, stored)
+
+
+def _new_names(spark: SparkSession, bronze: str, location: str, fmt: str, known: SchemaRecord, most: int) -> list[str]:
+    """Fields kept aside in files of the raw layer that were not looked at before.
+
+    A stream of its own remembers which were. It reads one column, and of it only row groups that have any value. Names
+    are handed over as the stream goes and recorded by the caller; what a start that is lost in between has seen is noted
+    in the folder of this stream, so that the next one still hears of it.
+    """
+    room = most - len(known.schema.fields)
+    if room <= 0:
+        return []
+    read = [field_of(f) for f in known.schema.fields]
+    noted = f"{location}/_names/found"
+
+    def note(batch: DataFrame, batch_id: int) -> None:
+        names = rescued_names(batch, read, room)
+        if names:
+            batch.sparkSession.createDataFrame(names, _NOTED).coalesce(1).write.mode("append").json(noted)
+
+    try:
+        kept = spark.readStream.schema(f"{RESCUED} string").options(**ANY_AGE).format(fmt).load(bronze)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []  # recorded, but nothing was ever written
+        raise
+    wait_all([start_batches(kept, note, f"{location}/_names/checkpoint")])
+    try:
+        rows = spark.read.schema(_NOTED).json(noted).filter(~F.col("name").isin(read))
+        commonest = rows.groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(room)
+        return [r.name for r in commonest.collect()]
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
 
 
 def ingest_messages(spark: SparkSession, spec: Spec, messages: DataFrame | None = None) -> StreamingQuery:
     """Start the ingest of a message dataset; by default it runs until it is stopped.
 
     Spec: ``kafka`` (see :func:`stratum.sources.message_options`), ``bronze_path``, ``checkpointLocation``; optional
-    ``schema``, ``keep_source_columns``, ``partition_cols``, ``streaming.trigger``, ``table_format``. ``messages`` takes
-    the place of the topic: any stream with a ``value`` column.
+    ``schema``, ``keep_source_columns``, ``keep_payload``, ``rescue``, ``partition_cols``, ``streaming.trigger``,
+    ``table_format``. ``messages`` takes the place of the topic: any stream with a ``value`` column.
+
+    With a ``schema``, fields that it does not name are kept in ``_rescued``, as those of files are, unless ``rescue`` is
+    false; ``keep_payload`` keeps the whole message as a VARIANT in ``payload``, for queries by path. Declared fields that
+    clash with other columns get a number, as those of files do.
     """
     _known(spec, _MESSAGE_KEYS)
     bronze, checkpoint = _required(spec, "bronze_path"), _required(spec, "checkpointLocation")
     if messages is None:
         messages = stream_messages(spark, _required(spec, "kafka"))
-    rows = decode_value(messages, _declared(spark, spec), bool(spec.get("keep_source_columns", False)))
+    declared, keep, payload = _declared(spark, spec), bool(spec.get("keep_source_columns")), bool(spec.get("keep_payload"))
+    if declared is not None:
+        own = [name for name, wanted in ((MESSAGE, keep), (VARIANT, payload)) if wanted]
+        declared = named_columns(declared.fields, reserved={*RESERVED, *own})
+    rows = decode_value(messages, declared, keep, rescue=bool(spec.get("rescue", True)), keep_payload=payload)
     return append_stream(
         enrich_lineage(rows, MESSAGE_SYSTEM),
         bronze,

@@ -11,12 +11,16 @@ from pyspark.sql.types import StructType
 from stratum.operators import apply_types, split_null_keys, stamp_date
 from stratum.operators.lineage import INGEST_TIMESTAMP
 from stratum.sinks import upsert_table
-from stratum.sources import read_layer
+from stratum.sources import read_layer, recorded_layer
 from stratum.sources.files import ANY_AGE
 from stratum.streaming import start_batches
 from stratum.streaming.queries import AVAILABLE_NOW
 
 
+def _columns(spark: SparkSession, schema: StructType | None, schema_location: str | None) -> StructType | None:
+    return recorded_layer(spark, schema_location) if schema is None and schema_location else schema
+
+
 def refine_to_silver(
     spark: SparkSession,
     bronze: str,
@@ -34,6 +38,7 @@ def refine_to_silver(
     fmt: str = "parquet",
     schema: StructType | None = None,
     add_columns: bool = True,
+    schema_location: str | None = None,
     **layout,
 ) -> StreamingQuery:
     """Merge what is new in the raw layer into ``table``; start the query and return it.
@@ -42,14 +47,15 @@ def refine_to_silver(
     key wins. The cost follows the new rows and the buckets they fall in, the result equals a full recompute, and a
     batch that is repeated after a crash changes nothing. ``rejects`` has a folder for every run and batch.
 
-    The raw layer is read with ``schema``, or with all columns that any of its files has when the query starts. Columns
-    that the table lacks are added to it, unless ``add_columns`` is false.
+    The raw layer is read with ``schema``, or with the columns recorded at ``schema_location`` by the ingest, or else with
+    all columns that any of its files has when the query starts, for which the footer of every file is read. Columns that
+    the table lacks are added to it, unless ``add_columns`` is false.
 
     With ``changes`` and ``track`` the values of the tracked column that a batch adds *or takes away* are appended at
     ``changes``, for :func:`stratum.plans.gold.refresh_gold`. ``layout`` goes to
     :func:`stratum.sinks.keyed.upsert_table` (``path``, ``buckets``, ``pieces``, ``sort_by``).
     """
-    columns = schema or read_layer(spark, bronze, fmt).schema
+    columns = _columns(spark, schema, schema_location) or read_layer(spark, bronze, fmt).schema
     raw = spark.readStream.schema(columns).options(**ANY_AGE | dict(options or {})).format(fmt)
 
     def list_changes(values: DataFrame) -> None:
@@ -80,6 +86,7 @@ def refresh_silver(
     fmt: str = "parquet",
     schema: StructType | None = None,
     add_columns: bool = True,
+    schema_location: str | None = None,
     **layout,
 ) -> None:
     """The same merge from the whole raw layer at once: every row it holds is written and stamped anew.
@@ -87,7 +94,8 @@ def refresh_silver(
     Its rejects are all rows without a key, under a run of their own that each full refresh replaces: count either
     ``run='full'`` or the other runs.
     """
-    typed = stamp_date(apply_types(read_layer(spark, bronze, fmt, schema), types))
+    columns = _columns(spark, schema, schema_location)
+    typed = stamp_date(apply_types(read_layer(spark, bronze, fmt, columns), types))
     keyed, without_key = split_null_keys(typed, keys)
     without_key.write.mode("overwrite").parquet(f"{rejects}/run=full/batch=0")
     upsert_table(keyed, table, keys, order_by, tie_breakers, add_columns=add_columns, source_wins_ties=True, **layout)

@@ -74,6 +74,10 @@ from orders""",
     "upsert_stored_one_key": _UPSERT_ORDERS,
     "upsert_two_keys": _UPSERT_LINES,
     "upsert_stored_two_keys": _UPSERT_LINES,
+    "upsert_own_names": f"""with o as ({_UPSERT_ORDERS})
+select o_orderkey, o_orderpriority, o_orderpriority as slot, o_orderkey as key_bucket, o_totalprice as _rank,
+       o_orderpriority as _from_source, o_totalprice as _piece, o_orderkey as _task, o_orderpriority as _change,
+       o_totalprice as _new from o""",
     "upsert_create": "select o_orderkey, o_orderpriority, o_totalprice from orders",
     "daily_gold": _DAILY,
     "daily_gold_refresh": _DAILY,
@@ -83,6 +87,11 @@ from orders""",
     "ingest_files": "select event_id, user_id, event_type, value, props, 'file' as source_system from events",
     "ingest_evolving": """select event_id, event_type, case when event_id % 3 <> 0 then value end as value
        from events""",
+    "ingest_odd_names": """with e as (select *, event_id % 4 <> 0 as late from events)
+select event_id, event_type, case when late then value end as value, case when late then user_id end as user_id,
+       case when late then event_type end as event_type_again, case when late then event_id end as event_id_again,
+       case when late then user_id end as user_id_again, case when late then value end as value_again, true as from_landing
+from e""",
     "stream_continuous": "select event_id, user_id, event_type, value, 'kafka' as source_system from events",
     "overwrite_plain": "select o_orderkey, o_totalprice, o_orderstatus from orders",
     "upsert_recent": """select o_orderkey, o_orderpriority, o_totalprice from orders t
@@ -113,6 +122,8 @@ select cast(null as varchar), order_date, quantity, price, region, true, true fr
     "ingest_partitioned": "select event_id, value, true as same_day from events",
     "ingest_messages_json": """select event_id, user_id, event_type, value, 'kafka' as source_system,
        cast(null as varchar) as source_file from events""",
+    "ingest_messages_undeclared": """select event_id, event_type, user_id, value, 'user_id,value' as kept_aside
+       from events""",
     "ingest_messages_raw": f"{_EVENT_JSON}, 'kafka' as source_system from events",
     "ingest_all_specs": """select event_id, event_type, source_system
 from events, (select unnest(['file', 'kafka']) as source_system)""",

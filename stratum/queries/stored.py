@@ -12,6 +12,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from stratum.functions import field_of, quoted
 from stratum.operators import encode_value
 from stratum.operators.lineage import INGEST_TIMESTAMP
 from stratum.plans import (
@@ -30,8 +31,9 @@ from stratum.queries import data
 from stratum.queries.data import daily_lines, in_cents, table
 from stratum.queries.frames import LINE_COLUMNS, SALES_COLUMNS
 from stratum.session import scratch_dir
-from stratum.sinks import ensure_namespace, export_json, read_current, upsert_table, write_layer
+from stratum.sinks import ensure_namespace, export_json, publish_table, read_current, upsert_table, write_layer
 from stratum.sources import read_layer
+from stratum.sources.schemas import read_record
 from stratum.streaming import wait_all
 
 _EVENT_COLUMNS = ("event_id", "user_id", "event_type", "value")
@@ -124,6 +126,52 @@ def ingest_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layer.select(F.col("event_id").cast("long").alias("event_id"), "event_type", value.cast("double").alias("value"))
 
 
+def _spelled(frame: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """Lines of JSON with the values of the columns as text, under fields of any name."""
+    pairs = [x for field, column in names.items() for x in (F.lit(field), F.col(column).cast("string"))]
+    return frame.select(F.to_json(F.create_map(*pairs)).alias("value"))
+
+
+def ingest_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in four arrivals. From the second on they have fields whose names another column has in another case, the
+    raw layer needs for itself, or no column may have: kept aside once, then columns, and all of them current rows."""
+    home, name = _names(spark, "odd")
+    spec = {**_event_spec(home, sf_dir), "format": "json", "landing_path": f"{home}/landing"}
+    events = table(spark, sf_dir, "events")
+    plain = {"event_id": "event_id", "event_type": "event_type"}
+    odd = {"Event_Type": "value", "_rescued": "user_id", "_metadata": "event_type", "source_file": "event_id", "slot": "user_id", "a.`b`": "value"}
+    for part in range(4):
+        lines = _spelled(events.where(F.col("event_id") % 4 == part), plain if part == 0 else plain | odd)
+        lines.write.mode("append").text(f"{home}/landing")
+        wait_all([ingest_files(spark, spec)])
+        query = refine_to_silver(
+            spark,
+            f"{home}/bronze",
+            name,
+            ["event_id"],
+            {},
+            checkpoint=f"{home}/checkpoints/silver",
+            rejects=f"{home}/rejects",
+            schema_location=f"{home}/schema",
+            path=f"{home}/silver",
+            buckets=8,
+        )
+        wait_all([query])
+    column = {field_of(f): quoted(f.name) for f in read_record(spark, f"{home}/schema").schema.fields}
+    kept = lambda field: F.coalesce(F.col(column[field]), F.element_at(F.from_json("_rescued", "map<string,string>"), field))
+    return read_current(spark, name).select(
+        F.col("event_id").cast("long").alias("event_id"),
+        "event_type",
+        kept("Event_Type").cast("double").alias("value"),
+        kept("_rescued").cast("long").alias("user_id"),
+        kept("_metadata").alias("event_type_again"),
+        kept("source_file").cast("long").alias("event_id_again"),
+        kept("slot").cast("long").alias("user_id_again"),
+        kept("a.`b`").cast("double").alias("value_again"),
+        F.col("source_file").contains("/landing/").alias("from_landing"),
+    )
+
+
 def stream_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A message dataset without a trigger: micro-batches follow one another until the query is stopped."""
     home, _ = _names(spark, "continuous")
@@ -144,6 +192,21 @@ def ingest_messages_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, f"{home}/bronze").select(*_EVENT_COLUMNS, "source_system", "source_file")
 
 
+def ingest_messages_undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which a schema names two fields: the others are kept aside, and can be asked of the whole payload."""
+    home, _ = _names(spark, "undeclared")
+    _write_schema(spark, StructType.fromDDL("event_id long, event_type string"), f"{home}/declared")
+    spec = {**_message_spec(home), "keep_payload": True}
+    wait_all([ingest_messages(spark, spec, _event_messages(spark, sf_dir))])
+    return read_layer(spark, f"{home}/bronze").select(
+        "event_id",
+        "event_type",
+        F.get_json_object("_rescued", "$.user_id").cast("long").alias("user_id"),
+        F.try_variant_get("payload", "$.value", "double").alias("value"),
+        F.array_join(F.array_sort(F.json_object_keys("_rescued")), ",").alias("kept_aside"),
+    )
+
+
 def ingest_messages_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     home, _ = _names(spark, "messages")
     spec = {k: v for k, v in _message_spec(home).items() if k != "schema"}
@@ -206,6 +269,21 @@ def upsert_stored_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(spark, name)
 
 
+def upsert_own_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of current rows whose columns are called what the library calls its own: merged twice, published twice."""
+    home, name = _names(spark, "own")
+
+    def odd(orders: DataFrame) -> DataFrame:
+        own = {"slot": "o_orderpriority", "key_bucket": "o_orderkey", "_rank": "o_totalprice", "_from_source": "o_orderpriority"}
+        own |= {"_piece": "o_totalprice", "_task": "o_orderkey", "_change": "o_orderpriority", "_new": "o_totalprice"}
+        return orders.select("o_orderkey", "o_orderpriority", *(F.col(c).alias(n) for n, c in own.items()))
+
+    for orders in (data.order_prices(spark, sf_dir), data.revised_orders(spark, sf_dir)):
+        upsert_table(odd(orders), name, ["o_orderkey"], buckets=8, path=f"{home}/silver")
+        publish_table(read_current(spark, name), f"{name}_gold", ["slot"], f"{home}/gold")
+    return spark.table(f"{name}_gold")
+
+
 def upsert_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that grow, in buckets of neighbouring keys: a merge of the newest leaves the older buckets alone."""
     home, name = _names(spark, "recent")
@@ -274,6 +352,7 @@ def _refine(
         changes=f"{home}/changes",
         track="order_date",
         options=options,
+        schema_location=f"{home}/schema",
         path=f"{home}/silver",
         buckets=8,
         sort_by=["order_date"],
@@ -342,6 +421,7 @@ def silver_full(spark: SparkSession, sf_dir: str) -> DataFrame:
             _TYPES,
             rejects=f"{home}/rejects",
             order_by=_NEWEST,
+            schema_location=f"{home}/schema",
             path=f"{home}/silver",
             buckets=8,
         )
@@ -369,16 +449,19 @@ STORED_QUERIES = {
         f.__name__: f
         for f in (
             ingest_evolving,
+            ingest_odd_names,
             ingest_restart,
             stream_continuous,
             ingest_partitioned,
             ingest_messages_json,
             ingest_messages_raw,
+            ingest_messages_undeclared,
             ingest_all_specs,
             export_landing,
             overwrite_partitioned,
             overwrite_plain,
             upsert_create,
+            upsert_own_names,
             upsert_recent,
             upsert_stored_one_key,
             upsert_stored_two_keys,

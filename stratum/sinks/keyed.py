@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from stratum.operators.latest import decided_by, newest_first
+from stratum.functions.names import free_name, free_names, quoted
+from stratum.operators.latest import decided_by, first_of, newest_first
 from stratum.operators.rejects import has_null_key, split_null_keys
 from stratum.sinks import tables
 from stratum.sources.tables import table_exists
 
+# The partition column; a number follows where the rows have a column of that name when the table is created.
 BUCKET = "key_bucket"
 KEYLESS = -1
 UNPLACED = -2
 # Buckets below zero for keys that ``bucket_by`` has no number for.
 UNPLACED_BUCKETS = 64
-_FROM_SOURCE = "_from_source"
-_PIECE = "_piece"
-_TASK = "_task"
-_RANK = "_rank"
-_WAS, _HAD, _NEW = "_was", "_had", "_new"
 _KEYS_PROPERTY = "stratum.keys"
 _BUCKET_PROPERTY = "stratum.bucket"
+_COLUMN_PROPERTY = "stratum.bucket_column"
 _PIECES_PROPERTY = "stratum.pieces"
 _SORT_PROPERTY = "stratum.sort"
 # The one format that the keyed layout is written in; others must have row-level operations.
@@ -31,13 +31,23 @@ _FILES = "parquet"
 _REPEATED = "several source rows have one key"
 
 
+@dataclass(frozen=True)
+class _Layout:
+    """How a keyed table was created: partition column, expression over the keys, tasks a bucket, order inside files."""
+
+    bucket: str
+    expression: str
+    pieces: int
+    sort_by: Sequence[str]
+
+
 class DuplicateSourceKeys(ValueError):
     """Several source rows share a key, so it is open which one a target row should become."""
 
 
 def hash_bucket(keys: Sequence[str], buckets: int) -> str:
     """SQL expression that spreads keys evenly over ``buckets``."""
-    return f"cast(pmod(xxhash64({', '.join(f'`{k}`' for k in keys)}), {buckets}) as int)"
+    return f"cast(pmod(xxhash64({', '.join(map(quoted, keys))}), {buckets}) as int)"
 
 
 def key_bucket(keys: Sequence[str], expression: str) -> Column:
@@ -53,7 +63,8 @@ def read_current(spark: SparkSession, table: str) -> DataFrame:
     """The table's rows, as of now, without the layout column."""
     # Another session (a stream has its own) may have moved partitions since this one last looked.
     spark.catalog.refreshTable(table)
-    return spark.table(table).drop(BUCKET)
+    rows = spark.table(table)
+    return rows.drop(_properties(spark, table).get(_COLUMN_PROPERTY, BUCKET))
 
 
 def upsert_table(
@@ -109,43 +120,52 @@ def upsert_table(
         return
     else:
         _create(source, table, keys, bucket_by or hash_bucket(keys, buckets), pieces or 1, sort_by or (), path)
-    expression, pieces, sort_by = _layout(spark, table, keys, pieces, sort_by)
-    source = _conformed(source, table, add_columns).withColumn(BUCKET, key_bucket(keys, expression))
-    touched = [r[0] for r in source.select(BUCKET).distinct().collect()]  # a small row per bucket
+    layout = _layout(spark, table, keys, pieces, sort_by)
+    source = _conformed(source, table, add_columns, layout.bucket)
+    source = source.withColumn(layout.bucket, key_bucket(keys, layout.expression))
+    touched = [r[0] for r in source.select(quoted(layout.bucket)).distinct().collect()]  # a small row per bucket
     keyed, without_key = split_null_keys(source, keys)
     with_key = [b for b in touched if b != KEYLESS]
     if with_key:
         # The literal list prunes partitions: the other buckets are not even listed.
-        target = spark.table(table).where(tables.listed(F.col(BUCKET), with_key))
-        occupied = tables.occupied_slots(spark, table, BUCKET, with_key)
-        newest = newest_first(keyed.drop(BUCKET), keys, order_by, tie_breakers) if order_by else []
+        target = spark.table(table).where(tables.listed(F.col(quoted(layout.bucket)), with_key))
+        occupied = tables.occupied_slots(spark, table, layout.bucket, with_key)
+        newest = newest_first(keyed.drop(layout.bucket), keys, order_by, tie_breakers) if order_by else []
         stored_first = bool(newest) and not source_wins_ties
-        noted = track if note else None
-        merged = _merged(target, keyed, keys, newest, stored_first, occupied, len(with_key), pieces, sort_by, noted)
+        slot = tables.slot_column(source.columns)
+        # No two merges call it the same, so it is no column of the data, now or later.
+        change, noted = f"_change_{uuid.uuid4().hex}", track if note else None
+        merged = _merged(
+            target, keyed, keys, newest, stored_first, occupied, len(with_key), layout.pieces, layout.sort_by, noted,
+            layout.bucket, slot, change,
+        )
         root = tables.table_location(spark, table)
         try:
-            tables.write_slots(merged, root, BUCKET)
+            tables.write_slots(merged, root, layout.bucket, slot)
         except PySparkException as e:
             if _REPEATED in str(e):
                 raise DuplicateSourceKeys(f"source rows are not unique on {keys}") from e
             raise
         if noted:
-            note(_changed_values(spark, table, root, occupied, with_key, track))
-        tables.point_partitions(spark, table, root, BUCKET, occupied, with_key)
+            paths = [tables.slot_folder(root, slot, layout.bucket, b, occupied) for b in with_key]
+            note(_changed_values(spark, table, paths, change, track))
+        tables.point_partitions(spark, table, root, layout.bucket, occupied, with_key)
     if KEYLESS in touched:
         # A plain append, not shuffled: however many rows lack a key, they stay spread over the tasks that read them.
-        without_key.select(*spark.table(table).columns).write.insertInto(table)
+        without_key.select(*map(quoted, spark.table(table).columns)).write.insertInto(table)
         if track and note:
-            note(without_key.select(track).distinct())
+            note(without_key.select(quoted(track)).distinct())
 
 
 def _create(
     source: DataFrame, table: str, keys: Sequence[str], expression: str, pieces: int, sort_by: Sequence[str], path: str | None
 ) -> None:
-    empty = source.withColumn(BUCKET, F.lit(KEYLESS)).limit(0)
-    tables.create_table(empty, table, [BUCKET], path)
+    bucket = free_name(BUCKET, source.columns)
+    empty = source.withColumn(bucket, F.lit(KEYLESS)).limit(0)
+    tables.create_table(empty, table, [bucket], path)
     properties = {
         _KEYS_PROPERTY: ",".join(keys),
+        _COLUMN_PROPERTY: bucket,
         _BUCKET_PROPERTY: expression,
         _PIECES_PROPERTY: str(pieces),
         _SORT_PROPERTY: ",".join(sort_by),
@@ -158,36 +178,40 @@ def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def _layout(
-    spark: SparkSession, table: str, keys: Sequence[str], pieces: int | None, sort_by: Sequence[str] | None
-) -> tuple[str, int, list[str]]:
-    """Bucket expression, pieces and sort order that the table was created with."""
-    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def _layout(spark: SparkSession, table: str, keys: Sequence[str], pieces: int | None, sort_by: Sequence[str] | None) -> _Layout:
+    properties = _properties(spark, table)
     if properties.get(_KEYS_PROPERTY) != ",".join(keys):
         raise ValueError(f"{table} is not laid out by the keys {list(keys)}")
     stored_pieces = int(properties.get(_PIECES_PROPERTY, 1))
     stored_sort = [c for c in properties.get(_SORT_PROPERTY, "").split(",") if c]
     if pieces not in (None, stored_pieces) or (sort_by is not None and list(sort_by) != stored_sort):
         raise ValueError(f"{table} was created with pieces={stored_pieces} and sort_by={stored_sort}")
-    return properties[_BUCKET_PROPERTY], stored_pieces, stored_sort
+    return _Layout(properties.get(_COLUMN_PROPERTY, BUCKET), properties[_BUCKET_PROPERTY], stored_pieces, stored_sort)
 
 
-def _conformed(source: DataFrame, table: str, add_columns: bool) -> DataFrame:
+def _conformed(source: DataFrame, table: str, add_columns: bool, bucket: str | None = None) -> DataFrame:
     """The source with the columns and types of the table: files of another type could not be read next to the rest."""
     spark = source.sparkSession
     stored = read_current(spark, table).schema
     new = [f for f in source.schema.fields if f.name not in stored.fieldNames()]
     if new and add_columns:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        if bucket and bucket.lower() in {f.name.lower() for f in new}:
+            raise ValueError(f"{table} is partitioned by a column of its own called {bucket}: give the new one another name")
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
         stored = read_current(spark, table).schema
     missing = [n for n in stored.fieldNames() if n not in source.columns]
     if missing:
         raise ValueError(f"source of {table} lacks {missing}")
     have = source.schema
+    column = lambda f: F.col(quoted(f.name))
     return source.select(
         *(
-            F.col(f.name) if have[f.name].dataType == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
+            column(f) if have[f.name].dataType == f.dataType else column(f).cast(f.dataType).alias(f.name)
             for f in stored.fields
         )
     )
@@ -204,56 +228,54 @@ def _merged(
     pieces: int,
     sort_by: Sequence[str],
     track: str | None = None,
+    bucket_column: str = BUCKET,
+    slot: str = tables.SLOT,
+    change: str = "_change",
 ) -> DataFrame:
     """Touched buckets after the merge, each row with the slot its bucket goes to.
 
-    Without an order, a second source row of a key raises while the rows are ranked. With ``track`` a new row also says
-    whether it replaces a stored one and which tracked value that had.
+    Without an order, a second source row of a key raises while the rows are ranked. With ``track``, ``change`` says of
+    each row whether it is new, whether it replaces a stored one, and which tracked value that had. The columns that are
+    only here on the way have names that no column of the data has.
     """
     if newest:
         # Repeated keys leave before the rows meet the target: at most one row per key and map task is shuffled.
-        keyed = _first(keyed, [BUCKET, *keys], newest)
-    both = target.withColumn(_FROM_SOURCE, F.lit(0)).unionByName(keyed.withColumn(_FROM_SOURCE, F.lit(1)))
-    side = F.col(_FROM_SOURCE).asc() if stored_first else F.col(_FROM_SOURCE).desc()
-    layout = [tables.SLOT, BUCKET, _PIECE]
+        keyed = first_of(keyed, [bucket_column, *keys], newest)
+    bucket = F.col(quoted(bucket_column))
+    from_source, piece, task, rank = free_names(("_from_source", "_piece", "_task", "_rank"), [*target.columns, slot])
+    both = target.withColumn(from_source, F.lit(0)).unionByName(keyed.withColumn(from_source, F.lit(1)))
+    side = F.col(from_source).asc() if stored_first else F.col(from_source).desc()
+    folders = [F.col(slot), bucket, F.col(piece)]
     tasks = max(1, buckets * pieces)
-    piece = F.pmod(F.hash(*keys), F.lit(pieces))
-    placed = both.withColumns({tables.SLOT: tables.free_slot(BUCKET, occupied), _PIECE: piece}).withColumn(
-        _TASK, F.pmod(F.col(BUCKET).cast("long") * pieces + F.col(_PIECE), F.lit(tasks)).cast("int")
-    )
+    columns = [F.col(quoted(k)) for k in keys]
+    placed = both.withColumns(
+        {slot: tables.free_slot(bucket_column, occupied), piece: F.pmod(F.hash(*columns), F.lit(pieces))}
+    ).withColumn(task, F.pmod(bucket.cast("long") * pieces + F.col(piece), F.lit(tasks)).cast("int"))
     # Keys are unique on either side by now, so buckets are even, and each piece of a bucket is a task. This one
     # exchange serves the ranking and the layout of the files: the window's order starts with the folders written.
-    key = Window.partitionBy(_TASK, *layout, *keys)
-    ranked = placed.repartitionById(tasks, F.col(_TASK)).withColumn(_RANK, F.row_number().over(key.orderBy(*newest, side)))
+    key = Window.partitionBy(task, *folders, *columns)
+    ranked = placed.repartitionById(tasks, F.col(task)).withColumn(rank, F.row_number().over(key.orderBy(*newest, side)))
     if track:
-        stored = F.col(_FROM_SOURCE) == 0
-        ranked = ranked.withColumns(
-            {_HAD: F.max(stored).over(key), _WAS: F.max(F.when(stored, F.col(track))).over(key), _NEW: ~stored}
-        )
-    first = F.col(_RANK) == 1
+        stored = F.col(from_source) == 0
+        was = F.max(F.when(stored, F.col(quoted(track)))).over(key)
+        ranked = ranked.withColumn(change, F.struct(F.max(stored).over(key).alias("had"), was.alias("was"), (~stored).alias("new")))
+    first = F.col(rank) == 1
     if not newest:
-        again = (F.col(_RANK) > 1) & (F.col(_FROM_SOURCE) == 1)
+        again = (F.col(rank) > 1) & (F.col(from_source) == 1)
         first = F.when(again, F.raise_error(F.lit(_REPEATED)).cast("boolean")).otherwise(first)
     merged = ranked.where(first)
     if sort_by:
-        merged = merged.sortWithinPartitions(*layout, *sort_by)
-    return merged.drop(_FROM_SOURCE, _PIECE, _TASK, _RANK)
+        merged = merged.sortWithinPartitions(*folders, *(F.col(quoted(c)) for c in sort_by))
+    return merged.drop(from_source, piece, task, rank)
 
 
-def _changed_values(
-    spark: SparkSession, table: str, root: str, occupied: dict[int, int | None], buckets: Sequence[int], track: str
-) -> DataFrame:
-    """Tracked values that the files just written add or take away, read off those files: three of their columns."""
+def _changed_values(spark: SparkSession, table: str, paths: Sequence[str], change: str, track: str) -> DataFrame:
+    """Tracked values that the files just written add or take away, read off those files: two of their columns."""
     kind = spark.table(table).schema[track].dataType.simpleString()
-    paths = [f"{root}/{tables.SLOT}={1 if occupied.get(b) == 0 else 0}/{BUCKET}={b}" for b in buckets]
-    fields = f"`{track}` {kind}, {_HAD} boolean, {_WAS} {kind}, {_NEW} boolean"
-    rows = spark.read.schema(fields).parquet(*paths).where(_NEW)
-    return rows.select(track).unionByName(rows.where(_HAD).select(F.col(_WAS).alias(track))).distinct()
-
-
-def _first(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn(_RANK, rank).where(F.col(_RANK) == 1).drop(_RANK)
+    name = quoted(track)
+    fields = f"{name} {kind}, {change} struct<had: boolean, was: {kind}, new: boolean>"
+    rows = spark.read.schema(fields).parquet(*paths).where(f"{change}.new")
+    return rows.select(name).unionByName(rows.where(f"{change}.had").select(F.col(change)["was"].alias(track))).distinct()
 
 
 def merge_rows(
@@ -274,7 +296,7 @@ def merge_rows(
     if order_by:
         newest = newest_first(source, keys, order_by, tie_breakers)
         keyed, without_key = split_null_keys(source, keys)
-        source = _first(keyed, keys, newest).unionByName(without_key)
+        source = first_of(keyed, keys, newest).unionByName(without_key)
         deciding = decided_by(source, keys, order_by, tie_breakers)
         matched = newer("source", table, deciding, source_wins_ties)
     if track and note:

@@ -11,10 +11,13 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from stratum.functions.names import free_name, quoted
 from stratum.sinks.files import gather
 from stratum.sources.tables import table_exists
 
+# The folder of a slot; a number follows where the rows have a column of that name.
 SLOT = "slot"
+_IN_SLOT = re.compile(rf"/{SLOT}(?:_\d+)?=([01])/[^/]*$")
 _NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
 _SPECS_PER_STATEMENT = 200
 _STATEMENTS_AT_A_TIME = 8
@@ -91,7 +94,7 @@ def _declare(df: DataFrame, table: str, partition_by: Sequence[str], location: s
     if namespace:
         ensure_namespace(spark, namespace)
     columns = df.select(*(c for c in df.columns if c not in partition_by), *partition_by).schema.toDDL()
-    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    parts = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
     spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}{parts} LOCATION '{location}'")
     if partition_by:
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
@@ -151,7 +154,7 @@ def occupied_slots(spark: SparkSession, table: str, part: str, values: Sequence[
     existing = _existing(spark, table)
     there = [v for v in values if _directory(part, v) in existing]
     locations = _each(lambda v: _partition_location(spark, table, part, v), there)
-    slots = (re.search(rf"/{SLOT}=([01])/[^/]*$", location) for location in locations)
+    slots = (_IN_SLOT.search(location) for location in locations)
     return {v: int(slot[1]) if slot else None for v, slot in zip(there, slots)}
 
 
@@ -160,7 +163,7 @@ def _existing(spark: SparkSession, table: str) -> set[str]:
 
 
 def _partition_location(spark: SparkSession, table: str, part: str, value: Value) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({part}={_literal(value)})").collect()
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({quoted(part)}={_literal(value)})").collect()
     start = next(i for i, r in enumerate(rows) if r.col_name == "# Detailed Partition Information")
     return next(r.data_type for r in rows[start:] if r.col_name == "Location").rstrip("/")
 
@@ -173,15 +176,20 @@ def _each(task: Callable[[Any], Any], items: Sequence[Any]) -> list[Any]:
 
 def free_slot(part: str, occupied: dict[Value, int | None]) -> Column:
     """For each row the slot its partition may be written to: the one that nobody reads."""
-    return F.when(listed(F.col(part), [v for v, slot in occupied.items() if slot == 0]), 1).otherwise(0)
+    return F.when(listed(F.col(quoted(part)), [v for v, slot in occupied.items() if slot == 0]), 1).otherwise(0)
 
 
-def write_slots(rows: DataFrame, root: str, part: str) -> None:
-    """Write rows, which carry their free slot, below ``root``. Only the directories written to are replaced."""
+def slot_column(columns: Iterable[str]) -> str:
+    """What the column is called that rows with these columns carry their slot in, and so the slot's folder."""
+    return free_name(SLOT, columns)
+
+
+def write_slots(rows: DataFrame, root: str, part: str, slot: str) -> None:
+    """Write rows, which carry their free slot in ``slot``, below ``root``. Only the directories written to are replaced."""
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SLOT, part)
+        .partitionBy(slot, part)
         .parquet(root)
     )
 
@@ -202,17 +210,23 @@ def replace_partitions(
     occupied = occupied_slots(spark, table, part, values)
     # Which partitions were written is noted while they are: one value per partition.
     seen = Observation()
-    noted = rows.select(*spark.table(table).columns).observe(
-        seen, F.collect_set(part).alias("values"), F.max(F.col(part).isNull()).alias("missing")
+    columns = spark.table(table).columns
+    noted = rows.select(*map(quoted, columns)).observe(
+        seen, F.collect_set(quoted(part)).alias("values"), F.max(F.col(quoted(part)).isNull()).alias("missing")
     )
-    root = table_location(spark, table)
-    write_slots(place(noted.withColumn(SLOT, free_slot(part, occupied)), [SLOT, part]), root, part)
+    root, slot = table_location(spark, table), slot_column(columns)
+    write_slots(place(noted.withColumn(slot, free_slot(part, occupied)), [slot, part]), root, part, slot)
     found = seen.get
     written = {v for v in found["values"] if v != ""} | ({None} if found["missing"] or "" in found["values"] else set())
     emptied = {*values} - written
     point_partitions(spark, table, root, part, occupied, written, emptied)
 
 
+def slot_folder(root: str, slot: str, part: str, value: Value, occupied: dict[Value, int | None]) -> str:
+    """Where a partition's rows are written that the slot nobody reads is meant for."""
+    return f"{root}/{slot}={1 if occupied.get(value) == 0 else 0}/{_directory(part, value)}"
+
+
 def point_partitions(
     spark: SparkSession,
     table: str,
@@ -228,21 +242,19 @@ def point_partitions(
     their old or new state; running it again completes it. The slot left behind is overwritten by the next write to
     the same partition, so at most two copies of a partition exist and running readers keep theirs until then.
     """
-    existing = _existing(spark, table)
+    existing, slot = _existing(spark, table), slot_column(spark.table(table).columns)
     switched, added = [], []
     for value in written:
-        directory = _directory(part, value)
-        slot = 1 if occupied.get(value) == 0 else 0
-        location = f"LOCATION '{_quoted(f'{root}/{SLOT}={slot}/{directory}')}'"
-        spec = f"PARTITION ({part}={_literal(value)})"
-        if directory in existing:
+        location = f"LOCATION '{_quoted(slot_folder(root, slot, part, value, occupied))}'"
+        spec = f"PARTITION ({quoted(part)}={_literal(value)})"
+        if _directory(part, value) in existing:
             switched.append(f"ALTER TABLE {table} {spec} SET {location}")
         else:
             added.append(f"{spec} {location}")
     _each(spark.sql, switched)
     for chunk in _chunks(added):
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(chunk)}")
-    for chunk in _chunks([f"PARTITION ({part}={_literal(v)})" for v in emptied]):
+    for chunk in _chunks([f"PARTITION ({quoted(part)}={_literal(v)})" for v in emptied]):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(chunk)}")
     spark.catalog.refreshTable(table)
 
@@ -250,9 +262,12 @@ def point_partitions(
 def _directory(part: str, value: Value) -> str:
     """The folder that Spark writes a partition value to."""
     if value is None or value == "":
-        return f"{part}={_NULL_DIR}"
-    text = str(value).lower() if isinstance(value, bool) else str(value)
-    return f"{part}=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in text)
+        return f"{_escaped(part)}={_NULL_DIR}"
+    return f"{_escaped(part)}={_escaped(str(value).lower() if isinstance(value, bool) else str(value))}"
+
+
+def _escaped(text: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in text)
 
 
 def _named(directory: str, read: Callable[[str], Value]) -> Value:

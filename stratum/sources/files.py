@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from stratum.operators.payload import CORRUPT
-from stratum.sources.schemas import RESCUED
+from stratum.functions.names import free_name, quoted
+from stratum.functions.payload import FIELD, field_of, json_payload, undeclared_fields
+from stratum.operators.payload import CORRUPT, RESCUED
 
 _LINE = "value"
 # The file source forgets files older than this, counted back from the newest, and never reads them.
@@ -30,38 +31,41 @@ def stream_files(
     malformed lines in ``_corrupt_record``. With ``rescue`` it also keeps fields that the schema does not name, as a
     JSON object in ``_rescued`` (NULL when there are none). ``options`` go to the reader: ``maxFilesPerTrigger`` or
     ``maxBytesPerTrigger`` bound a micro-batch, ``pathGlobFilter`` selects files.
+
+    A column of ``schema`` whose metadata names a field is read from that field (see
+    :func:`stratum.sources.schemas.named_columns`). With ``rescue`` JSON fields may differ in case alone.
     """
     reader = spark.readStream.options(**ANY_AGE | dict(options or {}))
     if fmt != "json":
         if rescue:
             raise ValueError("rescue applies to JSON files")
-        return reader.schema(schema).format(fmt).load(path)
+        return _renamed(reader.schema(_fields(schema)).format(fmt).load(path), schema)
     if rescue:
-        return _rescuing(reader.format("text").load(path), schema)
-    return (
-        reader.schema(_with_corrupt(schema))
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .format("json")
-        .load(path)
-    )
+        return _rescuing(reader.format("text").load(path), schema, options)
+    fields, corrupt = _fields(schema), CORRUPT
+    if CORRUPT not in schema.fieldNames():
+        corrupt = free_name(CORRUPT, fields.fieldNames())
+        fields = StructType([*fields.fields, StructField(corrupt, StringType())])
+        schema = StructType([*schema.fields, StructField(CORRUPT, StringType(), True, {FIELD: corrupt})])
+    return _renamed(reader.schema(fields).option("columnNameOfCorruptRecord", corrupt).format("json").load(path), schema)
+
+
+def _fields(schema: StructType) -> StructType:
+    return StructType([StructField(field_of(f), f.dataType, f.nullable) for f in schema.fields])
 
 
-def _with_corrupt(schema: StructType) -> StructType:
-    if CORRUPT in schema.fieldNames():
-        return schema
-    return StructType([*schema.fields, StructField(CORRUPT, StringType())])
+def _renamed(rows: DataFrame, schema: StructType) -> DataFrame:
+    """Columns by their names in the layer, beside the scan's own metadata; untouched where no name differs."""
+    if all(f.name == field_of(f) for f in schema.fields):
+        return rows
+    columns = [F.col(quoted(field_of(f))).alias(f.name) for f in schema.fields]
+    return rows.select(*columns, rows.metadataColumn("_metadata"))
 
 
-def _rescuing(lines: DataFrame, schema: StructType) -> DataFrame:
-    declared = F.array(*[F.lit(name) for name in schema.fieldNames()])
-    parsed = F.from_json(_LINE, _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
-    # Field names are compared on the Spark side: nothing here depends on which fields a file happens to have.
-    # Only lines with other names are parsed a second time.
-    extra = F.map_filter(F.from_json(_LINE, "map<string,string>"), lambda name, _: ~F.array_contains(declared, name))
-    others = F.array_except(F.json_object_keys(_LINE), declared)
-    rescued = F.when(F.array_size(others) > 0, F.to_json(extra))
-    fields = parsed.alias("data")
+def _rescuing(lines: DataFrame, schema: StructType, options: Mapping[str, str] | None) -> DataFrame:
+    parsed = json_payload(F.col(_LINE), schema, CORRUPT, options)
     # _metadata stays available to the lineage operator because it is selected through.
-    return lines.where(F.trim(_LINE) != "").select(fields, rescued.alias(RESCUED), "_metadata").select(
-        "data.*", RESCUED, "_metadata"
+    kept = lines.where(F.trim(_LINE) != "").select(
+        parsed.alias("data"), undeclared_fields(F.col(_LINE), schema).alias(RESCUED), "_metadata"
     )
+    return kept.select("data.*", RESCUED, "_metadata")

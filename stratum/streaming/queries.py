@@ -24,6 +24,13 @@ def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWrite
     return writer.trigger(processingTime=trigger)
 
 
+def with_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The frame with the partition column ``ingest_date``, if it is one and not there yet."""
+    if INGEST_DATE in partition_by and INGEST_DATE not in df.columns:
+        return df.withColumn(INGEST_DATE, F.to_date(INGEST_TIMESTAMP))
+    return df
+
+
 def append_stream(
     df: DataFrame,
     path: str,
@@ -36,10 +43,9 @@ def append_stream(
 
     A partition column ``ingest_date`` that the frame lacks is taken from its ingest time.
     """
-    if INGEST_DATE in partition_by and INGEST_DATE not in df.columns:
-        df = df.withColumn(INGEST_DATE, F.to_date(INGEST_TIMESTAMP))
     writer = (
-        df.writeStream.format(fmt)
+        with_partitions(df, partition_by)
+        .writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .partitionBy(*partition_by)
