@@ -4,8 +4,8 @@ Bytes are embedded, filters of several widths run over a window of fixed length,
 in the window, and a softmax over these gives the language. A text is cut into windows that overlap by the widest
 filter, so no run of bytes is missed; its prediction is the mean of its windows' log-probabilities, weighted by length.
 
-Training takes a bounded sample on the driver: at most `docs_per_lang` documents a language and `most_langs` languages,
-a few crops of each. Everything else is applied to all rows, in batches of windows inside the tasks.
+Training takes a bounded sample on the driver: at most about `docs_per_lang` documents a language, fewer where there are so
+many languages that the whole would go beyond `docs`, a few crops of each. Every language is learned. Everything else is applied to all rows, in batches of windows inside the tasks.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratum.llm.common import table
+from stratum.llm.common import row_struct, table
 
 PAD = 256
 UNDETERMINED = "und"
@@ -32,7 +32,7 @@ class Settings:
     filters: int = 16
     embedding: int = 8
     docs_per_lang: int = 400
-    most_langs: int = 200
+    docs: int = 80_000
     crops: int = 3
     steps: int = 700
     batch: int = 64
@@ -162,28 +162,32 @@ def held_out(doc_id: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
 
 
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Network:
-    """A network fitted on a bounded sample of `labelled` (doc_id, text, lang); rows without text or lang are left out.
+    """A network fitted on a bounded sample of `labelled` (doc_id, text, lang).
 
-    Languages beyond the `most_langs` commonest ones are not learned. Without any rows there are no labels, and every
-    text is undetermined.
+    Rows without lang, text, or a letter in it are left out before anything is counted. Every other lang is learned.
+    Of each the rows with the smallest hashes of id and text are taken, copies once, so null or repeated ids make no
+    difference. Without any rows there are no labels, and every text is undetermined.
     """
     rows = labelled.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = labelled.filter(F.col("lang").isNotNull()).groupBy(F.col("lang").cast("string").alias("lang")).count()
-    common = counts.orderBy(F.desc("count"), "lang").limit(settings.most_langs).collect()
-    if not common:
+    rows = rows.withColumn("h", F.xxhash64("doc_id", "text"))
+    found = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"), F.min("h").alias("first"))
+    counts = found.orderBy("lang").collect()  # a row a language
+    if not counts:
         return Network([], settings)
-    # Each language is thinned by a hash of the id to about its bound before anything is collected.
-    rate = F.create_map(*[F.lit(x) for row in common for x in (row["lang"], max(1, row["count"]))])
-    share = F.pmod(F.xxhash64("doc_id", "lang"), F.element_at(rate, F.col("lang")))
-    chosen = rows.filter(share < settings.docs_per_lang)
+    # Each language is thinned by a hash to about its bound before anything is collected.
+    most = max(1, min(settings.docs_per_lang, settings.docs // len(counts)))
+    rate = F.create_map(*[F.lit(x) for row in counts for x in (row["lang"], max(1, row["n"]))])
+    first = F.create_map(*[F.lit(x) for row in counts for x in (row["lang"], row["first"])])
+    one = F.col("h") == F.element_at(first, F.col("lang"))  # so that no language is left out by chance
+    chosen = rows.filter((F.pmod("h", F.element_at(rate, F.col("lang"))) < most) | one)
     starts = F.greatest(F.lit(1), F.length("text") - settings.window)
     crops = [
-        F.substr("text", (F.pmod(F.xxhash64("doc_id", F.lit(i)), starts) + 1).cast("int"), F.lit(settings.window))
+        F.substr("text", (F.pmod(F.xxhash64("h", F.lit(i)), starts) + 1).cast("int"), F.lit(settings.window))
         for i in range(settings.crops)
     ]
-    most = 2 * settings.docs_per_lang * len(common)
-    sample = chosen.select("lang", F.xxhash64("doc_id", "text").alias("h"), F.array(*crops).alias("crops")).limit(most).toPandas()
+    once = chosen.groupBy("lang", "h").agg(F.min(F.array(*crops)).alias("crops"))
+    sample = once.orderBy("h", "lang").limit((2 * most + 1) * len(counts)).toPandas()
     sample = sample.sort_values(["lang", "h"])
     labels = sorted(sample["lang"].unique())
     network = Network(labels, settings)
@@ -225,8 +229,8 @@ def predict(docs: DataFrame, network: Network) -> DataFrame:
 def accepted(docs: DataFrame, settings: Settings = Settings(), least: float = 0.3) -> DataFrame:
     """The rows of `docs` (doc_id, text, lang) whose language a network fitted on them tells with that score at least."""
     network = fit(docs.filter(~held_out()), settings)
-    sure = (F.col("_told.lang") != UNDETERMINED) & (F.col("_told.score") >= least)
-    return docs.withColumn("_told", language(network)).filter(sure).drop("_told")
+    told = docs.select(row_struct(docs).alias("row"), language(network).alias("told"))
+    return told.filter((F.col("told.lang") != UNDETERMINED) & (F.col("told.score") >= least)).select("row.*")
 
 
 def op4_language_id(spark, sf_dir: str) -> DataFrame:

@@ -53,6 +53,54 @@ def test_the_middle_of_a_long_text_counts(spark):
     assert [network.labels[i] for i in best] == ["de", "es"]
 
 
+def test_predictions_against_a_loop_over_all_windows(spark):
+    """One text, one window and one filter at a time."""
+    rng = np.random.default_rng(4)
+    settings = langid.Settings(window=24, filters=3, embedding=4, widths=(2, 3), steps=30)
+    words = {"a": "uno dos tres ñu", "b": "eins zwei über", "c": "одно два"}
+    rows = [(i, " ".join(rng.choice(words[x].split(), 12)), x) for i in range(60) for x in words]
+    network = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), settings)
+    texts = ["uno", "eins zwei " * 40, "x", "два " * 33 + "tres", "ñ" * 100, "12 a"]
+    p = {k: v.astype(float) for k, v in network.parameters.items()}
+
+    def plain(text):
+        data = list(text.encode())
+        total, logs = 0, np.zeros(len(network.labels))
+        for at in range(0, max(1, len(data) - 2), settings.window - 2):
+            part = data[at : at + settings.window]
+            window = part + [256] * (settings.window - len(part))
+            features = []
+            for w in settings.widths:
+                for f in range(settings.filters):
+                    best = max(
+                        sum(p["bytes"][window[i + j]] @ p[f"conv{w}"][j * 4 : j * 4 + 4, f] for j in range(w))
+                        for i in range(len(window) - w + 1)
+                    )
+                    features.append(max(0.0, best + p[f"bias{w}"][f]))
+            out = np.array(features) @ p["out"] + p["out_bias"]
+            logs += len(part) * (out - np.log(np.exp(out).sum()))
+            total += len(part)
+        mean = np.exp(logs / total)
+        return network.labels[mean.argmax()], mean.max() / mean.sum()
+
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in langid.predict(frame, network).collect():
+        label, score = plain(texts[r.doc_id])
+        assert r.lang_pred == label and r.score == pytest.approx(score, rel=1e-3)
+
+
+def test_every_language_is_learned(spark):
+    """Whatever share of its rows has no text or no id, however often they repeat, and however many languages there are."""
+    rows = [(i, None if i % 50 else f"wort{i} und satz", "de") for i in range(3000)]
+    rows += [(None, f"the word {i}", "en") for i in range(600)] + [(None, "le mot", "fr")] * 2000
+    rows += [(9000 + i, f"lang {chr(97 + i % 26)}{i}", f"x{i}") for i in range(230)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = langid.fit(frame, langid.Settings(steps=2, docs_per_lang=40, docs=500))
+    assert network.labels == sorted({"de", "en", "fr", *(f"x{i}" for i in range(230))})
+    again = langid.fit(frame.repartition(7), langid.Settings(steps=2, docs_per_lang=40, docs=500))
+    assert all((network.parameters[k] == again.parameters[k]).all() for k in network.parameters)
+
+
 def test_only_text_decides_and_odd_rows(spark):
     odd = odd_documents(spark)
     network = langid.fit(odd, langid.Settings(steps=40))
