@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from stratum.functions import quoted
 from stratum.session import scratch_dir
 
 # Space, tab, line feed, vertical tab, form feed, carriage return: what separates words here.
@@ -32,14 +33,34 @@ def text_key(column: str = "text") -> Column:
     return F.xxhash64(text_of(column))
 
 
-def chosen_rows(docs: DataFrame, chosen: DataFrame, extra: str | None = None) -> DataFrame:
-    """The rows of `docs` that `chosen` (doc_id, key) names by doc_id, which may be null, and `text_key`; each once.
+def row_struct(docs: DataFrame) -> Column:
+    """A whole row as one value: the caller's columns, whatever they are called, beside those of an operator."""
+    return F.struct(*(F.col(quoted(c)) for c in docs.columns))
 
-    `extra`: a column of `chosen` to be added to them, under the name `_` and its own.
+
+def row_key(docs: DataFrame) -> Column:
+    """A hash of all columns that can be hashed: rows that share it are alike, or differ in maps and variants alone."""
+    plain = [f.name for f in docs.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    return F.xxhash64(*(F.col(quoted(c)) for c in plain))
+
+
+def chosen_rows(docs: DataFrame, chosen: DataFrame, key: Column | None = None, times: str | None = None) -> DataFrame:
+    """The rows of `docs` that `chosen` (doc_id, key) names by doc_id, which may be null, and `key` (`text_key`); each once.
+
+    Of several such rows that with the smallest `row_key` is taken, so the same one in every run. `times`: a column of
+    `chosen` that says how often a row is returned.
     """
-    added = [F.col(extra).alias(f"_{extra}")] if extra else []
-    keep = chosen.select(F.col("doc_id").alias("_chosen_id"), F.col("key").alias("_chosen_key"), *added)
-    marked = docs.withColumn("_row_key", text_key())
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_chosen_id")) & (F.col("_row_key") == F.col("_chosen_key"))
-    joined = marked.join(keep, same, "inner" if extra else "left_semi")
-    return joined.dropDuplicates(["doc_id", "_row_key"]).drop("_chosen_id", "_chosen_key", "_row_key")
+    own = docs.select(
+        row_struct(docs).alias("row"),
+        F.col("doc_id").cast("long").alias("id"),
+        (text_key() if key is None else key).alias("key"),
+        row_key(docs).alias("order"),
+    )
+    often = [F.col(times).alias("times")] if times else []
+    keep = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("key").alias("chosen_key"), *often)
+    same = F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("key") == F.col("chosen_key"))
+    joined = own.join(keep, same, "inner" if times else "left_semi")
+    first = joined.groupBy("id", "key", *(["times"] if times else [])).agg(F.min_by("row", "order").alias("row"))
+    if times:
+        first = first.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return first.select("row.*")

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from stratum.llm.common import WORD, chosen_rows, stored, table, text_key
+from stratum.llm.common import WORD, chosen_rows, row_key, stored, table, text_key
 
 # The fraction of the golden ratio in 40 bits, odd, so that 2**40 slots get different points.
 GOLDEN = 679535556991
@@ -142,16 +142,18 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), epochs: int = 3, bl
 
 
 def mixed_rows(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), epochs: int = 3, block_words: int = 64) -> DataFrame:
-    """The rows of `docs` as often as the mix takes them, with all their columns; a part of a document counts as whole."""
-    times = F.ceil(F.sum("taken") / F.max("size")).cast("int")
-    taken = _taken(docs, weights, epochs, block_words).filter("taken > 0")
+    """The rows of `docs` as often as the mix takes them, with all their columns; a part of a document counts as whole.
+
+    Rows are told apart by all their columns: those of one document in two sources are taken as often as each source says.
+    """
+    taken = _taken(docs, weights, epochs, block_words, row_key(docs)).filter("taken > 0")
+    times = F.sum(F.ceil(F.col("taken") / F.col("size"))).cast("int")
     chosen = taken.groupBy("doc_id", F.col("text_key").alias("key")).agg(times.alias("times"))
-    rows = chosen_rows(docs, chosen, "times")
-    return rows.withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
+    return chosen_rows(docs, chosen, row_key(docs), "times")
 
 
-def _taken(docs: DataFrame, weights: Sequence[int], epochs: int, block_words: int) -> DataFrame:
-    placed, slots = _placed(docs, weights, epochs, block_words)
+def _taken(docs: DataFrame, weights: Sequence[int], epochs: int, block_words: int, key: Column | None = None) -> DataFrame:
+    placed, slots = _placed(docs, weights, epochs, block_words, key)
     pieces = _pieces(placed.filter("size > 0"), block_words)
     row = ["doc_id", "text_key", "source", "size", "source_size", "target", "place", "start"]
     taken = (
@@ -173,14 +175,17 @@ def mixed_blocks(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), epochs: in
     )
 
 
-def _placed(docs: DataFrame, weights: Sequence[int], epochs: int, block_words: int) -> tuple[DataFrame, DataFrame]:
-    """Documents with their place in the stream of their source, and the slots of the mix."""
+def _placed(
+    docs: DataFrame, weights: Sequence[int], epochs: int, block_words: int, key: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Documents with their place in the stream of their source, and the slots of the mix. `key` tells rows of a doc_id
+    apart, as `text_key` does."""
     sized = stored(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
             word_count(F.col("text")).alias("size"),
-            text_key().alias("text_key"),
+            (text_key() if key is None else key).alias("text_key"),
         ).withColumn("key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))),
         "mix-sizes",
     )
@@ -190,7 +195,7 @@ def _placed(docs: DataFrame, weights: Sequence[int], epochs: int, block_words: i
     digits = max(1, math.ceil(math.log(max(1, rows / PART_ROWS), 16)))
     targets = stored(source_targets(sized, weights, epochs), "mix-targets")
     parted = sized.withColumn("_at", F.substring("key", 1, digits))
-    streams = _running(parted, "source", "_at", [F.col("key"), F.col("doc_id"), F.col("size")], F.col("size"), "start")
+    streams = _running(parted, "source", "_at", [F.col("key"), F.col("doc_id"), F.col("size"), F.col("text_key")], F.col("size"), "start")
     goal = targets.withColumnRenamed("source", "_source")
     placed = streams.join(goal, streams["source"].eqNullSafe(goal["_source"])).drop("_source", "_at", "key")
     slots = schedule(targets, words, sources, block_words).withColumnRenamed("place", "_place")

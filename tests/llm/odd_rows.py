@@ -4,7 +4,10 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 # Columns that operators use as names of their own.
 CLASH = (
     "size long, target double, taken long, start long, key string, digest string, kept boolean, point long, label string, "
-    "fingerprint string, component_id long, tokens long, sequence_id long, offset long, spans string, score double, id long"
+    "fingerprint string, component_id long, tokens long, sequence_id long, offset long, spans string, score double, id long, "
+    "_told string, _row_key string, _chosen_id long, _chosen_key string, _times int, row string, told string, times int, "
+    "chosen_id long, chosen_key string, text_key long, order long, lang_pred string, values string, quality int, n long, "
+    "form string, h1 long, output string, term string, `a.b` string"
 )
 
 
@@ -28,7 +31,7 @@ def odd_documents(spark):
     frame = spark.createDataFrame(rows, DOCS)
     for column in CLASH.split(", "):
         name, kind = column.split()
-        frame = frame.selectExpr("*", f"cast(null as {kind}) as {name}")
+        frame = frame.selectExpr("*", f"cast({1 if kind != 'string' else repr(name)} as {kind}) as {name}")
     return frame
 
 

@@ -89,4 +89,28 @@ def test_odd_rows_and_no_rows(spark):
         for name, before, after in staged(spark, docs):
             if name != "pack":
                 assert after.columns == docs.columns
+                # Whole rows, the columns with names of the operators' own included.
+                assert {repr(r) for r in after.collect()} <= {repr(r) for r in before.collect()}
             assert before.count() or not after.count()
+
+
+def test_a_document_in_two_sources_is_taken_as_each_says(spark):
+    rng = random.Random(1)
+    text = lambda n: " ".join(rng.choice(["ab", "cd", "ef"]) for _ in range(n))
+    rows = [(i, text(300), "en", "a", 1) for i in range(40)] + [(100 + i, text(900), "en", "b", 1) for i in range(40)]
+    rows += [(i, t, "en", "b", 1) for i, t, _, _, _ in rows[:40]]
+    docs = spark.createDataFrame(rows, DOCS)
+    taken = Counter()
+    for r in mixing.mix(docs).collect():
+        taken[r.doc_id, r.source] += -(-r.taken // r.size)
+    assert any(taken[i, "a"] != taken[i, "b"] for i in range(40))
+    for some in (docs, docs.repartition(5)):
+        assert Counter((r.doc_id, r.source) for r in mixing.mixed_rows(some).collect()) == +taken
+
+
+def test_of_rows_alike_in_id_and_text_the_same_one_stays(spark):
+    rows = [(1, "one text", "en", s, n) for s in ("a", "b", None) for n in (1, 2)] + [(2, "other text", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        first, again = (sorted(stage(spark, d, "").collect(), key=repr) for d in (docs, docs.repartition(6)))
+        assert first == again and len(first) == 2 and set(first) <= set(docs.collect()), name
