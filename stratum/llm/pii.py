@@ -47,7 +47,14 @@ _SPACED = re.compile(r"\S+")
 _TRIM = ".,;:!?()[]{}<>\"'"
 # A pattern discovers if so many different instances of its kind support it and this share of what follows it is right.
 SUPPORT, CONFIDENCE, ROUNDS = 3, 0.8, 3
-FILTER_BITS = 1 << 20
+# Bits a pattern in the filters that travel to the tasks, and the least and the most that a filter has.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 24
+# What Spark's bitmaps hold each.
+PART_BITS = 1 << 15
+# The first look at what follows patterns takes one text in so many, by a hash of the text.
+FIRST_LOOK = 16
+# A task remembers so many texts, to pass over their copies.
+REMEMBERED = 500_000
 # So many different followers are kept before they are handed to Spark.
 FOLLOWERS = 50_000
 
@@ -219,34 +226,44 @@ def _covered(text: str) -> set[int]:
     return {i for a, b in spans for i in range(bisect_right(starts, a) - 1, bisect_left(starts, b))}
 
 
-def _at(text: str) -> int:
-    return zlib.crc32(text.encode()) % FILTER_BITS
+def _at(text: str, bits: int) -> int:
+    return zlib.crc32(text.encode()) % bits
 
 
-def _filter(patterns: DataFrame, column: Column) -> bytes:
-    marks = patterns.select(F.crc32(column.cast("binary")) % FILTER_BITS).distinct()
-    bits = np.zeros(FILTER_BITS, bool)
-    bits[[int(row[0]) for row in marks.toLocalIterator()]] = True  # at most FILTER_BITS numbers
-    return np.packbits(bits).tobytes()
+def _filter(patterns: DataFrame, column: Column, bits: int) -> bytes:
+    """The hashes of a column as bits, put together in Spark: 4 kB reach the driver for every PART_BITS of them."""
+    at = F.crc32(column.cast("binary")) % bits
+    part = F.floor(at / PART_BITS).cast("int").alias("part")
+    made = patterns.groupBy(part).agg(F.bitmap_construct_agg(at % PART_BITS).alias("bits"))
+    whole = np.zeros((bits // PART_BITS, PART_BITS // 8), np.uint8)
+    for row in made.toLocalIterator():
+        whole[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return whole.tobytes()
 
 
 def followed(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """pattern, n: how many different ordinary words follow each of `patterns` (pattern) in `texts` (text); none if no word does.
 
-    Copies of a text add nothing. The patterns and their words go to the tasks as filters of fixed size; what these let pass
-    by mistake the join drops.
+    Copies of a text add nothing. The patterns and their words go to the tasks as filters, sized by how many there are;
+    what these let pass by mistake the join drops.
     """
     words_of = F.split("pattern", " ")
-    packed = [_filter(patterns, column) for column in (F.col("pattern"), words_of[0], words_of[1])]
+    wanted = BITS_EACH * max(1, patterns.count())
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (wanted - 1).bit_length()))
+    packed = [_filter(patterns, column, bits) for column in (F.col("pattern"), words_of[0], words_of[1])]
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        both, first, second = (np.unpackbits(np.frombuffer(x, np.uint8)).tobytes() for x in packed)
+        both, first, second = (np.unpackbits(np.frombuffer(x, np.uint8), bitorder="little").tobytes() for x in packed)
         known: dict[str, int] = {}  # by token: 1 if its word may be the first of a pattern, plus 2 if the second
-        mark = lambda word: first[_at(word)] + 2 * second[_at(word)]
+        mark = lambda word: first[_at(word, bits)] + 2 * second[_at(word, bits)]
         frame = lambda pairs: pd.DataFrame(list(pairs), columns=["pattern", "word"])
         seen: set[tuple[str, str]] = set()
+        read: set[str] = set()
         for batch in batches:
-            for text in batch["text"]:
+            for text, digest in zip(batch["text"], batch["digest"]):
+                if digest in read:
+                    continue
+                read.add(digest)
                 tokens = text.split()
                 for token in set(tokens).difference(known):
                     known[token] = mark(_word(token))
@@ -255,7 +272,7 @@ def followed(texts: DataFrame, patterns: DataFrame) -> DataFrame:
                 for m in _BOTH.finditer(marks, 0, max(0, len(marks) - 1)):
                     i = m.start()  # of the word that follows, since two marks stand before the text
                     p = " ".join(_word(tokens[j]) if j >= 0 else _START for j in (i - 2, i - 1))
-                    if both[_at(p)]:
+                    if both[_at(p, bits)]:
                         hits.append((p, i))
                 if hits:
                     covered = _covered(text)
@@ -265,9 +282,12 @@ def followed(texts: DataFrame, patterns: DataFrame) -> DataFrame:
                     seen = set()
                 if len(known) >= FOLLOWERS:
                     known = {}
+                if len(read) >= REMEMBERED:
+                    read = set()
         yield frame(seen)
 
-    pairs = texts.mapInPandas(find, "pattern string, word string").distinct()
+    named = texts.select("text", F.md5(F.col("text").cast("binary")).alias("digest"))
+    pairs = named.mapInPandas(find, "pattern string, word string").distinct()
     return pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).join(patterns, "pattern", "left_semi")
 
 
@@ -307,14 +327,15 @@ def _high(scored: DataFrame, least: float = CONFIDENCE) -> DataFrame:
     return scored.filter((F.col("confidence") >= least) & (F.col("support") >= SUPPORT))
 
 
-def needed_patterns(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def needed_patterns(graph: DataFrame, rounds: int = ROUNDS, follow: DataFrame | None = None) -> DataFrame:
     """pattern: those of `graph` that may discover, and those whose scores reach them by open instances that they share.
 
-    Ordinary words only lower the scores, so scores without them are bounds, here with room for rounding.
+    Ordinary words only lower the scores. So scores without them, or with only some of those that `follow` each pattern
+    (pattern, n), are bounds, here with room for rounding.
     """
     least = CONFIDENCE - 1e-9
-    alone = graph.select("pattern").distinct().withColumn("n", F.lit(0))
-    needed = stored(_high(score_patterns(graph, alone, rounds, least), least).select("pattern").distinct(), "pii-needed")
+    some = graph.select("pattern").distinct().withColumn("n", F.lit(0)) if follow is None else follow
+    needed = stored(_high(score_patterns(graph, some, rounds, least), least).select("pattern").distinct(), "pii-needed")
     open_ = graph.filter("seed < 0").select("pattern", "instance")
     for _ in range(rounds - 1):
         near = open_.join(needed, "pattern", "left_semi").select("instance").distinct()
@@ -352,8 +373,14 @@ def find_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     found = needed = None
     if not wide.filter(F.col("seeds") >= SUPPORT).isEmpty():
         needed = needed_patterns(graph.join(wide, "pattern", "left_semi"), rounds)
+    texts = docs.select(text_of().alias("text"))
     if needed is not None and not needed.isEmpty():
-        follow = stored(followed(docs.select(text_of().alias("text")), needed), "pii-follow")
+        # Words that follow a pattern in some of the texts follow it in all of them. What they refute already is not
+        # looked for in the others.
+        some = texts.filter(F.pmod(F.xxhash64("text"), F.lit(FIRST_LOOK)) == 0)
+        needed = needed_patterns(graph.join(needed, "pattern", "left_semi"), rounds, stored(followed(some, needed), "pii-follow"))
+    if needed is not None and not needed.isEmpty():
+        follow = stored(followed(texts, needed), "pii-follow")
         high = _high(score_patterns(graph.join(needed, "pattern", "left_semi"), follow, rounds))
         high = high.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", F.negative("kind"))).alias("new_kind"))
         found = (

@@ -95,6 +95,32 @@ def test_contexts_discover_unseen_identifiers(cues):
     }
 
 
+@pytest.mark.parametrize("first_look, bits", [(1, 1 << 15), (1 << 40, 1 << 24), (3, 1 << 16)])
+def test_the_first_look_and_the_size_of_filters_change_nothing(spark, cues, monkeypatch, first_look, bits):
+    want = sorted(map(repr, pii.find_personal_data(cues).collect()))
+    monkeypatch.setattr(pii, "FIRST_LOOK", first_look)
+    monkeypatch.setattr(pii, "LEAST_BITS", bits)
+    monkeypatch.setattr(pii, "REMEMBERED", 2)
+    assert sorted(map(repr, pii.find_personal_data(cues).collect())) == want
+
+
+def test_followers_against_a_loop(spark):
+    rng = random.Random(6)
+    words = ["a", "b,", "C", "d.", "12345", "x@y.zz", "(e)"]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(12))) for _ in range(60)]
+    clean = lambda w: w.strip(".,;:!?()[]{}<>\"'").lower()
+    want = {}
+    for t in texts:
+        tokens = t.split()
+        before = ["\n", "\n", *map(clean, tokens)]
+        for i, w in enumerate(tokens):
+            if not any(c.isdigit() or c == "@" for c in w):
+                want.setdefault(f"{before[i]} {before[i + 1]}", set()).add(clean(w))
+    patterns = spark.createDataFrame([(p,) for p in [*want, "no such"]], "pattern string")
+    got = pii.followed(spark.createDataFrame([(t,) for t in texts * 3], "text string"), patterns)
+    assert {r.pattern: r.n for r in got.collect()} == {p: len(w) for p, w in want.items()}
+
+
 def test_one_round_knows_the_first_cue_only(cues):
     found = {r.doc_id for r in pii.find_personal_data(cues, rounds=1).collect() if r.n_discovered}
     assert found == {20, 21}
