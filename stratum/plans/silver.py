@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from stratum.operators import apply_types, split_null_keys, stamp_date
 from stratum.operators.lineage import INGEST_TIMESTAMP
-from stratum.sinks import upsert_table
+from stratum.sinks import append_rows, fold_rows, pending_files, upsert_table
 from stratum.sources import read_layer, recorded_layer
 from stratum.sources.files import ANY_AGE
 from stratum.streaming import start_batches
@@ -39,6 +39,7 @@ def refine_to_silver(
     schema: StructType | None = None,
     add_columns: bool = True,
     schema_location: str | None = None,
+    fold_after: int | None = None,
     **layout,
 ) -> StreamingQuery:
     """Merge what is new in the raw layer into ``table``; start the query and return it.
@@ -51,10 +52,16 @@ def refine_to_silver(
     all columns that any of its files has when the query starts, for which the footer of every file is read. Columns that
     the table lacks are added to it, unless ``add_columns`` is false.
 
+    With ``fold_after`` a batch is appended beside the table instead of merged into the buckets that its keys fall in, and
+    all that is pending is merged once it has more files than that: see :mod:`stratum.sinks.pending`. Then there is no
+    telling what a batch takes away, so ``changes`` cannot be listed.
+
     With ``changes`` and ``track`` the values of the tracked column that a batch adds *or takes away* are appended at
     ``changes``, for :func:`stratum.plans.gold.refresh_gold`. ``layout`` goes to
     :func:`stratum.sinks.keyed.upsert_table` (``path``, ``buckets``, ``pieces``, ``sort_by``).
     """
+    if fold_after is not None and changes:
+        raise ValueError("changes are listed by merges, not where batches are appended")
     columns = _columns(spark, schema, schema_location) or read_layer(spark, bronze, fmt).schema
     raw = spark.readStream.schema(columns).options(**ANY_AGE | dict(options or {})).format(fmt)
 
@@ -68,6 +75,11 @@ def refine_to_silver(
         # The query's id belongs to its checkpoint: another checkpoint never replaces what this one set aside.
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         without_key.write.mode("overwrite").parquet(f"{rejects}/run={run}/batch={batch_id}")
+        if fold_after is not None:
+            append_rows(keyed, table, keys, order_by, tie_breakers, add_columns, **layout)
+            if pending_files(batch.sparkSession, table) > fold_after:
+                fold_rows(batch.sparkSession, table)
+            return
         noting = {"track": track, "note": list_changes} if changes and track else {}
         upsert_table(keyed, table, keys, order_by, tie_breakers, add_columns=add_columns, **noting, **layout)
 

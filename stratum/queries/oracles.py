@@ -78,6 +78,9 @@ from orders""",
 select o_orderkey, o_orderpriority, o_orderpriority as slot, o_orderkey as key_bucket, o_totalprice as _rank,
        o_orderpriority as _from_source, o_totalprice as _piece, o_orderkey as _task, o_orderpriority as _change,
        o_totalprice as _new from o""",
+    "upsert_appended": """select l_orderkey, l_linenumber, l_quantity, l_returnflag from lineitem
+  qualify row_number() over (partition by l_orderkey, l_linenumber
+          order by l_shipdate desc, l_partkey desc, l_suppkey desc) = 1""",
     "upsert_create": "select o_orderkey, o_orderpriority, o_totalprice from orders",
     "daily_gold": _DAILY,
     "daily_gold_refresh": _DAILY,
@@ -130,6 +133,7 @@ from events, (select unnest(['file', 'kafka']) as source_system)""",
     "export_landing": "select o_orderkey, o_custkey, o_totalprice, o_orderpriority from orders",
     "overwrite_partitioned": "select o_orderkey, o_totalprice, o_orderstatus from orders",
     "silver_incremental": f"{_VERSIONS} select * from current",
+    "silver_appended": f"{_VERSIONS} select * from current",
     "silver_full": f"{_VERSIONS} select * from current",
     "gold_refresh": f"""{_VERSIONS}
 select order_date as order_day, region, round(sum(quantity * price), 2) as total_revenue,

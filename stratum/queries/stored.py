@@ -31,7 +31,16 @@ from stratum.queries import data
 from stratum.queries.data import daily_lines, in_cents, table
 from stratum.queries.frames import LINE_COLUMNS, SALES_COLUMNS
 from stratum.session import scratch_dir
-from stratum.sinks import ensure_namespace, export_json, publish_table, read_current, upsert_table, write_layer
+from stratum.sinks import (
+    append_rows,
+    ensure_namespace,
+    export_json,
+    fold_rows,
+    publish_table,
+    read_current,
+    upsert_table,
+    write_layer,
+)
 from stratum.sources import read_layer
 from stratum.sources.schemas import read_record
 from stratum.streaming import wait_all
@@ -284,6 +293,31 @@ def upsert_own_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{name}_gold")
 
 
+def upsert_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later versions of order lines in small batches beside the table: one folded in, one still pending when it is read."""
+    home, name = _names(spark, "appended")
+    keys, newest = ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"]
+    lines = table(spark, sf_dir, "lineitem").select(*keys, *newest, "l_quantity", "l_returnflag")
+    upsert_table(lines.where("l_quantity <= 25"), name, keys, newest, [], buckets=8, path=home)
+    append_rows(lines.where("l_quantity > 40"), name, keys, newest, [])
+    fold_rows(spark, name)
+    append_rows(lines.where("l_quantity > 25"), name, keys, newest, [])
+    return read_current(spark, name).select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+
+
+def silver_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, then their lines as later versions, in micro-batches that are appended and folded in now and then."""
+    home, name = _names(spark, "appending")
+    for sales in (data.order_sales(spark, sf_dir), data.line_sales(spark, sf_dir)):
+        _land(spark, sales, home)
+        query = refine_to_silver(
+            spark, f"{home}/bronze", name, SALES_KEYS, _TYPES, f"{home}/checkpoints/silver", f"{home}/rejects", _NEWEST,
+            options={"maxFilesPerTrigger": "4"}, schema_location=f"{home}/schema", fold_after=12, path=f"{home}/silver", buckets=8,
+        )
+        wait_all([query])
+    return read_current(spark, name).select(*_SILVER_COLUMNS)
+
+
 def upsert_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that grow, in buckets of neighbouring keys: a merge of the newest leaves the older buckets alone."""
     home, name = _names(spark, "recent")
@@ -460,6 +494,7 @@ STORED_QUERIES = {
             export_landing,
             overwrite_partitioned,
             overwrite_plain,
+            upsert_appended,
             upsert_create,
             upsert_own_names,
             upsert_recent,
@@ -469,6 +504,7 @@ STORED_QUERIES = {
             gold_table_by_region,
             gold_table_monthly,
             medallion_files,
+            silver_appended,
             silver_bad_input,
             silver_by_arrival,
             silver_incremental,

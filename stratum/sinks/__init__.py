@@ -1,13 +1,17 @@
 """Writing: catalog tables, keyed tables, files, messages."""
 
 from stratum.sinks.files import export_json, write_layer
-from stratum.sinks.keyed import read_current, upsert_table
+from stratum.sinks.keyed import upsert_table
 from stratum.sinks.messages import publish_messages
+from stratum.sinks.pending import append_rows, fold_rows, pending_files, read_current
 from stratum.sinks.tables import ensure_namespace, publish_table
 
 __all__ = [
+    "append_rows",
     "ensure_namespace",
     "export_json",
+    "fold_rows",
+    "pending_files",
     "publish_messages",
     "publish_table",
     "read_current",

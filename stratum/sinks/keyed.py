@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -26,19 +29,21 @@ _BUCKET_PROPERTY = "stratum.bucket"
 _COLUMN_PROPERTY = "stratum.bucket_column"
 _PIECES_PROPERTY = "stratum.pieces"
 _SORT_PROPERTY = "stratum.sort"
+PENDING_PROPERTY = "stratum.pending"
 # The one format that the keyed layout is written in; others must have row-level operations.
 _FILES = "parquet"
 _REPEATED = "several source rows have one key"
 
 
 @dataclass(frozen=True)
-class _Layout:
+class Layout:
     """How a keyed table was created: partition column, expression over the keys, tasks a bucket, order inside files."""
 
     bucket: str
     expression: str
     pieces: int
     sort_by: Sequence[str]
+    pending: str | None = None
 
 
 class DuplicateSourceKeys(ValueError):
@@ -59,12 +64,16 @@ def key_bucket(keys: Sequence[str], expression: str) -> Column:
     return F.when(has_null_key(keys), KEYLESS).otherwise(F.coalesce(F.expr(expression).cast("int"), unplaced))
 
 
-def read_current(spark: SparkSession, table: str) -> DataFrame:
-    """The table's rows, as of now, without the layout column."""
+def merged_rows(spark: SparkSession, table: str) -> DataFrame:
+    """The table's own rows, as of now, without the layout column and without what is pending beside it."""
     # Another session (a stream has its own) may have moved partitions since this one last looked.
     spark.catalog.refreshTable(table)
-    rows = spark.table(table)
-    return rows.drop(_properties(spark, table).get(_COLUMN_PROPERTY, BUCKET))
+    return spark.table(table).drop(properties_of(spark, table).get(_COLUMN_PROPERTY, BUCKET))
+
+
+def pending_name(table: str) -> str:
+    """The table that holds rows which are not merged yet (see :mod:`stratum.sinks.pending`)."""
+    return f"{table}__pending"
 
 
 def upsert_table(
@@ -120,8 +129,10 @@ def upsert_table(
         return
     else:
         _create(source, table, keys, bucket_by or hash_bucket(keys, buckets), pieces or 1, sort_by or (), path)
-    layout = _layout(spark, table, keys, pieces, sort_by)
-    source = _conformed(source, table, add_columns, layout.bucket)
+    layout = layout_of(spark, table, keys, pieces, sort_by)
+    source = conformed(source, table, add_columns, layout.bucket)
+    if layout.pending not in (None, pending_order(keys, order_by, tie_breakers)):
+        raise ValueError(f"{table} has had rows appended in another order: {layout.pending}")
     source = source.withColumn(layout.bucket, key_bucket(keys, layout.expression))
     touched = [r[0] for r in source.select(quoted(layout.bucket)).distinct().collect()]  # a small row per bucket
     keyed, without_key = split_null_keys(source, keys)
@@ -170,40 +181,57 @@ def _create(
         _PIECES_PROPERTY: str(pieces),
         _SORT_PROPERTY: ",".join(sort_by),
     }
-    listed = ", ".join(f"'{k}'='{_quoted(v)}'" for k, v in properties.items())
-    source.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+    set_properties(source.sparkSession, table, properties)
 
 
 def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+def properties_of(spark: SparkSession, table: str) -> dict[str, str]:
     return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
-def _layout(spark: SparkSession, table: str, keys: Sequence[str], pieces: int | None, sort_by: Sequence[str] | None) -> _Layout:
-    properties = _properties(spark, table)
+def set_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:
+    listed = ", ".join(f"'{k}'='{_quoted(v)}'" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+
+
+def pending_order(keys: Sequence[str], order_by: Sequence[str] | None, tie_breakers: Sequence[str] | None) -> str | None:
+    """How pending rows are ranked, as text that a table's properties hold."""
+    return json.dumps([list(keys), list(order_by), None if tie_breakers is None else list(tie_breakers)]) if order_by else None
+
+
+def layout_of(
+    spark: SparkSession, table: str, keys: Sequence[str], pieces: int | None = None, sort_by: Sequence[str] | None = None
+) -> Layout:
+    properties = properties_of(spark, table)
     if properties.get(_KEYS_PROPERTY) != ",".join(keys):
         raise ValueError(f"{table} is not laid out by the keys {list(keys)}")
     stored_pieces = int(properties.get(_PIECES_PROPERTY, 1))
     stored_sort = [c for c in properties.get(_SORT_PROPERTY, "").split(",") if c]
     if pieces not in (None, stored_pieces) or (sort_by is not None and list(sort_by) != stored_sort):
         raise ValueError(f"{table} was created with pieces={stored_pieces} and sort_by={stored_sort}")
-    return _Layout(properties.get(_COLUMN_PROPERTY, BUCKET), properties[_BUCKET_PROPERTY], stored_pieces, stored_sort)
+    return Layout(
+        properties.get(_COLUMN_PROPERTY, BUCKET),
+        properties[_BUCKET_PROPERTY],
+        stored_pieces,
+        stored_sort,
+        properties.get(PENDING_PROPERTY),
+    )
 
 
-def _conformed(source: DataFrame, table: str, add_columns: bool, bucket: str | None = None) -> DataFrame:
+def conformed(source: DataFrame, table: str, add_columns: bool, bucket: str | None = None) -> DataFrame:
     """The source with the columns and types of the table: files of another type could not be read next to the rest."""
     spark = source.sparkSession
-    stored = read_current(spark, table).schema
+    stored = merged_rows(spark, table).schema
     new = [f for f in source.schema.fields if f.name not in stored.fieldNames()]
     if new and add_columns:
         if bucket and bucket.lower() in {f.name.lower() for f in new}:
             raise ValueError(f"{table} is partitioned by a column of its own called {bucket}: give the new one another name")
         columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-        stored = read_current(spark, table).schema
+        stored = merged_rows(spark, table).schema
     missing = [n for n in stored.fieldNames() if n not in source.columns]
     if missing:
         raise ValueError(f"source of {table} lacks {missing}")
@@ -291,7 +319,7 @@ def merge_rows(
 ) -> None:
     """The same merge for table formats that have row-level operations."""
     spark = source.sparkSession
-    source = _conformed(source, table, add_columns)
+    source = conformed(source, table, add_columns)
     matched = None
     if order_by:
         newest = newest_first(source, keys, order_by, tie_breakers)
@@ -303,17 +331,17 @@ def merge_rows(
         # Ahead of the merge, which overwrites the previous values; a value listed too often only costs time.
         replaced = spark.table(table).join(source.select(*keys).distinct(), list(keys), "left_semi")
         note(source.select(track).unionByName(replaced.select(track)).distinct())
-    on = None
-    for k in keys:
-        equal = F.col(f"source.{k}") == F.col(f"{table}.{k}")
-        on = equal if on is None else on & equal
-    merge = source.alias("source").mergeInto(table, on)
+    merge = source.alias("source").mergeInto(table, all_equal("source", table, keys))
     when = merge.whenMatched() if matched is None else merge.whenMatched(matched)
     when.updateAll().whenNotMatched().insertAll().merge()
 
 
+def all_equal(one: str, other: str, keys: Sequence[str]) -> Column:
+    return reduce(and_, (F.col(f"{one}.{quoted(k)}") == F.col(f"{other}.{quoted(k)}") for k in keys))
+
+
 def newer(source: str, table: str, columns: Sequence[str], or_equal: bool) -> Column:
     """The row of ``source`` comes before that of ``table`` by the columns in turn, descending; NULL is the oldest."""
-    new = F.struct(*(F.col(f"{source}.{c}") for c in columns))
-    old = F.struct(*(F.col(f"{table}.{c}") for c in columns))
+    new = F.struct(*(F.col(f"{source}.{quoted(c)}") for c in columns))
+    old = F.struct(*(F.col(f"{table}.{quoted(c)}") for c in columns))
     return new >= old if or_equal else new > old
