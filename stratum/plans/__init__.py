@@ -4,6 +4,7 @@ from stratum.plans.gold import publish_gold, refresh_gold
 from stratum.plans.ingest import ingest_all, ingest_files, ingest_messages
 from stratum.plans.sales import SALES_KEYS, SALES_TYPES, daily_sales
 from stratum.plans.silver import refine_to_silver, refresh_silver
+from stratum.plans.sums import read_sums, refresh_sums
 
 __all__ = [
     "SALES_KEYS",
@@ -13,7 +14,9 @@ __all__ = [
     "ingest_files",
     "ingest_messages",
     "publish_gold",
+    "read_sums",
     "refine_to_silver",
     "refresh_gold",
     "refresh_silver",
+    "refresh_sums",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +12,7 @@ from pyspark.sql.types import StructType
 from stratum.operators import apply_types, split_null_keys, stamp_date
 from stratum.operators.lineage import INGEST_TIMESTAMP
 from stratum.sinks import append_rows, fold_rows, pending_files, upsert_table
+from stratum.sinks.images import mark_done, write_images
 from stratum.sources import read_layer, recorded_layer
 from stratum.sources.files import ANY_AGE
 from stratum.streaming import start_batches
@@ -40,6 +42,7 @@ def refine_to_silver(
     add_columns: bool = True,
     schema_location: str | None = None,
     fold_after: int | None = None,
+    images: Sequence[str] | None = None,
     **layout,
 ) -> StreamingQuery:
     """Merge what is new in the raw layer into ``table``; start the query and return it.
@@ -59,6 +62,9 @@ def refine_to_silver(
     With ``changes`` and ``track`` the values of the tracked column that a batch adds *or takes away* are appended at
     ``changes``, for :func:`stratum.plans.gold.refresh_gold`. ``layout`` goes to
     :func:`stratum.sinks.keyed.upsert_table` (``path``, ``buckets``, ``pieces``, ``sort_by``).
+
+    With ``changes`` and ``images`` the named columns of all rows that a batch adds or takes away are written there
+    instead, once and only once whatever is lost, for :func:`stratum.plans.sums.refresh_sums`.
     """
     if fold_after is not None and changes:
         raise ValueError("changes are listed by merges, not where batches are appended")
@@ -81,7 +87,11 @@ def refine_to_silver(
                 fold_rows(batch.sparkSession, table)
             return
         noting = {"track": track, "note": list_changes} if changes and track else {}
+        if changes and images:
+            noting = {"images": images, "note": partial(write_images, changes=changes, run=run, batch=batch_id)}
         upsert_table(keyed, table, keys, order_by, tie_breakers, add_columns=add_columns, **noting, **layout)
+        if changes and images:
+            mark_done(batch.sparkSession, changes, run, batch_id)
 
     return start_batches(raw.load(bronze), merge, checkpoint, trigger)
 

@@ -32,6 +32,11 @@ current as (
   select order_id, order_date, quantity, price, region from versions
   qualify row_number() over (partition by order_id order by order_date desc, line desc, part desc, supp desc) = 1)"""
 
+_CURRENT_SUMS = f"""{_VERSIONS}
+select order_date as order_day, region, round(sum(quantity * price), 2) as total_revenue,
+       cast(sum(quantity) as bigint) as total_units
+from current group by 1, 2"""
+
 _DAILY = """select cast(l_shipdate as date) as order_day, l_returnflag,
        round(sum(cast(l_quantity as int) * l_extendedprice), 2) as total_revenue,
        cast(sum(cast(l_quantity as int)) as bigint) as total_units
@@ -135,8 +140,6 @@ from events, (select unnest(['file', 'kafka']) as source_system)""",
     "silver_incremental": f"{_VERSIONS} select * from current",
     "silver_appended": f"{_VERSIONS} select * from current",
     "silver_full": f"{_VERSIONS} select * from current",
-    "gold_refresh": f"""{_VERSIONS}
-select order_date as order_day, region, round(sum(quantity * price), 2) as total_revenue,
-       cast(sum(quantity) as bigint) as total_units
-from current group by 1, 2""",
+    "gold_refresh": _CURRENT_SUMS,
+    "gold_from_changes": _CURRENT_SUMS,
 }

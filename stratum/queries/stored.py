@@ -23,9 +23,11 @@ from stratum.plans import (
     ingest_files,
     ingest_messages,
     publish_gold,
+    read_sums,
     refine_to_silver,
     refresh_gold,
     refresh_silver,
+    refresh_sums,
 )
 from stratum.queries import data
 from stratum.queries.data import daily_lines, in_cents, table
@@ -477,6 +479,26 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_cents(spark.table(gold), SALES_COLUMNS)
 
 
+def gold_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sums by month, first of the orders, then of what their lines add and take away: the current rows are not read."""
+    home, name = _names(spark, "signed")
+    silver, gold = f"{name}_silver", f"{name}_gold"
+    images = ["order_date", "region", "quantity", "price"]
+    sums = daily_sales(by_month=True)
+    for sales in (data.order_sales(spark, sf_dir), data.line_sales(spark, sf_dir)):
+        _land(spark, sales, home)
+        query = refine_to_silver(
+            spark, f"{home}/bronze", silver, SALES_KEYS, _TYPES, f"{home}/checkpoints/silver", f"{home}/rejects", _NEWEST,
+            changes=f"{home}/changes", images=images, schema_location=f"{home}/schema", path=f"{home}/silver", buckets=8,
+        )
+        wait_all([query])
+        wait_all([refresh_sums(spark, silver, gold, sums, "order_month", f"{home}/changes", images, f"{home}/checkpoints/gold", path=f"{home}/gold")])
+    exact = read_sums(spark, gold, sums)
+    return in_cents(exact.withColumn("total_revenue", F.col("total_revenue").cast("double")), SALES_COLUMNS).withColumn(
+        "total_units", F.col("total_units").cast("long")
+    )
+
+
 STORED_QUERIES = {
     "ingest_files": ingest_files_once,
     **{
@@ -510,6 +532,7 @@ STORED_QUERIES = {
             silver_incremental,
             silver_full,
             gold_refresh,
+            gold_from_changes,
         )
     },
 }

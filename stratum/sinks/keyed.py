@@ -30,6 +30,8 @@ _COLUMN_PROPERTY = "stratum.bucket_column"
 _PIECES_PROPERTY = "stratum.pieces"
 _SORT_PROPERTY = "stratum.sort"
 PENDING_PROPERTY = "stratum.pending"
+# What images of changed rows have besides their own columns.
+SIGN, IMAGE_BUCKET = "_sign", "_bucket"
 # The one format that the keyed layout is written in; others must have row-level operations.
 _FILES = "parquet"
 _REPEATED = "several source rows have one key"
@@ -92,6 +94,7 @@ def upsert_table(
     source_wins_ties: bool = False,
     track: str | None = None,
     note: Callable[[DataFrame], None] | None = None,
+    images: Sequence[str] | None = None,
 ) -> None:
     """Merge ``source`` into ``table`` on equal keys; the table is created when missing.
 
@@ -113,7 +116,9 @@ def upsert_table(
 
     Source columns that the table lacks are ignored, or added to it with ``add_columns``; columns that the source lacks
     raise. With ``track`` and ``note``, ``note`` is given a frame of the values of the tracked column that the merge adds
-    or takes away, after the new files are written and before they are read by anyone.
+    or takes away, after the new files are written and before they are read by anyone. With ``images`` and ``note`` it is
+    given those columns of every row that the merge adds (``SIGN`` 1) or takes away (-1), with the bucket they are in: a
+    merge that is repeated after it was lost halfway gives the rows of a bucket again, all of them, or none.
     """
     keys = list(keys)
     spark = source.sparkSession
@@ -121,6 +126,8 @@ def upsert_table(
         # Which slots are free is read off the catalog: never from what this session remembers of it.
         spark.catalog.refreshTable(table)
         if tables.table_provider(spark, table) != _FILES:
+            if images:
+                raise ValueError("images are taken by merges into Parquet alone")
             merge_rows(source, table, keys, order_by, tie_breakers, add_columns, source_wins_ties, track, note)
             return
     elif fmt != _FILES:
@@ -145,7 +152,7 @@ def upsert_table(
         stored_first = bool(newest) and not source_wins_ties
         slot = tables.slot_column(source.columns)
         # No two merges call it the same, so it is no column of the data, now or later.
-        change, noted = f"_change_{uuid.uuid4().hex}", track if note else None
+        change, noted = f"_change_{uuid.uuid4().hex}", (images or track) if note else None
         merged = _merged(
             target, keyed, keys, newest, stored_first, occupied, len(with_key), layout.pieces, layout.sort_by, noted,
             layout.bucket, slot, change,
@@ -159,12 +166,15 @@ def upsert_table(
             raise
         if noted:
             paths = [tables.slot_folder(root, slot, layout.bucket, b, occupied) for b in with_key]
-            note(_changed_values(spark, table, paths, change, track))
+            changed = _signed_images if images else _changed_values
+            note(changed(spark, table, paths, change, noted))
         tables.point_partitions(spark, table, root, layout.bucket, occupied, with_key)
     if KEYLESS in touched:
         # A plain append, not shuffled: however many rows lack a key, they stay spread over the tasks that read them.
         without_key.select(*map(quoted, spark.table(table).columns)).write.insertInto(table)
-        if track and note:
+        if images and note:
+            note(_image(without_key, images, 1, F.lit(KEYLESS)))
+        elif track and note:
             note(without_key.select(quoted(track)).distinct())
 
 
@@ -255,7 +265,7 @@ def _merged(
     buckets: int,
     pieces: int,
     sort_by: Sequence[str],
-    track: str | None = None,
+    track: str | Sequence[str] | None = None,
     bucket_column: str = BUCKET,
     slot: str = tables.SLOT,
     change: str = "_change",
@@ -263,7 +273,7 @@ def _merged(
     """Touched buckets after the merge, each row with the slot its bucket goes to.
 
     Without an order, a second source row of a key raises while the rows are ranked. With ``track``, ``change`` says of
-    each row whether it is new, whether it replaces a stored one, and which tracked value that had. The columns that are
+    each row whether it is new, whether it replaces a stored one, and which tracked values that had. The columns that are
     only here on the way have names that no column of the data has.
     """
     if newest:
@@ -285,7 +295,8 @@ def _merged(
     ranked = placed.repartitionById(tasks, F.col(task)).withColumn(rank, F.row_number().over(key.orderBy(*newest, side)))
     if track:
         stored = F.col(from_source) == 0
-        was = F.max(F.when(stored, F.col(quoted(track)))).over(key)
+        old = F.struct(*(F.col(quoted(c)) for c in ([track] if isinstance(track, str) else track)))
+        was = F.first(F.when(stored, old), ignorenulls=True).over(key)
         ranked = ranked.withColumn(change, F.struct(F.max(stored).over(key).alias("had"), was.alias("was"), (~stored).alias("new")))
     first = F.col(rank) == 1
     if not newest:
@@ -297,13 +308,35 @@ def _merged(
     return merged.drop(from_source, piece, task, rank)
 
 
+def _changes(spark: SparkSession, table: str, paths: Sequence[str], change: str, columns: Sequence[str]) -> DataFrame:
+    """The new rows among the files just written: the named columns and what the merge has noted about them."""
+    schema = spark.table(table).schema
+    kinds = ", ".join(f"{quoted(c)} {schema[c].dataType.simpleString()}" for c in columns)
+    old = ", ".join(f"{quoted(c)}: {schema[c].dataType.simpleString()}" for c in columns)
+    fields = f"{kinds}, {change} struct<had: boolean, was: struct<{old}>, new: boolean>"
+    return spark.read.schema(fields).parquet(*paths).where(f"{change}.new")
+
+
 def _changed_values(spark: SparkSession, table: str, paths: Sequence[str], change: str, track: str) -> DataFrame:
     """Tracked values that the files just written add or take away, read off those files: two of their columns."""
-    kind = spark.table(table).schema[track].dataType.simpleString()
-    name = quoted(track)
-    fields = f"{name} {kind}, {change} struct<had: boolean, was: {kind}, new: boolean>"
-    rows = spark.read.schema(fields).parquet(*paths).where(f"{change}.new")
-    return rows.select(name).unionByName(rows.where(f"{change}.had").select(F.col(change)["was"].alias(track))).distinct()
+    rows = _changes(spark, table, paths, change, [track])
+    before = rows.where(f"{change}.had").select(F.col(change)["was"][track].alias(track))
+    return rows.select(quoted(track)).unionByName(before).distinct()
+
+
+def _signed_images(
+    spark: SparkSession, table: str, paths: Sequence[str], change: str, images: Sequence[str]
+) -> DataFrame:
+    """The rows that the files just written add and take away, read off those files."""
+    rows = _changes(spark, table, paths, change, images)
+    folder = F.regexp_extract("_metadata.file_path", r"=(-?\d+)/[^/]*$", 1).cast("int")
+    rows = rows.select("*", folder.alias(IMAGE_BUCKET))
+    before = rows.where(f"{change}.had").select(f"{change}.was.*", IMAGE_BUCKET)
+    return _image(rows, images, 1, F.col(IMAGE_BUCKET)).unionByName(_image(before, images, -1, F.col(IMAGE_BUCKET)))
+
+
+def _image(rows: DataFrame, images: Sequence[str], sign: int, bucket: Column) -> DataFrame:
+    return rows.select(*map(quoted, images), F.lit(sign).alias(SIGN), bucket.alias(IMAGE_BUCKET))
 
 
 def merge_rows(
