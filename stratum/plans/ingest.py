@@ -42,7 +42,7 @@ def _required(spec: Spec, *names: str) -> Any:
 
 # The keys of a dataset spec.
 _BOTH_KEYS = {"name", "type", "bronze_path", "silver_path", "gold_path", "schema", "format", "partition_cols", "table_format", "batch", "streaming"}
-_FILE_KEYS = _BOTH_KEYS | {"landing_path", "options", "rescue", "max_columns", "autoloader"}
+_FILE_KEYS = _BOTH_KEYS | {"landing_path", "options", "rescue", "max_columns", "archive", "autoloader"}
 _MESSAGE_KEYS = _BOTH_KEYS | {"kafka", "checkpointLocation", "keep_source_columns", "keep_payload", "rescue"}
 
 
@@ -72,6 +72,10 @@ def ingest_files(spark: SparkSession, spec: Spec) -> StreamingQuery:
     another has it in another case or the raw layer needs it, a number is appended, and the record at ``schemaLocation``
     says which column is which field. It also lists all columns of the raw layer, for whoever reads that.
 
+    With ``archive`` files that were ingested are moved below that folder, which must be on the same storage and not below
+    ``landing_path``: those of a batch when the next one has come. Listing the landing folder then costs what is new.
+    ``source_file`` names the place where a file was read.
+
     A start looks at the files that the raw layer has got since the last one, for the names kept aside, and at no others.
     """
     _known(spec, _FILE_KEYS)
@@ -84,7 +88,9 @@ def ingest_files(spark: SparkSession, spec: Spec) -> StreamingQuery:
     known = read_record(spark, location)
     found = _new_names(spark, bronze, location, stored, known, most) if rescue and known else ()
     schema = grown_schema(spark, known, landing, fmt, _declared(spark, spec), options, found, most)
-    rows = enrich_lineage(stream_files(spark, landing, schema, fmt, options, rescue), FILE_SYSTEM)
+    moved = {"cleanSource": "archive", "sourceArchiveDir": spec["archive"]} if spec.get("archive") else {}
+    files = stream_files(spark, landing, schema, fmt, {**(options or {}), **moved}, rescue)
+    rows = enrich_lineage(files, FILE_SYSTEM)
     write_record(spark, location, known, schema, with_partitions(rows, partition_by).schema)
     trigger = spec.get("batch", {}).get("trigger", AVAILABLE_NOW)
     return append_stream(rows, bronze, checkpoint, trigger, partition_by, stored)

@@ -32,6 +32,10 @@ current as (
   select order_id, order_date, quantity, price, region from versions
   qualify row_number() over (partition by order_id order by order_date desc, line desc, part desc, supp desc) = 1)"""
 
+_REGIONAL = f"""select cast(o_orderdate as date) as order_day, r_name as region,
+       round(sum(o_totalprice), 2) as total_revenue, count(*) as total_units
+from orders {_REGION} group by 1, 2"""
+
 _CURRENT_SUMS = f"""{_VERSIONS}
 select order_date as order_day, region, round(sum(quantity * price), 2) as total_revenue,
        cast(sum(quantity) as bigint) as total_units
@@ -106,9 +110,8 @@ from e""",
 where not exists (select 1 from orders s where s.o_orderkey + 10000 = t.o_orderkey)
 union all
 select o_orderkey + 10000, 'LATER', o_totalprice from orders""",
-    "gold_table_by_region": f"""select cast(o_orderdate as date) as order_day, r_name as region,
-       round(sum(o_totalprice), 2) as total_revenue, count(*) as total_units
-from orders {_REGION} group by 1, 2""",
+    "gold_table_by_region": _REGIONAL,
+    "gold_view": _REGIONAL,
     "silver_bad_input": f"""
 with o as (
   select o_orderkey k, printf('ORD-%08d', o_orderkey) as order_id, cast(o_orderdate as date) as d, o_totalprice as p,
@@ -126,6 +129,7 @@ select order_id, case when o_orderkey % 2 = 0 and o_orderkey % 10 <> 0 then orde
        quantity, price, region, true as stamped, false as rejected from o
 union all
 select cast(null as varchar), order_date, quantity, price, region, true, true from o where o_orderkey % 10 = 0""",
+    "ingest_archived": "select event_id, event_type, value from events",
     "ingest_restart": "select event_id, event_type, value from events",
     "ingest_partitioned": "select event_id, value, true as same_day from events",
     "ingest_messages_json": """select event_id, user_id, event_type, value, 'kafka' as source_system,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from stratum.functions import field_of, quoted
-from stratum.operators import encode_value
+from stratum.operators import encode_value, summarize
 from stratum.operators.lineage import INGEST_TIMESTAMP
 from stratum.plans import (
     SALES_KEYS,
@@ -39,6 +39,7 @@ from stratum.sinks import (
     export_json,
     fold_rows,
     publish_table,
+    publish_view,
     read_current,
     upsert_table,
     write_layer,
@@ -143,6 +144,19 @@ def _spelled(frame: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return frame.select(F.to_json(F.create_map(*pairs)).alias("value"))
 
 
+def ingest_archived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in three arrivals; files that were ingested leave the landing folder, and a start after that finds only its own."""
+    home, _ = _names(spark, "archived")
+    spec = {**_event_spec(home, sf_dir), "format": "json", "landing_path": f"{home}/landing", "archive": f"{home}/archive"}
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    for part in range(3):
+        export_json(events.where(F.col("event_id") % 3 == part), f"{home}/landing")
+        for _ in range(2):
+            wait_all([ingest_files(spark, spec)])
+    layer = read_layer(spark, f"{home}/bronze")
+    return layer.select(F.col("event_id").cast("long").alias("event_id"), "event_type", F.col("value").cast("double").alias("value"))
+
+
 def ingest_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in four arrivals. From the second on they have fields whose names another column has in another case, the
     raw layer needs for itself, or no column may have: kept aside once, then columns, and all of them current rows."""
@@ -336,6 +350,16 @@ def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_cents(spark.table(f"{name}.daily"), ("event_day", "event_type", "total_revenue", "total_units"))
 
 
+def gold_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published twice in one step each: first with other columns and no partitions, then by region and month."""
+    home, name = _names(spark, "view")
+    orders = data.regional_orders(spark, sf_dir)
+    publish_view(orders.limit(0).select("region"), name, (), f"{home}/gold")
+    sums = summarize(orders, data.daily_orders()).withColumn("order_month", F.trunc("order_day", "MM"))
+    publish_view(sums, name, ["region", "order_month"], f"{home}/gold")
+    return in_cents(spark.table(name), SALES_COLUMNS)
+
+
 def gold_table_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sums with a partition per region, published twice: the second time partition by partition."""
     home, name = _names(spark, "gold")
@@ -504,6 +528,7 @@ STORED_QUERIES = {
     **{
         f.__name__: f
         for f in (
+            ingest_archived,
             ingest_evolving,
             ingest_odd_names,
             ingest_restart,
@@ -525,6 +550,7 @@ STORED_QUERIES = {
             gold_table,
             gold_table_by_region,
             gold_table_monthly,
+            gold_view,
             medallion_files,
             silver_appended,
             silver_bad_input,

@@ -80,6 +80,49 @@ def publish_table(
     spark.catalog.refreshTable(table)
 
 
+# So many versions of a published view lie side by side; a reader keeps its files until the one it reads comes round again.
+VERSIONS = 3
+_VERSION_PROPERTY = "stratum.version"
+
+
+def publish_view(
+    df: DataFrame,
+    view: str,
+    partition_by: Sequence[str] = (),
+    path: str | None = None,
+    fmt: str = "parquet",
+    place: Callable[[DataFrame, Sequence[str]], DataFrame] = gather,
+) -> None:
+    """Make a whole frame the content of ``view``, whatever columns and partitions it had, in one step of the catalog.
+
+    The rows become a table of their own, ``view`` with ``__v`` and a number, which the view then reads instead of the one
+    before. Readers see the former content or the new one, never none and no mixture; a publication that fails leaves
+    the view as it was. Filters reach the partitions of the table through the view.
+    """
+    spark = df.sparkSession
+    current = None
+    if table_exists(spark, view):
+        if spark.catalog.getTable(view).tableType != "VIEW":
+            raise ValueError(f"{view} is a table: publish it with publish_table, or under another name")
+        properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
+        if _VERSION_PROPERTY not in properties:
+            raise ValueError(f"{view} is a view of somebody else")
+        current = int(properties[_VERSION_PROPERTY])
+    version = 0 if current is None else (current + 1) % VERSIONS
+    table = f"{view}__v{version}"
+    namespace, _, _ = view.rpartition(".")
+    if namespace:
+        ensure_namespace(spark, namespace)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if path:
+        _declare(_written(df, partition_by, f"{path}/version={version}", fmt, place), table, partition_by, f"{path}/version={version}", fmt)
+    else:
+        create_table(df, table, partition_by, None, fmt, "overwrite", place)
+    columns = ", ".join(map(quoted, df.columns))
+    spark.sql(f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{_VERSION_PROPERTY}'='{version}') AS SELECT {columns} FROM {table}")
+    spark.catalog.refreshTable(view)
+
+
 def _written(
     df: DataFrame, partition_by: Sequence[str], location: str, fmt: str, place: Callable[[DataFrame, Sequence[str]], DataFrame]
 ) -> DataFrame:

@@ -1,0 +1,116 @@
+"""Publications in one step, and landing folders that are emptied."""
+
+import json
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratum.plans import ingest_files
+from stratum.sinks import publish_table, publish_view
+from stratum.streaming import wait_all
+
+WAIT = 90
+
+
+def _content(spark, name):
+    return sorted(map(tuple, spark.table(name).collect()), key=repr)
+
+
+@pytest.mark.parametrize("path", [False, True])
+def test_any_layout_follows_any_other(spark, name, tmp_path, path):
+    where = str(tmp_path / "v") if path else None
+    frames = [
+        (spark.createDataFrame([("x", 1, "é=1"), (None, 2, "b/c")], "region string, day int, note string"), ["region", "day"]),
+        (spark.createDataFrame([(1.5, "x")], "total double, region string"), []),
+        (spark.createDataFrame([("y", "z", 3)], "slot string, version string, n int"), ["version"]),
+        (spark.createDataFrame([], "n long, m long"), ["m"]),
+        (spark.createDataFrame([("x", 1, "again")], "region string, day int, note string"), ["day", "region"]),
+    ]
+    for frame, parts in frames:
+        publish_view(frame, name, parts, where)
+        assert spark.table(name).columns == frame.columns
+        assert _content(spark, name) == sorted(map(tuple, frame.collect()), key=repr)
+
+
+def test_a_reader_in_a_loop_always_sees_a_whole_version(spark, name, tmp_path):
+    def publish(i):
+        extra = [F.lit(i).alias(f"c{i % 2}")]  # the columns change every time
+        rows = spark.range(40).select((F.col("id") % 4).cast("int").alias("a"), (F.col("id") % 3).alias("b"), F.lit(i).alias("v"), *extra)
+        publish_view(rows, name, ["a", "b"], str(tmp_path / "v"))
+
+    publish(0)
+    seen, failed, done = [], [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                seen.append(tuple(spark.table(name).agg(F.count("*"), F.min("v"), F.max("v")).first()))
+            except Exception as e:  # noqa: BLE001
+                failed.append(str(e)[:300])
+
+    thread = threading.Thread(target=read)
+    thread.start()
+    for i in range(1, 6):
+        publish(i)
+        time.sleep(0.3)
+    done.set()
+    thread.join()
+    assert not failed and len(seen) > 3
+    assert all(n == 40 and low == high for n, low, high in seen)
+    assert {v for _, _, v in seen} > {0}
+
+
+def test_a_publication_that_fails_changes_nothing(spark, name, tmp_path):
+    publish_view(spark.range(3).toDF("n"), name, (), str(tmp_path / "v"))
+    bad = spark.range(3).select(F.raise_error(F.lit("lost")).cast("long").alias("n"))
+    for _ in range(4):
+        with pytest.raises(Exception, match="lost"):
+            publish_view(bad, name, (), str(tmp_path / "v"))
+        assert _content(spark, name) == [(0,), (1,), (2,)]
+    publish_view(spark.range(1).toDF("m"), name, (), str(tmp_path / "v"))
+    assert _content(spark, name) == [(0,)]
+
+
+def test_names_that_are_taken(spark, name):
+    publish_table(spark.range(1).toDF("n"), name)
+    with pytest.raises(ValueError, match="is a table"):
+        publish_view(spark.range(1).toDF("n"), name)
+    spark.sql(f"CREATE VIEW {name}_w AS SELECT 1 AS n")
+    with pytest.raises(ValueError, match="somebody else"):
+        publish_view(spark.range(1).toDF("n"), f"{name}_w")
+
+
+def test_filters_reach_the_partitions_through_the_view(spark, name, tmp_path, plan):
+    rows = spark.range(40).select((F.col("id") % 4).cast("int").alias("a"), "id")
+    publish_view(rows, f"{name}_db.sums", ["a"], str(tmp_path / "v"))
+    text = plan(spark.table(f"{name}_db.sums").where("a = 2"))
+    assert "PartitionFilters: [isnotnull(a" in text
+
+
+def test_ingested_files_leave_the_landing_folder(spark, tmp_path):
+    landing, archive = tmp_path / "landing", tmp_path / "archive"
+    landing.mkdir()
+    spec = {
+        "name": "s", "landing_path": str(landing), "bronze_path": f"{tmp_path}/bronze", "archive": str(archive),
+        "autoloader": {"schemaLocation": f"{tmp_path}/schema", "checkpointLocation": f"{tmp_path}/checkpoint"},
+    }
+
+    def ingest():
+        assert wait_all([ingest_files(spark, spec)], WAIT)
+        return sorted(r.id for r in spark.read.parquet(f"{tmp_path}/bronze").collect())
+
+    for i in range(4):
+        (landing / f"{i}.json").write_text(json.dumps({"id": str(i)}) + "\n")
+        assert ingest() == [str(j) for j in range(i + 1)]
+        assert ingest() == [str(j) for j in range(i + 1)]
+    # Those of the last batch stay until another one follows.
+    assert {f.name for f in archive.rglob("*.json")} == {"0.json", "1.json", "2.json"}
+    assert {f.name for f in landing.glob("*.json")} == {"3.json"}
+    (landing / "9.json").write_text(json.dumps({"id": "9"}) + "\n")
+    assert ingest() == ["0", "1", "2", "3", "9"]
+    deadline = time.time() + 30
+    while (landing / "3.json").exists() and time.time() < deadline:
+        time.sleep(0.1)
+    assert {f.name for f in landing.glob("*.json")} == {"9.json"}
