@@ -2,9 +2,10 @@
 
 Fingerprints are grouped first, so equal ones are one point however many documents share it. A shallow vantage-point
 tree, made from a bounded sample, splits Hamming space into shards: a point is at home in one, and visits every shard
-that a ball of the search radius around it reaches, by the triangle bounds of the nodes on the way. A shard builds a
-tree of its home points and runs its home points and visitors down it, pruning by the same bounds; what is left in the
-leaves is compared bit by bit. A shard reports a spanning forest of the links it finds, never all pairs, and the
+that a ball of the search radius around it reaches, by the triangle bounds of the nodes on the way. Of evenly spread points a
+shard's visitors grow with the table though its home points do not, so the visitors are split: each piece has all home
+points and a bounded part of those that ask. A piece builds a tree of the home points and runs its own part down it,
+pruning by the same bounds; what is left in the leaves is compared bit by bit. A piece reports a spanning forest of the links it finds, never all pairs, and the
 forests are joined into components by labels that spread along edges and jump along themselves.
 """
 
@@ -23,6 +24,8 @@ SEED = 42
 BITS = 64
 # Sampled points per shard of the tree, home points of a shard, and of a leaf inside a shard.
 SAMPLE, SHARD, LEAF = 200, 25_000, 192
+# Points that ask in a piece of a shard, about.
+ASKED = 50_000
 MOST_SAMPLED = 100_000
 # Shingles hashed at a time, and links gathered before they are reduced to a forest.
 BLOCK, LINKS = 1 << 15, 1 << 20
@@ -76,23 +79,27 @@ def _split(points: np.ndarray, rng: np.random.Generator) -> tuple[np.uint64, int
 
 
 class Tree:
-    """Vantage points and radii of a shallow tree over a sample; its leaves are shards."""
+    """Vantage points and radii of a shallow tree over a sample; its leaves are shards.
+
+    A part is split until it holds no more than one and a half times its share of the sample, so an uneven split leaves
+    no large shard behind.
+    """
 
     def __init__(self, sample: np.ndarray, shards: int):
         self.nodes: list[tuple[int, int, int, int]] = []  # point, radius, inner, outer; children < 0 are shards
         self.shards = 0
-        self.root = self._grow(sample, shards, np.random.default_rng(7))
+        self.root = self._grow(sample, 1.5 * len(sample) / shards, np.random.default_rng(7))
 
-    def _grow(self, sample: np.ndarray, shards: int, rng: np.random.Generator) -> int:
-        cut = _split(sample, rng) if shards > 1 and len(sample) > 1 else None
+    def _grow(self, sample: np.ndarray, most: float, rng: np.random.Generator) -> int:
+        cut = _split(sample, rng) if len(sample) > max(1, most) else None
         if cut is None:
             self.shards += 1
             return -self.shards
         d = _distance(sample, cut[0])
         at = len(self.nodes)
         self.nodes.append((0, 0, 0, 0))
-        inner = self._grow(sample[d <= cut[1]], (shards + 1) // 2, rng)
-        outer = self._grow(sample[d > cut[1]], shards // 2, rng)
+        inner = self._grow(sample[d <= cut[1]], most, rng)
+        outer = self._grow(sample[d > cut[1]], most, rng)
         self.nodes[at] = (int(cut[0]), cut[1], inner, outer)
         return at
 
@@ -151,9 +158,20 @@ def close_pairs(home: np.ndarray, asked: np.ndarray, radius: int) -> Iterator[tu
         todo.append((mine[d > cut[1]], rows[e > cut[1] - radius]))
 
 
-def shard_links(points: np.ndarray, home: np.ndarray, radius: int) -> np.ndarray:
-    """For every point of a shard the smallest index of those linked to it, directly or through others, in the shard."""
+def pieces_of(tree: Tree, sample: np.ndarray, n: int, radius: int) -> np.ndarray:
+    """Into how many pieces each shard is split, from how many of the sampled points visit it."""
+    visits = np.zeros(tree.shards, np.int64)
+    for shard, rows, _ in tree.reach(sample, radius):
+        visits[shard] += len(rows)
+    return np.maximum(1, np.ceil(visits * (n / max(1, len(sample))) / ASKED)).astype(np.int64)
+
+
+def shard_links(points: np.ndarray, home: np.ndarray, radius: int, asking: np.ndarray | None = None) -> np.ndarray:
+    """For every point of a shard the smallest index of those linked to it, directly or through others, in the shard.
+
+    Links of the `asking` points (all, if not given) to the home points are looked for."""
     mine = np.flatnonzero(home)
+    asked = np.arange(len(points)) if asking is None else np.flatnonzero(asking)
     a, b, held = [], [], 0
     label = np.arange(len(points))
 
@@ -164,10 +182,10 @@ def shard_links(points: np.ndarray, home: np.ndarray, radius: int) -> np.ndarray
         a.clear(), b.clear()
         held = 0
 
-    for i, j in close_pairs(points[mine], points, radius):
-        apart = mine[i] != j
+    for i, j in close_pairs(points[mine], points[asked], radius):
+        apart = mine[i] != asked[j]
         a.append(mine[i][apart])
-        b.append(j[apart])
+        b.append(asked[j][apart])
         held += int(apart.sum())
         if held > LINKS:
             reduce()
@@ -187,21 +205,36 @@ def links(points: DataFrame, radius: int) -> DataFrame:
         sample = np.sort(picked.toPandas()["point"].to_numpy("<i8"))
     tree = Tree(sample.view(np.uint64), shards)
 
+    pieces = pieces_of(tree, sample.view(np.uint64), n, radius)
+    first = np.concatenate([[0], np.cumsum(pieces)])
+
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            own = batch["point"].to_numpy("<i8")
+            own, spread = batch["point"].to_numpy("<i8"), batch["spread"].to_numpy()
             for shard, rows, home in tree.reach(own.view(np.uint64), radius):
-                yield pd.DataFrame({"shard": np.int32(shard), "point": own[rows], "home": home})
+                mine = spread[rows] % pieces[shard]
+                # A home point goes to all pieces to be found, and asks in one of them.
+                for piece in range(pieces[shard]):
+                    here = home | (mine == piece)
+                    yield pd.DataFrame(
+                        {
+                            "piece": np.int64(first[shard] + piece),
+                            "point": own[rows[here]],
+                            "home": home[here],
+                            "asks": mine[here] == piece,
+                        }
+                    )
 
     def find(part: pd.DataFrame) -> pd.DataFrame:
-        own = np.sort(part["point"].to_numpy("<i8"))
-        home = part.set_index("point")["home"].reindex(own).to_numpy(bool)
-        label = shard_links(own.view(np.uint64), home, radius)
+        part = part.sort_values("point")
+        own = part["point"].to_numpy("<i8")
+        label = shard_links(own.view(np.uint64), part["home"].to_numpy(bool), radius, part["asks"].to_numpy(bool))
         moved = label != np.arange(len(own))
         return pd.DataFrame({"point": own[moved], "root": own[label[moved]]})
 
-    dealt = points.select("point").mapInPandas(deal, "shard int, point long, home boolean")
-    return dealt.groupBy("shard").applyInPandas(find, "point long, root long")
+    spread = F.pmod(F.xxhash64("point"), F.lit(1 << 40)).alias("spread")
+    dealt = points.select("point", spread).mapInPandas(deal, "piece long, point long, home boolean, asks boolean")
+    return dealt.groupBy("piece").applyInPandas(find, "point long, root long")
 
 
 def components(edges: DataFrame) -> DataFrame:

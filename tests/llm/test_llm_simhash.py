@@ -75,9 +75,9 @@ def test_tree_finds_all_pairs(flips, leaf, monkeypatch):
     assert found == want
 
 
-@pytest.mark.parametrize("flips", [2, 4])
-def test_shards_join_to_components(spark, monkeypatch, flips):
-    for name, value in (("SHARD", 60), ("LEAF", 8), ("SAMPLE", 40), ("LINKS", 50)):
+@pytest.mark.parametrize("flips, asked", [(2, 50_000), (4, 50_000), (2, 40), (4, 15), (60, 30)])
+def test_shards_join_to_components(spark, monkeypatch, flips, asked):
+    for name, value in (("SHARD", 60), ("LEAF", 8), ("SAMPLE", 40), ("LINKS", 50), ("ASKED", asked)):
         monkeypatch.setattr(simhash, name, value)
     points = near(np.random.default_rng(flips + 7), 700, flips)
     signed = np.sort(points.view(np.int64))
@@ -87,6 +87,23 @@ def test_shards_join_to_components(spark, monkeypatch, flips):
     assert [labels.get(int(p), int(p)) for p in signed] == [int(signed[i]) for i in want]
 
 
+def test_the_largest_group_does_not_grow(monkeypatch):
+    """Evenly spread points, where a shard's visitors grow with the table: copies are dealt to more pieces, not larger ones."""
+    rng = np.random.default_rng(2)
+    shard, asked = 500, 1000
+    monkeypatch.setattr(simhash, "ASKED", asked)
+    for n in (20_000, 80_000):
+        points = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * 2 + rng.integers(0, 2, n, dtype=np.uint64))
+        sample = np.sort(rng.choice(points, 8000, replace=False))
+        tree = simhash.Tree(sample, n // shard)
+        pieces = simhash.pieces_of(tree, sample, len(points), 2)
+        largest = 0
+        for at, rows, home in tree.reach(points, 2):
+            asks = np.bincount(rng.integers(0, pieces[at], len(rows)), minlength=pieces[at])
+            largest = max(largest, int(asks.max()) + int(home.sum()))
+        assert largest < 2 * (shard + asked)
+
+
 def test_a_chain_across_shards(spark):
     edges = spark.createDataFrame([(i, i - 1) for i in range(1, 40)] + [(100, 200), (300, 200)], "point long, root long")
     labels = {r.point: r.label for r in simhash.components(edges).collect()}
