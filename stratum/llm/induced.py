@@ -11,8 +11,8 @@ from __future__ import annotations
 import numpy as np
 
 MOST_BUCKETS = 1 << 14
-# Strings of names up to this long are sorted by doubling their ranks.
-SHORT = 1 << 18
+# The recursion ends at strings of names of this length, which are sorted by doubling their ranks.
+SHORT = 512
 _ZERO = np.zeros(1, np.int64)
 
 
