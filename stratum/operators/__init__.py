@@ -1,6 +1,6 @@
 """DataFrame in, DataFrame out. No actions: the batch-safe ones also work on streams."""
 
-from stratum.operators.latest import latest_per_key, newest_first
+from stratum.operators.latest import latest_by_aggregate, latest_per_key, newest_first
 from stratum.operators.lineage import enrich_lineage
 from stratum.operators.payload import decode_value, encode_value
 from stratum.operators.rejects import has_null_key, split_null_keys
@@ -15,6 +15,7 @@ __all__ = [
     "encode_value",
     "enrich_lineage",
     "has_null_key",
+    "latest_by_aggregate",
     "latest_per_key",
     "newest_first",
     "refresh_summary",

@@ -10,6 +10,7 @@ from stratum.operators import (
     decode_value,
     encode_value,
     enrich_lineage,
+    latest_by_aggregate,
     latest_per_key,
     refresh_summary,
     split_null_keys,
@@ -110,6 +111,14 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(lines, ["l_orderkey"], ["l_shipdate"], ["l_linenumber", "l_partkey", "l_suppkey"])
 
 
+def dedup_latest_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows by a partial aggregate instead of a rank."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", *data.LINE_ORDER, "l_quantity", "l_extendedprice", "l_returnflag"
+    )
+    return latest_by_aggregate(lines, ["l_orderkey"], ["l_shipdate"], ["l_linenumber", "l_partkey", "l_suppkey"])
+
+
 def upsert_one_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_frames(data.order_prices(spark, sf_dir), data.revised_orders(spark, sf_dir), ["o_orderkey"])
 
@@ -144,6 +153,7 @@ FRAME_QUERIES = {
         typed_projection,
         split_rejects,
         dedup_latest,
+        dedup_latest_aggregate,
         upsert_one_key,
         upsert_two_keys,
         daily_gold,

@@ -8,6 +8,9 @@ _EVENT_JSON = """select cast(json_object('event_id', event_id, 'user_id', user_i
 _LATEST_LINE = """qualify row_number() over (partition by l_orderkey
           order by l_shipdate desc, l_linenumber desc, l_partkey desc, l_suppkey desc) = 1"""
 
+_LATEST = f"""select l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity,
+       l_extendedprice, l_returnflag from lineitem {_LATEST_LINE}"""
+
 _REGION = """join customer on o_custkey = c_custkey
        join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey"""
 
@@ -77,8 +80,8 @@ ORACLES = {
 from orders""",
     "split_rejects": """select case when o_orderpriority <> '1-URGENT' then o_orderkey end as order_id, o_totalprice,
        o_orderpriority = '1-URGENT' as rejected from orders""",
-    "dedup_latest": f"""select l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity,
-       l_extendedprice, l_returnflag from lineitem {_LATEST_LINE}""",
+    "dedup_latest": _LATEST,
+    "dedup_latest_aggregate": _LATEST,
     "upsert_one_key": _UPSERT_ORDERS,
     "upsert_stored_one_key": _UPSERT_ORDERS,
     "upsert_two_keys": _UPSERT_LINES,

@@ -12,6 +12,7 @@ from stratum.operators import (
     decode_value,
     encode_value,
     enrich_lineage,
+    latest_by_aggregate,
     latest_per_key,
     refresh_summary,
     split_null_keys,
@@ -121,6 +122,20 @@ def test_latest_by_time_then_tie_breakers(spark):
         random.Random(seed).shuffle(rows)
         df = spark.createDataFrame(rows, SALES).repartition(seed + 1)
         assert _sorted(latest_per_key(df, ["order_id"], ["ingest_timestamp"])) == expected
+        assert _sorted(latest_by_aggregate(df, ["order_id"], ["ingest_timestamp"])) == expected
+
+
+def test_both_forms_of_latest_agree(spark, plan):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 1, 2, 3]), rng.choice([None, 1.5, float("nan"), -0.0, 0.0]), rng.choice([None, "x", "y"]), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "`k.1` int, t double, `0` string, row int").repartition(4)
+    by_rank, by_aggregate = (f(df, ["k.1"], ["t"], ["0", "row"]) for f in (latest_per_key, latest_by_aggregate))
+    assert by_rank.columns == by_aggregate.columns == df.columns
+    assert sorted(map(repr, by_rank.collect())) == sorted(map(repr, by_aggregate.collect()))
+    text = plan(latest_by_aggregate(spark.range(100).selectExpr("id % 3 as k", "id as t"), ["k"], ["t"]))
+    assert "partial_max_by" in text and text.count("Exchange") == 1
+    maps = spark.sql("select 1 as k, 1 as t, map('a', 1) as m union all select 1, 2, map('b', 2)")
+    assert latest_by_aggregate(maps, ["k"], ["t"]).first().m == {"b": 2}
 
 
 def test_latest_ignores_columns_without_an_order(spark):

@@ -24,9 +24,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 from stratum.functions import in_months  # noqa: E402
-from stratum.operators import Summary, latest_per_key, upsert_frames  # noqa: E402
+from stratum.operators import Summary, latest_by_aggregate, latest_per_key, upsert_frames  # noqa: E402
 from stratum.plans.gold import publish_gold, refresh_partitions  # noqa: E402
-from stratum.sinks import read_current, upsert_table  # noqa: E402
+from stratum.sinks import append_rows, fold_rows, read_current, upsert_table  # noqa: E402
 
 KEYS = ["l_orderkey"]
 TIES = ["l_linenumber", "l_partkey", "l_suppkey"]
@@ -118,6 +118,8 @@ def measure(spark: SparkSession, sf_dir: str, home: str, copies: int) -> None:
     hot = stored.withColumn("l_orderkey", a_third("l_orderkey", F.lit(-1)))
     timed(spark, f"latest x{copies}", n, noop(latest_per_key(stored, KEYS, ["l_shipdate"], TIES)))
     timed(spark, f"latest, hot order x{copies}", n, noop(latest_per_key(hot, KEYS, ["l_shipdate"], TIES)))
+    timed(spark, f"latest by aggregate x{copies}", n, noop(latest_by_aggregate(stored, KEYS, ["l_shipdate"], TIES)))
+    timed(spark, f"the same, hot order x{copies}", n, noop(latest_by_aggregate(hot, KEYS, ["l_shipdate"], TIES)))
 
     keyless = stored.withColumn("l_orderkey", a_third("l_orderkey", F.lit(None)))
     source = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("l_orderkey"))
@@ -135,6 +137,11 @@ def measure(spark: SparkSession, sf_dir: str, home: str, copies: int) -> None:
     for label, batch in (("merge into all buckets", everywhere), ("merge into one bucket", one_order)):
         batch = batch.withColumn("l_shipdate", F.add_months("l_shipdate", 120))
         timed(spark, f"{label} x{copies}", batch.count(), lambda b=batch: upsert_table(b, table, KEYS, **order))
+    later = everywhere.withColumn("l_shipdate", F.add_months("l_shipdate", 240))
+    timed(spark, f"append to all buckets x{copies}", later.count(), lambda: append_rows(later, table, KEYS, **order))
+    timed(spark, f"read with pending x{copies}", n, noop(read_current(spark, table)))
+    timed(spark, f"fold x{copies}", later.count(), lambda: fold_rows(spark, table))
+    timed(spark, f"read without pending x{copies}", n, noop(read_current(spark, table)))
     # The same number of lines under the newest orders, where buckets hold neighbouring orders: old buckets stay.
     width = lines.agg(F.max("l_orderkey")).first()[0] + 1
     by_number, newest = f"numbered_{copies}", lines.withColumn("l_orderkey", F.col("l_orderkey") + (copies - 1) * width)
