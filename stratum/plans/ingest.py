@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Mapping
 from typing import Any
 
@@ -78,11 +79,24 @@ def ingest_files(spark: SparkSession, spec: Spec) -> StreamingQuery:
 
     A start looks at the files that the raw layer has got since the last one, for the names kept aside, and at no others.
     """
+    rows = file_rows(spark, spec)
+    return append_stream(
+        rows,
+        _required(spec, "bronze_path"),
+        _required(spec, "autoloader", "checkpointLocation"),
+        spec.get("batch", {}).get("trigger", AVAILABLE_NOW),
+        spec.get("partition_cols", ()),
+        spec.get("table_format", "parquet"),
+    )
+
+
+def file_rows(spark: SparkSession, spec: Spec) -> DataFrame:
+    """The stream that :func:`ingest_files` appends: new files as rows of the raw layer, whose columns are recorded."""
     _known(spec, _FILE_KEYS)
     landing, bronze = _required(spec, "landing_path"), _required(spec, "bronze_path")
     fmt, stored = spec.get("format", "json"), spec.get("table_format", "parquet")
     location = _required(spec, "autoloader", "schemaLocation")
-    checkpoint = _required(spec, "autoloader", "checkpointLocation")
+    _required(spec, "autoloader", "checkpointLocation")
     options, partition_by = spec.get("options"), spec.get("partition_cols", ())
     rescue, most = bool(spec.get("rescue", fmt == "json")), int(spec.get("max_columns", MOST_COLUMNS))
     known = read_record(spark, location)
@@ -92,8 +106,7 @@ def ingest_files(spark: SparkSession, spec: Spec) -> StreamingQuery:
     files = stream_files(spark, landing, schema, fmt, {**(options or {}), **moved}, rescue)
     rows = enrich_lineage(files, FILE_SYSTEM)
     write_record(spark, location, known, schema, with_partitions(rows, partition_by).schema)
-    trigger = spec.get("batch", {}).get("trigger", AVAILABLE_NOW)
-    return append_stream(rows, bronze, checkpoint, trigger, partition_by, stored)
+    return rows
 
 
 def _new_names(spark: SparkSession, bronze: str, location: str, fmt: str, known: SchemaRecord, most: int) -> list[str]:
@@ -120,7 +133,9 @@ def _new_names(spark: SparkSession, bronze: str, location: str, fmt: str, known:
         if e.getCondition() == "PATH_NOT_FOUND":
             return []  # recorded, but nothing was ever written
         raise
-    wait_all([start_batches(kept, note, f"{location}/_names/checkpoint")])
+    # A layer in volumes has a log of files in each of them.
+    of = hashlib.sha256(bronze.encode()).hexdigest()[:16]
+    wait_all([start_batches(kept, note, f"{location}/_names/checkpoint-{of}")])
     try:
         rows = spark.read.schema(_NOTED).json(noted).filter(~F.col("name").isin(read))
         commonest = rows.groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(room)

@@ -109,15 +109,19 @@ def refresh_silver(
     schema: StructType | None = None,
     add_columns: bool = True,
     schema_location: str | None = None,
+    raw: DataFrame | None = None,
     **layout,
 ) -> None:
     """The same merge from the whole raw layer at once: every row it holds is written and stamped anew.
 
+    ``raw`` is the layer's rows where they lie in several places (:func:`stratum.plans.volumes.read_volumes`).
+
     Its rejects are all rows without a key, under a run of their own that each full refresh replaces: count either
     ``run='full'`` or the other runs.
     """
-    columns = _columns(spark, schema, schema_location)
-    typed = stamp_date(apply_types(read_layer(spark, bronze, fmt, columns), types))
+    if raw is None:
+        raw = read_layer(spark, bronze, fmt, _columns(spark, schema, schema_location))
+    typed = stamp_date(apply_types(raw, types))
     keyed, without_key = split_null_keys(typed, keys)
     without_key.write.mode("overwrite").parquet(f"{rejects}/run=full/batch=0")
     upsert_table(keyed, table, keys, order_by, tie_breakers, add_columns=add_columns, source_wins_ties=True, **layout)

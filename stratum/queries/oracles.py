@@ -146,6 +146,8 @@ from events, (select unnest(['file', 'kafka']) as source_system)""",
     "overwrite_partitioned": "select o_orderkey, o_totalprice, o_orderstatus from orders",
     "silver_incremental": f"{_VERSIONS} select * from current",
     "silver_appended": f"{_VERSIONS} select * from current",
+    "silver_volumes": f"""{_VERSIONS}
+select c.*, n.versions from current c join (select order_id, count(*) as versions from versions group by 1) n using (order_id)""",
     "silver_full": f"{_VERSIONS} select * from current",
     "gold_refresh": _CURRENT_SUMS,
     "gold_from_changes": _CURRENT_SUMS,

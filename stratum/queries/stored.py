@@ -18,13 +18,17 @@ from stratum.operators.lineage import INGEST_TIMESTAMP
 from stratum.plans import (
     SALES_KEYS,
     SALES_TYPES,
+    close_volume,
+    compact_layer,
     daily_sales,
     ingest_all,
     ingest_files,
     ingest_messages,
     publish_gold,
     read_sums,
+    read_volumes,
     refine_to_silver,
+    refine_volumes,
     refresh_gold,
     refresh_silver,
     refresh_sums,
@@ -488,6 +492,24 @@ def silver_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(spark, name).select(*_SILVER_COLUMNS)
 
 
+def silver_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals in two volumes of the raw layer; the first is refined, archived and removed before the second comes."""
+    home, name = _names(spark, "volumes")
+    spec = _sales_spec(home)
+    for sales in (data.order_sales(spark, sf_dir), data.line_sales(spark, sf_dir)):
+        _write_schema(spark, sales.schema, f"{home}/declared")
+        export_json(sales, f"{home}/landing")
+        close_volume(spark, spec)
+        refine_volumes(
+            spark, f"{home}/bronze", name, SALES_KEYS, _TYPES, f"{home}/checkpoints/silver", f"{home}/rejects", f"{home}/schema",
+            order_by=_NEWEST, path=f"{home}/silver", buckets=8,
+        )
+        compact_layer(spark, f"{home}/bronze", f"{home}/schema")
+    current = read_current(spark, name).select(*_SILVER_COLUMNS)
+    raw = read_volumes(spark, f"{home}/bronze", f"{home}/schema")
+    return current.join(raw.groupBy("order_id").agg(F.count("*").alias("versions")), "order_id")
+
+
 def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sums published after the orders, then refreshed for the days that the lines add to or take from."""
     home, name = _names(spark, "refresh")
@@ -557,6 +579,7 @@ STORED_QUERIES = {
             silver_by_arrival,
             silver_incremental,
             silver_full,
+            silver_volumes,
             gold_refresh,
             gold_from_changes,
         )
