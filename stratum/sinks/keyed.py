@@ -24,6 +24,8 @@ KEYLESS = -1
 UNPLACED = -2
 # Buckets below zero for keys that ``bucket_by`` has no number for.
 UNPLACED_BUCKETS = 64
+# A merge that touches more buckets than this raises: each costs the driver two catalog statements.
+MOST_TOUCHED = 100_000
 _KEYS_PROPERTY = "stratum.keys"
 _BUCKET_PROPERTY = "stratum.bucket"
 _COLUMN_PROPERTY = "stratum.bucket_column"
@@ -109,7 +111,7 @@ def upsert_table(
     (next to the old files, see :func:`stratum.sinks.tables.point_partitions`) and the rest is not read at all. By
     default a key is hashed to one of ``buckets``. Where new rows come with new keys, ``bucket_by``, a SQL expression
     over the keys that gives a whole number from 0 (say ``order_id div 10000000``), keeps the rewriting to the recent
-    buckets. Aim at about a gigabyte per bucket and piece, where ``pieces`` splits each bucket over that many tasks and
+    buckets; a merge that touches more than a hundred thousand of them raises. Aim at about a gigabyte per bucket and piece, where ``pieces`` splits each bucket over that many tasks and
     files. ``sort_by`` orders rows inside the files, so that filters on those columns skip row groups. All of these are
     fixed when the table is created and remembered with it. Give the table a ``path`` on shared storage unless the
     warehouse is there.
@@ -141,7 +143,10 @@ def upsert_table(
     if layout.pending not in (None, pending_order(keys, order_by, tie_breakers)):
         raise ValueError(f"{table} has had rows appended in another order: {layout.pending}")
     source = source.withColumn(layout.bucket, key_bucket(keys, layout.expression))
-    touched = [r[0] for r in source.select(quoted(layout.bucket)).distinct().collect()]  # a small row per bucket
+    buckets_of = source.select(quoted(layout.bucket)).distinct().limit(MOST_TOUCHED + 1)
+    touched = [r[0] for r in buckets_of.collect()]  # a small row per bucket
+    if len(touched) > MOST_TOUCHED:
+        raise ValueError(f"rows for {table} fall in more than {MOST_TOUCHED} buckets: make them wider, or fewer")
     keyed, without_key = split_null_keys(source, keys)
     with_key = [b for b in touched if b != KEYLESS]
     if with_key:

@@ -120,6 +120,15 @@ def test_buckets_of_the_callers_choice(spark, name, tmp_path):
     assert len(values) == 236 and values["o-34"] == 1 and values["odd7"] == 0
 
 
+def test_too_many_buckets_raise_before_anything_is_written(spark, name, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed_sink, "MOST_TOUCHED", 5)
+    rows = spark.range(20).selectExpr("id", "1 as v")
+    with pytest.raises(ValueError, match="more than 5 buckets"):
+        upsert_table(rows, name, ["id"], bucket_by="id div 2", path=str(tmp_path / "t"))
+    upsert_table(rows.where("id < 10"), name, ["id"])
+    assert read_current(spark, name).count() == 10
+
+
 def test_columns_follow_the_table(spark, name, tmp_path):
     upsert_table(_frame(spark, [("a", 1, D1), ("b", 1, D1)]), name, ["id"], buckets=2, path=str(tmp_path / "t"))
     wider = spark.createDataFrame([("new", "7", "a", D2)], "colour string, v string, id string, day date")
