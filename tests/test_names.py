@@ -67,19 +67,19 @@ def test_names_of_columns():
     assert quoted("a`b") == "`a``b`"
 
 
-@pytest.mark.parametrize("field", ["Region", "_rescued", "_metadata", "source_file", "ingest_timestamp", "_corrupt_record", "slot", "key_bucket", "a.b"])
-def test_late_fields_of_any_name(spark, tmp_path, name, field):
+def test_late_fields_of_any_name(spark, tmp_path, name):
+    odd = ["Region", "_rescued", "_metadata", "source_file", "ingest_timestamp", "_corrupt_record", "slot", "key_bucket", "a.b"]
     spec = _spec(tmp_path)
     for i in range(4):
-        _land(tmp_path, f"{i}.json", {"id": str(i), "region": f"r{i}", **({field: f"v{i}"} if i else {})}, "broken")
+        _land(tmp_path, f"{i}.json", {"id": str(i), "region": f"r{i}", **({f: f"{f}{i}" for f in odd} if i else {})}, "broken")
         layer = _ingest(spark, spec)
         current = _refine(spark, tmp_path, name)
-    record = read_record(spark, f"{tmp_path}/schema").schema
-    column = quoted(next(f.name for f in record.fields if field_of(f) == field))
-    value = F.coalesce(F.col(column), F.element_at(F.from_json("_rescued", "map<string,string>"), field))
-    want = {str(i): (f"r{i}", f"v{i}" if i else None) for i in range(4)}
+    column = {field_of(f): quoted(f.name) for f in read_record(spark, f"{tmp_path}/schema").schema.fields}
+    kept = F.from_json("_rescued", "map<string,string>")
+    values = [F.coalesce(F.col(column[f]), F.element_at(kept, f)).alias(f"v{i}") for i, f in enumerate(odd)]
+    want = {str(i): (f"r{i}", *(f"{f}{i}" if i else None for f in odd)) for i in range(4)}
     for rows in (layer.where("id is not null"), current):
-        assert {r.id: (r.region, r.v) for r in rows.select("id", "region", value.alias("v")).collect()} == want
+        assert {r.id: tuple(r)[1:] for r in rows.select("id", "region", *values).collect()} == want
         assert rows.where("source_file like '%/landing/%' and ingest_timestamp is not null").count() == 4
     assert {r._corrupt_record for r in layer.where("id is null").collect()} == {"broken"}
     # Whoever reads the layer without its record can do so too.
@@ -205,8 +205,7 @@ def _values(frame):
     return {r["id"]: tuple(r[c] for c in frame.columns if c != "id") for r in frame.collect()}
 
 
-@pytest.mark.parametrize("order", [None, ["v"]])
-@pytest.mark.parametrize("tracked", [False, True])
+@pytest.mark.parametrize("order, tracked", [(None, False), (["v"], True)])
 def test_a_merge_keeps_columns_of_any_name(spark, name, tmp_path, order, tracked):
     note = {"track": "_new", "note": lambda frame: seen.append({r[0] for r in frame.collect()})} if tracked else {}
     seen = []
@@ -224,7 +223,7 @@ def test_a_merge_keeps_columns_of_any_name(spark, name, tmp_path, order, tracked
     assert _values(spark.table(f"{name}_gold").select("id", "v", *OWN)) == want
 
 
-@pytest.mark.parametrize("late", ["slot", "_change", "_new", "Slot"])
+@pytest.mark.parametrize("late", ["_new", "Slot"])
 def test_a_column_that_comes_later_may_have_any_name(spark, name, tmp_path, late):
     merge = lambda frame: upsert_table(frame, name, ["id"], ["v"], buckets=2, path=str(tmp_path / "t"), add_columns=True, track="v", note=lambda f: f.count())
     merge(_named_rows(spark, [("a", 1), ("b", 1), ("c", 1)], ()))
