@@ -81,7 +81,7 @@ def _induce(s: np.ndarray, smaller: np.ndarray, starts: np.ndarray, lms: np.ndar
         inside = symbols < end
         if inside.any():
             cut = int(symbols[inside].min())
-            width = max(1, min(width // 2, cut - c))
+            width = max(1, cut - c)
             continue
         _put(sa, head, symbols, before, 1)
         c, width = end, min(2 * width, MOST_BUCKETS)
@@ -113,7 +113,7 @@ def _induce(s: np.ndarray, smaller: np.ndarray, starts: np.ndarray, lms: np.ndar
         inside = symbols >= start
         if inside.any():
             cut = int(symbols[inside].max())
-            width = max(1, min(width // 2, c - 1 - cut))
+            width = max(1, c - 1 - cut)
             continue
         _put(sa, free, symbols, before, -1)
         c, width = start, min(2 * width, MOST_BUCKETS)
