@@ -24,8 +24,11 @@ KEYLESS = -1
 UNPLACED = -2
 # Buckets below zero for keys that ``bucket_by`` has no number for.
 UNPLACED_BUCKETS = 64
-# A merge that touches more buckets than this raises: each costs the driver two catalog statements.
+# A merge that touches more buckets than this raises: each costs the driver a catalog statement.
 MOST_TOUCHED = 100_000
+# Stored and new rows that one task of a merge ranks and writes, and how many tasks a merge may have whatever its rows.
+TASK_ROWS = 500_000
+FEW_TASKS = 200
 _KEYS_PROPERTY = "stratum.keys"
 _BUCKET_PROPERTY = "stratum.bucket"
 _COLUMN_PROPERTY = "stratum.bucket_column"
@@ -111,8 +114,8 @@ def upsert_table(
     (next to the old files, see :func:`stratum.sinks.tables.point_partitions`) and the rest is not read at all. By
     default a key is hashed to one of ``buckets``. Where new rows come with new keys, ``bucket_by``, a SQL expression
     over the keys that gives a whole number from 0 (say ``order_id div 10000000``), keeps the rewriting to the recent
-    buckets; a merge that touches more than a hundred thousand of them raises. Aim at about a gigabyte per bucket and piece, where ``pieces`` splits each bucket over that many tasks and
-    files. ``sort_by`` orders rows inside the files, so that filters on those columns skip row groups. All of these are
+    buckets; a merge that touches more than a hundred thousand of them raises. A bucket's rows are split over as many tasks and files as their number asks for, and over at least ``pieces``;
+    small buckets share a task. ``sort_by`` orders rows inside the files, so that filters on those columns skip row groups. All of these are
     fixed when the table is created and remembered with it. Give the table a ``path`` on shared storage unless the
     warehouse is there.
 
@@ -143,8 +146,8 @@ def upsert_table(
     if layout.pending not in (None, pending_order(keys, order_by, tie_breakers)):
         raise ValueError(f"{table} has had rows appended in another order: {layout.pending}")
     source = source.withColumn(layout.bucket, key_bucket(keys, layout.expression))
-    buckets_of = source.select(quoted(layout.bucket)).distinct().limit(MOST_TOUCHED + 1)
-    touched = [r[0] for r in buckets_of.collect()]  # a small row per bucket
+    buckets_of = source.groupBy(quoted(layout.bucket)).agg(F.count("*")).limit(MOST_TOUCHED + 1)
+    touched = dict(map(tuple, buckets_of.collect()))  # a small row per bucket
     if len(touched) > MOST_TOUCHED:
         raise ValueError(f"rows for {table} fall in more than {MOST_TOUCHED} buckets: make them wider, or fewer")
     keyed, without_key = split_null_keys(source, keys)
@@ -152,15 +155,18 @@ def upsert_table(
     if with_key:
         # The literal list prunes partitions: the other buckets are not even listed.
         target = spark.table(table).where(tables.listed(F.col(quoted(layout.bucket)), with_key))
-        occupied = tables.occupied_slots(spark, table, layout.bucket, with_key)
+        occupied = tables.occupied_slots(spark, table, layout.bucket, with_key, target)
+        # No column is read for the number of stored rows: it stands in the footers.
+        rows = sum(touched[b] for b in with_key) + (target.count() if occupied else 0)
+        pieces, tasks = _dealt(rows, len(with_key), layout.pieces)
         newest = newest_first(keyed.drop(layout.bucket), keys, order_by, tie_breakers) if order_by else []
         stored_first = bool(newest) and not source_wins_ties
         slot = tables.slot_column(source.columns)
         # No two merges call it the same, so it is no column of the data, now or later.
         change, noted = f"_change_{uuid.uuid4().hex}", (images or track) if note else None
         merged = _merged(
-            target, keyed, keys, newest, stored_first, occupied, len(with_key), layout.pieces, layout.sort_by, noted,
-            layout.bucket, slot, change,
+            target, keyed, keys, newest, stored_first, occupied, len(with_key), pieces, layout.sort_by, noted,
+            layout.bucket, slot, change, tasks,
         )
         root = tables.table_location(spark, table)
         try:
@@ -260,6 +266,13 @@ def conformed(source: DataFrame, table: str, add_columns: bool, bucket: str | No
     )
 
 
+def _dealt(rows: int, buckets: int, pieces: int) -> tuple[int, int]:
+    """(pieces of each bucket, tasks) for a merge of so many rows: neither grow with the table nor with its buckets alone."""
+    wanted = -(-rows // TASK_ROWS)
+    pieces = max(pieces, -(-wanted // buckets))
+    return pieces, min(buckets * pieces, max(wanted, FEW_TASKS))
+
+
 def _merged(
     target: DataFrame,
     keyed: DataFrame,
@@ -274,6 +287,7 @@ def _merged(
     bucket_column: str = BUCKET,
     slot: str = tables.SLOT,
     change: str = "_change",
+    tasks: int | None = None,
 ) -> DataFrame:
     """Touched buckets after the merge, each row with the slot its bucket goes to.
 
@@ -289,12 +303,12 @@ def _merged(
     both = target.withColumn(from_source, F.lit(0)).unionByName(keyed.withColumn(from_source, F.lit(1)))
     side = F.col(from_source).asc() if stored_first else F.col(from_source).desc()
     folders = [F.col(slot), bucket, F.col(piece)]
-    tasks = max(1, buckets * pieces)
+    tasks = tasks or max(1, buckets * pieces)
     columns = [F.col(quoted(k)) for k in keys]
     placed = both.withColumns(
         {slot: tables.free_slot(bucket_column, occupied), piece: F.pmod(F.hash(*columns), F.lit(pieces))}
     ).withColumn(task, F.pmod(bucket.cast("long") * pieces + F.col(piece), F.lit(tasks)).cast("int"))
-    # Keys are unique on either side by now, so buckets are even, and each piece of a bucket is a task. This one
+    # Keys are unique on either side by now, so buckets are even, and each piece of a bucket is in one task. This one
     # exchange serves the ranking and the layout of the files: the window's order starts with the folders written.
     key = Window.partitionBy(task, *folders, *columns)
     ranked = placed.repartitionById(tasks, F.col(task)).withColumn(rank, F.row_number().over(key.orderBy(*newest, side)))

@@ -189,16 +189,23 @@ def listed(column: Column, values: Iterable[Value]) -> Column:
     return (column.isin(known) | missing) if known else missing
 
 
-def occupied_slots(spark: SparkSession, table: str, part: str, values: Sequence[Value]) -> dict[Value, int | None]:
+def occupied_slots(
+    spark: SparkSession, table: str, part: str, values: Sequence[Value], read: DataFrame | None = None
+) -> dict[Value, int | None]:
     """Slot that each of the named partitions lies in; None for a partition still at its first place.
 
-    Asked of the catalog, a statement for each partition: no files are listed.
+    Told by the paths of the files in ``read``, a frame of those partitions that is going to be read in any case; the
+    catalog is asked for the others, a statement for each partition.
     """
     existing = _existing(spark, table)
     there = [v for v in values if _directory(part, v) in existing]
-    locations = _each(lambda v: _partition_location(spark, table, part, v), there)
-    slots = (_IN_SLOT.search(location) for location in locations)
-    return {v: int(slot[1]) if slot else None for v, slot in zip(there, slots)}
+    folders = {f.rpartition("/")[0] for f in read.inputFiles()} if read is not None and there else set()
+    seen = {unquote(f.rpartition("/")[2]): f for f in folders}
+    locations = {v: seen[_directory(part, v)] for v in there if _directory(part, v) in seen}
+    asked = [v for v in there if v not in locations]
+    locations |= zip(asked, _each(lambda v: _partition_location(spark, table, part, v), asked))
+    slots = {v: _IN_SLOT.search(location) for v, location in locations.items()}
+    return {v: int(slots[v][1]) if slots[v] else None for v in there}
 
 
 def _existing(spark: SparkSession, table: str) -> set[str]:

@@ -257,3 +257,38 @@ def test_row_level_formats_are_created_as_such(spark, name):
     with pytest.raises(Exception, match="no_such_format"):
         upsert_table(_frame(spark, [("a", 1, D1)]), name, ["id"], fmt="no_such_format")
     assert not table_exists(spark, name)
+
+
+def test_tasks_follow_the_rows(spark, name, tmp_path, monkeypatch):
+    """A bucket of many rows is split over tasks, each with a file; the rows are those of one task."""
+    monkeypatch.setattr(keyed_sink, "TASK_ROWS", 10)
+    old = [(f"k{i}", 0, D1) for i in range(80)]
+    upsert_table(_frame(spark, old), name, ["id"], buckets=1, path=str(tmp_path / "t"))
+    assert len(spark.table(name).inputFiles()) > 4
+    upsert_table(_frame(spark, [(f"k{i}", 1, D2) for i in range(40, 90)]), name, ["id"])
+    want = [(f"k{i}", 0, D1) for i in range(40)] + [(f"k{i}", 1, D2) for i in range(40, 90)]
+    assert _rows(spark, name) == sorted(want, key=repr)
+    monkeypatch.undo()
+    assert keyed_sink._dealt(324_000_000, 8, 1) == (81, 648)  # neither few large tasks
+    assert keyed_sink._dealt(1_000, 27_000, 1) == (1, keyed_sink.FEW_TASKS)  # nor one for every small bucket
+
+
+def test_buckets_that_share_a_task(spark, name, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed_sink, "FEW_TASKS", 2)
+    for v in (1, 2):
+        rows = [(f"k{i}", v, D1) for i in range(v * 20 - 20, v * 20 + 10)]
+        upsert_table(_frame(spark, rows), name, ["id"], buckets=7, path=str(tmp_path / "t"), sort_by=["day"])
+    assert {r[0]: r[1] for r in _rows(spark, name)} == {f"k{i}": 1 if i < 20 else 2 for i in range(50)}
+    assert len(spark.table(name).inputFiles()) == 7
+
+
+def test_slots_are_told_by_the_files(spark, name, tmp_path, monkeypatch):
+    """No statement for each partition, and the slot that is read is never the one that is written."""
+    for v in range(4):
+        upsert_table(_frame(spark, [(f"k{i}", v, D1) for i in range(30)]), name, ["id"], buckets=3, path=str(tmp_path / "t"))
+        before = _location_of(spark, name)
+        if v == 0:
+            monkeypatch.setattr(tables, "_partition_location", lambda *_: pytest.fail("asked of the catalog"))
+        else:
+            assert {b: f.split("/slot=")[1][0] for b, f in before.items()} == dict.fromkeys(before, str(v % 2))
+    assert {r[1] for r in _rows(spark, name)} == {3}
