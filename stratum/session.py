@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+# What a task that sorts the rows it reads may read: Parquet grows manyfold when it becomes rows.
+_SORTED_BYTES = 16 << 20
+_UNITS = {"": 1, "b": 1, **{u + b: 1 << 10 * i for i, u in enumerate("kmgt", 1) for b in ("", "b")}}
+
+
+@contextmanager
+def small_splits(spark: SparkSession) -> Iterator[None]:
+    """Scans planned, and streams started, in here give a task no more than it can sort in memory, however large the input."""
+    had = spark.conf.get(_SPLIT_BYTES)
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([a-z]*)\s*", had.lower()).groups()
+    if int(number) * _UNITS[unit] <= _SORTED_BYTES:
+        yield
+        return
+    spark.conf.set(_SPLIT_BYTES, str(_SORTED_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SPLIT_BYTES, had)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -8,7 +8,7 @@ and is kept small by folding: one ordinary merge of all pending rows.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -67,9 +67,14 @@ def _conformed(rows: DataFrame, spark: SparkSession, pending: str) -> DataFrame:
     return rows.select(*map(quoted, [*had, *(f.name for f in new)]))
 
 
-def fold_rows(spark: SparkSession, table: str) -> None:
+def fold_rows(
+    spark: SparkSession, table: str, track: str | None = None, note: Callable[[DataFrame], None] | None = None
+) -> None:
     """Merge all pending rows into ``table``, then forget them. One writer at a time, appending or folding.
 
+    With ``track`` and ``note``, ``note`` is given the values of the tracked column that the merge adds or takes away, as
+    :func:`stratum.sinks.upsert_table` gives them, and those of all pending rows, which may have been read meanwhile.
+
     A job lost in between has merged rows that are still pending: they lose against their equals, so what is read is
     right all the time, and folding again completes it. Only rows without a key, which match nothing, come twice then.
     """
@@ -80,7 +85,9 @@ def fold_rows(spark: SparkSession, table: str) -> None:
     spark.catalog.refreshTable(pending)
     keys, order_by, tie_breakers = json.loads(order)
     rows = _aligned(spark.table(pending), keyed.merged_rows(spark, table))
-    keyed.upsert_table(rows, table, keys, order_by, tie_breakers)
+    if track and note:
+        note(rows.select(quoted(track)).distinct())
+    keyed.upsert_table(rows, table, keys, order_by, tie_breakers, track=track, note=note)
     tables.publish_table(spark.table(pending).limit(0), pending)
 
 
@@ -93,6 +100,37 @@ def pending_files(spark: SparkSession, table: str) -> int:
     return len(spark.table(pending).inputFiles())
 
 
+def fold_large(
+    spark: SparkSession, table: str, track: str | None = None, note: Callable[[DataFrame], None] | None = None
+) -> None:
+    """:func:`fold_rows` once as many rows are pending as the table holds.
+
+    However many batches come, the rows that all folds together rewrite so stay in proportion to those that came.
+    """
+    if pending_rows(spark, table) >= keyed.merged_rows(spark, table).count():
+        fold_rows(spark, table, track, note)
+
+
+def pending_rows(spark: SparkSession, table: str) -> int:
+    """How many rows are pending. It stands in the footers of the files, as the number of stored rows does."""
+    pending = keyed.pending_name(table)
+    if not table_exists(spark, pending):
+        return 0
+    spark.catalog.refreshTable(pending)
+    return spark.table(pending).count()
+
+
+def settle_rows(
+    spark: SparkSession, table: str, track: str | None = None, note: Callable[[DataFrame], None] | None = None
+) -> None:
+    """:func:`fold_rows` of whatever is pending; after that the table is open to merges in any order again."""
+    if not table_exists(spark, table) or keyed.PENDING_PROPERTY not in keyed.properties_of(spark, table):
+        return
+    if pending_rows(spark, table):
+        fold_rows(spark, table, track, note)
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{keyed.PENDING_PROPERTY}')")
+
+
 def read_current(spark: SparkSession, table: str) -> DataFrame:
     """The current row of every key, as of now, without the layout column.
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable, Sequence
+from threading import Lock
+from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -13,6 +15,8 @@ from stratum.operators.typed import INGEST_DATE
 
 AVAILABLE_NOW = "availableNow"
 _POLL_SECONDS = 0.2
+# A raw file is what a task reads at least: small enough for one that sorts its rows, however much a batch brings.
+RAW_FILES = {"maxRecordsPerFile": 1_000_000}
 
 
 def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
@@ -46,6 +50,7 @@ def append_stream(
     writer = (
         with_partitions(df, partition_by)
         .writeStream.format(fmt)
+        .options(**RAW_FILES)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .partitionBy(*partition_by)
@@ -61,6 +66,24 @@ def start_batches(
     return _triggered(writer, trigger).start()
 
 
+class SettledQuery:
+    """A streaming query that leaves something to be done: who waits for its end has that done once it has ended well."""
+
+    def __init__(self, query: StreamingQuery, settle: Callable[[], None]):
+        self._query, self._settle, self._lock = query, settle, Lock()
+
+    def __getattr__(self, name: str) -> Any:
+        return getattr(self._query, name)
+
+    def awaitTermination(self, timeout: float | None = None) -> bool | None:  # noqa: N802 - as Spark's query calls it
+        ended = self._query.awaitTermination(timeout)
+        with self._lock:
+            if ended is not False and self._settle is not None:
+                self._settle()
+                self._settle = None
+        return ended
+
+
 def wait_all(queries: Iterable[StreamingQuery], timeout: float | None = None, fail_fast: bool = False) -> bool:
     """Wait for every query; True when all have ended in time.
 

@@ -19,6 +19,7 @@ from stratum.plans import (
     refresh_silver,
 )
 from stratum.plans import gold as gold_plan, silver as silver_plan
+from stratum.session import small_splits
 from stratum.sinks import publish_table, read_current, tables
 from stratum.streaming import wait_all
 
@@ -427,3 +428,50 @@ def test_publish_creates_the_namespace_and_replaces(spark, name, tmp_path):
     assert spark.catalog.databaseExists(f"fresh_{name}")
     for space in (f"ns_{name}", f"fresh_{name}"):
         spark.sql(f"DROP SCHEMA {space} CASCADE")
+
+
+def test_many_small_batches_are_few_merges(layers, monkeypatch):
+    """Nine batches, of which none is as large as the table: one merge at the end, whose changes are all listed."""
+    layers.land("0.json", *[(f"k{i}", "1", "1.0", "2024-01-01T08:00:00", "ES") for i in range(40)])
+    layers.refine()
+    layers.publish()
+    layers.refresh()
+    merges, real = [], tables.point_partitions
+    monkeypatch.setattr(tables, "point_partitions", lambda *a: merges.append(a[1]) or real(*a))
+    for i in range(9):
+        layers.land(f"{i + 1}.json", (f"k{i}", "2", "1.0", f"2024-01-0{i + 1}T08:00:00", "ES"), ("k39", "3", "1.0", f"2024-02-0{i + 1}T08:00:00", "FR"))
+    layers.refine(options={"maxFilesPerTrigger": "1"})
+    assert merges == [layers.silver]
+    assert layers.spark.table(f"{layers.silver}__pending").isEmpty()
+    assert layers.silver_rows() == layers.recomputed_rows()
+    layers.refresh()
+    assert layers.gold_rows() == layers.recomputed_gold()
+
+
+def test_batches_of_a_lost_run_are_merged_by_the_next(layers, monkeypatch):
+    layers.land("0.json", *[(f"k{i}", "1", "1.0", "2024-01-01T08:00:00", "ES") for i in range(9)])
+    layers.refine()
+    layers.publish()
+    layers.land("1.json", ("k1", "2", "1.0", "2024-01-02T08:00:00", "ES"))
+    monkeypatch.setattr(silver_plan, "settle_rows", lambda *_, **__: None)
+    layers.refine()
+    assert not layers.spark.table(f"{layers.silver}__pending").isEmpty()
+    assert layers.silver_rows() == layers.recomputed_rows()
+    monkeypatch.undo()
+    layers.refine()
+    layers.refresh()
+    assert layers.spark.table(f"{layers.silver}__pending").isEmpty()
+    assert layers.silver_rows() == layers.recomputed_rows()
+    assert layers.gold_rows() == layers.recomputed_gold()
+
+
+def test_scans_that_are_sorted_are_split_small(spark):
+    had = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for given, inside in (("128m", str(16 << 20)), ("1048576b", "1048576b"), ("2MB", "2MB")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", given)
+            with small_splits(spark):
+                assert spark.conf.get("spark.sql.files.maxPartitionBytes") == inside
+            assert spark.conf.get("spark.sql.files.maxPartitionBytes") == given
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", had)

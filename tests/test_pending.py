@@ -123,3 +123,27 @@ def test_stored_rows_are_not_shuffled(spark, name, tmp_path, plan):
     assert any("BroadcastHashJoin" in x and "LeftSemi, BuildRight" in x for x in lines)
     # What is exchanged or sorted is pending, or a key that is: the scans of the table feed broadcast joins alone.
     read_current(spark, name).collect()
+
+
+def test_large_folds(spark, name, tmp_path):
+    """What is pending is merged when it has as many rows as the table, not before."""
+    upsert_table(_frame(spark, [(f"k{i}", 1, 0) for i in range(10)]), name, ["id"], ["at"], [], buckets=2, path=str(tmp_path / "t"))
+    for at, pending in ((2, 4), (3, 8), (4, 0), (5, 4)):
+        append_rows(_frame(spark, [(f"k{i}", at, at) for i in range(4)]), name, ["id"], ["at"], [])
+        pending_sink.fold_large(spark, name)
+        assert pending_sink.pending_rows(spark, name) == pending
+    assert _rows(spark, name) == sorted([(f"k{i}", 5, 5) if i < 4 else (f"k{i}", 1, 0) for i in range(10)], key=repr)
+    pending_sink.settle_rows(spark, name)
+    assert pending_sink.pending_rows(spark, name) == 0
+    upsert_table(_frame(spark, [("k0", 0, 9)]), name, ["id"])  # in any order again
+    assert ("k0", 0, 9) in _rows(spark, name)
+
+
+def test_a_fold_tells_all_pending_values(spark, name, tmp_path):
+    """Those, too, that another pending row has replaced: a reader may have seen them."""
+    upsert_table(_frame(spark, [("a", 1, 10), ("b", 1, 11)]), name, ["id"], ["at"], [], buckets=2, path=str(tmp_path / "t"))
+    for at in (2, 3):
+        append_rows(_frame(spark, [("a", at, 10 + at)]), name, ["id"], ["at"], [])
+    told = []
+    fold_rows(spark, name, "_present", lambda values: told.extend(r[0] for r in values.collect()))
+    assert set(told) == {10, 12, 13}
