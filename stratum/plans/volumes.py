@@ -22,7 +22,7 @@ from stratum.plans.silver import refine_to_silver
 from stratum.sinks.files import write_layer
 from stratum.sources import read_layer, recorded_layer
 from stratum.streaming import start_batches, wait_all
-from stratum.streaming.queries import with_partitions
+from stratum.streaming.queries import RAW_FILES, with_partitions
 
 Spec = Mapping[str, Any]
 # What a volume is, in this order; it never goes back.
@@ -74,7 +74,7 @@ def ingest_volume(spark: SparkSession, spec: Spec, timeout: float | None = None)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writer = with_partitions(batch, parts).write.mode("overwrite").format(fmt).partitionBy(*parts)
-        writer.save(f"{volume_path(bronze, volume)}/b{batch_id:09}")
+        writer.options(**RAW_FILES).save(f"{volume_path(bronze, volume)}/b{batch_id:09}")
 
     if not wait_all([start_batches(rows, write, spec["autoloader"]["checkpointLocation"])], timeout):
         raise TimeoutError(f"dataset {spec.get('name')!r} is still running after {timeout} s")

@@ -391,9 +391,14 @@ def _sales_spec(home: str) -> dict[str, Any]:
     }
 
 
-def _land(spark: SparkSession, sales: DataFrame, home: str) -> None:
+def _export(spark: SparkSession, sales: DataFrame, home: str) -> None:
+    """The sales as files in the landing folder. As plain text they would be most of what a query writes."""
     _write_schema(spark, sales.schema, f"{home}/declared")
-    export_json(sales, f"{home}/landing")
+    export_json(sales, f"{home}/landing", max_records_per_file=1_000_000, compression="snappy")
+
+
+def _land(spark: SparkSession, sales: DataFrame, home: str) -> None:
+    _export(spark, sales, home)
     ingest_all(spark, [_sales_spec(home)])
 
 
@@ -497,8 +502,7 @@ def silver_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     home, name = _names(spark, "volumes")
     spec = _sales_spec(home)
     for sales in (data.order_sales(spark, sf_dir), data.line_sales(spark, sf_dir)):
-        _write_schema(spark, sales.schema, f"{home}/declared")
-        export_json(sales, f"{home}/landing")
+        _export(spark, sales, home)
         close_volume(spark, spec)
         refine_volumes(
             spark, f"{home}/bronze", name, SALES_KEYS, _TYPES, f"{home}/checkpoints/silver", f"{home}/rejects", f"{home}/schema",

@@ -18,8 +18,8 @@ from stratum.sources import (
     track_schema,
 )
 from stratum.sources.messages import client_options
-from stratum.streaming import append_stream, wait_all
-from stratum.sinks import publish_messages
+from stratum.streaming import append_stream, queries, wait_all
+from stratum.sinks import export_json, publish_messages
 
 DECLARED = {
     "type": "struct",
@@ -373,3 +373,20 @@ def test_the_setting_decides_and_not_the_master():
     assert shared_dir(Session()) == own
     Session.conf = Conf({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///jobs/"})
     assert shared_dir(Session()) == "hdfs:///jobs"
+
+
+def test_raw_files_have_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(queries.RAW_FILES, "maxRecordsPerFile", 3)
+    spark.range(0, 10, 1, 1).write.parquet(str(tmp_path / "in"))
+    rows = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+    assert wait_all([append_stream(rows, str(tmp_path / "out"), str(tmp_path / "c"))], 90)
+    assert len(list((tmp_path / "out").glob("part-*"))) == 4
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 10
+
+
+def test_compressed_landing_files_are_read(spark, tmp_path):
+    export_json(spark.range(7), str(tmp_path / "landing"), max_records_per_file=2, compression="snappy")
+    assert {f.suffix for f in (tmp_path / "landing").glob("part-*")} == {".snappy"}
+    rows = stream_files(spark, str(tmp_path / "landing"), StructType.fromDDL("id long"), rescue=True)
+    assert wait_all([append_stream(rows.drop("_metadata"), str(tmp_path / "out"), str(tmp_path / "c"))], 90)
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(7))
