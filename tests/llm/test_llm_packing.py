@@ -1,3 +1,4 @@
+import string
 import zlib
 from collections import defaultdict
 
@@ -67,6 +68,38 @@ def test_a_full_memory_forgets(model, monkeypatch):
         assert np.frombuffer(words.ids([text])[0], "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
 
 
+class Counted:
+    """A tokenizer that notes the texts it is given."""
+
+    def __init__(self, model):
+        self.model, self.given = model, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += texts
+        return self.model.encode_batch_fast(texts, **options)
+
+
+def test_words_of_letters_are_spared_the_steps_of_the_whole_model(model):
+    words = packing.Words(packing.vocabulary_path())
+    words._model = Counted(words._model)
+    latin = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    texts = [f"one two{end} Größe{end} {' '.join(latin)} a12{end} x-y" for end in string.punctuation] * 2 + ["", " one  "]
+    for text, ids in zip(texts, words.ids(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+    letters = [t for t in words._model.given if t.isalpha() and "\u0130" not in t]
+    assert letters == [] and len(words._model.given) == len(set(words._model.given)) < 90
+
+
+@pytest.mark.parametrize("some", [1, 3])
+def test_ids_are_copied_in_parts(model, monkeypatch, some):
+    monkeypatch.setattr(packing, "COPIED_IDS", some)
+    monkeypatch.setattr(packing, "WORDS_OF_A_TEXT", some)
+    monkeypatch.setattr(packing, "BLOCK_CHARACTERS", 9)
+    texts = ["one two, three. four", "", "five###", "...", "six two", " ", "one"]
+    for text, ids in zip(texts, packing._ids(packing.Words(packing.vocabulary_path()), texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+
+
 def test_all_limits_hold(spark):
     rng = np.random.default_rng(1)
     tokens = rng.integers(1, 101, 3000)
