@@ -94,9 +94,11 @@ def refine_to_silver(
         return rows < merged_rows(session, table).count()
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        typed, seen = stamp_date(apply_types(batch, types)), Observation()
-        keyed, _ = split_null_keys(typed, keys)
-        _, without_key = split_null_keys(typed.observe(seen, F.count("*").alias("rows")), keys)
+        seen = Observation()
+        keyed, _ = split_null_keys(stamp_date(apply_types(batch, types)), keys)
+        # Counted as it is read: no filter passes the count, so types come after it, for the rows without a key alone.
+        counted = batch.observe(seen, F.count("*").alias("rows"))
+        _, without_key = split_null_keys(stamp_date(apply_types(counted, types)), keys)
         # The query's id belongs to its checkpoint: another checkpoint never replaces what this one set aside.
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         without_key.write.mode("overwrite").parquet(f"{rejects}/run={run}/batch={batch_id}")

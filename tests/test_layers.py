@@ -338,6 +338,22 @@ def test_rejects_of_all_runs_are_kept(layers):
     assert len(read()) == 6
 
 
+def test_only_rejects_are_typed_for_the_rejects(layers, plan, monkeypatch):
+    plans, split = [], silver_plan.split_null_keys
+
+    def noted(rows, keys):
+        kept, rejects = split(rows, keys)
+        plans.append(plan(rejects))
+        return kept, rejects
+
+    monkeypatch.setattr(silver_plan, "split_null_keys", noted)
+    layers.land("a.json", ("o1", "1", "1.0", "2024-01-01", "N"), (None, "1", "1.0", "2024-01-01", "N"))
+    layers.refine()
+    counting = [p for p in plans if "CollectMetrics" in p]
+    assert counting and all(p.index("try_cast") < p.index("isnull(order_id") < p.index("CollectMetrics") for p in counting)
+    assert layers.spark.read.parquet(f"{layers.home}/rejects").count() == 1
+
+
 @pytest.mark.parametrize("full", [True, False])
 def test_a_grown_raw_layer_reaches_silver_in_full(layers, full):
     layers.land("0.json", *FIRST)
