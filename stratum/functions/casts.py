@@ -28,4 +28,8 @@ def to_int(value: Column, from_text: bool = True) -> Column:
         return value.try_cast("int")
     whole = F.regexp_extract(value, _WHOLE_NUMBER, 1)
     bare = F.when(value.rlike(_FRACTION), F.lit(0))
-    return F.when(whole.isin("", "+", "-"), bare).otherwise(whole.try_cast("int"))
+    other = F.when(whole.isin("", "+", "-"), bare).otherwise(whole.try_cast("int"))
+    # Digits alone, perhaps with a point after the first of them, need no pattern.
+    digits = F.substring_index(value, ".", 1)
+    plain = F.translate(value, "0123456789", "").isin("", ".") & (digits != "")
+    return F.when(plain, digits.try_cast("int")).otherwise(other)

@@ -45,15 +45,36 @@ def json_payload(
     return parsed.cast(StructType([StructField(f.name, f.dataType) for f in wanted]))
 
 
-def undeclared_fields(value: Column, schema: StructType) -> Column:
-    """A JSON object of the fields of a JSON payload that ``schema`` does not read; NULL where there are none."""
+def undeclared_fields(value: Column, schema: StructType, read: Column | None = None) -> Column:
+    """A JSON object of the fields of a JSON payload that ``schema`` does not read; NULL where there are none.
+
+    With ``read``, what :func:`json_payload` made of it, payloads that hold nothing else are told by that and not parsed again.
+    """
     text = text_payload(value)
     # Field names are compared on the Spark side: nothing here depends on which fields a payload happens to have.
     # Only payloads with other names are parsed a second time.
     declared = F.array(*[F.lit(field_of(f)) for f in schema.fields])
     extra = F.map_filter(F.from_json(text, "map<string,string>"), lambda name, _: ~F.array_contains(declared, name))
     others = F.array_except(F.json_object_keys(text), declared)
-    return F.when(F.array_size(others) > 0, F.to_json(extra))
+    found = F.when(F.array_size(others) > 0, F.to_json(extra))
+    return found if read is None else F.when(~_read_whole(text, schema, read), found)
+
+
+def _read_whole(text: Column, schema: StructType, read: Column) -> Column:
+    """The payload surely has no field beside those read; not the other way round.
+
+    Every field has a colon after its name. Where nothing is escaped, the colons in a text that was read are in the
+    payload as well, so if they and one for each value read are all there are, none is left for another field.
+    """
+    names = schema.fieldNames()
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, StringType)]
+    fields = sum((read.getField(n).isNotNull().cast("int") for n in names), F.lit(0))
+    inside = _colons(F.concat_ws("", *(read.getField(n) for n in texts))) if texts else F.lit(0)
+    return ~F.contains(text, F.lit("\\")) & (_colons(text) == fields + inside)
+
+
+def _colons(text: Column) -> Column:
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(":"), F.lit("")))
 
 
 def row_json(columns: Sequence[str | Column] = ("*",)) -> Column:

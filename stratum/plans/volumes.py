@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 
 from stratum.plans.ingest import file_rows
 from stratum.plans.silver import refine_to_silver
+from stratum.session import PARSED_BYTES, small_splits
 from stratum.sinks.files import write_layer
 from stratum.sources import read_layer, recorded_layer
 from stratum.streaming import start_batches, wait_all
@@ -76,7 +77,9 @@ def ingest_volume(spark: SparkSession, spec: Spec, timeout: float | None = None)
         writer = with_partitions(batch, parts).write.mode("overwrite").format(fmt).partitionBy(*parts)
         writer.options(**RAW_FILES).save(f"{volume_path(bronze, volume)}/b{batch_id:09}")
 
-    if not wait_all([start_batches(rows, write, spec["autoloader"]["checkpointLocation"])], timeout):
+    with small_splits(spark, PARSED_BYTES):
+        ended = wait_all([start_batches(rows, write, spec["autoloader"]["checkpointLocation"])], timeout)
+    if not ended:
         raise TimeoutError(f"dataset {spec.get('name')!r} is still running after {timeout} s")
 
 

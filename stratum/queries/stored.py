@@ -36,7 +36,7 @@ from stratum.plans import (
 from stratum.queries import data
 from stratum.queries.data import daily_lines, in_cents, table
 from stratum.queries.frames import LINE_COLUMNS, SALES_COLUMNS
-from stratum.session import scratch_dir
+from stratum.session import PARSED_BYTES, scratch_dir, small_splits
 from stratum.sinks import (
     append_rows,
     ensure_namespace,
@@ -394,12 +394,14 @@ def _sales_spec(home: str) -> dict[str, Any]:
 def _export(spark: SparkSession, sales: DataFrame, home: str) -> None:
     """The sales as files in the landing folder. As plain text they would be most of what a query writes."""
     _write_schema(spark, sales.schema, f"{home}/declared")
-    export_json(sales, f"{home}/landing", max_records_per_file=1_000_000, compression="snappy")
+    export_json(sales, f"{home}/landing", max_records_per_file=250_000, compression="snappy")
 
 
 def _land(spark: SparkSession, sales: DataFrame, home: str) -> None:
     _export(spark, sales, home)
-    ingest_all(spark, [_sales_spec(home)])
+    # A file stream plans its batches by the session it was read with, so this holds until the ingest has ended.
+    with small_splits(spark, PARSED_BYTES):
+        ingest_all(spark, [_sales_spec(home)])
 
 
 def _refine(

@@ -13,26 +13,45 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+_PARTITIONS = "spark.sql.shuffle.partitions"
 # What a task that sorts the rows it reads may read: Parquet grows manyfold when it becomes rows.
 _SORTED_BYTES = 16 << 20
+# What a task that parses text may read: compressed text grows as much, and the last tasks are waited for by all cores.
+PARSED_BYTES = 64 << 20
 _UNITS = {"": 1, "b": 1, **{u + b: 1 << 10 * i for i, u in enumerate("kmgt", 1) for b in ("", "b")}}
 
 
 @contextmanager
-def small_splits(spark: SparkSession) -> Iterator[None]:
-    """Scans planned, and streams started, in here give a task no more than it can sort in memory, however large the input."""
+def small_splits(spark: SparkSession, most: int = _SORTED_BYTES) -> Iterator[None]:
+    """Scans planned in here, also those of streams that run in here, give a task no more than ``most`` bytes, however
+    large the input: by default what it can sort in memory."""
     had = spark.conf.get(_SPLIT_BYTES)
     number, unit = re.fullmatch(r"\s*(\d+)\s*([a-z]*)\s*", had.lower()).groups()
-    if int(number) * _UNITS[unit] <= _SORTED_BYTES:
+    if int(number) * _UNITS[unit] <= most:
         yield
         return
-    spark.conf.set(_SPLIT_BYTES, str(_SORTED_BYTES))
+    spark.conf.set(_SPLIT_BYTES, str(most))
     try:
         yield
     finally:
         spark.conf.set(_SPLIT_BYTES, had)
 
 
+@contextmanager
+def enough_partitions(spark: SparkSession, least: int) -> Iterator[None]:
+    """Shuffles planned in here have at least so many partitions, whatever the session gives them; adaptive execution
+    puts small ones together."""
+    had = spark.conf.get(_PARTITIONS)
+    if int(had) >= least:
+        yield
+        return
+    spark.conf.set(_PARTITIONS, str(least))
+    try:
+        yield
+    finally:
+        spark.conf.set(_PARTITIONS, had)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``, which all executors share.
 

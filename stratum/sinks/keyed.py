@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from stratum.functions.names import free_name, free_names, quoted
 from stratum.operators.latest import decided_by, first_of, newest_first
 from stratum.operators.rejects import has_null_key, split_null_keys
+from stratum.session import enough_partitions
 from stratum.sinks import tables
 from stratum.sources.tables import table_exists
 
@@ -170,7 +171,9 @@ def upsert_table(
         )
         root = tables.table_location(spark, table)
         try:
-            tables.write_slots(merged, root, layout.bucket, slot)
+            # New rows are ranked by key first, in a shuffle of the session's: its tasks are bounded like those of the merge.
+            with enough_partitions(spark, -(-rows // TASK_ROWS)):
+                tables.write_slots(merged, root, layout.bucket, slot)
         except PySparkException as e:
             if _REPEATED in str(e):
                 raise DuplicateSourceKeys(f"source rows are not unique on {keys}") from e
@@ -309,8 +312,9 @@ def _merged(
         {slot: tables.free_slot(bucket_column, occupied), piece: F.pmod(F.hash(*columns), F.lit(pieces))}
     ).withColumn(task, F.pmod(bucket.cast("long") * pieces + F.col(piece), F.lit(tasks)).cast("int"))
     # Keys are unique on either side by now, so buckets are even, and each piece of a bucket is in one task. This one
-    # exchange serves the ranking and the layout of the files: the window's order starts with the folders written.
-    key = Window.partitionBy(task, *folders, *columns)
+    # exchange serves the ranking and the layout of the files: the window's order starts with the folders written. The
+    # task, which the others decide, is only named for the exchange to be taken as it is.
+    key = Window.partitionBy(*folders, *columns, task)
     ranked = placed.repartitionById(tasks, F.col(task)).withColumn(rank, F.row_number().over(key.orderBy(*newest, side)))
     if track:
         stored = F.col(from_source) == 0

@@ -65,7 +65,5 @@ def _renamed(rows: DataFrame, schema: StructType) -> DataFrame:
 def _rescuing(lines: DataFrame, schema: StructType, options: Mapping[str, str] | None) -> DataFrame:
     parsed = json_payload(F.col(_LINE), schema, CORRUPT, options)
     # _metadata stays available to the lineage operator because it is selected through.
-    kept = lines.where(F.trim(_LINE) != "").select(
-        parsed.alias("data"), undeclared_fields(F.col(_LINE), schema).alias(RESCUED), "_metadata"
-    )
-    return kept.select("data.*", RESCUED, "_metadata")
+    kept = lines.where(F.trim(_LINE) != "").select(parsed.alias("data"), _LINE, "_metadata")
+    return kept.select("data.*", undeclared_fields(F.col(_LINE), schema, F.col("data")).alias(RESCUED), "_metadata")

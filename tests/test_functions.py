@@ -1,10 +1,11 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-from stratum.functions import in_months, json_payload, row_json, to_day, to_double, to_int
+from stratum.functions import in_months, json_payload, row_json, to_day, to_double, to_int, undeclared_fields
 
 DAY = dt.date(2024, 3, 4)
 
@@ -93,3 +94,39 @@ def test_in_months(spark):
     assert kept(dt.date(2024, 1, 1), dt.date(2024, 12, 1)) == days[1:3]
     assert kept(dt.date(2024, 12, 1), None) == [days[2], None]
     assert kept(None) == [None] and kept() == []
+
+
+def test_fields_beside_those_read_are_found_whatever_their_text(spark):
+    schema = StructType([StructField(n, StringType()) for n in ("a", "b")])
+    # Repeated, escaped and nested fields must not hide another one.
+    lines = [
+        ('{"a":"x","b":"1:2"}', None),
+        ('{"a":"x"}', None),
+        ('{"a":null,"b":7}', None),
+        ('{"a":{"c":"d:e"},"b":[{"f":1}]}', None),
+        ("{}", None),
+        ("", None),
+        ("a:b", None),
+        (None, None),
+        ('{"a":"1:2","a":"x"}', None),
+        ('{"a":"x","c":"y"}', {"c": "y"}),
+        ('{"a":"\\u003a","c":"y"}', {"c": "y"}),
+        ('{"a":"x:","A":null,"c:":"y"}', {"c:": "y"}),
+        ('{"a":null,"c":"y"}', {"c": "y"}),
+        ('{"a":{"b":"2"},"c":"y"}', {"c": "y"}),
+        ('{"a":"1:2","a":"x","c":"y"}', {"c": "y"}),
+    ]
+    rows = spark.createDataFrame([(i, line) for i, (line, _) in enumerate(lines)], "i int, v string")
+    parsed = rows.select("i", "v", json_payload(F.col("v"), schema, "_corrupt_record").alias("data"))
+    found = parsed.select("i", undeclared_fields(F.col("v"), schema, F.col("data")).alias("new"), undeclared_fields(F.col("v"), schema).alias("old"))
+    for r in found.collect():
+        assert r.new == r.old, lines[r.i]
+        expected = lines[r.i][1]
+        kept = {k: v for k, v in json.loads(r.new).items() if v is not None} if r.new else None
+        assert kept == expected, lines[r.i]
+
+
+def test_whole_numbers_without_a_pattern(spark):
+    values = ["17", "17.0", "5.", "007.9", "2147483647", "2147483648", "1.2.3", "1.a", "a.1", "-1.5", " 3.0\t", ".5", ".", "", "٣", "1e3", None]
+    expected = [17, 17, 5, 7, 2147483647, None, None, None, None, -1, 3, 0, 0, None, None, None, None]
+    assert _one(spark, values, to_int(F.col("v"))) == expected
