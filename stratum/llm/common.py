@@ -16,10 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
-    """The frame written below the shared folder and read again: its lineage ends there and survives lost executors."""
+def stored(frame: DataFrame, label: str, tasks: int | None = None) -> DataFrame:
+    """The frame written below the shared folder and read again: its lineage ends there and survives lost executors.
+
+    At most `tasks` tasks write it, a file each; else as many as Spark deals it to, even if they have a few rows each.
+    """
     path = scratch_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
+    (frame.coalesce(tasks) if tasks else frame).write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratum.llm.common import stored, table, text_of
+from stratum.session import small_batches
 
 # The kinds in their order, and the forms.
 KINDS = ("email", "ip", "card", "phone")
@@ -57,6 +58,9 @@ FIRST_LOOK = 16
 REMEMBERED = 500_000
 # So many different followers are kept before they are handed to Spark.
 FOLLOWERS = 50_000
+# A task writes so many instances, on average and at least, of what is stored of the graph: else each of its frames
+# becomes a file for every shuffle partition, however few rows it has.
+EACH_TASK = 100_000
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -291,19 +295,21 @@ def followed(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     return pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).join(patterns, "pattern", "left_semi")
 
 
-def score_patterns(graph: DataFrame, follow: DataFrame, rounds: int = ROUNDS, least: float = CONFIDENCE) -> DataFrame:
+def score_patterns(
+    graph: DataFrame, follow: DataFrame, rounds: int = ROUNDS, least: float = CONFIDENCE, tasks: int | None = None
+) -> DataFrame:
     """pattern, kind, confidence, support for `graph` (pattern, instance, seed: the kind or -1).
 
     In a round, a pattern's confidence in a kind is the sum of its instances' scores for it, over all different instances
     and ordinary words that follow it; an instance's score is that of the best pattern before it, for seeds always one.
-    Instances with a score of `least` support it.
+    Instances with a score of `least` support it. `tasks`: at most so many write each of the frames that are stored.
     """
     kinds = range(len(KINDS))
     per_pattern = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("kinds_of"))
     weight = per_pattern.join(follow, "pattern", "left").select(
         "pattern", (F.col("kinds_of") + F.coalesce("n", F.lit(0))).cast("double").alias("all")
     )
-    graph = stored(graph.join(weight, "pattern"), "pii-graph")
+    graph = stored(graph.join(weight, "pattern"), "pii-graph", tasks)
     seed = [(F.col("seed") == k).cast("double") for k in kinds]
     edges = graph.withColumn("score", F.array(*seed))
     patterns = None
@@ -311,7 +317,7 @@ def score_patterns(graph: DataFrame, follow: DataFrame, rounds: int = ROUNDS, le
         sums = [F.sum(F.col("score")[k]) / F.max("all") for k in kinds]
         sure = [F.sum((F.col("score")[k] >= least).cast("long")) for k in kinds]
         scored = edges.groupBy("pattern").agg(F.array(*sums).alias("sure"), F.array(*sure).alias("support"))
-        patterns = stored(scored, "pii-patterns")
+        patterns = stored(scored, "pii-patterns", tasks)
         if i + 1 < rounds:
             trusted = [F.max(F.when(F.col("support")[k] >= SUPPORT, F.col("sure")[k]).otherwise(0.0)) for k in kinds]
             open_ = graph.filter("seed < 0").select("pattern", "instance").join(patterns, "pattern")
@@ -327,7 +333,9 @@ def _high(scored: DataFrame, least: float = CONFIDENCE) -> DataFrame:
     return scored.filter((F.col("confidence") >= least) & (F.col("support") >= SUPPORT))
 
 
-def needed_patterns(graph: DataFrame, rounds: int = ROUNDS, follow: DataFrame | None = None) -> DataFrame:
+def needed_patterns(
+    graph: DataFrame, rounds: int = ROUNDS, follow: DataFrame | None = None, tasks: int | None = None
+) -> DataFrame:
     """pattern: those of `graph` that may discover, and those whose scores reach them by open instances that they share.
 
     Ordinary words only lower the scores. So scores without them, or with only some of those that `follow` each pattern
@@ -335,15 +343,21 @@ def needed_patterns(graph: DataFrame, rounds: int = ROUNDS, follow: DataFrame |
     """
     least = CONFIDENCE - 1e-9
     some = graph.select("pattern").distinct().withColumn("n", F.lit(0)) if follow is None else follow
-    needed = stored(_high(score_patterns(graph, some, rounds, least), least).select("pattern").distinct(), "pii-needed")
+    high = _high(score_patterns(graph, some, rounds, least, tasks), least)
+    needed = stored(high.select("pattern").distinct(), "pii-needed", tasks)
     open_ = graph.filter("seed < 0").select("pattern", "instance")
     for _ in range(rounds - 1):
         near = open_.join(needed, "pattern", "left_semi").select("instance").distinct()
         more = open_.join(near, "instance", "left_semi").select("pattern")
-        needed = stored(needed.unionByName(more).distinct(), "pii-needed")
+        needed = stored(needed.unionByName(more).distinct(), "pii-needed", tasks)
     return needed
 
 
+def _stored_of_texts(frame: DataFrame, label: str, tasks: int | None = None) -> DataFrame:
+    with small_batches(frame.sparkSession):
+        return stored(frame, label, tasks)
+
+
 def _joined(spans: str) -> Column:
     names = F.array(*map(F.lit, KINDS))
     one = lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))
@@ -360,28 +374,31 @@ def find_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn(
         "digest", F.sha2(F.col("text").cast("binary"), 256)
     )
-    rows = stored(read.mapInPandas(_extract, _FOUND), "pii-rows")
+    rows = _stored_of_texts(read.mapInPandas(_extract, _FOUND), "pii-rows")
     seen = rows.filter(F.size("seen") > 0).select("digest", F.explode("seen").alias("s")).select("digest", "s.*")
     graph = seen.groupBy("pattern", "instance").agg(F.max("kind").alias("seed"))
-    graph = stored(graph, "pii-edges")
+    # No frame of the graph has more rows than there are instances.
+    tasks = 1 + seen.count() // EACH_TASK
+    graph = stored(graph, "pii-edges", tasks)
     # Only a pattern with that many seeds can start, and one with as many instances of a kind can join later. One with
     # seeds alone neither discovers nor tells other patterns anything.
     open_ = F.sum((F.col("seed") < 0).cast("int"))
     most = F.greatest(*[F.sum((F.col("seed") == k).cast("int")) for k in range(len(KINDS))])
     wide = graph.groupBy("pattern").agg(open_.alias("open"), most.alias("seeds"))
-    wide = stored(wide.filter((F.col("open") > 0) & (F.col("seeds") + F.col("open") >= SUPPORT)), "pii-wide")
+    wide = stored(wide.filter((F.col("open") > 0) & (F.col("seeds") + F.col("open") >= SUPPORT)), "pii-wide", tasks)
     found = needed = None
     if not wide.filter(F.col("seeds") >= SUPPORT).isEmpty():
-        needed = needed_patterns(graph.join(wide, "pattern", "left_semi"), rounds)
+        needed = needed_patterns(graph.join(wide, "pattern", "left_semi"), rounds, tasks=tasks)
     texts = docs.select(text_of().alias("text"))
     if needed is not None and not needed.isEmpty():
         # Words that follow a pattern in some of the texts follow it in all of them. What they refute already is not
         # looked for in the others.
         some = texts.filter(F.pmod(F.xxhash64("text"), F.lit(FIRST_LOOK)) == 0)
-        needed = needed_patterns(graph.join(needed, "pattern", "left_semi"), rounds, stored(followed(some, needed), "pii-follow"))
+        follow = _stored_of_texts(followed(some, needed), "pii-follow", tasks)
+        needed = needed_patterns(graph.join(needed, "pattern", "left_semi"), rounds, follow, tasks)
     if needed is not None and not needed.isEmpty():
-        follow = stored(followed(texts, needed), "pii-follow")
-        high = _high(score_patterns(graph.join(needed, "pattern", "left_semi"), follow, rounds))
+        follow = _stored_of_texts(followed(texts, needed), "pii-follow", tasks)
+        high = _high(score_patterns(graph.join(needed, "pattern", "left_semi"), follow, rounds, tasks=tasks))
         high = high.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", F.negative("kind"))).alias("new_kind"))
         found = (
             seen.filter("kind < 0")
@@ -390,7 +407,7 @@ def find_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .agg(F.collect_set(F.struct("start", F.col("new_kind").alias("kind"), "end")).alias("more"))
             .withColumnRenamed("digest", "_digest")
         )
-        found = stored(found, "pii-found")
+        found = stored(found, "pii-found", tasks)
     none = F.array().cast(SPAN)
     all_rows = rows.withColumn("more", none) if found is None else rows.join(found, F.col("digest") == F.col("_digest"), "left")
     of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k))

@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 _PARTITIONS = "spark.sql.shuffle.partitions"
+_BATCHES = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
 # What a task that sorts the rows it reads may read: Parquet grows manyfold when it becomes rows.
 _SORTED_BYTES = 16 << 20
 # What a task that parses text may read: compressed text grows as much, and the last tasks are waited for by all cores.
@@ -52,6 +53,21 @@ def enough_partitions(spark: SparkSession, least: int) -> Iterator[None]:
         spark.conf.set(_PARTITIONS, had)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 500) -> Iterator[None]:
+    """What runs in here reads, and hands to Python, no more than so many rows at once: their texts are in memory
+    together, several times over, in each task."""
+    had = {name: spark.conf.get(name) for name in _BATCHES}
+    large = [name for name, rows in had.items() if not 0 < int(rows) <= most]
+    try:
+        for name in large:
+            spark.conf.set(name, str(most))
+        yield
+    finally:
+        for name in large:
+            spark.conf.set(name, had[name])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``, which all executors share.
 

@@ -104,6 +104,43 @@ def test_the_first_look_and_the_size_of_filters_change_nothing(spark, cues, monk
     assert sorted(map(repr, pii.find_personal_data(cues).collect())) == want
 
 
+@pytest.fixture
+def writes(spark, monkeypatch):
+    """(label, files, rows that a task reads and hands to Python at once) of what is stored, with many partitions that Spark leaves apart."""
+    many = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    had = {k: spark.conf.get(k) for k in many}
+    seen, plain = [], pii.stored
+
+    def stored(frame, label, *more):
+        at_once = [int(spark.conf.get(f"spark.sql.{k}")) for k in ("parquet.columnarReaderBatchSize", "execution.arrow.maxRecordsPerBatch")]
+        out = plain(frame, label, *more)
+        seen.append((label, len(out.inputFiles()), *at_once))
+        return out
+
+    monkeypatch.setattr(pii, "stored", stored)
+    for k, v in many.items():
+        spark.conf.set(k, v)
+    yield seen
+    for k, v in had.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("each, tasks", [(100_000, 1), (8, 3)])
+def test_files_follow_the_instances(spark, cues, writes, monkeypatch, each, tasks):
+    monkeypatch.setattr(pii, "EACH_TASK", each)
+    found = {r.doc_id for r in pii.find_personal_data(cues).collect() if r.n_discovered}
+    assert found == {20, 21, 30, 31, 41}
+    files = [x[1] for x in writes if x[0] != "pii-rows"]
+    assert len(files) > 8 and max(files) == tasks
+
+
+def test_texts_are_read_in_small_batches(spark, cues, writes):
+    default = (4096, 10_000)
+    pii.find_personal_data(cues)
+    assert {x[2:] for x in writes if x[0] in ("pii-rows", "pii-follow")} == {(500, 500)}
+    assert {x[2:] for x in writes if x[0] in ("pii-edges", "pii-found")} == {default}
+
+
 def test_followers_against_a_loop(spark):
     rng = random.Random(6)
     words = ["a", "b,", "C", "d.", "12345", "x@y.zz", "(e)"]
